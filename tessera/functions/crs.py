@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .grid import EARTH_RADIUS, col
@@ -104,20 +104,78 @@ def transform_point(src: str, dst: str, x, y) -> tuple[Column, Column]:
     raise ValueError(f"unsupported CRS {dst}")
 
 
-def transform_bbox(src: str, dst: str, west, south, east, north) -> Column:
-    """Box through all four corners (not two), as struct(west,south,east,north)."""
-    xs, ys = [], []
-    for cx, cy in ((west, south), (west, north), (east, south), (east, north)):
-        tx, ty = transform_point(src, dst, cx, cy)
-        xs.append(tx)
-        ys.append(ty)
-    return F.struct(F.least(*xs).alias("west"), F.least(*ys).alias("south"),
-                    F.greatest(*xs).alias("east"), F.greatest(*ys).alias("north"))
+def add_points(df: DataFrame, src: str, dst: str, points: list[tuple]) -> DataFrame:
+    """Add transformed coordinates for several points: ``points`` = [(x, y, out_x, out_y)].
 
-
-def suggest_resolution(src: str, dst: str, west, south, east, north, width, height) -> Column:
-    """Square output pixel keeping the diagonal's pixel count (default warp rule)."""
-    b = transform_bbox(src, dst, west, south, east, north)
+    UTM sources are evaluated in stages (xi/eta, then xi'/eta', then chi, then
+    lon/lat), one projection each, so no subtree is repeated: the series stays
+    in whole-stage codegen with one evaluation per point.
+    """
+    src, dst = src.upper(), dst.upper()
+    keep = list(df.columns)
+    if src.startswith("UTM:"):
+        k = utm_constants(int(src[4:]))
+        tmp = [f"__p{i}" for i in range(len(points))]
+        df = df.select("*", *[c for t, (x, y, _, _) in zip(tmp, points) for c in (
+            (col(y) / k["k0A"]).alias(f"{t}_xi"), ((col(x) - UTM_FALSE_EASTING) / k["k0A"]).alias(f"{t}_eta"))])
+        cols = []
+        for t in tmp:
+            xi, eta = F.col(f"{t}_xi"), F.col(f"{t}_eta")
+            xp, ep = xi, eta
+            for j, b in enumerate(k["beta"], start=1):
+                xp = xp - b * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
+                ep = ep - b * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
+            cols += [xp.alias(f"{t}_xp"), ep.alias(f"{t}_ep")]
+        df = df.select("*", *cols)
+        df = df.select("*", *[F.asin(F.sin(F.col(f"{t}_xp")) / F.cosh(F.col(f"{t}_ep"))).alias(f"{t}_chi")
+                              for t in tmp])
+        cols = []
+        for t in tmp:
+            chi = F.col(f"{t}_chi")
+            lat = chi
+            for j, dd in enumerate(k["delta"], start=1):
+                lat = lat + dd * F.sin(2 * j * chi)
+            lon = k["lon0"] + F.degrees(F.atan2(F.sinh(F.col(f"{t}_ep")), F.cos(F.col(f"{t}_xp"))))
+            cols += [lon.alias(f"{t}_lon"), F.degrees(lat).alias(f"{t}_lat")]
+        df = df.select(*keep, *cols)
+        points = [(f"{t}_lon", f"{t}_lat", ox, oy) for t, (_, _, ox, oy) in zip(tmp, points)]
+        src = "EPSG:4326"
+        keep_tmp = [f"{t}_{c}" for t in tmp for c in ("lon", "lat")]
+    else:
+        keep_tmp = []
+    outs = []
+    for x, y, ox, oy in points:
+        tx, ty = transform_point(src, dst, x, y)
+        outs += [tx.alias(ox), ty.alias(oy)]
+    return df.select(*keep, *outs).drop(*keep_tmp) if keep_tmp else df.select(*keep, *outs)
+
+
+def add_bbox(df: DataFrame, src: str, dst: str, west, south, east, north, name: str) -> DataFrame:
+    """Add ``name`` = struct(west, south, east, north): the box through all four
+    transformed corners (not two).  Corners are staged columns (see :func:`add_points`)."""
+    tmp = f"__{name}"
+    pts = [(cx, cy, f"{tmp}_x{i}", f"{tmp}_y{i}")
+           for i, (cx, cy) in enumerate(((west, south), (west, north), (east, south), (east, north)))]
+    keep = list(df.columns)
+    staged = add_points(df, src, dst, pts)
+    xs = [F.col(f"{tmp}_x{i}") for i in range(4)]
+    ys = [F.col(f"{tmp}_y{i}") for i in range(4)]
+    return staged.select(*keep, F.struct(F.least(*xs).alias("west"), F.least(*ys).alias("south"),
+                                         F.greatest(*xs).alias("east"), F.greatest(*ys).alias("north")).alias(name))
+
+
+def resolution_of(box, width, height) -> Column:
+    """Square output pixel keeping the diagonal's pixel count (default warp rule),
+    for a box already in the destination CRS (see :func:`add_bbox`)."""
+    b = col(box)
     dx, dy = b["east"] - b["west"], b["north"] - b["south"]
     w, h = col(width).cast("double"), col(height).cast("double")
     return F.sqrt(dx * dx + dy * dy) / F.sqrt(w * w + h * h)
+
+
+def suggest_resolution(df: DataFrame, src: str, dst: str, west, south, east, north, width, height,
+                       name: str = "res") -> DataFrame:
+    """Add the default output resolution of each raster in ``dst`` as column ``name``."""
+    box = f"__box_{name}"
+    out = add_bbox(df, src, dst, west, south, east, north, box)
+    return out.withColumn(name, resolution_of(box, width, height)).drop(box)

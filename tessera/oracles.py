@@ -214,6 +214,17 @@ def _oracles() -> dict[str, str]:
             select source_id, zm z, {tx('lw', 'zm')} x0, {tx('le', 'zm')} x1, {ty('ln_', 'zm')} y0, {ty('ls', 'zm')} y1
             from fp, (select max({zoom_sql('res')}) zm from fp))))
         group by all""", "rasters").replace("\nselect z, x, y, count(*) n_sources", f",\n{fps}\nselect z, x, y, count(*) n_sources", 1)
+    sp14 = f"({L(grid.WORLD)} / pow(2.0, t.z))"
+    q["source_overlap"] = W(f"""select t.z, t.x, t.y, fp.source_id from tl t
+        join fpm fp on t.x * {sp14} - {hw} < fp.me and fp.mw < (t.x + 1) * {sp14} - {hw}
+          and {hw} - (t.y + 1) * {sp14} < fp.mn and fp.ms < {hw} - t.y * {sp14}""", "rasters").replace(
+        "\nselect t.z, t.x, t.y, fp.source_id", f""",\n{fps},
+ fpm as (select source_id, mw, ms, me, mn from agg),
+ tl as (select distinct z, x, unnest(range(y0, y1 + 1)) y from (
+          select zm z, unnest(range(x0, x1 + 1)) x, y0, y1 from (
+            select zm, {tx('lw', 'zm')} x0, {tx('le', 'zm')} x1, {ty('ln_', 'zm')} y0, {ty('ls', 'zm')} y1
+            from fp, (select max({zoom_sql('res')}) zm from fp))))
+select t.z, t.x, t.y, fp.source_id""", 1)
     src_a = grid.WORLD / (2 ** 14 * 512)
     q["source_window"] = W(f"""select id, cast(row0 as bigint) row0, cast(row0 + span as bigint) row1,
         cast(col0 as bigint) col0, cast(col0 + span as bigint) col1,

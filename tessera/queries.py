@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .functions import crs, grid, terrain as TR, uris
 from .operators import blocks as B, cells as C, halo as H, pyramid as P
+from .plans import jobs as J
 from .session import scratch_path
 from .sources import fixtures as FX, readers as RD, sinks as SK
 from .sources.tables import table
@@ -128,13 +129,7 @@ def lonlat_to_utm(spark, d):
 
 
 def _footprints(spark, d):
-    r = FX.rasters(spark, d)
-    fp = r.select("source_id", "a", "e", "width", "height", "nodata",
-                  F.col("c").alias("west"), (F.col("f") + F.col("e") * F.col("height")).alias("south"),
-                  (F.col("c") + F.col("a") * F.col("width")).alias("east"), F.col("f").alias("north"))
-    ll = crs.transform_bbox("UTM:10", "EPSG:4326", "west", "south", "east", "north")
-    res = crs.suggest_resolution("UTM:10", "EPSG:3857", "west", "south", "east", "north", "width", "height")
-    return fp.select("*", ll.alias("ll"), res.alias("res"))
+    return J.footprints(FX.rasters(spark, d), "UTM:10")
 
 
 def suggest_zoom(spark, d):
@@ -159,13 +154,20 @@ def mosaic_grid(spark, d):
 
 def plan_tiles(spark, d):
     """Footprints -> lon/lat boxes -> zoom of the finest source -> distinct tile cover."""
-    fp = _footprints(spark, d).select("source_id", "ll", grid.zoom_for_resolution("res", CHUNK).alias("zoom"))
-    # the dataset's zoom is one number (the finest source); it parameterises the cover
-    zoom = fp.agg(F.max("zoom")).first()[0]
-    t = fp.select("source_id", F.explode(grid.tiles_for_bbox(
-        F.col("ll.west"), F.col("ll.south"), F.col("ll.east"), F.col("ll.north"), F.lit(zoom))).alias("t"))
-    return (t.groupBy(_i("t.z").alias("z"), _i("t.x").alias("x"), _i("t.y").alias("y"))
-             .agg(F.count("*").alias("n_sources")))
+    fp = _footprints(spark, d)
+    t = J.plan_tiles(fp, J.dataset_zoom(fp, CHUNK))
+    return t.select(_i("z").alias("z"), _i("x").alias("x"), _i("y").alias("y"), "n_sources")
+
+
+def source_overlap(spark, d):
+    """J2 (Z1 planning): which source footprints meet each tile of the plan, in EPSG:3857.
+
+    Bucketed equi-join + exact box test; no cartesian product.
+    """
+    fp = _footprints(spark, d)
+    zoom = J.dataset_zoom(fp, CHUNK)
+    pairs = J.tile_sources(J.plan_tiles(fp, zoom), fp, cell=grid.WORLD / 2 ** zoom)
+    return pairs.select(_i("z").alias("z"), _i("x").alias("x"), _i("y").alias("y"), _i("source_id").alias("source_id"))
 
 
 def source_window(spark, d):
@@ -195,10 +197,7 @@ def uri_names(spark, d):
 
 def missing_targets(spark, d):
     """Z3 planning: archives whose converted target is not listed yet (left anti join)."""
-    src = FX.objects(spark, d).where(uris.is_archive("path"))
-    tgt = FX.done(spark, d).where(uris.is_tiff("path")).select(F.col("path").alias("target"))
-    return (src.select(F.col("path").alias("source"), uris.target_name("path").alias("target"))
-               .join(tgt, "target", "left_anti").select("source", "target"))
+    return J.missing_targets(FX.objects(spark, d), FX.done(spark, d))
 
 
 def listing_union(spark, d):
@@ -256,8 +255,7 @@ def dem_stats(spark, d):
 
 def reblock(spark, d):
     """Rows of the dem as 128x1 strips -> 32x32 square blocks -> cells."""
-    strips = B.pack_strips(FX.dem(spark, d), FX.DEM_WIDTH, dtype="f8", nodata=FX.NODATA)
-    blk = B.reblock_strips(strips, S, FX.DEM_ZOOM)
+    blk = J.reblock(FX.dem(spark, d), FX.DEM_WIDTH, S, FX.DEM_ZOOM, dtype="f8", nodata=FX.NODATA)
     c = B.unpack_blocks(blk)
     return c.select(_i("gx").alias("gx"), _i("gy").alias("gy"), _i("v").alias("v"))
 
@@ -393,33 +391,23 @@ def hillshade_light(spark, d):
 
 def shade_rgba(spark, d):
     """Light shade of each buffered tile, ramp stretched over that window, then cropped."""
-    from pyspark.sql import Window
-    s = C.shade_tiles_light(FX.dem_dense(spark, d), S, buffer=2, h=1.0, crop_output=False)
-    w = Window.partitionBy("tx", "ty")
-    s = s.select("*", F.min("shade").over(w).alias("hmin"), F.max("shade").over(w).alias("hmax"))
-    s = C.crop(s, S).select("tx", "ty", "gx", "gy", "shade", TR.ramp_index("shade", "hmin", "hmax").alias("idx"))
-    return s.select(_i("tx").alias("tx"), _i("ty").alias("ty"), "gx", "gy", _i("shade").alias("shade"),
-                    *[_i(TR.ramp_channel("idx", TR.RAMP[ch])).alias(ch) for ch in ("r", "g", "b", "a")])
+    s = J.shade_rgba(FX.dem_dense(spark, d), S, buffer=2, h=1.0)
+    return s.select(*[_i(c).alias(c) for c in ("tx", "ty", "gx", "gy", "shade", "r", "g", "b", "a")])
 
 
 def compare_shades(spark, d):
     """The three shaders on one raster (whole-raster stretch for the light shader)."""
-    g = C.gradient(FX.dem_dense(spark, d), 2.0, 2.0)
-    g = g.select("gx", "gy", TR.hillshade_naive("a", "b").alias("naive"),
-                 TR.hillshade_zfactor("a", "b").alias("zfactor"),
-                 TR.light_intensity(F.col("a") * 2, F.col("b") * 2).alias("i"))
-    imin, imax = g.agg(F.min("i")).scalar(), g.agg(F.max("i")).scalar()
-    return g.select("gx", "gy", _i("naive").alias("naive"), _i("zfactor").alias("zfactor"),
-                    _i(TR.quantise(TR.stretch("i", imin, imax))).alias("light"))
+    c = J.compare_shades(FX.dem_dense(spark, d), h=2.0, pixel=1.0)
+    return c.select("gx", "gy", *[_i(k).alias(k) for k in ("naive", "zfactor", "light")])
 
 
 def shade_halo(spark, d):
     """J5/W3/K3/Z6 in block form: strips to neighbours, z-factor shade per buffered tile, crop."""
+    store = scratch_path(spark, "dem-dense")
     blk = B.pack_blocks(FX.dem_dense(spark, d), S, FX.DEM_ZOOM, dtype="f8", nodata=FX.NODATA)
-    sh = H.shade_blocks(blk, "zfactor", buffer=2, h=2.0)
-    out = scratch_path(spark, "shade")
-    SK.write_shade(sh, out)
-    c = B.unpack_blocks(spark.read.parquet(out).select(*B.BLOCK_COLUMNS))
+    SK.write_tiles(blk.where(F.col("valid_count") > 0), store)
+    sh = J.shade_tiles(spark, store, FX.DEM_ZOOM, scratch_path(spark, "shade"), "zfactor", buffer=2, h=2.0)
+    c = B.unpack_blocks(sh)
     return c.select("gx", "gy", _i("v").alias("shade"))
 
 
@@ -433,7 +421,7 @@ def tile_partitions(spark, d):
 QUERIES = {f.__name__: f for f in (
     tile_of_point, mercator_xy, tile_ul, tile_bounds, tile_quadkey, tile_parents, tile_parent_set,
     tile_children, tiles_for_boxes, tile_list_json, geojson_features,
-    utm_to_lonlat, lonlat_to_utm, suggest_zoom, footprint_index, mosaic_grid, plan_tiles, source_window,
+    utm_to_lonlat, lonlat_to_utm, suggest_zoom, footprint_index, mosaic_grid, plan_tiles, source_overlap, source_window,
     uri_names, missing_targets, listing_union, conversion_log, reproject_worklist,
     dem_blocks_valid, dem_stats, reblock, overview_sizes, decimate, pyramid_levels, pyramid_average,
     pyramid_manifest, tms_view, window_read,
