@@ -169,9 +169,8 @@ def unpack_blocks(blocks: DataFrame, valid_only: bool = True, weighted: bool = F
     no shuffle.  Filter and project blocks *before* calling it, so the scan
     below reads only what is needed.
     """
-    schema = CELL_WEIGHT_SCHEMA if weighted else CELL_SCHEMA
-    for k in keep:
-        schema = schema.add(blocks.schema[k])
+    base = CELL_WEIGHT_SCHEMA if weighted else CELL_SCHEMA
+    schema = T.StructType(list(base.fields) + [blocks.schema[k] for k in keep])   # never mutate the shared schema
     return blocks.select(*BLOCK_COLUMNS, *keep).mapInArrow(
         lambda it: _unpack_batches(it, valid_only, weighted, keep), schema)
 

@@ -35,17 +35,33 @@ def footprints(rasters: DataFrame, src_crs: str) -> DataFrame:
     return fp.withColumn("res", crs.resolution_of("merc", "width", "height"))
 
 
+def write_footprint_index(spark: SparkSession, fp: DataFrame, path: str) -> DataFrame:
+    """S4 as a stored table: computed once per dataset, then read by planning
+    jobs (zoom, tile cover, tile/source pairs) instead of being recomputed."""
+    fp.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def dataset_zoom(fp: DataFrame, chunk: int = CHUNK_SIZE) -> int:
     """P14 for the dataset: the zoom of its finest source (one number)."""
     return int(fp.agg(F.max(grid.zoom_for_resolution("res", chunk))).first()[0])
 
 
 def plan_tiles(fp: DataFrame, zoom: int) -> DataFrame:
-    """Distinct tiles at ``zoom`` meeting any footprint, with how many sources meet each."""
-    t = fp.select("source_id", F.explode(grid.tiles_for_bbox(
-        F.col("ll.west"), F.col("ll.south"), F.col("ll.east"), F.col("ll.north"), F.lit(zoom))).alias("t"))
-    return t.groupBy(F.col("t.z").alias("z"), F.col("t.x").alias("x"), F.col("t.y").alias("y")).agg(
-        F.count("*").alias("n_sources"))
+    """Distinct tiles at ``zoom`` meeting any footprint, with how many sources meet each.
+
+    The cover is generated in two steps -- tile rows, spread over tasks, then
+    the tiles of each row -- so one huge footprint (a continent at z14 is
+    ~1e8 tiles) is not generated inside a single task.
+    """
+    z = F.lit(zoom)
+    rows = fp.select("source_id",
+                     grid.lon_to_tile_x("ll.west", z).alias("x0"), grid.lon_to_tile_x("ll.east", z).alias("x1"),
+                     F.explode_outer(F.sequence(grid.lat_to_tile_y("ll.north", z),
+                                                grid.lat_to_tile_y("ll.south", z))).alias("y"))
+    t = rows.where(F.col("y").isNotNull()).repartition("source_id", "y").select(
+        "source_id", "y", F.explode(F.sequence("x0", "x1")).alias("x"))
+    return t.groupBy(z.cast("int").alias("z"), "x", "y").agg(F.count("*").alias("n_sources"))
 
 
 def tile_sources(tiles: DataFrame, fp: DataFrame, cell: float | None = None) -> DataFrame:

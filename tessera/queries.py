@@ -132,6 +132,11 @@ def _footprints(spark, d):
     return J.footprints(FX.rasters(spark, d), "UTM:10")
 
 
+def _footprint_table(spark, d):
+    """The footprint index written once to the shared scratch folder and read back."""
+    return J.write_footprint_index(spark, _footprints(spark, d), scratch_path(spark, "footprints"))
+
+
 def suggest_zoom(spark, d):
     fp = _footprints(spark, d)
     return fp.select("source_id", F.round("res", 6).alias("res"),
@@ -154,7 +159,7 @@ def mosaic_grid(spark, d):
 
 def plan_tiles(spark, d):
     """Footprints -> lon/lat boxes -> zoom of the finest source -> distinct tile cover."""
-    fp = _footprints(spark, d)
+    fp = _footprint_table(spark, d)
     t = J.plan_tiles(fp, J.dataset_zoom(fp, CHUNK))
     return t.select(_i("z").alias("z"), _i("x").alias("x"), _i("y").alias("y"), "n_sources")
 
@@ -164,7 +169,7 @@ def source_overlap(spark, d):
 
     Bucketed equi-join + exact box test; no cartesian product.
     """
-    fp = _footprints(spark, d)
+    fp = _footprint_table(spark, d)
     zoom = J.dataset_zoom(fp, CHUNK)
     pairs = J.tile_sources(J.plan_tiles(fp, zoom), fp, cell=grid.WORLD / 2 ** zoom)
     return pairs.select(_i("z").alias("z"), _i("x").alias("x"), _i("y").alias("y"), _i("source_id").alias("source_id"))
