@@ -296,6 +296,9 @@ select t.z, t.x, t.y, fp.source_id""", 1)
     q["mosaic_paint"] = W(paint.format(k="", t="scenes"), "scenes")
     q["chunk_average"] = W(f"""select cast(floor(gx / 2) as bigint) gx, cast(floor(gy / 2) as bigint) gy, sum(v) vsum,
         count(v) vcount, cast(sum(v) as double) / count(v) v from ({paint.format(k='', t='scenes')}) group by all""", "scenes")
+    q["chunk_tiles"] = W(f"""select 9::bigint z, gx // {S} x, gy // {S} y, count(*) valid_count, round(sum(v), 4) vsum from (
+          select cast(floor(gx / 2) as bigint) gx, cast(floor(gy / 2) as bigint) gy, cast(sum(v) as double) / count(v) v
+          from ({paint.format(k='', t='scenes')}) group by all) group by all""", "scenes")
     q["warp_bands"] = W(f"""select cast(band as bigint) band, cast(floor(gx / 2) as bigint) gx, cast(floor(gy / 2) as bigint) gy,
         sum(v) vsum, count(v) vcount, cast(sum(v) as double) / count(v) v
         from ({paint.format(k='band, ', t='scenes_bands')}) group by all""", "scenes_bands")

@@ -352,6 +352,18 @@ def chunk_average(spark, d):
     return C.paint_and_average(FX.scenes(spark, d), 2)
 
 
+def chunk_tiles(spark, d):
+    """Z1 end to end: scenes (z10 grid) -> paint -> 2x average -> 32x32 tiles at z9 ->
+    empty tiles dropped -> tile store (K1) -> what was stored per tile."""
+    tiles = C.paint_and_average(FX.scenes(spark, d), 2).select(
+        F.lit(9).alias("z"), F.floor(F.col("gx") / S).alias("x"), F.floor(F.col("gy") / S).alias("y")).distinct()
+    out = J.chunk(spark, FX.scenes(spark, d), FX.SCENE_ZOOM, FX.SCENE_ZOOM - 1, S, scratch_path(spark, "chunk"),
+                  tiles=tiles, dtype="f8", nodata=FX.NODATA)
+    st = B.block_stats(out)
+    return st.select(_i("z").alias("z"), _i("x").alias("x"), _i("y").alias("y"),
+                     _i("valid_count").alias("valid_count"), F.round("vsum", 4).alias("vsum"))
+
+
 def warp_bands(spark, d):
     """Every band painted and averaged on its own (band is a key)."""
     return C.paint_and_average(FX.scenes_bands(spark, d), 2, extra_keys=("band",)).select(
@@ -397,7 +409,9 @@ def hillshade_light(spark, d):
 def shade_rgba(spark, d):
     """Light shade of each buffered tile, ramp stretched over that window, then cropped."""
     s = J.shade_rgba(FX.dem_dense(spark, d), S, buffer=2, h=1.0)
-    return s.select(*[_i(c).alias(c) for c in ("tx", "ty", "gx", "gy", "shade", "r", "g", "b", "a")])
+    out = scratch_path(spark, "rgba")
+    SK.write_rgba(s, out)                                     # K4, partitioned by tile
+    return spark.read.parquet(out).select(*[_i(c).alias(c) for c in ("tx", "ty", "gx", "gy", "shade", "r", "g", "b", "a")])
 
 
 def compare_shades(spark, d):
@@ -430,7 +444,7 @@ QUERIES = {f.__name__: f for f in (
     uri_names, missing_targets, listing_union, conversion_log, reproject_worklist,
     dem_blocks_valid, dem_stats, reblock, overview_sizes, decimate, pyramid_levels, pyramid_average,
     pyramid_manifest, tms_view, window_read,
-    mosaic_paint, chunk_average, warp_bands, warp_nearest, warp_bilinear,
+    mosaic_paint, chunk_average, chunk_tiles, warp_bands, warp_nearest, warp_bilinear,
     gradient, hillshade_naive, hillshade_zfactor, slope_aspect_trig, hillshade_light, shade_rgba,
     compare_shades, shade_halo, tile_partitions,
 )}
