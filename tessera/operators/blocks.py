@@ -129,6 +129,9 @@ def pack_blocks(cells: DataFrame, size: int, z, dtype: str = "f8", nodata=None,
     return keyed.groupBy("z", "x", "y", "band").applyInArrow(_pack, BLOCK_SCHEMA)
 
 
+UNPACK_ROWS = 256      # pixel rows per emitted batch: bounds batch size for large tiles
+
+
 def _unpack_batches(batches: Iterator[pa.RecordBatch], valid_only: bool, weighted: bool, keep=()):
     for rb in batches:
         cols = rb.to_pydict()
@@ -136,29 +139,34 @@ def _unpack_batches(batches: Iterator[pa.RecordBatch], valid_only: bool, weighte
             size, dtype, nodata = cols["size"][i], cols["dtype"][i], cols["nodata"][i]
             arr = to_float(decode(cols["data"][i], dtype, size), nodata)
             w = cols["weight"][i] if weighted else None
+            cnt = None
             if w is not None:
                 cnt = decode(w, "i4", size).astype(np.int64)
                 arr = np.where(cnt > 0, arr, np.nan)
-            rows, cs = np.indices((size, size))
-            sel = ~np.isnan(arr) if valid_only else np.ones(arr.shape, dtype=bool)
-            n = int(sel.sum())
-            out = {
-                "z": np.full(n, cols["z"][i], dtype=np.int32),
-                "band": np.full(n, cols["band"][i], dtype=np.int32),
-                "gx": (cols["x"][i] * size + cs[sel]).astype(np.int64),
-                "gy": (cols["y"][i] * size + rows[sel]).astype(np.int64),
-            }
-            v = arr[sel]
-            if weighted:
-                c = cnt[sel] if w is not None else np.where(np.isnan(v), 0, 1)
-                out["v"] = pa.array(np.where(c > 0, v / np.maximum(c, 1), np.nan), from_pandas=True)
-                out["wsum"] = pa.array(v, from_pandas=True)
-                out["wcount"] = c.astype(np.int64)
-            else:
-                out["v"] = pa.array(v, from_pandas=True)
-            for k in keep:
-                out[k] = pa.array([cols[k][i]] * n, type=rb.schema.field(k).type)
-            yield pa.RecordBatch.from_pydict(out)
+            for r0 in range(0, size, UNPACK_ROWS):
+                band_arr = arr[r0:r0 + UNPACK_ROWS]
+                rows, cs = np.indices(band_arr.shape)
+                sel = ~np.isnan(band_arr) if valid_only else np.ones(band_arr.shape, dtype=bool)
+                n = int(sel.sum())
+                if n == 0:
+                    continue
+                out = {
+                    "z": np.full(n, cols["z"][i], dtype=np.int32),
+                    "band": np.full(n, cols["band"][i], dtype=np.int32),
+                    "gx": (cols["x"][i] * size + cs[sel]).astype(np.int64),
+                    "gy": (cols["y"][i] * size + r0 + rows[sel]).astype(np.int64),
+                }
+                v = band_arr[sel]
+                if weighted:
+                    c = cnt[r0:r0 + UNPACK_ROWS][sel] if cnt is not None else np.where(np.isnan(v), 0, 1)
+                    out["v"] = pa.array(np.where(c > 0, v / np.maximum(c, 1), np.nan), from_pandas=True)
+                    out["wsum"] = pa.array(v, from_pandas=True)
+                    out["wcount"] = c.astype(np.int64)
+                else:
+                    out["v"] = pa.array(v, from_pandas=True)
+                for k in keep:
+                    out[k] = pa.array([cols[k][i]] * n, type=rb.schema.field(k).type)
+                yield pa.RecordBatch.from_pydict(out)
 
 
 def unpack_blocks(blocks: DataFrame, valid_only: bool = True, weighted: bool = False,

@@ -91,23 +91,18 @@ def resample_average(df: DataFrame, factor: int = 2, keys=("gx", "gy"), value: s
 
 
 def paint_and_average(df: DataFrame, factor: int = 2, order=("priority", "tie"), extra_keys=()) -> DataFrame:
-    """Mosaic then average onto a ``factor``-coarser grid with a single shuffle.
+    """Mosaic then average onto a ``factor``-coarser grid.
 
-    Both aggregates are clustered by the target cell, so hash-partitioning once
-    on it serves the paint (finer keys) and the average.
+    Two hash aggregates, each with a map-side partial step before its shuffle:
+    a cell covered by many sources (or a target fed by many cells) is reduced
+    in every input partition first, so no task receives a hot key's raw rows.
     """
-    tgt = [F.floor(F.col("gx") / factor).cast("bigint").alias("tx"),
-           F.floor(F.col("gy") / factor).cast("bigint").alias("ty")]
-    win = F.max(F.struct(*[F.col(c) for c in order], F.col("v").alias("_v")))
-    painted = (df.where(F.col("v").isNotNull())
-                 .select(*extra_keys, *tgt, "gx", "gy", *order, "v")
-                 .repartition(*extra_keys, "tx", "ty")
-                 .groupBy(*extra_keys, "tx", "ty", "gx", "gy").agg(win.alias("_w"))
-                 .select(*extra_keys, "tx", "ty", F.col("_w._v").alias("v")))
-    return (painted.groupBy(*extra_keys, "tx", "ty")
+    painted = mosaic_paint(df.select(*extra_keys, "gx", "gy", *order, "v"), order=order,
+                           keys=(*extra_keys, "gx", "gy"))
+    return (painted.groupBy(*extra_keys, F.floor(F.col("gx") / factor).cast("bigint").alias("gx"),
+                            F.floor(F.col("gy") / factor).cast("bigint").alias("gy"))
                    .agg(F.sum("v").alias("vsum"), F.count("v").alias("vcount"))
-                   .select(*extra_keys, F.col("tx").alias("gx"), F.col("ty").alias("gy"), "vsum", "vcount",
-                           (F.col("vsum").cast("double") / F.col("vcount")).alias("v")))
+                   .withColumn("v", F.col("vsum").cast("double") / F.col("vcount")))
 
 
 # ------------------------------------------------------------------ J4 / R4 / R2 warps

@@ -132,9 +132,11 @@ def write_converted_with_log(converted: DataFrame, sources: DataFrame, out: str)
     (source, output or NULL when the source produced nothing)."""
     named = converted.withColumn("target", uris.target_name("source"))
     SK.write_converted(named.drop("source"), out, key="target")
-    made = named.select("source").distinct().withColumn("ok", F.lit(True))
-    log = sources.select("source").join(made, "source", "left").select(
-        "source", F.coalesce("ok", F.lit(False)).alias("ok"))
+    # the log reads the written partitions (cheap: partition values only), not the data again
+    made = (converted.sparkSession.read.parquet(out).select("target").distinct()
+            .withColumn("ok", F.lit(True)))
+    sources = sources.select("source", uris.target_name("source").alias("target"))
+    log = sources.join(made, "target", "left").select("source", F.coalesce("ok", F.lit(False)).alias("ok"))
     return SK.conversion_log(log)
 
 

@@ -223,18 +223,13 @@ def conversion_log(spark, d):
 
 def reproject_worklist(spark, d):
     """A work list of sources (text, one per line) -> 2x average per source -> K2 -> read back."""
-    sc = FX.scenes(spark, d)
+    sc = FX.scenes(spark, d).withColumn("source", F.format_string("s3://b/source/scene-%d.tif", F.col("priority")))
     wl_path = scratch_path(spark, "worklist")
-    (sc.select(F.format_string("s3://b/source/scene-%d.tif", F.col("priority")).alias("value"))
-       .distinct().write.mode("overwrite").text(wl_path))
-    wl = RD.read_work_list(spark, wl_path).select(
-        "source", F.regexp_extract("source", r"scene-(\d+)", 1).cast("int").alias("priority"))
-    px = sc.join(wl, "priority", "inner")
-    avg = C.resample_average(px, 2, extra_keys=("source",))
+    sc.select(F.col("source").alias("value")).distinct().write.mode("overwrite").text(wl_path)
     out = scratch_path(spark, "converted")
-    SK.write_converted(avg.withColumn("source_id", uris.target_name("source")).drop("source"), out)
+    J.reproject_worklist(spark, wl_path, sc, out, ratio=2)
     back = spark.read.parquet(out)
-    return back.select(F.col("source_id").alias("target"), _i("gx").alias("gx"), _i("gy").alias("gy"),
+    return back.select("target", _i("gx").alias("gx"), _i("gy").alias("gy"),
                        _i("vsum").alias("vsum"), _i("vcount").alias("vcount"), "v")
 
 
