@@ -254,7 +254,7 @@ select t.z, t.x, t.y, fp.source_id""", 1)
             on li.k = cast(regexp_extract(regexp_extract(o.path, '([^/]*)$', 1), '^(\d+)', 1) as bigint)
           where contains(o.path, 'zip'))""", "objects")
     q["reproject_worklist"] = W("""select 's3://b/4326/scene-' || priority || '.tif' target, cast(floor(gx / 2) as bigint) gx,
-        cast(floor(gy / 2) as bigint) gy, sum(v) vsum, count(v) vcount, cast(sum(v) as double) / count(v) v
+        cast(floor(gy / 2) as bigint) gy, cast(sum(v) as bigint) vsum, count(v) vcount, cast(sum(v) as double) / count(v) v
         from scenes where v is not null group by all""", "scenes")
     q["dem_blocks_valid"] = W(f"""select 6::bigint z, cast(floor(gx / {S}) as bigint) x, cast(floor(gy / {S}) as bigint) y,
         count(v) valid_count, {S * S * 8}::bigint nbytes from dem group by all having count(v) > 0""", "dem")
@@ -273,7 +273,7 @@ select t.z, t.x, t.y, fp.source_id""", 1)
         f"select {6 - k}::bigint z, (gx + 1) // {2 ** k} - 1 gx, (gy + 1) // {2 ** k} - 1 gy, v from dem "
         f"where v is not null and (gx + 1) % {2 ** k} = 0 and (gy + 1) % {2 ** k} = 0" for k in range(7)), "dem")
     q["pyramid_average"] = W(" union all ".join(
-        f"select {6 - k}::bigint z, gx // {2 ** k} gx, gy // {2 ** k} gy, sum(v) vsum, count(v) vcount, "
+        f"select {6 - k}::bigint z, gx // {2 ** k} gx, gy // {2 ** k} gy, cast(sum(v) as bigint) vsum, count(v) vcount, "
         f"cast(sum(v) as double) / count(v) v from dem where v is not null group by all" for k in range(7)), "dem")
     lv = " union all ".join(
         f"select distinct {6 - k}::bigint z, ((gx + 1) // {2 ** k} - 1) // {S} x, ((gy + 1) // {2 ** k} - 1) // {S} y from dem "
@@ -284,7 +284,7 @@ select t.z, t.x, t.y, fp.source_id""", 1)
             select 6::bigint z, gx // {S} x, gy // {S} y from dem group by all having count(v) > 0)
           cross join (values (-1,-1),(-1,0),(-1,1),(0,-1),(0,0),(0,1),(1,-1),(1,0),(1,1)) o(dx, dy)
           where x + o.dx >= 0 and y + o.dy >= 0 and x + o.dx < 64 and y + o.dy < 64) r
-        left join (select gx // {S} x, gy // {S} y, sum(v) vsum from dem group by all having count(v) > 0) s
+        left join (select gx // {S} x, gy // {S} y, cast(sum(v) as bigint) vsum from dem group by all having count(v) > 0) s
           on s.x = r.x and s.y = r.y""", "dem")
     q["window_read"] = W(f"""select w.wz, w.wx, w.wy, (d.gy - w.row0) // 2 orow, (d.gx - w.col0) // 2 ocol, d.v from (
           select 5::bigint wz, wx, wy, 64 * wy - 4 row0, 64 * wy + 68 row1, 64 * wx - 4 col0, 64 * wx + 68 col1 from (
@@ -294,13 +294,13 @@ select t.z, t.x, t.y, fp.source_id""", 1)
     paint = ("select {k}gx, gy, v from (select *, row_number() over (partition by {k}gx, gy "
              "order by priority desc, tie desc, v desc) rn from {t} where v is not null) where rn = 1")
     q["mosaic_paint"] = W(paint.format(k="", t="scenes"), "scenes")
-    q["chunk_average"] = W(f"""select cast(floor(gx / 2) as bigint) gx, cast(floor(gy / 2) as bigint) gy, sum(v) vsum,
+    q["chunk_average"] = W(f"""select cast(floor(gx / 2) as bigint) gx, cast(floor(gy / 2) as bigint) gy, cast(sum(v) as bigint) vsum,
         count(v) vcount, cast(sum(v) as double) / count(v) v from ({paint.format(k='', t='scenes')}) group by all""", "scenes")
     q["chunk_tiles"] = W(f"""select 9::bigint z, gx // {S} x, gy // {S} y, count(*) valid_count, round(sum(v), 4) vsum from (
           select cast(floor(gx / 2) as bigint) gx, cast(floor(gy / 2) as bigint) gy, cast(sum(v) as double) / count(v) v
           from ({paint.format(k='', t='scenes')}) group by all) group by all""", "scenes")
     q["warp_bands"] = W(f"""select cast(band as bigint) band, cast(floor(gx / 2) as bigint) gx, cast(floor(gy / 2) as bigint) gy,
-        sum(v) vsum, count(v) vcount, cast(sum(v) as double) / count(v) v
+        cast(sum(v) as bigint) vsum, count(v) vcount, cast(sum(v) as double) / count(v) v
         from ({paint.format(k='band, ', t='scenes_bands')}) group by all""", "scenes_bands")
     q["warp_nearest"] = W(f"""select t.tx gx, t.ty gy, d.v from (
           select tx, unnest(range(0, h)) ty from (
