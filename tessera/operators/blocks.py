@@ -103,7 +103,9 @@ def pack_blocks(cells: DataFrame, size: int, z, dtype: str = "f8", nodata=None,
                 value: str = "v", band=1) -> DataFrame:
     """Cell rows ``(gx, gy, v)`` -> one block per tile; NULL values become nodata.
 
-    One shuffle on the tile key; a group holds at most size*size cells.
+    One shuffle (hash on the tile key), a sort within each partition, then a
+    streaming Arrow pass that cuts tiles at key changes: one Python call per
+    batch rather than per tile, and a tile never needs more than size*size cells.
     """
     if dtype not in DTYPES:
         raise ValueError(dtype)
@@ -116,17 +118,60 @@ def pack_blocks(cells: DataFrame, size: int, z, dtype: str = "f8", nodata=None,
         ((F.col("gy") % size) * size + F.col("gx") % size).cast("int").alias("off"),
         F.col(value).cast("double").alias("v"),
     )
+    ordered = keyed.repartition("z", "x", "y", "band").sortWithinPartitions("z", "x", "y", "band")
+    return ordered.mapInArrow(lambda it: _pack_sorted(it, size, dtype, nodata), BLOCK_SCHEMA)
 
-    def _pack(key, tbl):
-        z_, x_, y_, b_ = (k.as_py() for k in key)
-        off = tbl.column("off").to_numpy()
-        vals = tbl.column("v").to_numpy(zero_copy_only=False)
-        buf = np.full(size * size, np.nan)
-        buf[off] = vals
-        arr, valid = from_float(buf.reshape(size, size), dtype, nodata)
-        return records_to_table([block_record(z_, x_, y_, b_, size, dtype, nodata, arr, valid)])
 
-    return keyed.groupBy("z", "x", "y", "band").applyInArrow(_pack, BLOCK_SCHEMA)
+_BLOCK_ARROW = pa.schema([
+    ("z", pa.int32()), ("x", pa.int32()), ("y", pa.int32()), ("band", pa.int32()),
+    ("size", pa.int32()), ("dtype", pa.string()), ("nodata", pa.float64()),
+    ("valid_count", pa.int32()), ("data", pa.binary()), ("weight", pa.binary()),
+])
+
+
+def _pack_sorted(batches, size: int, dtype: str, nodata):
+    """Rows sorted by tile key -> block batches.  All complete tiles of a batch
+    are scattered into one (tiles, size*size) array; only the last, possibly
+    unfinished tile is carried into the next batch."""
+    names = ("z", "x", "y", "band", "off", "v")
+    carry = None
+
+    def emit(cols, k_end):
+        cz, cx, cy, cb, off, vals = (c[:k_end] for c in cols)
+        change = np.flatnonzero((cz[1:] != cz[:-1]) | (cx[1:] != cx[:-1]) |
+                                (cy[1:] != cy[:-1]) | (cb[1:] != cb[:-1])) + 1
+        starts = np.concatenate(([0], change))
+        tid = np.repeat(np.arange(len(starts)), np.diff(np.concatenate((starts, [k_end]))))
+        buf = np.full((len(starts), size * size), np.nan)
+        buf[tid, off] = vals
+        ok = ~np.isnan(buf)
+        fill = 0 if nodata is None else nodata
+        arr = np.where(ok, buf, fill).astype("<" + dtype)
+        n = len(starts)
+        return pa.RecordBatch.from_arrays([
+            pa.array(cz[starts], pa.int32()), pa.array(cx[starts], pa.int32()),
+            pa.array(cy[starts], pa.int32()), pa.array(cb[starts], pa.int32()),
+            pa.array(np.full(n, size), pa.int32()), pa.array([dtype] * n, pa.string()),
+            pa.array([nodata] * n, pa.float64()), pa.array(ok.sum(axis=1), pa.int32()),
+            pa.array([arr[i].tobytes() for i in range(n)], pa.binary()), pa.nulls(n, pa.binary()),
+        ], schema=_BLOCK_ARROW)
+
+    for rb in batches:
+        if rb.num_rows == 0:
+            continue
+        cols = [rb.column(k).to_numpy(zero_copy_only=False) for k in names]
+        cols[5] = cols[5].astype(np.float64)
+        if carry is not None:
+            cols = [np.concatenate((a, b)) for a, b in zip(carry, cols)]
+        cz, cx, cy, cb = cols[:4]
+        last = len(cz) - 1
+        same = (cz == cz[last]) & (cx == cx[last]) & (cy == cy[last]) & (cb == cb[last])
+        k_end = int(np.flatnonzero(~same).max()) + 1 if (~same).any() else 0   # rows of finished tiles
+        if k_end:
+            yield emit(cols, k_end)
+        carry = [c[k_end:] for c in cols]
+    if carry is not None and len(carry[0]):
+        yield emit(carry, len(carry[0]))
 
 
 UNPACK_ROWS = 256      # pixel rows per emitted batch: bounds batch size for large tiles
@@ -327,3 +372,12 @@ def fold_blocks(blocks: DataFrame, keys: list, kernel: Callable[[tuple, list[dic
 
     return (blocks.select(*key_cols, *BLOCK_COLUMNS)
             .groupBy(*names).applyInArrow(_run, BLOCK_SCHEMA))
+
+
+def fold_blocks_keyed(blocks: DataFrame, keys: list[str], kernel) -> DataFrame:
+    """Like :func:`fold_blocks` but grouping on existing columns ``keys`` (kept out of the rows)."""
+    def _run(key, tbl):
+        rows = tbl.select(BLOCK_COLUMNS).to_pylist()
+        return records_to_table(kernel(tuple(k.as_py() for k in key), rows))
+
+    return blocks.groupBy(*keys).applyInArrow(_run, BLOCK_SCHEMA)

@@ -322,6 +322,10 @@ select t.z, t.x, t.y, fp.source_id""", 1)
           join dem d on d.gx = cast(floor({sx}) as bigint) + ox and d.gy = cast(floor({sy}) as bigint) + oy
           where d.v is not null)
         where w > 0 group by all""", "dem")
+    q["warp_bilinear_blocks"] = q["warp_bilinear"]
+    q["warp_nearest_blocks"] = q["warp_nearest"]
+    q["pyramid_levels_cells"] = q["pyramid_levels"]
+    q["pyramid_average_cells"] = q["pyramid_average"]
     g2 = gradient_sql("dem_dense", 2.0)
     q["gradient"] = W(f"select gx, gy, a, b from ({g2})", "dem_dense")
     q["hillshade_naive"] = W(f"select gx, gy, {naive_sql('a', 'b')} shade from ({g2})", "dem_dense")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import crs, grid, terrain as TR, uris
-from .operators import blocks as B, cells as C, halo as H, pyramid as P
+from .operators import blocks as B, cells as C, halo as H, pyramid as P, warp as WP
 from .plans import jobs as J
 from .session import scratch_path
 from .sources import fixtures as FX, readers as RD, sinks as SK
@@ -350,8 +350,9 @@ def chunk_average(spark, d):
 def chunk_tiles(spark, d):
     """Z1 end to end: scenes (z10 grid) -> paint -> 2x average -> 32x32 tiles at z9 ->
     empty tiles dropped -> tile store (K1) -> what was stored per tile."""
-    tiles = C.paint_and_average(FX.scenes(spark, d), 2).select(
-        F.lit(9).alias("z"), F.floor(F.col("gx") / S).alias("x"), F.floor(F.col("gy") / S).alias("y")).distinct()
+    # the tile list: every z9 tile holding a source pixel (a 2-column scan + distinct)
+    tiles = FX.scenes(spark, d).select(F.lit(9).alias("z"), F.floor(F.col("gx") / (2 * S)).alias("x"),
+                                       F.floor(F.col("gy") / (2 * S)).alias("y")).distinct()
     out = J.chunk(spark, FX.scenes(spark, d), FX.SCENE_ZOOM, FX.SCENE_ZOOM - 1, S, scratch_path(spark, "chunk"),
                   tiles=tiles, dtype="f8", nodata=FX.NODATA)
     st = B.block_stats(out)
@@ -373,6 +374,31 @@ def warp_bilinear(spark, d):
     return C.warp_bilinear(FX.dem(spark, d), 0.75)
 
 
+def warp_bilinear_blocks(spark, d):
+    """R2 in block form: dem blocks -> bilinear onto the 0.75-pixel grid in 32-px tiles (same oracle)."""
+    blk = _dem_blocks(spark, d).where(F.col("valid_count") > 0)
+    out = WP.warp_blocks(blk, 0.75, S, FX.DEM_ZOOM, "bilinear")
+    return B.unpack_blocks(out).select("gx", "gy", "v")
+
+
+def warp_nearest_blocks(spark, d):
+    """R4 in block form: dem blocks -> nearest onto the 1.5-pixel grid in 32-px tiles (same oracle)."""
+    blk = _dem_blocks(spark, d).where(F.col("valid_count") > 0)
+    out = WP.warp_blocks(blk, 1.5, S, FX.DEM_ZOOM, "nearest")
+    return B.unpack_blocks(out).select("gx", "gy", _i("v").alias("v"))
+
+
+def pyramid_levels_cells(spark, d):
+    """Z2 nearest in cell form (one pass, no shuffle): the cell twin of ``pyramid_levels``."""
+    return C.pyramid_nearest(FX.dem(spark, d), FX.DEM_ZOOM).select("z", "gx", "gy", _i("v").alias("v"))
+
+
+def pyramid_average_cells(spark, d):
+    """Z2 average in cell form (one 2x2 aggregate per level): the cell twin of ``pyramid_average``."""
+    return C.pyramid_average(FX.dem(spark, d), FX.DEM_ZOOM).select("z", "gx", "gy", _i("vsum").alias("vsum"),
+                                                                   _i("vcount").alias("vcount"), "v")
+
+
 # ====================================================================== terrain
 def gradient(spark, d):
     return C.gradient(FX.dem_dense(spark, d), 2.0, 2.0).select("gx", "gy", "a", "b")
@@ -440,6 +466,7 @@ QUERIES = {f.__name__: f for f in (
     dem_blocks_valid, dem_stats, reblock, overview_sizes, decimate, pyramid_levels, pyramid_average,
     pyramid_manifest, tms_view, window_read,
     mosaic_paint, chunk_average, chunk_tiles, warp_bands, warp_nearest, warp_bilinear,
+    warp_bilinear_blocks, warp_nearest_blocks, pyramid_levels_cells, pyramid_average_cells,
     gradient, hillshade_naive, hillshade_zfactor, slope_aspect_trig, hillshade_light, shade_rgba,
     compare_shades, shade_halo, tile_partitions,
 )}
