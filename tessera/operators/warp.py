@@ -14,6 +14,8 @@ coordinate (t + 0.5) * ratio - 0.5 (bilinear) or floor((t + 0.5) * ratio)
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -88,12 +90,28 @@ def _kernel(ratio: float, size_t: int, method: str, out_dtype: str, out_nodata,
     return run
 
 
+def blocks_per_target(ratio: float, size_t: int, size_s: int) -> int:
+    """Upper bound on the source blocks one target tile gathers (per axis: span + 2 edges)."""
+    per_axis = math.ceil(size_t * float(ratio) / size_s) + 2
+    return per_axis * per_axis
+
+
 def warp_blocks(blocks: DataFrame, ratio: float, size_t: int, zoom_t: int, method: str = "bilinear",
-                out_dtype: str = "f8", out_nodata=-3.4028234663852886e38) -> DataFrame:
+                out_dtype: str = "f8", out_nodata=-3.4028234663852886e38, size_s: int | None = None,
+                max_blocks_per_tile: int = 64) -> DataFrame:
     """Resample source blocks onto a grid of ``ratio`` source pixels per target pixel,
-    cut into ``size_t`` tiles at ``zoom_t``.  Empty target tiles are dropped."""
+    cut into ``size_t`` tiles at ``zoom_t``.  Empty target tiles are dropped.
+
+    The group of a target tile is bounded by :func:`blocks_per_target`; a larger
+    ratio is refused -- downsample through the pyramid first and warp from the
+    level whose ratio is closest to 1 (as overviews are used for reading).
+    """
     if method not in ("bilinear", "nearest"):
         raise ValueError(method)
+    bound = blocks_per_target(ratio, size_t, size_s or size_t)
+    if bound > max_blocks_per_tile:
+        raise ValueError(f"a target tile would gather up to {bound} source blocks; "
+                         "warp from a coarser pyramid level instead")
     s = F.col("size")
     cx = _target_range(F.col("x") * s, (F.col("x") + 1) * s, ratio, size_t, method)
     cy = _target_range(F.col("y") * s, (F.col("y") + 1) * s, ratio, size_t, method)

@@ -44,7 +44,10 @@ def read_tms(blocks: DataFrame, requested: DataFrame, size: int, dtype: str = "f
     """Requested tiles left-joined with stored ones; a missing tile reads as a zero block."""
     import numpy as np
     zero = B.encode(np.zeros((size, size)), dtype)
-    j = requested.select("z", "x", "y").join(blocks, ["z", "x", "y"], "left")
+    keys = requested.select("z", "x", "y")
+    # late materialisation: only stored tiles that were requested carry pixels into the outer join
+    hit = blocks.join(keys, ["z", "x", "y"], "left_semi")
+    j = keys.join(hit, ["z", "x", "y"], "left")
     return j.select(
         "z", "x", "y", F.coalesce("band", F.lit(1)).alias("band"), F.lit(size).alias("size"),
         F.coalesce("dtype", F.lit(dtype)).alias("dtype"), "nodata",

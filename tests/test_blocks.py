@@ -112,3 +112,13 @@ def test_tile_store_overwrites_one_level(spark):
     df = spark.read.parquet(store)
     assert df.where("z = 5").count() == 4          # untouched by the level-4 rewrites
     assert df.where("z = 4").count() == 1          # level 4 replaced, not appended
+
+
+@pytest.mark.parametrize("method,ratio", [("bilinear", 0.75), ("bilinear", 1.25), ("nearest", 1.5), ("nearest", 0.5)])
+def test_block_warp_equals_cell_warp(spark, method, ratio):
+    from tessera.operators import warp as WP
+    cells = _raster(spark, 50, 41, gap=0.35, seed=13)
+    blk = B.pack_blocks(cells, 16, 4, dtype="f8", nodata=-1e30).where(F.col("valid_count") > 0)
+    got = B.unpack_blocks(WP.warp_blocks(blk, ratio, 16, 4, method)).select("gx", "gy", "v")
+    exp = (C.warp_bilinear(cells, ratio) if method == "bilinear" else C.warp_nearest(cells, ratio))
+    assert _cells(got) == _cells(exp.select("gx", "gy", F.col("v").cast("double")))
