@@ -26,12 +26,14 @@ def tile_list_lines(tiles: DataFrame) -> DataFrame:
                                           F.col("z").cast("bigint"))).alias("value"))
 
 
-def read_tiles(spark: SparkSession, store: str, tiles: DataFrame | None = None, z: int | None = None) -> DataFrame:
+def read_tiles(spark: SparkSession, store: str, tiles: DataFrame | None = None, z: int | None = None,
+               ignore_corrupt: bool = False) -> DataFrame:
     """Point reads of stored blocks; missing tiles give no row, all-nodata blocks are skipped.
 
     ``valid_count > 0`` and ``z = ...`` are pushed into the parquet scan.
+    ``ignore_corrupt`` (F8) skips unreadable files instead of failing the job.
     """
-    df = spark.read.parquet(store)
+    df = spark.read.option("ignoreCorruptFiles", str(ignore_corrupt).lower()).parquet(store)
     if z is not None:
         df = df.where(F.col("z") == z)
     df = df.where(F.col("valid_count") > 0).select(*B.BLOCK_COLUMNS)

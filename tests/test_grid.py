@@ -62,3 +62,14 @@ def test_tiles_for_bbox_covers_box(spark):
     xs = sorted({r.x for r in t.collect()})
     ys = sorted({r.y for r in t.collect()})
     assert xs == list(range(7, 9)) and ys == list(range(5, 8))
+
+
+def test_quadkey_order_is_z_order(spark):
+    t = _tiles(spark, 6, 400).distinct()
+    rows = t.select("x", "y", grid.quadkey("x", "y", "z").alias("qk")).collect()
+
+    def morton(x, y):
+        return sum((((x >> i) & 1) << (2 * i)) | (((y >> i) & 1) << (2 * i + 1)) for i in range(6))
+    by_qk = [(r.x, r.y) for r in sorted(rows, key=lambda r: r.qk)]
+    by_morton = sorted(((r.x, r.y) for r in rows), key=lambda p: morton(*p))
+    assert by_qk == by_morton
