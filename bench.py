@@ -26,7 +26,8 @@ from tessera.session import get_session  # noqa: E402
 HEADLINE = ["pyramid_levels", "pyramid_levels_cells", "pyramid_average", "pyramid_average_cells",
             "mosaic_paint", "chunk_average", "chunk_tiles", "warp_bilinear", "warp_bilinear_blocks",
             "hillshade_light", "shade_halo", "hillshade_zfactor", "missing_targets", "dem_blocks_valid",
-            "window_read", "warp_bands", "gradient", "source_overlap", "reblock"]
+            "window_read", "warp_bands", "gradient", "source_overlap", "reblock", "warp_4326",
+            "warp_4326_blocks"]
 
 
 def _event_metrics(log_dir: str) -> dict:

@@ -326,6 +326,28 @@ select t.z, t.x, t.y, fp.source_id""", 1)
     q["warp_nearest_blocks"] = q["warp_nearest"]
     q["pyramid_levels_cells"] = q["pyramid_levels"]
     q["pyramid_average_cells"] = q["pyramid_average"]
+    # gather form of the 3857 -> 4326 reprojection: every target pixel, its inverse-projected
+    # source coordinate, the four (or one) source pixels it reads
+    px = L(grid.WORLD / 2048)
+    X, Y = merc(f"({L(-180.0)} + (ti + 5e-1) * {L(0.125)})", f"({L(85.0)} - (tj + 5e-1) * {L(0.0625)})")
+    tgt = f"""(select ti, tj, ({X} - {L(-grid.HALF_WORLD)}) / {px} - 5e-1 sx, ({L(grid.HALF_WORLD)} - {Y}) / {px} - 5e-1 sy
+          from (select ti, unnest(range(0, h)) tj from (
+                  select unnest(range(0, w)) ti, h from (
+                    select cast(ceil((max(gx) + 3) * {L(360.0 / 2048)} / {L(0.125)}) as bigint) + 3 w,
+                           cast(ceil(({L(85.0)} - degrees(atan(sinh({L(math.pi)} * (1 - 2 * (max(gy) + 3) / 2048.0))))) / {L(0.0625)}) as bigint) + 3 h
+                    from dem))))"""
+    q["warp_4326"] = W(f"""select ti gx, tj gy, cast(round(sum(w * v) / sum(w)) as bigint) v from (
+          select t.ti, t.tj, d.v,
+                 (case when ox = 0 then 1 - (sx - floor(sx)) else sx - floor(sx) end)
+               * (case when oy = 0 then 1 - (sy - floor(sy)) else sy - floor(sy) end) w
+          from {tgt} t cross join (values (0, 0), (0, 1), (1, 0), (1, 1)) o(ox, oy)
+          join dem d on d.gx = cast(floor(sx) as bigint) + ox and d.gy = cast(floor(sy) as bigint) + oy
+          where d.v is not null)
+        where w > 0 group by all""", "dem")
+    q["warp_4326_nearest"] = W(f"""select ti gx, tj gy, d.v from {tgt} t
+        join dem d on d.gx = cast(floor(sx + 5e-1) as bigint) and d.gy = cast(floor(sy + 5e-1) as bigint)
+        where d.v is not null""", "dem")
+    q["warp_4326_blocks"] = q["warp_4326"]
     g2 = gradient_sql("dem_dense", 2.0)
     q["gradient"] = W(f"select gx, gy, a, b from ({g2})", "dem_dense")
     q["hillshade_naive"] = W(f"select gx, gy, {naive_sql('a', 'b')} shade from ({g2})", "dem_dense")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import crs, grid, terrain as TR, uris
-from .operators import blocks as B, cells as C, halo as H, pyramid as P, warp as WP
+from .operators import blocks as B, cells as C, halo as H, pyramid as P, reproject as RP, warp as WP
 from .plans import jobs as J
 from .session import scratch_path
 from .sources import fixtures as FX, readers as RD, sinks as SK
@@ -388,6 +388,31 @@ def warp_nearest_blocks(spark, d):
     return B.unpack_blocks(out).select("gx", "gy", _i("v").alias("v"))
 
 
+# The dem is on the z6 Mercator grid; its 4326 target grid (Z3's conversion).
+DEM_3857 = RP.Grid("EPSG:3857", -grid.HALF_WORLD, grid.HALF_WORLD, grid.WORLD / 2048, grid.WORLD / 2048)
+DEM_4326 = RP.Grid("EPSG:4326", -180.0, 85.0, 0.125, 0.0625)
+
+
+def warp_4326(spark, d):
+    """R2 + P15 (Z3): the dem reprojected from EPSG:3857 to a 4326 grid, bilinear."""
+    out = RP.warp_crs(FX.dem(spark, d), DEM_3857, DEM_4326, "bilinear")
+    # values are cents: whole cents (projection maths differs by ulps between engines)
+    return out.select("gx", "gy", _i(F.round("v")).alias("v"))
+
+
+def warp_4326_nearest(spark, d):
+    """R4 + P15: the same reprojection with nearest resampling."""
+    out = RP.warp_crs(FX.dem(spark, d), DEM_3857, DEM_4326, "nearest")
+    return out.select("gx", "gy", _i("v").alias("v"))
+
+
+def warp_4326_blocks(spark, d):
+    """Block form of ``warp_4326``: 32-px dem blocks -> 4326 target tiles of 32 px (same oracle)."""
+    blk = _dem_blocks(spark, d).where(F.col("valid_count") > 0)
+    out = RP.warp_blocks_crs(blk, DEM_3857, DEM_4326, S, 0, "bilinear")
+    return B.unpack_blocks(out).select("gx", "gy", _i(F.round("v")).alias("v"))
+
+
 def pyramid_levels_cells(spark, d):
     """Z2 nearest in cell form (one pass, no shuffle): the cell twin of ``pyramid_levels``."""
     return C.pyramid_nearest(FX.dem(spark, d), FX.DEM_ZOOM).select("z", "gx", "gy", _i("v").alias("v"))
@@ -466,7 +491,8 @@ QUERIES = {f.__name__: f for f in (
     dem_blocks_valid, dem_stats, reblock, overview_sizes, decimate, pyramid_levels, pyramid_average,
     pyramid_manifest, tms_view, window_read,
     mosaic_paint, chunk_average, chunk_tiles, warp_bands, warp_nearest, warp_bilinear,
-    warp_bilinear_blocks, warp_nearest_blocks, pyramid_levels_cells, pyramid_average_cells,
+    warp_bilinear_blocks, warp_nearest_blocks, warp_4326, warp_4326_nearest, warp_4326_blocks,
+    pyramid_levels_cells, pyramid_average_cells,
     gradient, hillshade_naive, hillshade_zfactor, slope_aspect_trig, hillshade_light, shade_rgba,
     compare_shades, shade_halo, tile_partitions,
 )}

@@ -122,3 +122,36 @@ def test_block_warp_equals_cell_warp(spark, method, ratio):
     got = B.unpack_blocks(WP.warp_blocks(blk, ratio, 16, 4, method)).select("gx", "gy", "v")
     exp = (C.warp_bilinear(cells, ratio) if method == "bilinear" else C.warp_nearest(cells, ratio))
     assert _cells(got) == _cells(exp.select("gx", "gy", F.col("v").cast("double")))
+
+
+@pytest.mark.parametrize("method", ["bilinear", "nearest"])
+def test_utm_to_4326_scatter_equals_gather(spark, method):
+    from tessera.functions import crs
+    from tessera.operators.reproject import Grid, warp_crs
+    src = Grid("UTM:10", 500500.0, 4205000.0, 30.0, 30.0)
+    dst = Grid("EPSG:4326", -123.0, 37.99, 0.0004, 0.0003)
+    cells = _raster(spark, 24, 20, gap=0.2, seed=21)
+    got = warp_crs(cells, src, dst, method)
+    # gather: every target pixel in a generous range, inverse-projected, read from the source
+    t = spark.range(0, 40).select(F.col("id").alias("ti")).crossJoin(spark.range(0, 40).select(F.col("id").alias("tj")))
+    t = t.select("ti", "tj", (dst.x0 + (F.col("ti") + 0.5) * dst.dx).alias("X"),
+                 (dst.y0 - (F.col("tj") + 0.5) * dst.dy).alias("Y"))
+    e, n = crs.lonlat_to_utm("X", "Y", 10)
+    t = t.select("ti", "tj", ((e - src.x0) / src.dx - 0.5).alias("sx"), ((src.y0 - n) / src.dy - 0.5).alias("sy"))
+    valid = cells.where(F.col("v").isNotNull())
+    if method == "nearest":
+        exp = t.join(valid, (F.floor(F.col("sx") + 0.5) == F.col("gx")) & (F.floor(F.col("sy") + 0.5) == F.col("gy"))) \
+               .select(F.col("ti").alias("gx"), F.col("tj").alias("gy"), "v")
+        assert _cells(got) == _cells(exp)
+    else:
+        nb = spark.createDataFrame([(0, 0), (0, 1), (1, 0), (1, 1)], "ox int, oy int")
+        j = t.crossJoin(nb).select("ti", "tj", "sx", "sy", (F.floor("sx") + F.col("ox")).alias("gx"),
+                                   (F.floor("sy") + F.col("oy")).alias("gy"), "ox", "oy")
+        j = j.join(valid, ["gx", "gy"]).select("ti", "tj", "v", (
+            F.when(F.col("ox") == 0, 1 - (F.col("sx") - F.floor("sx"))).otherwise(F.col("sx") - F.floor("sx")) *
+            F.when(F.col("oy") == 0, 1 - (F.col("sy") - F.floor("sy"))).otherwise(F.col("sy") - F.floor("sy"))).alias("w"))
+        exp = j.where("w > 0").groupBy("ti", "tj").agg((F.sum(F.col("w") * F.col("v")) / F.sum("w")).alias("v"))
+        a = {(r.gx, r.gy): r.v for r in got.collect()}
+        b = {(r.ti, r.tj): r.v for r in exp.collect()}
+        assert a.keys() == b.keys() and len(a) > 100
+        assert all(abs(a[k] - b[k]) <= 1e-6 * max(1.0, abs(b[k])) for k in a)
