@@ -142,6 +142,10 @@ def build_pyramid(spark: SparkSession, base: DataFrame, base_zoom: int, store: s
     write_level_store(base, store)
     if levels_per_pass is None:
         levels_per_pass = levels_for_budget(size or 2048, dtype or "f4", method)
+    if tiles is not None:
+        # a parent not derived from the list is never built, so it must not feed the level
+        # above it either: fold one level per pass and filter before writing
+        levels_per_pass = 1
     z = base_zoom
     while z > min_zoom:
         levels = min(levels_per_pass, z - min_zoom)

@@ -155,3 +155,16 @@ def test_utm_to_4326_scatter_equals_gather(spark, method):
         b = {(r.ti, r.tj): r.v for r in exp.collect()}
         assert a.keys() == b.keys() and len(a) > 100
         assert all(abs(a[k] - b[k]) <= 1e-6 * max(1.0, abs(b[k])) for k in a)
+
+
+def test_pyramid_parents_come_from_the_list(spark):
+    cells = _raster(spark, 32, 32, gap=0.0, seed=17)
+    blk = B.pack_blocks(cells, 8, 3, dtype="f8", nodata=-1.0)           # 4 x 4 tiles at z3
+    listed = spark.createDataFrame([(3, 0, 0), (3, 3, 3)], "z int, x int, y int")
+    store = scratch_path(spark, "t-list-pyr")
+    pyr = P.build_pyramid(spark, blk, 3, store, method="nearest", tiles=listed)
+    keys = sorted((r.z, r.x, r.y) for r in pyr.where("z < 3").collect())
+    assert keys == [(0, 0, 0), (1, 0, 0), (2, 0, 0), (2, 1, 1)]
+    # a listed parent still merges its unlisted stored children: z2 (0,0) has all four quadrants
+    z2 = [r for r in pyr.collect() if (r.z, r.x, r.y) == (2, 0, 0)][0]
+    assert z2.valid_count == 64
