@@ -26,30 +26,43 @@ from ..functions import crs as CRS
 
 @dataclass(frozen=True)
 class Grid:
+    """North-up pixel grid.  Each of x0, y0, dx, dy is a number, or the name of a
+    column holding it (one grid per row, e.g. per source raster)."""
     crs: str
-    x0: float
-    y0: float
-    dx: float
-    dy: float
+    x0: float | str
+    y0: float | str
+    dx: float | str
+    dy: float | str
+
+    def columns(self) -> list[str]:
+        return [v for v in (self.x0, self.y0, self.dx, self.dy) if isinstance(v, str)]
+
+
+def _c(v):
+    return F.col(v) if isinstance(v, str) else F.lit(float(v))
 
 
 def warp_crs(df: DataFrame, src: Grid, dst: Grid, method: str = "bilinear", extra_keys=(),
              margin: int = 1) -> DataFrame:
-    """Resample cells ``(gx, gy, v)`` on ``src`` onto ``dst``; returns ``(gx, gy, v)`` on ``dst``."""
+    """Resample cells ``(gx, gy, v)`` on ``src`` onto ``dst``; returns ``(extra_keys.., gx, gy, v)``
+    on ``dst``.  Grid parameters given as column names are read per row."""
     if method not in ("bilinear", "nearest"):
         raise ValueError(method)
     lo, hi = (-1.0, 1.0) if method == "bilinear" else (-0.5, 0.5)
-    cells = df.where(F.col("v").isNotNull()).select(*extra_keys, "gx", "gy", "v")
+    carry = list(dict.fromkeys(src.columns() + dst.columns()))
+    sx0, sy0, sdx, sdy = (_c(v) for v in (src.x0, src.y0, src.dx, src.dy))
+    dx0, dy0, ddx, ddy = (_c(v) for v in (dst.x0, dst.y0, dst.dx, dst.dy))
+    cells = df.where(F.col("v").isNotNull()).select(*extra_keys, *carry, "gx", "gy", "v")
     # corners of the s-region reading this cell, in source CRS coordinates
     corners = []
     for k, (ox, oy) in enumerate(((lo, lo), (lo, hi), (hi, lo), (hi, hi))):
-        cells = cells.withColumn(f"_cx{k}", src.x0 + (F.col("gx") + ox + 0.5) * src.dx) \
-                     .withColumn(f"_cy{k}", src.y0 - (F.col("gy") + oy + 0.5) * src.dy)
+        cells = cells.withColumn(f"_cx{k}", sx0 + (F.col("gx") + ox + 0.5) * sdx) \
+                     .withColumn(f"_cy{k}", sy0 - (F.col("gy") + oy + 0.5) * sdy)
         corners.append((f"_cx{k}", f"_cy{k}", f"_tx{k}", f"_ty{k}"))
     fwd = CRS.add_points(cells, src.crs, dst.crs, corners)
-    txs = [(F.col(f"_tx{k}") - dst.x0) / dst.dx - 0.5 for k in range(4)]
-    tys = [(dst.y0 - F.col(f"_ty{k}")) / dst.dy - 0.5 for k in range(4)]
-    ranged = fwd.select(*extra_keys, "gx", "gy", "v",
+    txs = [(F.col(f"_tx{k}") - dx0) / ddx - 0.5 for k in range(4)]
+    tys = [(dy0 - F.col(f"_ty{k}")) / ddy - 0.5 for k in range(4)]
+    ranged = fwd.select(*extra_keys, *carry, "gx", "gy", "v",
                         F.greatest(F.floor(F.least(*txs)) - margin, F.lit(0)).alias("_ti0"),
                         (F.ceil(F.greatest(*txs)) + margin).alias("_ti1"),
                         F.greatest(F.floor(F.least(*tys)) - margin, F.lit(0)).alias("_tj0"),
@@ -59,12 +72,12 @@ def warp_crs(df: DataFrame, src: Grid, dst: Grid, method: str = "bilinear", extr
                   .where(F.col("ti").isNotNull())
                   .select("*", F.explode_outer(F.sequence("_tj0", F.greatest("_tj0", "_tj1"))).alias("tj"))
                   .where(F.col("tj").isNotNull())
-                  .select(*extra_keys, "gx", "gy", "v", "ti", "tj",
-                          (dst.x0 + (F.col("ti") + 0.5) * dst.dx).alias("_X"),
-                          (dst.y0 - (F.col("tj") + 0.5) * dst.dy).alias("_Y")))
+                  .select(*extra_keys, *carry, "gx", "gy", "v", "ti", "tj",
+                          (dx0 + (F.col("ti") + 0.5) * ddx).alias("_X"),
+                          (dy0 - (F.col("tj") + 0.5) * ddy).alias("_Y")))
     inv = CRS.add_points(cand, dst.crs, src.crs, [("_X", "_Y", "_SX", "_SY")])
-    sx = (F.col("_SX") - src.x0) / src.dx - 0.5
-    sy = (src.y0 - F.col("_SY")) / src.dy - 0.5
+    sx = (F.col("_SX") - sx0) / sdx - 0.5
+    sy = (sy0 - F.col("_SY")) / sdy - 0.5
     s = inv.select(*extra_keys, "gx", "gy", "v", "ti", "tj", sx.alias("sx"), sy.alias("sy"))
     if method == "nearest":
         return (s.where((F.floor(F.col("sx") + 0.5) == F.col("gx")) & (F.floor(F.col("sy") + 0.5) == F.col("gy")))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import crs, grid, terrain as TR, uris
-from ..operators import blocks as B, cells as C, halo as H, overlap as OV, pyramid as P
+from ..operators import blocks as B, cells as C, halo as H, overlap as OV, pyramid as P, reproject as RP
 from ..sources import readers as RD, sinks as SK
 
 CHUNK_SIZE = 2048
@@ -127,6 +127,36 @@ def convert(cells: DataFrame, ratio: float, method: str = "bilinear", keys=("sou
     raise ValueError(method)
 
 
+def default_4326_grid(fp: DataFrame) -> DataFrame:
+    """P13 per source: the default EPSG:4326 output grid -- origin at the lon/lat box's
+    upper-left corner, square pixels keeping the diagonal's pixel count."""
+    ll = F.col("ll")
+    dx, dy = ll["east"] - ll["west"], ll["north"] - ll["south"]
+    res = F.sqrt(dx * dx + dy * dy) / F.sqrt(F.col("width").cast("double") ** 2 + F.col("height").cast("double") ** 2)
+    return fp.select("source_id", ll["west"].alias("dst_x0"), ll["north"].alias("dst_y0"), res.alias("dst_res"))
+
+
+def convert_missing(spark: SparkSession, listing: DataFrame, targets: DataFrame, source_cells: DataFrame,
+                    rasters: DataFrame, src_crs: str, out: str, method: str = "bilinear") -> DataFrame:
+    """Z3: archives not converted yet (J1) -> each reprojected to EPSG:4326 on its own default
+    grid, every band (R2/R5) -> one output per source (K2) -> log with NULL for failures (K5).
+
+    ``source_cells``: (source, band, gx, gy, v); ``rasters``: (source, source_id, a, c, e, f,
+    width, height) -- the per-source affine (north up).
+    """
+    todo = missing_targets(listing, targets)
+    meta = rasters.join(todo.select("source"), "source", "left_semi")
+    grids = default_4326_grid(footprints(meta, src_crs)).join(meta.select("source", "source_id", "a", "c", "e", "f"),
+                                                              "source_id")
+    px = source_cells.join(todo.select("source"), "source", "left_semi").join(
+        grids.select("source", "a", "c", "e", "f", "dst_x0", "dst_y0", "dst_res"), "source")
+    px = px.withColumn("neg_e", -F.col("e"))
+    conv = RP.warp_crs(px, RP.Grid(src_crs, "c", "f", "a", "neg_e"),
+                       RP.Grid("EPSG:4326", "dst_x0", "dst_y0", "dst_res", "dst_res"), method,
+                       extra_keys=("source", "band"))
+    return write_converted_with_log(conv, todo, out)
+
+
 def write_converted_with_log(converted: DataFrame, sources: DataFrame, out: str) -> DataFrame:
     """K2 + K5: write each source's output under its target name, return the log
     (source, output or NULL when the source produced nothing)."""

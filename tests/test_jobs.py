@@ -65,3 +65,34 @@ def test_plan_and_overlap_jobs(spark):
     assert {p.source_id for p in pairs.collect()} == {1, 2}
     assert pairs.select("z", "x", "y").distinct().count() == tiles.count()
     assert tiles.where(F.col("n_sources") < 1).count() == 0
+
+
+def test_convert_missing_reprojects_each_source_on_its_own_grid(spark):
+    from tessera.operators.reproject import Grid, warp_crs
+    listing = spark.createDataFrame([("s3://b/source/r1.zip",), ("s3://b/source/r2.zip",), ("s3://b/source/r3.zip",)],
+                                    "path string")
+    done = spark.createDataFrame([("s3://b/4326/r2.tif",)], "path string")
+    rasters = spark.createDataFrame([
+        ("s3://b/source/r1.zip", 1, 30.0, 500500.0, -30.0, 4205000.0, 12, 10),
+        ("s3://b/source/r2.zip", 2, 30.0, 510000.0, -30.0, 4205000.0, 12, 10),
+        ("s3://b/source/r3.zip", 3, 10.0, 520000.0, -10.0, 4200000.0, 12, 10)],
+        "source string, source_id long, a double, c double, e double, f double, width int, height int")
+    rows = [(f"s3://b/source/r{k}.zip", b, gx, gy, float(100 * k + 10 * b + gx + gy))
+            for k in (1, 2) for b in (1, 2) for gx in range(12) for gy in range(10)]
+    cells = spark.createDataFrame(rows, "source string, band int, gx long, gy long, v double")
+    out = scratch_path(spark, "t-z3")
+    log = {r.source: (r.ok, r.output) for r in J.convert_missing(spark, listing, done, cells, rasters, "UTM:10", out).collect()}
+    # r2 already converted (skipped), r3 has no pixels (failed), r1 converted
+    assert log == {"s3://b/source/r1.zip": (True, "s3://b/4326/r1.tif"), "s3://b/source/r3.zip": (False, None)}
+    got = spark.read.parquet(out)
+    assert {r.target for r in got.select("target").distinct().collect()} == {"s3://b/4326/r1.tif"}
+    assert {r.band for r in got.select("band").distinct().collect()} == {1, 2}
+    # equals a single-grid warp with r1's own default grid
+    g = J.default_4326_grid(J.footprints(rasters.where("source_id = 1"), "UTM:10")).first()
+    exp = warp_crs(cells.where("source = 's3://b/source/r1.zip' and band = 1"),
+                   Grid("UTM:10", 500500.0, 4205000.0, 30.0, 30.0),
+                   Grid("EPSG:4326", g.dst_x0, g.dst_y0, g.dst_res, g.dst_res))
+    a = {(r.gx, r.gy): r.v for r in got.where("band = 1").collect()}
+    b = {(r.gx, r.gy): r.v for r in exp.collect()}
+    assert a.keys() == b.keys() and len(a) > 50
+    assert all(abs(a[k] - b[k]) < 1e-9 for k in a)
