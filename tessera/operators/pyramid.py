@@ -100,10 +100,13 @@ def _pass_kernel(levels: int, method: str, min_zoom: int):
     return kernel
 
 
-def levels_for_budget(size: int, dtype: str, method: str, budget_bytes: int = 256 << 20) -> int:
-    """Levels per pass so that 4**levels input blocks fit the per-group budget."""
+def levels_for_budget(size: int, dtype: str, method: str, budget_bytes: int = 256 << 20,
+                      max_levels: int = 3) -> int:
+    """Levels per pass so that 4**levels input blocks fit the per-group budget
+    (at most ``max_levels``: groups of <= 64 blocks keep passes parallel)."""
     per_block = size * size * (8 + (8 if method == "average" else 0))   # float64 working copy (+counts)
-    return max(1, int(math.floor(math.log(max(budget_bytes / per_block, 1.0), 4))))
+    fit = int(math.floor(math.log(max(budget_bytes / per_block, 1.0), 4)))
+    return max(1, min(max_levels, fit))
 
 
 def pyramid_pass(blocks: DataFrame, levels: int, method: str = "nearest", min_zoom: int = 0) -> DataFrame:

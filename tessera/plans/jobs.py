@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import crs, grid, terrain as TR, uris
 from ..operators import blocks as B, cells as C, halo as H, overlap as OV, pyramid as P, reproject as RP
+from ..operators.skew import salted_join
 from ..sources import readers as RD, sinks as SK
 
 CHUNK_SIZE = 2048
@@ -148,8 +149,10 @@ def convert_missing(spark: SparkSession, listing: DataFrame, targets: DataFrame,
     meta = rasters.join(todo.select("source"), "source", "left_semi")
     grids = default_4326_grid(footprints(meta, src_crs)).join(meta.select("source", "source_id", "a", "c", "e", "f"),
                                                               "source_id")
-    px = source_cells.join(todo.select("source"), "source", "left_semi").join(
-        grids.select("source", "a", "c", "e", "f", "dst_x0", "dst_y0", "dst_res"), "source")
+    # grids exist only for sources still to do, so the join also drops the finished ones;
+    # salted because one source may hold a large share of all pixels
+    px = salted_join(source_cells, grids.select("source", "a", "c", "e", "f", "dst_x0", "dst_y0", "dst_res"),
+                     ["source"])
     px = px.withColumn("neg_e", -F.col("e"))
     conv = RP.warp_crs(px, RP.Grid(src_crs, "c", "f", "a", "neg_e"),
                        RP.Grid("EPSG:4326", "dst_x0", "dst_y0", "dst_res", "dst_res"), method,
@@ -173,7 +176,7 @@ def write_converted_with_log(converted: DataFrame, sources: DataFrame, out: str)
 def reproject_worklist(spark: SparkSession, worklist: str, cells: DataFrame, out: str, ratio: int = 2) -> DataFrame:
     """Sources named in a text work list, averaged per source, written per source."""
     wl = RD.read_work_list(spark, worklist)
-    px = cells.join(wl, "source", "left_semi")
+    px = salted_join(cells, wl.distinct(), ["source"], how="left_semi")
     return write_converted_with_log(convert(px, ratio, "average"), wl, out)
 
 
