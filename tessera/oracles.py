@@ -11,7 +11,7 @@ from __future__ import annotations
 import math
 
 from .functions import crs as CRS, grid, terrain as TR
-from .sources.fixtures import NODATA, with_fixtures as W
+from .sources.fixtures import with_fixtures as W
 
 S = 32
 

@@ -14,6 +14,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Arrow batches to Python kernels are capped by bytes as well as rows: a 2048 x 2048
+    # float32 block is 16 MB, so a 10,000-row batch of blocks would not fit in memory.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
