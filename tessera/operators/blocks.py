@@ -174,44 +174,70 @@ def _pack_sorted(batches, size: int, dtype: str, nodata):
         yield emit(carry, len(carry[0]))
 
 
-UNPACK_ROWS = 256      # pixel rows per emitted batch: bounds batch size for large tiles
+UNPACK_ROWS = 256        # pixel rows per emitted batch for large tiles
+UNPACK_PIXELS = 1 << 20  # small tiles are unpacked together, up to this many pixels per batch
+
+
+def _cells_batch(z, band, gx, gy, v, extra: dict, weighted, wsum=None, wcount=None):
+    out = {"z": z.astype(np.int32), "band": band.astype(np.int32), "gx": gx.astype(np.int64),
+           "gy": gy.astype(np.int64)}
+    if weighted:
+        out["v"] = pa.array(np.where(wcount > 0, wsum / np.maximum(wcount, 1), np.nan), from_pandas=True)
+        out["wsum"] = pa.array(wsum, from_pandas=True)
+        out["wcount"] = wcount.astype(np.int64)
+    else:
+        out["v"] = pa.array(v, from_pandas=True)
+    out.update(extra)
+    return pa.RecordBatch.from_pydict(out)
 
 
 def _unpack_batches(batches: Iterator[pa.RecordBatch], valid_only: bool, weighted: bool, keep=()):
     for rb in batches:
         cols = rb.to_pydict()
-        for i in range(rb.num_rows):
+        n = rb.num_rows
+        i = 0
+        while i < n:
             size, dtype, nodata = cols["size"][i], cols["dtype"][i], cols["nodata"][i]
-            arr = to_float(decode(cols["data"][i], dtype, size), nodata)
-            w = cols["weight"][i] if weighted else None
+            # a run of small blocks of one layout is decoded as one (k, size, size) array
+            j = i + 1
+            if size * size * 4 <= UNPACK_PIXELS:
+                while (j < n and (j - i + 1) * size * size <= UNPACK_PIXELS and cols["size"][j] == size
+                       and cols["dtype"][j] == dtype and cols["nodata"][j] == nodata):
+                    j += 1
+            k = j - i
+            arr = np.frombuffer(b"".join(cols["data"][i:j]), dtype="<" + dtype).reshape(k, size, size)
+            arr = to_float(arr, nodata)
             cnt = None
-            if w is not None:
-                cnt = decode(w, "i4", size).astype(np.int64)
-                arr = np.where(cnt > 0, arr, np.nan)
+            if weighted:
+                ws = cols["weight"][i:j]
+                if all(w is not None for w in ws):
+                    cnt = np.frombuffer(b"".join(ws), dtype="<i4").reshape(k, size, size).astype(np.int64)
+                    arr = np.where(cnt > 0, arr, np.nan)
+                elif any(w is not None for w in ws):      # mixed: one block at a time
+                    j, k = i + 1, 1
+                    arr = arr[:1]
+                    if ws[0] is not None:
+                        cnt = decode(ws[0], "i4", size).astype(np.int64)[None]
+                        arr = np.where(cnt > 0, arr, np.nan)
+            zs = np.asarray(cols["z"][i:j])
+            bs = np.asarray(cols["band"][i:j])
+            xs = np.asarray(cols["x"][i:j], dtype=np.int64)
+            ys = np.asarray(cols["y"][i:j], dtype=np.int64)
             for r0 in range(0, size, UNPACK_ROWS):
-                band_arr = arr[r0:r0 + UNPACK_ROWS]
-                rows, cs = np.indices(band_arr.shape)
-                sel = ~np.isnan(band_arr) if valid_only else np.ones(band_arr.shape, dtype=bool)
-                n = int(sel.sum())
-                if n == 0:
+                part = arr[:, r0:r0 + UNPACK_ROWS]
+                sel = ~np.isnan(part) if valid_only else np.ones(part.shape, dtype=bool)
+                bi, rr, cc = np.nonzero(sel)
+                if len(bi) == 0:
                     continue
-                out = {
-                    "z": np.full(n, cols["z"][i], dtype=np.int32),
-                    "band": np.full(n, cols["band"][i], dtype=np.int32),
-                    "gx": (cols["x"][i] * size + cs[sel]).astype(np.int64),
-                    "gy": (cols["y"][i] * size + r0 + rows[sel]).astype(np.int64),
-                }
-                v = band_arr[sel]
+                v = part[bi, rr, cc]
+                extra = {kk: pa.array([cols[kk][i + b] for b in bi], type=rb.schema.field(kk).type) for kk in keep}
                 if weighted:
-                    c = cnt[r0:r0 + UNPACK_ROWS][sel] if cnt is not None else np.where(np.isnan(v), 0, 1)
-                    out["v"] = pa.array(np.where(c > 0, v / np.maximum(c, 1), np.nan), from_pandas=True)
-                    out["wsum"] = pa.array(v, from_pandas=True)
-                    out["wcount"] = c.astype(np.int64)
+                    c = cnt[:, r0:r0 + UNPACK_ROWS][bi, rr, cc] if cnt is not None else np.where(np.isnan(v), 0, 1)
+                    yield _cells_batch(zs[bi], bs[bi], xs[bi] * size + cc, ys[bi] * size + r0 + rr, None, extra,
+                                       True, wsum=v, wcount=c)
                 else:
-                    out["v"] = pa.array(v, from_pandas=True)
-                for k in keep:
-                    out[k] = pa.array([cols[k][i]] * n, type=rb.schema.field(k).type)
-                yield pa.RecordBatch.from_pydict(out)
+                    yield _cells_batch(zs[bi], bs[bi], xs[bi] * size + cc, ys[bi] * size + r0 + rr, v, extra, False)
+            i = j
 
 
 def unpack_blocks(blocks: DataFrame, valid_only: bool = True, weighted: bool = False,

@@ -125,7 +125,7 @@ def write_level_store(df: DataFrame, store: str) -> None:
 
 
 def read_level_store(spark: SparkSession, store: str, z: int | None = None) -> DataFrame:
-    df = spark.read.parquet(store)
+    df = spark.read.schema(B.BLOCK_SCHEMA).parquet(store)      # known schema: no inference job
     if z is not None:
         df = df.where(F.col("z") == z)        # partition pruning
     return df.select(*B.BLOCK_COLUMNS)

@@ -33,7 +33,8 @@ def read_tiles(spark: SparkSession, store: str, tiles: DataFrame | None = None,
     ``valid_count > 0`` and ``z = ...`` are pushed into the parquet scan.
     ``ignore_corrupt`` (F8) skips unreadable files instead of failing the job.
     """
-    df = spark.read.option("ignoreCorruptFiles", str(ignore_corrupt).lower()).parquet(store)
+    df = (spark.read.schema(B.BLOCK_SCHEMA).option("ignoreCorruptFiles", str(ignore_corrupt).lower())
+          .parquet(store))
     if z is not None:
         df = df.where(F.col("z") == z)
     df = df.where(F.col("valid_count") > 0).select(*B.BLOCK_COLUMNS)
