@@ -37,19 +37,26 @@ def get_session(master: str | None = None, app: str = "tessera", **conf) -> Spar
     return spark
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
-    Read from the session; only when it is unset (local runs and tests) a
-    folder of our own is created and registered.
+    Read from the session.  Only when it is unset (local runs and tests) a
+    folder of our own is created once per application and registered with the
+    SparkContext (the conf itself cannot be changed at runtime).
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="tessera-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
+        app = spark.sparkContext.applicationId
+        root = _LOCAL_ROOTS.get(app)
+        if root is None:
+            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tessera-ckpt-"))
+            root = spark.sparkContext.getCheckpointDir()     # later calls read it back the same
+            _LOCAL_ROOTS[app] = root
     return root.rstrip("/")
 
 
