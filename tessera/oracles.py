@@ -348,6 +348,8 @@ select t.z, t.x, t.y, fp.source_id""", 1)
         join dem d on d.gx = cast(floor(sx + 5e-1) as bigint) and d.gy = cast(floor(sy + 5e-1) as bigint)
         where d.v is not null""", "dem")
     q["warp_4326_blocks"] = q["warp_4326"]
+    q["mosaic_blocks"] = q["mosaic_paint"]
+    q["chunk_average_blocks"] = q["chunk_average"]
     g2 = gradient_sql("dem_dense", 2.0)
     q["gradient"] = W(f"select gx, gy, a, b from ({g2})", "dem_dense")
     q["hillshade_naive"] = W(f"select gx, gy, {naive_sql('a', 'b')} shade from ({g2})", "dem_dense")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .functions import crs, grid, terrain as TR, uris
-from .operators import blocks as B, cells as C, halo as H, pyramid as P, reproject as RP, warp as WP
+from .operators import blocks as B, cells as C, halo as H, mosaic as MO, pyramid as P, reproject as RP, warp as WP
 from .plans import jobs as J
 from .session import scratch_path
 from .sources import fixtures as FX, readers as RD, sinks as SK
@@ -360,6 +360,21 @@ def chunk_tiles(spark, d):
                      _i("valid_count").alias("valid_count"), F.round("vsum", 4).alias("vsum"))
 
 
+def mosaic_blocks(spark, d):
+    """A8 in block form: scenes painted per tile (salted by source), unpacked (same oracle)."""
+    painted = MO.paint_blocks(FX.scenes(spark, d), S, FX.SCENE_ZOOM)
+    return B.unpack_blocks(painted).select("gx", "gy", _i("v").alias("v"))
+
+
+def chunk_average_blocks(spark, d):
+    """Z1 in block form: painted z10 tiles -> one weighted halving pass -> z9 (same oracle)."""
+    painted = MO.paint_blocks(FX.scenes(spark, d), S, FX.SCENE_ZOOM)
+    avg = P.pyramid_pass(painted, 1, "average", FX.SCENE_ZOOM - 1)
+    c = B.unpack_blocks(avg, weighted=True)
+    return c.select("gx", "gy", _i("wsum").alias("vsum"), _i("wcount").alias("vcount"),
+                    (F.col("wsum") / F.col("wcount")).alias("v"))
+
+
 def warp_bands(spark, d):
     """Every band painted and averaged on its own (band is a key)."""
     return C.paint_and_average(FX.scenes_bands(spark, d), 2, extra_keys=("band",)).select(
@@ -490,7 +505,7 @@ QUERIES = {f.__name__: f for f in (
     uri_names, missing_targets, listing_union, conversion_log, reproject_worklist,
     dem_blocks_valid, dem_stats, reblock, overview_sizes, decimate, pyramid_levels, pyramid_average,
     pyramid_manifest, tms_view, window_read,
-    mosaic_paint, chunk_average, chunk_tiles, warp_bands, warp_nearest, warp_bilinear,
+    mosaic_paint, mosaic_blocks, chunk_average, chunk_average_blocks, chunk_tiles, warp_bands, warp_nearest, warp_bilinear,
     warp_bilinear_blocks, warp_nearest_blocks, warp_4326, warp_4326_nearest, warp_4326_blocks,
     pyramid_levels_cells, pyramid_average_cells,
     gradient, hillshade_naive, hillshade_zfactor, slope_aspect_trig, hillshade_light, shade_rgba,

@@ -168,3 +168,19 @@ def test_pyramid_parents_come_from_the_list(spark):
     # a listed parent still merges its unlisted stored children: z2 (0,0) has all four quadrants
     z2 = [r for r in pyr.collect() if (r.z, r.x, r.y) == (2, 0, 0)][0]
     assert z2.valid_count == 64
+
+
+def test_block_paint_equals_cell_paint_on_a_hot_tile(spark):
+    from tessera.operators import mosaic as MO
+    rng = np.random.default_rng(5)
+    rows = []
+    for src in range(40):                      # 40 overlapping sources, all on the same 2 tiles
+        prio, tie = int(rng.integers(0, 5)), int(rng.integers(0, 3))
+        for gx in range(16):
+            for gy in range(8):
+                if rng.random() < 0.7:
+                    rows.append((gx, gy, prio, tie, int(rng.integers(0, 50))))
+    cells = spark.createDataFrame(rows, "gx long, gy long, priority int, tie long, v long")
+    got = B.unpack_blocks(MO.paint_blocks(cells, 8, 5, salts=4)).select("gx", "gy", F.col("v").cast("long").alias("v"))
+    exp = C.mosaic_paint(cells)
+    assert sorted(got.collect()) == sorted(exp.collect())
