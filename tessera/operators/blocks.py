@@ -74,11 +74,15 @@ def to_float(arr: np.ndarray, nodata) -> np.ndarray:
 
 
 def from_float(vals: np.ndarray, dtype: str, nodata) -> tuple[np.ndarray, int]:
-    """Cast back to ``dtype`` with NaN -> nodata; returns (array, valid count)."""
+    """Cast back to ``dtype`` with NaN -> nodata; returns (array, valid count).
+
+    With ``nodata=None`` nothing is masked: missing pixels are stored as 0 and
+    every pixel counts as valid (so no such tile is ever dropped as empty).
+    """
     ok = ~np.isnan(vals)
     fill = 0 if nodata is None else nodata
     out = np.where(ok, vals, fill).astype("<" + dtype)
-    return out, int(ok.sum())
+    return out, int(ok.size if nodata is None else ok.sum())
 
 
 def block_record(z, x, y, band, size, dtype, nodata, arr, valid, weight=None) -> dict:
@@ -147,6 +151,8 @@ def _pack_sorted(batches, size: int, dtype: str, nodata):
         ok = ~np.isnan(buf)
         fill = 0 if nodata is None else nodata
         arr = np.where(ok, buf, fill).astype("<" + dtype)
+        if nodata is None:                   # nothing masked: every pixel is valid
+            ok = np.ones_like(ok)
         n = len(starts)
         return pa.RecordBatch.from_arrays([
             pa.array(cz[starts], pa.int32()), pa.array(cx[starts], pa.int32()),

@@ -40,13 +40,13 @@ def _halve(vals: np.ndarray, cnt: np.ndarray | None, method: str, pick=(1, 1)):
     return sums, cnts
 
 
-def _merge_children(children: list[tuple], size: int, method: str):
+def _merge_children(children: list[tuple], size: int, method: str, pick=(1, 1)):
     """children: (x, y, vals, cnt) at one zoom, all with the same parent."""
     out = np.full((size, size), np.nan)
     cnt_out = np.zeros((size, size), dtype=np.int64) if method == "average" else None
     half = size // 2
     for x, y, vals, cnt in children:
-        sub, sub_cnt = _halve(vals, cnt, method)
+        sub, sub_cnt = _halve(vals, cnt, method, pick)
         dx, dy = (x % 2) * half, (y % 2) * half
         out[dy:dy + half, dx:dx + half] = sub
         if cnt_out is not None:
@@ -54,7 +54,7 @@ def _merge_children(children: list[tuple], size: int, method: str):
     return out, cnt_out
 
 
-def _pass_kernel(levels: int, method: str, min_zoom: int):
+def _pass_kernel(levels: int, method: str, min_zoom: int, pick=(1, 1)):
     def kernel(key, rows):
         if not rows:
             return []
@@ -81,7 +81,7 @@ def _pass_kernel(levels: int, method: str, min_zoom: int):
                 groups.setdefault((x >> 1, y >> 1), []).append((x, y, vals, cnt))
             nxt = {}
             for (px, py), kids in groups.items():
-                vals, cnt = _merge_children(kids, size, method)
+                vals, cnt = _merge_children(kids, size, method, pick)
                 if method == "average":
                     valid = int((cnt > 0).sum())
                     if valid == 0:
@@ -109,12 +109,14 @@ def levels_for_budget(size: int, dtype: str, method: str, budget_bytes: int = 25
     return max(1, min(max_levels, fit))
 
 
-def pyramid_pass(blocks: DataFrame, levels: int, method: str = "nearest", min_zoom: int = 0) -> DataFrame:
-    """One shuffle: group blocks by their ancestor ``levels`` up and emit every level in between."""
+def pyramid_pass(blocks: DataFrame, levels: int, method: str = "nearest", min_zoom: int = 0,
+                 pick=(1, 1)) -> DataFrame:
+    """One shuffle: group blocks by their ancestor ``levels`` up and emit every level in between.
+    ``pick`` = (row, col) parity kept by ``nearest`` (the reference's reads keep pixel 2i+1)."""
     keys = [F.col("z") - levels, F.col("band"),
             F.call_function("shiftright", F.col("x"), F.lit(levels)),
             F.call_function("shiftright", F.col("y"), F.lit(levels))]
-    return B.fold_blocks(blocks, keys, _pass_kernel(levels, method, min_zoom))
+    return B.fold_blocks(blocks, keys, _pass_kernel(levels, method, min_zoom, pick))
 
 
 def write_level_store(df: DataFrame, store: str) -> None:
@@ -133,7 +135,8 @@ def read_level_store(spark: SparkSession, store: str, z: int | None = None) -> D
 
 def build_pyramid(spark: SparkSession, base: DataFrame, base_zoom: int, store: str,
                   min_zoom: int = 0, method: str = "nearest", levels_per_pass: int | None = None,
-                  size: int | None = None, dtype: str | None = None, tiles: DataFrame | None = None) -> DataFrame:
+                  size: int | None = None, dtype: str | None = None, tiles: DataFrame | None = None,
+                  pick=(1, 1)) -> DataFrame:
     """Write ``base`` (blocks at ``base_zoom``) and all lower levels to ``store``; return the store.
 
     ``tiles`` (optional, columns z,x,y at base_zoom) is the tile list: only
@@ -153,7 +156,7 @@ def build_pyramid(spark: SparkSession, base: DataFrame, base_zoom: int, store: s
     while z > min_zoom:
         levels = min(levels_per_pass, z - min_zoom)
         src = read_level_store(spark, store, z)
-        out = pyramid_pass(src, levels, method, min_zoom)
+        out = pyramid_pass(src, levels, method, min_zoom, pick)
         if tiles is not None:
             wanted = None
             for k in range(1, levels + 1):

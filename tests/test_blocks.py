@@ -184,3 +184,16 @@ def test_block_paint_equals_cell_paint_on_a_hot_tile(spark):
     got = B.unpack_blocks(MO.paint_blocks(cells, 8, 5, salts=4)).select("gx", "gy", F.col("v").cast("long").alias("v"))
     exp = C.mosaic_paint(cells)
     assert sorted(got.collect()) == sorted(exp.collect())
+
+
+def test_pick_parity_and_unmasked_blocks(spark):
+    cells = _raster(spark, 32, 32, gap=0.0, seed=23)
+    blk = B.pack_blocks(cells, 8, 2, dtype="f8", nodata=-1.0)
+    pyr = P.build_pyramid(spark, blk, 2, scratch_path(spark, "t-pick"), min_zoom=1, pick=(0, 0))
+    got = B.unpack_blocks(pyr.where("z = 1")).select("gx", "gy", "v")
+    exp = C.decimate(cells, pick=0)
+    assert _cells(got) == _cells(exp)
+    # nodata NULL: nothing masked, every pixel counts and unpacks (missing ones as 0)
+    sparse = _raster(spark, 8, 8, gap=0.5, seed=2)
+    nb = B.pack_blocks(sparse, 8, 1, dtype="f4", nodata=None)
+    assert nb.first().valid_count == 64 and B.unpack_blocks(nb).count() == 64
