@@ -126,6 +126,8 @@ def pack_blocks(cells: DataFrame, size: int, z, dtype: str = "f8", nodata=None,
     return ordered.mapInArrow(lambda it: _pack_sorted(it, size, dtype, nodata), BLOCK_SCHEMA)
 
 
+PACK_BYTES = 64 << 20     # working memory for tiles under construction in one batch
+
 _BLOCK_ARROW = pa.schema([
     ("z", pa.int32()), ("x", pa.int32()), ("y", pa.int32()), ("band", pa.int32()),
     ("size", pa.int32()), ("dtype", pa.string()), ("nodata", pa.float64()),
@@ -145,22 +147,27 @@ def _pack_sorted(batches, size: int, dtype: str, nodata):
         change = np.flatnonzero((cz[1:] != cz[:-1]) | (cx[1:] != cx[:-1]) |
                                 (cy[1:] != cy[:-1]) | (cb[1:] != cb[:-1])) + 1
         starts = np.concatenate(([0], change))
-        tid = np.repeat(np.arange(len(starts)), np.diff(np.concatenate((starts, [k_end]))))
-        buf = np.full((len(starts), size * size), np.nan)
-        buf[tid, off] = vals
-        ok = ~np.isnan(buf)
-        fill = 0 if nodata is None else nodata
-        arr = np.where(ok, buf, fill).astype("<" + dtype)
-        if nodata is None:                   # nothing masked: every pixel is valid
-            ok = np.ones_like(ok)
-        n = len(starts)
-        return pa.RecordBatch.from_arrays([
-            pa.array(cz[starts], pa.int32()), pa.array(cx[starts], pa.int32()),
-            pa.array(cy[starts], pa.int32()), pa.array(cb[starts], pa.int32()),
-            pa.array(np.full(n, size), pa.int32()), pa.array([dtype] * n, pa.string()),
-            pa.array([nodata] * n, pa.float64()), pa.array(ok.sum(axis=1), pa.int32()),
-            pa.array([arr[i].tobytes() for i in range(n)], pa.binary()), pa.nulls(n, pa.binary()),
-        ], schema=_BLOCK_ARROW)
+        stops = np.concatenate((change, [k_end]))
+        per_chunk = max(1, PACK_BYTES // (size * size * 8))      # tiles built at once: bounded memory
+        for c0 in range(0, len(starts), per_chunk):
+            st, sp = starts[c0:c0 + per_chunk], stops[c0:c0 + per_chunk]
+            r0, r1 = st[0], sp[-1]
+            tid = np.repeat(np.arange(len(st)), sp - st)
+            buf = np.full((len(st), size * size), np.nan)
+            buf[tid, off[r0:r1]] = vals[r0:r1]
+            ok = ~np.isnan(buf)
+            fill = 0 if nodata is None else nodata
+            arr = np.where(ok, buf, fill).astype("<" + dtype)
+            if nodata is None:                   # nothing masked: every pixel is valid
+                ok = np.ones_like(ok)
+            n = len(st)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(cz[st], pa.int32()), pa.array(cx[st], pa.int32()),
+                pa.array(cy[st], pa.int32()), pa.array(cb[st], pa.int32()),
+                pa.array(np.full(n, size), pa.int32()), pa.array([dtype] * n, pa.string()),
+                pa.array([nodata] * n, pa.float64()), pa.array(ok.sum(axis=1), pa.int32()),
+                pa.array([arr[i].tobytes() for i in range(n)], pa.binary()), pa.nulls(n, pa.binary()),
+            ], schema=_BLOCK_ARROW)
 
     for rb in batches:
         if rb.num_rows == 0:
@@ -174,10 +181,10 @@ def _pack_sorted(batches, size: int, dtype: str, nodata):
         same = (cz == cz[last]) & (cx == cx[last]) & (cy == cy[last]) & (cb == cb[last])
         k_end = int(np.flatnonzero(~same).max()) + 1 if (~same).any() else 0   # rows of finished tiles
         if k_end:
-            yield emit(cols, k_end)
+            yield from emit(cols, k_end)
         carry = [c[k_end:] for c in cols]
     if carry is not None and len(carry[0]):
-        yield emit(carry, len(carry[0]))
+        yield from emit(carry, len(carry[0]))
 
 
 UNPACK_ROWS = 256        # pixel rows per emitted batch for large tiles

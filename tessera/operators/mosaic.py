@@ -50,21 +50,27 @@ def _paint_sorted(batches, size: int, z: int):
         cx, cy, cs, off, pp, tt, vv = (c[:k] for c in cols)
         grp = np.flatnonzero((cx[1:] != cx[:-1]) | (cy[1:] != cy[:-1]) | (cs[1:] != cs[:-1])) + 1
         starts = np.concatenate(([0], grp))
-        gid = np.repeat(np.arange(len(starts)), np.diff(np.concatenate((starts, [k]))))
-        # rows are sorted by (group, off, p, t, v): the last row of each (group, off) run wins
-        last = np.concatenate(((gid[1:] != gid[:-1]) | (off[1:] != off[:-1]), [True]))
-        g, o = gid[last], off[last]
-        P = np.full((len(starts), n2), _EMPTY, dtype=np.int64)
-        Tt = np.full((len(starts), n2), _EMPTY, dtype=np.int64)
-        V = np.full((len(starts), n2), np.nan)
-        P[g, o], Tt[g, o], V[g, o] = pp[last], tt[last], vv[last]
-        m = len(starts)
-        return pa.RecordBatch.from_arrays([
-            pa.array(np.full(m, z), pa.int32()), pa.array(cx[starts], pa.int32()), pa.array(cy[starts], pa.int32()),
-            pa.array(cs[starts], pa.int64()), pa.array(np.full(m, size), pa.int32()),
-            pa.array([P[i].tobytes() for i in range(m)], pa.binary()),
-            pa.array([Tt[i].tobytes() for i in range(m)], pa.binary()),
-            pa.array([V[i].tobytes() for i in range(m)], pa.binary())], schema=arrow)
+        stops = np.concatenate((grp, [k]))
+        per_chunk = max(1, B.PACK_BYTES // (n2 * 24))              # three 8-byte planes per tile
+        for c0 in range(0, len(starts), per_chunk):
+            st, sp = starts[c0:c0 + per_chunk], stops[c0:c0 + per_chunk]
+            r0, r1 = st[0], sp[-1]
+            gid = np.repeat(np.arange(len(st)), sp - st)
+            o, p_, t_, v_ = off[r0:r1], pp[r0:r1], tt[r0:r1], vv[r0:r1]
+            # rows are sorted by (group, off, p, t, v): the last row of each (group, off) run wins
+            last = np.concatenate(((gid[1:] != gid[:-1]) | (o[1:] != o[:-1]), [True]))
+            g = gid[last]
+            P = np.full((len(st), n2), _EMPTY, dtype=np.int64)
+            Tt = np.full((len(st), n2), _EMPTY, dtype=np.int64)
+            V = np.full((len(st), n2), np.nan)
+            P[g, o[last]], Tt[g, o[last]], V[g, o[last]] = p_[last], t_[last], v_[last]
+            m = len(st)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.full(m, z), pa.int32()), pa.array(cx[st], pa.int32()), pa.array(cy[st], pa.int32()),
+                pa.array(cs[st], pa.int64()), pa.array(np.full(m, size), pa.int32()),
+                pa.array([P[i].tobytes() for i in range(m)], pa.binary()),
+                pa.array([Tt[i].tobytes() for i in range(m)], pa.binary()),
+                pa.array([V[i].tobytes() for i in range(m)], pa.binary())], schema=arrow)
 
     for rb in batches:
         if rb.num_rows == 0:
@@ -78,10 +84,10 @@ def _paint_sorted(batches, size: int, z: int):
         same = (cx == cx[last]) & (cy == cy[last]) & (cs == cs[last])
         k = int(np.flatnonzero(~same).max()) + 1 if (~same).any() else 0
         if k:
-            yield emit(cols, k)
+            yield from emit(cols, k)
         carry = [c[k:] for c in cols]
     if carry is not None and len(carry[0]):
-        yield emit(carry, len(carry[0]))
+        yield from emit(carry, len(carry[0]))
 
 
 def _merge_sorted(batches, size: int, nodata):

@@ -93,3 +93,17 @@ def test_streaming_pack_equals_naive(cells, cuts):
         assert np.array_equal(np.isnan(got[k].ravel()), np.isnan(exp[k]))
         assert np.array_equal(got[k].ravel()[~np.isnan(exp[k])], exp[k][~np.isnan(exp[k])])
     assert all(r["valid_count"] == int((~np.isnan(exp[(r["x"], r["y"])])).sum()) for r in out)
+
+
+def test_streaming_pack_bounds_tiles_per_chunk(monkeypatch):
+    # force one tile per chunk: output must not change
+    monkeypatch.setattr(B, "PACK_BYTES", 1)
+    rows = [(6, x, 0, 1, off, float(x + off)) for x in range(5) for off in (0, 3)]
+    cols = list(zip(*rows))
+    tbl = pa.table({"z": pa.array(cols[0], pa.int32()), "x": pa.array(cols[1], pa.int32()),
+                    "y": pa.array(cols[2], pa.int32()), "band": pa.array(cols[3], pa.int32()),
+                    "off": pa.array(cols[4], pa.int32()), "v": pa.array(cols[5], pa.float64())})
+    batches = list(B._pack_sorted(iter(tbl.to_batches()), 2, "f8", -1.0))
+    assert sum(b.num_rows for b in batches) == 5 and len(batches) == 5
+    out = pa.Table.from_batches(batches).to_pylist()
+    assert [r["valid_count"] for r in out] == [2] * 5
