@@ -130,7 +130,7 @@ def _shade_group(buffer: int, method: str, h: float):
         for r in rows:
             piece = np.frombuffer(r["piece"], dtype="<" + dtype).reshape(r["h"], r["w"])
             buf[r["oy"]:r["oy"] + r["h"], r["ox"]:r["ox"] + r["w"]] = B.to_float(piece, nodata)
-            own = own or (r["h"] == size and r["w"] == size)
+            own = own or (r["ox"] == buffer and r["oy"] == buffer)       # the tile's own block
         if not own:                       # only strips arrived: the tile itself is not stored
             return B.records_to_table([])
         a = masked_gradient(buf, h, 0)

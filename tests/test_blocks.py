@@ -197,3 +197,12 @@ def test_pick_parity_and_unmasked_blocks(spark):
     sparse = _raster(spark, 8, 8, gap=0.5, seed=2)
     nb = B.pack_blocks(sparse, 8, 1, dtype="f4", nodata=None)
     assert nb.first().valid_count == 64 and B.unpack_blocks(nb).count() == 64
+
+
+def test_halo_with_buffer_equal_to_tile_size(spark):
+    cells = _raster(spark, 24, 16, gap=0.0, seed=31, ints=False)
+    blk = B.pack_blocks(cells, 4, 3, dtype="f8", nodata=-1e30)
+    got = H.unpack_shade(H.shade_blocks(blk, "zfactor", buffer=4, h=2.0))
+    exp = C.shade(cells, "zfactor", h=2.0)
+    assert sorted(got.select("gx", "gy", F.col("shade").cast("bigint")).collect()) == \
+        sorted(exp.select("gx", "gy", F.col("shade").cast("bigint")).collect())
