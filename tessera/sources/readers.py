@@ -112,3 +112,26 @@ def bbox_features(df: DataFrame) -> DataFrame:
                     F.create_map().cast("map<string,string>").alias("properties"),
                     F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")).alias("geometry"))
     return df.select(F.to_json(feat).alias("value"))
+
+
+def read_window(spark: SparkSession, store: str, z: int, row0: int, row1: int, col0: int, col1: int,
+                scale: int = 1) -> DataFrame:
+    """Pixels of the half-open window [row0, row1) x [col0, col1) at level ``z``,
+    optionally decimated by an integer ``scale`` (nearest: pixel floor((i + .5) * scale)).
+
+    The block range is a static filter, so it reaches the scan: partition pruning on
+    ``z`` and row-group pruning on the stored ``x``/``y`` columns.  Returns
+    (orow, ocol, v) for valid pixels.
+    """
+    size = spark.read.schema(B.BLOCK_SCHEMA).parquet(store).where(F.col("z") == z).select("size").first()
+    if size is None:
+        return spark.createDataFrame([], "orow long, ocol long, v double")
+    s = size[0]
+    blocks = read_tiles(spark, store, z=z).where(
+        F.col("x").between(col0 // s, (col1 - 1) // s) & F.col("y").between(row0 // s, (row1 - 1) // s))
+    cells = B.unpack_blocks(blocks)
+    half = scale // 2
+    return (cells.where(F.col("gy").between(row0, row1 - 1) & F.col("gx").between(col0, col1 - 1)
+                        & ((F.col("gy") - row0) % scale == half) & ((F.col("gx") - col0) % scale == half))
+                 .select(F.floor((F.col("gy") - row0) / scale).cast("long").alias("orow"),
+                         F.floor((F.col("gx") - col0) / scale).cast("long").alias("ocol"), "v"))

@@ -85,3 +85,20 @@ def test_salted_join_spreads_a_hot_key(spark):
     assert salts == 16
     semi = salted_join(big, small.where("source = 'hot'"), ["source"], how="left_semi", salts=16)
     assert semi.count() == 20000
+
+
+def test_window_read_prunes_to_the_window(spark):
+    blk = B.pack_blocks(FX.dem(spark, SMALL), 32, 6, dtype="f8", nodata=FX.NODATA)
+    store = scratch_path(spark, "t-win")
+    SK.write_tiles(blk, store)
+    w = RD.read_window(spark, store, 6, 3, 11, 40, 72, scale=2)
+    plan = _plan(w)
+    assert "PartitionFilters: [isnotnull(z" in plan
+    import re
+    assert "PushedFilters: [IsNotNull(valid_count), IsNotNull(x), IsNotNull(y)" in plan   # block range at the scan
+    assert re.search(r"\(x#\d+ >= 1\)", plan)
+    got = {(r.orow, r.ocol): r.v for r in w.collect()}
+    dem = {(r.gx, r.gy): r.v for r in FX.dem(spark, SMALL).collect() if r.v is not None}
+    exp = {((gy - 3) // 2, (gx - 40) // 2): float(v) for (gx, gy), v in dem.items()
+           if 3 <= gy < 11 and 40 <= gx < 72 and (gy - 3) % 2 == 1 and (gx - 40) % 2 == 1}
+    assert got == exp and len(got) > 10
