@@ -49,20 +49,20 @@ def pyramid_nearest(df: DataFrame, base_zoom: int, min_zoom: int = 0) -> DataFra
 
 
 def pyramid_average(df: DataFrame, base_zoom: int, min_zoom: int = 0) -> DataFrame:
-    """Average pyramid carrying (sum, count): level k+1 sums level k over 2x2.
+    """Average pyramid, exact footprint means carried as (sum, count), in one pass.
 
-    Exact footprint averages (no average of averages).  One small aggregate per
-    level, each over a quarter of the previous level.
+    Each valid cell is emitted once per level (k = 0..levels, key = pixel >> k);
+    one hash aggregate sums them, with map-side partial sums collapsing the
+    coarse levels before the shuffle.  No average of averages.
     """
-    cur = (df.where(F.col("v").isNotNull())
-             .select("gx", "gy", F.col("v").cast("double").alias("vsum"), F.lit(1).cast("bigint").alias("vcount")))
-    out = cur.select(F.lit(base_zoom).cast("bigint").alias("z"), "*")
-    for z in range(base_zoom - 1, min_zoom - 1, -1):
-        cur = (cur.groupBy(F.floor(F.col("gx") / 2).cast("bigint").alias("gx"),
-                           F.floor(F.col("gy") / 2).cast("bigint").alias("gy"))
-                  .agg(F.sum("vsum").alias("vsum"), F.sum("vcount").alias("vcount")))
-        out = out.unionByName(cur.select(F.lit(z).cast("bigint").alias("z"), "*"))
-    return out.withColumn("v", F.col("vsum") / F.col("vcount"))
+    levels = base_zoom - min_zoom
+    k = F.explode(F.sequence(F.lit(0), F.lit(levels))).alias("k")
+    lv = df.where(F.col("v").isNotNull()).select("gx", "gy", F.col("v").cast("double").alias("v"), k)
+    return (lv.groupBy((F.lit(base_zoom) - F.col("k")).cast("bigint").alias("z"),
+                       F.call_function("shiftright", F.col("gx"), F.col("k")).cast("bigint").alias("gx"),
+                       F.call_function("shiftright", F.col("gy"), F.col("k")).cast("bigint").alias("gy"))
+              .agg(F.sum("v").alias("vsum"), F.count("v").alias("vcount"))
+              .withColumn("v", F.col("vsum") / F.col("vcount")))
 
 
 # ------------------------------------------------------------------ A8 mosaic paint
@@ -229,7 +229,8 @@ def shade(df: DataFrame, method: str = "zfactor", h: float = 2.0, **kw) -> DataF
     if method == "light":
         i = g.select("gx", "gy", T.light_intensity("a", "b", **kw).alias("i"))
         # whole-raster stretch: two scalar subqueries (merged into one aggregate by Catalyst)
-        imin, imax = i.agg(F.min("i")).scalar(), i.agg(F.max("i")).scalar()
+        stats = i.agg(F.min("i").alias("imin"), F.max("i").alias("imax"))
+        imin, imax = stats.select("imin").scalar(), stats.select("imax").scalar()
         return i.select("gx", "gy", T.quantise(T.stretch("i", imin, imax)).alias("shade"))
     raise ValueError(method)
 

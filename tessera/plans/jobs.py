@@ -208,7 +208,8 @@ def compare_shades(cells: DataFrame, h: float = 2.0, pixel: float = 1.0) -> Data
     g = g.select("gx", "gy", TR.hillshade_naive("a", "b").alias("naive"),
                  TR.hillshade_zfactor("a", "b").alias("zfactor"),
                  TR.light_intensity(F.col("a") * k, F.col("b") * k).alias("i"))
-    imin, imax = g.agg(F.min("i")).scalar(), g.agg(F.max("i")).scalar()
+    stats = g.agg(F.min("i").alias("imin"), F.max("i").alias("imax"))      # one row
+    imin, imax = stats.select("imin").scalar(), stats.select("imax").scalar()   # merged by Catalyst
     return g.select("gx", "gy", "naive", "zfactor", TR.quantise(TR.stretch("i", imin, imax)).alias("light"))
 
 
