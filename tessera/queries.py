@@ -241,16 +241,15 @@ def dem_blocks_valid(spark, d):
 
 
 def dem_stats(spark, d):
+    """Min, max, mean, stddev of valid pixels per tile and for the whole raster,
+    in one aggregate (grouping sets (x, y) and ())."""
     cells = B.unpack_blocks(_dem_blocks(spark, d).where(F.col("band") == 1))
-    cells = cells.select(F.floor(F.col("gx") / S).alias("x"), F.floor(F.col("gy") / S).alias("y"),
+    cells = cells.select(F.floor(F.col("gx") / S).cast("bigint").alias("x"),
+                         F.floor(F.col("gy") / S).cast("bigint").alias("y"),
                          F.nullif(F.col("v"), F.lit(FX.NODATA)).alias("v"))
-
-    def stats(g):
-        return g.agg(F.count("v").alias("n"), F.min("v").alias("vmin"), F.max("v").alias("vmax"),
-                     F.round(F.avg("v"), 4).alias("vmean"), F.round(F.stddev_pop("v"), 2).alias("vstd"))
-    per_tile = stats(cells.groupBy(_i("x").alias("x"), _i("y").alias("y")))
-    total = stats(cells.groupBy()).select(F.lit(None).cast("bigint").alias("x"), F.lit(None).cast("bigint").alias("y"), "*")
-    return per_tile.unionByName(total)
+    return cells.groupingSets([["x", "y"], []], "x", "y").agg(
+        F.count("v").alias("n"), F.min("v").alias("vmin"), F.max("v").alias("vmax"),
+        F.round(F.avg("v"), 4).alias("vmean"), F.round(F.stddev_pop("v"), 2).alias("vstd"))
 
 
 def reblock(spark, d):
