@@ -33,6 +33,13 @@ def _site_tiles(spark, d, z: int) -> DataFrame:
                     grid.lon_to_tile_x("lon", F.lit(z)).alias("x"), grid.lat_to_tile_y("lat", F.lit(z)).alias("y"))
 
 
+def _dem_store(spark, d) -> str:
+    """The dem's non-empty tiles written once to a scratch tile store (K1); readers then scan it."""
+    store = scratch_path(spark, "dem-store")
+    SK.write_tiles(_dem_blocks(spark, d).where(F.col("valid_count") > 0), store)
+    return store
+
+
 def _dem_blocks(spark, d) -> DataFrame:
     """The dem as 32x32 f8 blocks at z6 (every tile with a row, empty ones included)."""
     return B.pack_blocks(FX.dem(spark, d), S, FX.DEM_ZOOM, dtype="f8", nodata=FX.NODATA)
@@ -300,7 +307,7 @@ def pyramid_manifest(spark, d):
 
 def tms_view(spark, d):
     """Every stored tile and its 8 neighbours requested; missing ones read as zeros."""
-    blk = _dem_blocks(spark, d).where(F.col("valid_count") > 0)
+    blk = RD.read_tiles(spark, _dem_store(spark, d), z=FX.DEM_ZOOM)
     n = 2 ** FX.DEM_ZOOM
     req = (blk.select("z", F.explode(F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))
                                                for dx in (-1, 0, 1) for dy in (-1, 0, 1)])).alias("o"), "x", "y")
@@ -315,7 +322,7 @@ def tms_view(spark, d):
 
 def window_read(spark, d):
     """The buffered z5 windows on the z6 store, read decimated by their scale (2)."""
-    blk = _dem_blocks(spark, d).where(F.col("valid_count") > 0)
+    blk = RD.read_tiles(spark, _dem_store(spark, d), z=FX.DEM_ZOOM)
     wins = blk.select(grid.parent("x", "y", "z").alias("p")).distinct().select(
         F.col("p.z").alias("wz"), F.col("p.x").alias("wx"), F.col("p.y").alias("wy"))
     w = grid.buffer_window(grid.source_window("wx", "wy", "wz", FX.DEM_ZOOM, S, S), 2)
