@@ -33,18 +33,22 @@ def decimate(df: DataFrame, pick: int = 1, keys=("gx", "gy")) -> DataFrame:
 def pyramid_nearest(df: DataFrame, base_zoom: int, min_zoom: int = 0) -> DataFrame:
     """All levels of a nearest pyramid in one pass (no shuffle).
 
-    Level k keeps base cell 2**k*(i+1)-1 on both axes, so each valid cell is
-    emitted once per level it survives.
+    Level k keeps base cell 2**k*(i+1)-1 on both axes, i.e. a cell survives while
+    2**k divides gx+1 and gy+1: up to the lowest set bit of each (``x & -x``).
+    Each valid cell is emitted once per level it survives.
     """
     levels = base_zoom - min_zoom
-    ks = F.filter(F.sequence(F.lit(0), F.lit(levels)),
-                  lambda k: ((F.col("gx") + 1) % F.call_function("shiftleft", F.lit(1).cast("bigint"), k) == 0)
-                  & ((F.col("gy") + 1) % F.call_function("shiftleft", F.lit(1).cast("bigint"), k) == 0))
+
+    def low_bit_exp(c):
+        n = F.col(c) + 1
+        return F.log2(n.bitwiseAND(-n)).cast("int")
+
+    kmax = F.least(low_bit_exp("gx"), low_bit_exp("gy"), F.lit(levels))
     return (df.where(F.col("v").isNotNull())
-              .select("gx", "gy", "v", F.explode(ks).alias("k"))
+              .select("gx", "gy", "v", F.explode(F.sequence(F.lit(0), kmax)).alias("k"))
               .select((F.lit(base_zoom) - F.col("k")).cast("bigint").alias("z"),
-                      (F.floor((F.col("gx") + 1) / F.pow(F.lit(2.0), F.col("k"))) - 1).cast("bigint").alias("gx"),
-                      (F.floor((F.col("gy") + 1) / F.pow(F.lit(2.0), F.col("k"))) - 1).cast("bigint").alias("gy"),
+                      (F.call_function("shiftright", F.col("gx") + 1, F.col("k")) - 1).cast("bigint").alias("gx"),
+                      (F.call_function("shiftright", F.col("gy") + 1, F.col("k")) - 1).cast("bigint").alias("gy"),
                       "v"))
 
 
@@ -106,8 +110,13 @@ def paint_and_average(df: DataFrame, factor: int = 2, order=("priority", "tie"),
 
 
 # ------------------------------------------------------------------ J4 / R4 / R2 warps
-def _axis_candidates(i: Column, lo: Column, hi: Column) -> Column:
-    return F.sequence(F.floor(lo).cast("bigint") - 1, F.ceil(hi).cast("bigint") + 1)
+def _explode_range(df: DataFrame, lo: Column, hi: Column, name: str) -> DataFrame:
+    """Add ``name`` = each integer in [lo, hi] (one row each).  explode_outer + a null filter:
+    Catalyst infers no filter from the generator, and the per-candidate maths that follows
+    stays in plain (code-generated) expressions rather than interpreted lambdas."""
+    lo_i, hi_i = F.floor(lo).cast("bigint"), F.ceil(hi).cast("bigint")
+    return (df.select("*", F.explode_outer(F.sequence(lo_i, F.greatest(lo_i, hi_i))).alias(name))
+              .where(F.col(name).isNotNull()))
 
 
 def warp_nearest(df: DataFrame, ratio: float) -> DataFrame:
@@ -118,15 +127,12 @@ def warp_nearest(df: DataFrame, ratio: float) -> DataFrame:
     holds and keeps those meeting the exact inverse rule -- a narrow map, no join.
     """
     r = float(ratio)
-
-    def axis(c):
-        return F.filter(_axis_candidates(F.col(c), F.col(c) / r - 0.5, (F.col(c) + 1) / r - 0.5),
-                        lambda t: (F.floor((t + 0.5) * r) == F.col(c)) & (t >= 0))
-
-    return (df.where(F.col("v").isNotNull())
-              .select(F.explode(axis("gx")).alias("tx"), "gy", "v")
-              .select("tx", F.explode(axis("gy")).alias("ty"), "v")
-              .select(F.col("tx").alias("gx"), F.col("ty").alias("gy"), "v"))
+    c = df.where(F.col("v").isNotNull()).select("gx", "gy", "v")
+    c = _explode_range(c, F.col("gx") / r - 1.5, (F.col("gx") + 1) / r + 0.5, "tx")
+    c = c.where((F.col("tx") >= 0) & (F.floor((F.col("tx") + 0.5) * r) == F.col("gx")))
+    c = _explode_range(c, F.col("gy") / r - 1.5, (F.col("gy") + 1) / r + 0.5, "ty")
+    c = c.where((F.col("ty") >= 0) & (F.floor((F.col("ty") + 0.5) * r) == F.col("gy")))
+    return c.select(F.col("tx").alias("gx"), F.col("ty").alias("gy"), "v")
 
 
 def warp_bilinear(df: DataFrame, ratio: float, extra_keys=()) -> DataFrame:
@@ -139,20 +145,18 @@ def warp_bilinear(df: DataFrame, ratio: float, extra_keys=()) -> DataFrame:
     """
     r = float(ratio)
 
-    def axis(c):
-        s = lambda t: (t + 0.5) * r - 0.5
-        cand = F.filter(_axis_candidates(F.col(c), (F.col(c) - 1 + 0.5) / r - 0.5, (F.col(c) + 1 + 0.5) / r),
-                        lambda t: (t >= 0) & ((F.floor(s(t)) == F.col(c)) | (F.floor(s(t)) + 1 == F.col(c))))
-        return F.transform(cand, lambda t: F.struct(
-            t.alias("t"),
-            F.when(F.floor(s(t)) == F.col(c), 1 - (s(t) - F.floor(s(t)))).otherwise(s(t) - F.floor(s(t))).alias("w")))
-
-    scat = (df.where(F.col("v").isNotNull())
-              .select(*extra_keys, F.explode(axis("gx")).alias("ax"), "gy", "v")
-              .select(*extra_keys, "ax", F.explode(axis("gy")).alias("ay"), "v")
-              .select(*extra_keys, F.col("ax.t").alias("gx"), F.col("ay.t").alias("gy"),
-                      (F.col("ax.w") * F.col("ay.w")).alias("w"), "v")
-              .where(F.col("w") > 0))
+    def axis(frame: DataFrame, g: str, t: str, w: str) -> DataFrame:
+        frame = _explode_range(frame, (F.col(g) - 0.5) / r - 1.5, (F.col(g) + 1.5) / r + 0.5, t)
+        s = (F.col(t) + 0.5) * r - 0.5
+        f0 = F.floor(s)
+        weight = F.when(f0 == F.col(g), 1 - (s - f0)).when(f0 + 1 == F.col(g), s - f0)
+        return frame.where(F.col(t) >= 0).withColumn(w, weight).where(F.col(w).isNotNull())
+
+    c = df.where(F.col("v").isNotNull()).select(*extra_keys, "gx", "gy", "v")
+    c = axis(c, "gx", "tx", "wx")
+    c = axis(c, "gy", "ty", "wy")
+    scat = c.select(*extra_keys, F.col("tx").alias("gx"), F.col("ty").alias("gy"),
+                    (F.col("wx") * F.col("wy")).alias("w"), "v").where(F.col("w") > 0)
     return (scat.groupBy(*extra_keys, "gx", "gy")
                 .agg(F.sum(F.col("w") * F.col("v")).alias("wv"), F.sum("w").alias("wsum"))
                 .select(*extra_keys, "gx", "gy", (F.col("wv") / F.col("wsum")).alias("v")))
