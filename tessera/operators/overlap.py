@@ -17,14 +17,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _cells(xmin, ymin, xmax, ymax, cell: float):
-    # explode_outer (+ a null filter after it) keeps Catalyst from inferring a
-    # filter on the generator input and pushing a copy of the whole upstream
-    # expression (e.g. a projection series) down to the scan.
-    return F.explode_outer(F.flatten(F.transform(
-        F.sequence(F.floor(F.col(ymin) / cell), F.floor(F.col(ymax) / cell)),
-        lambda cy: F.transform(F.sequence(F.floor(F.col(xmin) / cell), F.floor(F.col(xmax) / cell)),
-                               lambda cx: F.struct(cx.alias("cx"), cy.alias("cy"))))))
+def _with_cells(df: DataFrame, xmin: str, ymin: str, xmax: str, ymax: str, cell: float) -> DataFrame:
+    """One row per grid cell a box touches: (_cx, _cy) added.  Two plain explodes
+    (explode_outer + null filter, so no filter is inferred and pushed into the scan)."""
+    def rng(lo, hi, name, frame):
+        a, b = F.floor(F.col(lo) / cell), F.floor(F.col(hi) / cell)
+        return (frame.select("*", F.explode_outer(F.sequence(a, F.greatest(a, b))).alias(name))
+                     .where(F.col(name).isNotNull()))
+    return rng(xmin, xmax, "_cx", rng(ymin, ymax, "_cy", df))
 
 
 def overlap_join(left: DataFrame, right: DataFrame, cell: float,
@@ -41,10 +41,8 @@ def overlap_join(left: DataFrame, right: DataFrame, cell: float,
     ro = [c for c in right.columns if c not in rbox]
     L = left.select(*lo, *[F.col(a).alias(b) for a, b in zip(lbox, lb)])
     R = right.select(*ro, *[F.col(a).alias(b) for a, b in zip(rbox, rb)])
-    L = (L.select("*", _cells(*lb, cell).alias("_c")).where(F.col("_c").isNotNull())
-          .select("*", F.col("_c.cx").alias("_cx"), F.col("_c.cy").alias("_cy")).drop("_c"))
-    R = (R.select("*", _cells(*rb, cell).alias("_c")).where(F.col("_c").isNotNull())
-          .select("*", F.col("_c.cx").alias("_cx"), F.col("_c.cy").alias("_cy")).drop("_c"))
+    L = _with_cells(L, *lb, cell)
+    R = _with_cells(R, *rb, cell)
     lt = (lambda a, b: a <= b) if closed else (lambda a, b: a < b)
     hit = (lt(F.col("l_xmin"), F.col("r_xmax")) & lt(F.col("r_xmin"), F.col("l_xmax"))
            & lt(F.col("l_ymin"), F.col("r_ymax")) & lt(F.col("r_ymin"), F.col("l_ymax")))
