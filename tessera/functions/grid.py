@@ -127,13 +127,24 @@ def corner_offset(x, y, size) -> Column:
 
 
 # --------------------------------------------------------------------------- P9
+def _spread_bits(v: Column) -> Column:
+    """Insert a zero bit above every bit of a non-negative 31-bit integer (Morton spreading)."""
+    v = v.cast("bigint")
+    for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F),
+                        (2, 0x3333333333333333), (1, 0x5555555555555555)):
+        v = shiftleft(v, F.lit(shift)).bitwiseOR(v).bitwiseAND(F.lit(mask))
+    return v
+
+
 def quadkey(x, y, z) -> Column:
-    """Quadkey string (digit = xbit + 2*ybit, high bit first); '' when z <= 1."""
-    digits = F.transform(
-        F.reverse(F.sequence(F.lit(0), col(z) - 1)),
-        lambda i: (shiftright(col(x), i).bitwiseAND(1) + 2 * shiftright(col(y), i).bitwiseAND(1)).cast("string"),
-    )
-    return F.when(col(z) > 1, F.concat_ws("", digits)).otherwise(F.lit(""))
+    """Quadkey string (digit = xbit + 2*ybit, high bit first); '' when z <= 1.
+
+    The digits are the base-4 form of the Morton code of (x, y), left-padded to
+    z digits -- bit arithmetic only, so it is code-generated.
+    """
+    morton = _spread_bits(col(x)).bitwiseOR(shiftleft(_spread_bits(col(y)), F.lit(1)))
+    digits = F.lpad(F.conv(morton.cast("string"), 10, 4), col(z).cast("int"), "0")
+    return F.when(col(z) > 1, digits).otherwise(F.lit(""))
 
 
 # --------------------------------------------------------------------------- P11
