@@ -48,21 +48,25 @@ def dataset_zoom(fp: DataFrame, chunk: int = CHUNK_SIZE) -> int:
     return int(fp.agg(F.max(grid.zoom_for_resolution("res", chunk))).first()[0])
 
 
-def plan_tiles(fp: DataFrame, zoom: int) -> DataFrame:
-    """Distinct tiles at ``zoom`` meeting any footprint, with how many sources meet each.
+def cover_tiles(boxes: DataFrame, zoom: int, key: str = "source_id", west="ll.west", south="ll.south",
+                east="ll.east", north="ll.north") -> DataFrame:
+    """(key, z, x, y) for every tile at ``zoom`` meeting each lon/lat box.
 
-    The cover is generated in two steps -- tile rows, spread over tasks, then
-    the tiles of each row -- so one huge footprint (a continent at z14 is
-    ~1e8 tiles) is not generated inside a single task.
+    Generated in two steps -- tile rows, spread over tasks, then the tiles of each
+    row -- so one huge box (a continent at z14 is ~1e8 tiles) is not generated
+    inside a single task; plain explodes keep it code-generated.
     """
     z = F.lit(zoom)
-    rows = fp.select("source_id",
-                     grid.lon_to_tile_x("ll.west", z).alias("x0"), grid.lon_to_tile_x("ll.east", z).alias("x1"),
-                     F.explode_outer(F.sequence(grid.lat_to_tile_y("ll.north", z),
-                                                grid.lat_to_tile_y("ll.south", z))).alias("y"))
-    t = rows.where(F.col("y").isNotNull()).repartition("source_id", "y").select(
-        "source_id", "y", F.explode(F.sequence("x0", "x1")).alias("x"))
-    return t.groupBy(z.cast("int").alias("z"), "x", "y").agg(F.count("*").alias("n_sources"))
+    rows = boxes.select(key, grid.lon_to_tile_x(west, z).alias("x0"), grid.lon_to_tile_x(east, z).alias("x1"),
+                        F.explode_outer(F.sequence(grid.lat_to_tile_y(north, z),
+                                                   grid.lat_to_tile_y(south, z))).alias("y"))
+    return (rows.where(F.col("y").isNotNull()).repartition(key, "y")
+                .select(key, z.cast("int").alias("z"), F.explode(F.sequence("x0", "x1")).alias("x"), "y"))
+
+
+def plan_tiles(fp: DataFrame, zoom: int) -> DataFrame:
+    """Distinct tiles at ``zoom`` meeting any footprint, with how many sources meet each."""
+    return cover_tiles(fp, zoom).groupBy("z", "x", "y").agg(F.count("*").alias("n_sources"))
 
 
 def tile_sources(tiles: DataFrame, fp: DataFrame, cell: float | None = None) -> DataFrame:

@@ -98,10 +98,8 @@ def tile_children(spark, d):
 
 
 def tiles_for_boxes(spark, d):
-    b = FX.boxes(spark, d)
-    t = b.select("id", F.explode(grid.tiles_for_bbox("west", "south", "east", "north", F.lit(6))).alias("t"))
-    return (t.groupBy(_i("t.z").alias("z"), _i("t.x").alias("x"), _i("t.y").alias("y"))
-             .agg(F.count("*").alias("n_boxes")))
+    t = J.cover_tiles(FX.boxes(spark, d), 6, key="id", west="west", south="south", east="east", north="north")
+    return t.groupBy(_i("z").alias("z"), _i("x").alias("x"), _i("y").alias("y")).agg(F.count("*").alias("n_boxes"))
 
 
 def tile_list_json(spark, d):
