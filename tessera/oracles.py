@@ -381,6 +381,8 @@ select t.z, t.x, t.y, fp.source_id""", 1)
             select gx, gy, {naive_sql('a', 'b')} naive, {zfactor_sql('a', 'b')} zfactor, {light_sql('(a * 2)', '(b * 2)')} i
             from ({g2})))""", "dem_dense")
     q["shade_halo"] = W(f"select gx, gy, {zfactor_sql('a', 'b')} shade from ({g2})", "dem_dense")
+    q["hillshade_light_blocks"] = q["hillshade_light"]
+    q["hillshade_naive_blocks"] = q["hillshade_naive"]
     q["tile_partitions"] = W(f"select {qk} qk, z, x, y from (select distinct z, x, y from ({site_tiles(14)}))", "sites")
     return q
 

@@ -487,12 +487,33 @@ def compare_shades(spark, d):
 
 def shade_halo(spark, d):
     """J5/W3/K3/Z6 in block form: strips to neighbours, z-factor shade per buffered tile, crop."""
+    sh = J.shade_tiles(spark, _dense_store(spark, d), FX.DEM_ZOOM, scratch_path(spark, "shade"), "zfactor",
+                       buffer=2, h=2.0)
+    c = B.unpack_blocks(sh)
+    return c.select("gx", "gy", _i("v").alias("shade"))
+
+
+def _dense_store(spark, d) -> str:
     store = scratch_path(spark, "dem-dense")
     blk = B.pack_blocks(FX.dem_dense(spark, d), S, FX.DEM_ZOOM, dtype="f8", nodata=FX.NODATA)
     SK.write_tiles(blk.where(F.col("valid_count") > 0), store)
-    sh = J.shade_tiles(spark, store, FX.DEM_ZOOM, scratch_path(spark, "shade"), "zfactor", buffer=2, h=2.0)
+    return store
+
+
+def hillshade_light_blocks(spark, d):
+    """T3 in block form: halo strips, light shade stretched per buffered tile, crop (same oracle)."""
+    sh = J.shade_tiles(spark, _dense_store(spark, d), FX.DEM_ZOOM, scratch_path(spark, "shade-light"),
+                       "light", buffer=2, h=1.0)
     c = B.unpack_blocks(sh)
-    return c.select("gx", "gy", _i("v").alias("shade"))
+    return c.select(_i(F.floor(F.col("gx") / S)).alias("tx"), _i(F.floor(F.col("gy") / S)).alias("ty"),
+                    "gx", "gy", _i("v").alias("shade"))
+
+
+def hillshade_naive_blocks(spark, d):
+    """T1 in block form (int32 shade tiles), same oracle as the cell form."""
+    sh = J.shade_tiles(spark, _dense_store(spark, d), FX.DEM_ZOOM, scratch_path(spark, "shade-naive"),
+                       "naive", buffer=2, h=2.0)
+    return B.unpack_blocks(sh).select("gx", "gy", _i("v").alias("shade"))
 
 
 # ====================================================================== ordering (O1, O2)
@@ -513,5 +534,5 @@ QUERIES = {f.__name__: f for f in (
     warp_bilinear_blocks, warp_nearest_blocks, warp_4326, warp_4326_nearest, warp_4326_blocks,
     pyramid_levels_cells, pyramid_average_cells,
     gradient, hillshade_naive, hillshade_zfactor, slope_aspect_trig, hillshade_light, shade_rgba,
-    compare_shades, shade_halo, tile_partitions,
+    compare_shades, shade_halo, hillshade_light_blocks, hillshade_naive_blocks, tile_partitions,
 )}
