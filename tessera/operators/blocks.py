@@ -310,21 +310,52 @@ STRIP_SCHEMA = T.StructType([
 
 
 def pack_strips(cells: DataFrame, width: int, dtype: str = "f8", nodata=None) -> DataFrame:
-    """Cells -> one block per raster row (``width`` x 1), the layout of strip-organised sources."""
+    """Cells -> one block per raster row (``width`` x 1), the layout of strip-organised sources.
+
+    Hash-partitioned and sorted by row, then a streaming Arrow pass builds all
+    finished rows of a batch at once (no per-row Python call)."""
     keyed = cells.select(F.col("gy").cast("bigint").alias("row"), F.col("gx").cast("int").alias("off"),
                          F.col("v").cast("double").alias("v"))
+    ordered = keyed.repartition("row").sortWithinPartitions("row")
+    return ordered.mapInArrow(lambda it: _strips_sorted(it, width, dtype, nodata), STRIP_SCHEMA)
+
+
+def _strips_sorted(batches, width: int, dtype: str, nodata):
+    arrow = pa.schema([("row", pa.int64()), ("width", pa.int32()), ("dtype", pa.string()),
+                       ("nodata", pa.float64()), ("data", pa.binary())])
+    carry = None
 
-    def _pack(key, tbl):
-        buf = np.full(width, np.nan)
-        buf[tbl.column("off").to_numpy()] = tbl.column("v").to_numpy(zero_copy_only=False)
-        arr, _ = from_float(buf, dtype, nodata)
-        return pa.Table.from_pylist([{"row": key[0].as_py(), "width": width, "dtype": dtype,
-                                      "nodata": nodata, "data": encode(arr, dtype)}],
-                                    schema=pa.schema([("row", pa.int64()), ("width", pa.int32()),
-                                                      ("dtype", pa.string()), ("nodata", pa.float64()),
-                                                      ("data", pa.binary())]))
-
-    return keyed.groupBy("row").applyInArrow(_pack, STRIP_SCHEMA)
+    def emit(rows, off, vals):
+        starts = np.concatenate(([0], np.flatnonzero(rows[1:] != rows[:-1]) + 1))
+        per_chunk = max(1, PACK_BYTES // (width * 8))
+        for c0 in range(0, len(starts), per_chunk):
+            st = starts[c0:c0 + per_chunk]
+            r0 = st[0]
+            r1 = starts[c0 + per_chunk] if c0 + per_chunk < len(starts) else len(rows)
+            tid = np.repeat(np.arange(len(st)), np.diff(np.concatenate((st, [r1]))))
+            buf = np.full((len(st), width), np.nan)
+            buf[tid, off[r0:r1]] = vals[r0:r1]
+            arr, _ = from_float(buf, dtype, nodata)
+            n = len(st)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(rows[st], pa.int64()), pa.array(np.full(n, width), pa.int32()),
+                pa.array([dtype] * n, pa.string()), pa.array([nodata] * n, pa.float64()),
+                pa.array([arr[i].tobytes() for i in range(n)], pa.binary())], schema=arrow)
+
+    for rb in batches:
+        if rb.num_rows == 0:
+            continue
+        cols = [rb.column(k).to_numpy(zero_copy_only=False) for k in ("row", "off", "v")]
+        cols[2] = cols[2].astype(np.float64)
+        if carry is not None:
+            cols = [np.concatenate((a, b)) for a, b in zip(carry, cols)]
+        rows = cols[0]
+        k = int(np.flatnonzero(rows != rows[-1]).max()) + 1 if (rows != rows[-1]).any() else 0
+        if k:
+            yield from emit(rows[:k], cols[1][:k], cols[2][:k])
+        carry = [c[k:] for c in cols]
+    if carry is not None and len(carry[0]):
+        yield from emit(*carry)
 
 
 def reblock_strips(strips: DataFrame, size: int, z: int, band: int = 1) -> DataFrame:

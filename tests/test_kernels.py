@@ -107,3 +107,21 @@ def test_streaming_pack_bounds_tiles_per_chunk(monkeypatch):
     assert sum(b.num_rows for b in batches) == 5 and len(batches) == 5
     out = pa.Table.from_batches(batches).to_pylist()
     assert [r["valid_count"] for r in out] == [2] * 5
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 9), st.integers(0, 5)), min_size=1, max_size=40, unique=True),
+       st.lists(st.integers(1, 39), max_size=3))
+def test_streaming_strips_equal_naive(cells, cuts):
+    rows = sorted((r, off, float(r * 10 + off)) for r, off in cells)
+    cols = list(zip(*rows))
+    tbl = pa.table({"row": pa.array(cols[0], pa.int64()), "off": pa.array(cols[1], pa.int32()),
+                    "v": pa.array(cols[2], pa.float64())})
+    bounds = sorted({c for c in cuts if c < len(rows)} | {0, len(rows)})
+    batches = [tbl.slice(a, b - a).to_batches()[0] for a, b in zip(bounds[:-1], bounds[1:]) if b > a]
+    out = pa.Table.from_batches(list(B._strips_sorted(iter(batches), 6, "f8", -1.0))).to_pylist()
+    got = {r["row"]: np.frombuffer(r["data"], dtype="<f8") for r in out}
+    exp = {}
+    for r, off, v in rows:
+        exp.setdefault(r, np.full(6, -1.0))[off] = v
+    assert got.keys() == exp.keys() and all(np.array_equal(got[k], exp[k]) for k in exp)
