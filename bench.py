@@ -71,7 +71,7 @@ def main() -> None:
     sc = spark.sparkContext
     # warm-up: JVM, Arrow Python workers, parquet footers
     sc.setJobGroup("warmup", "warmup")
-    for w in ("decimate", "dem_blocks_valid", "reblock"):   # scans, mapInArrow, grouped Arrow
+    for w in ("decimate", "dem_blocks_valid", "warp_nearest_blocks"):   # scans, mapInArrow, grouped Arrow
         QUERIES[w](spark, sf_dir).write.format("noop").mode("overwrite").save()
     times = {}
     for name in names:

@@ -389,20 +389,38 @@ def reblock_strips(strips: DataFrame, size: int, z: int, band: int = 1) -> DataF
             yield pa.RecordBatch.from_pydict(out, schema=pa.schema(
                 [(f.name, pa_type(f.dataType)) for f in seg_schema.fields]))
 
-    def _square(key, tbl):
-        x, y = key[0].as_py(), key[1].as_py()
-        rows = tbl.to_pylist()
-        buf = np.full((size, size), np.nan)
-        for r in rows:
-            buf[r["r"]] = np.frombuffer(r["seg"], dtype="<f8")
-        dtype, nodata = rows[0]["dtype"], rows[0]["nodata"]
-        arr, valid = from_float(buf, dtype, nodata)
-        if valid == 0:
-            return records_to_table([])
-        return records_to_table([block_record(z, x, y, band, size, dtype, nodata, arr, valid)])
+    def _squares(batches):
+        """Segments sorted by (x, y, r) -> one square block per (x, y) run."""
+        cur, parts, meta = None, [], None
+
+        def build():
+            buf = np.full((size, size), np.nan)
+            for r, seg in parts:
+                buf[r] = np.frombuffer(seg, dtype="<f8")
+            arr, valid = from_float(buf, meta[0], meta[1])
+            return block_record(z, cur[0], cur[1], band, size, meta[0], meta[1], arr, valid) if valid else None
+
+        for rb in batches:
+            c = rb.to_pydict()
+            done = []
+            for i in range(rb.num_rows):
+                key = (c["x"][i], c["y"][i])
+                if key != cur:
+                    if cur is not None:
+                        done.append(build())
+                    cur, parts, meta = key, [], (c["dtype"][i], c["nodata"][i])
+                parts.append((c["r"][i], c["seg"][i]))
+            done = [d for d in done if d is not None]
+            if done:
+                yield from records_to_table(done).to_batches()
+        if cur is not None:
+            last = build()
+            if last is not None:
+                yield from records_to_table([last]).to_batches()
 
     return (strips.mapInArrow(_cut, seg_schema)
-                  .groupBy("x", "y").applyInArrow(_square, BLOCK_SCHEMA))
+                  .repartition("x", "y").sortWithinPartitions("x", "y", "r")
+                  .mapInArrow(_squares, BLOCK_SCHEMA))
 
 
 # ------------------------------------------------------------------ generic kernels
