@@ -89,3 +89,23 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(27))
     x = x * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
+
+
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each byte span, by prefix sums of a polynomial modulo 2^64."""
+    n = len(data)
+    power = np.empty(n + 1, np.uint64)
+    power[0] = 1
+    power[1:] = _ODD
+    np.cumprod(power, out=power)
+    prefix = np.zeros(n + 1, np.uint64)
+    np.cumsum(power[:n] * (mix64(np.arange(256, dtype=np.uint64) + _ODD))[data], out=prefix[1:])
+    inverse = np.empty(n + 1, np.uint64)
+    inverse[0] = 1
+    inverse[1:] = _INV
+    np.cumprod(inverse, out=inverse)
+    return mix64((prefix[ends] - prefix[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))

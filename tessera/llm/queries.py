@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, exact_dedup, langid, quality, toxicity
+from tessera.llm import bpe, exact_dedup, langid, ngram_join, quality, toxicity
 from tessera.llm.common import held_out, table
 
 TOKENIZER = "byte_bpe_50k.tiktoken"
@@ -35,6 +35,10 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similarity_classes(table(spark, sf_dir, "documents"), n=4, pct=85)
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = quality.fit(docs, labels.where(~held_out("doc_id", 5, 0)))
@@ -46,6 +50,7 @@ QUERIES = {
     "op4_language_id": op4_language_id,
     "op5_toxicity": op5_toxicity,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_ngram_join": op9_ngram_join,
     "op10_quality": op10_quality,
 }
 
