@@ -37,8 +37,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import materialise, mix64, span_hashes, text_slices
 from tessera.llm.components import components, forest
 
-BITS, LONG_BITS = 512, 2048          # parity sketch of a set; of a set that 512 bits cannot tell apart
-LONG_SET = 1500
+BITS, LEVELS = 512, 8                 # parity sketch: 512 bits, doubled until it has 0.7 bits a token
 BLOCK = 1024                         # sets per block of a large group or a frequent token's bucket
 BLOCK_BYTES = 8 << 20
 HEAVY_SHARE = 0.001
@@ -107,18 +106,51 @@ def digests(tokens: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return out[0], out[1]
 
 
-def sketches(tokens: np.ndarray, off: np.ndarray) -> np.ndarray:
-    """LONG_BITS-bit parity sketch of every set (uint64 words); folding it by XOR gives the shorter one."""
-    docs = len(off) - 1
-    d = np.repeat(np.arange(docs), off[1:] - off[:-1])
-    bit = (mix64(tokens + SEEDS[2]) & np.uint64(LONG_BITS - 1)).astype(np.int64)
-    odd = np.bincount(d * LONG_BITS + bit, minlength=docs * LONG_BITS).reshape(docs, LONG_BITS) & 1
-    return np.packbits(odd.astype(np.uint8), axis=1).view(np.uint64)
-
-
-def fold(sketch: np.ndarray) -> np.ndarray:
-    w = BITS // 64
-    return np.bitwise_xor.reduce(sketch.reshape(len(sketch), -1, w), axis=1)
+def sketches(tokens: np.ndarray, off: np.ndarray) -> list[bytes]:
+    """Parity sketch of every set; XOR of its halves gives the sketch of half the length."""
+    sizes = off[1:] - off[:-1]
+    bits = np.full(len(sizes), BITS)
+    for _ in range(LEVELS - 1):
+        bits[(bits < 0.7 * sizes) & (bits < BITS << (LEVELS - 1))] *= 2
+    start = np.cumsum(bits) - bits
+    bit = (mix64(tokens + SEEDS[2]).astype(np.int64) & (np.repeat(bits, sizes) - 1)) + np.repeat(start, sizes)
+    raw = np.packbits((np.bincount(bit, minlength=int(bits.sum())) & 1).astype(np.uint8)).tobytes()
+    return [raw[a // 8:(a + b) // 8] for a, b in zip(start.tolist(), bits.tolist())]
+
+
+class Sketches:
+    """Sketches of some sets, comparable pair by pair at the length of the shorter one."""
+
+    def __init__(self, raw: list[bytes]) -> None:
+        lengths = np.array([len(r) for r in raw])
+        self.level = np.log2(lengths // (BITS // 8)).astype(np.int64) if len(raw) else lengths
+        self.at, self.rows = {}, {}
+        for k in np.unique(self.level).tolist():
+            width = (BITS >> 6) << k
+            own = np.flatnonzero(self.level == k)
+            up = np.flatnonzero(self.level == k + 1)          # similar sets differ by one level at most
+            rows = [np.frombuffer(b"".join([raw[i] for i in own.tolist()]), np.uint64).reshape(len(own), width)]
+            if len(up):
+                more = np.frombuffer(b"".join([raw[i] for i in up.tolist()]), np.uint64).reshape(len(up), 2 * width)
+                rows.append(more[:, :width] ^ more[:, width:])
+            self.rows[k] = np.concatenate(rows)
+            self.at[k] = np.full(len(raw), -1)
+            self.at[k][own] = np.arange(len(own))
+            self.at[k][up] = len(own) + np.arange(len(up))
+
+    def distance(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Hamming distances: lower bounds of the sets' symmetric differences."""
+        out = np.zeros(len(i), np.int64)
+        low = np.minimum(self.level[i], self.level[j])
+        for k in np.unique(low).tolist():
+            pick = np.flatnonzero(low == k)
+            a, b = self.at[k][i[pick]], self.at[k][j[pick]]
+            known = (a >= 0) & (b >= 0)                       # levels further apart: no bound, distance 0
+            pick, a, b = pick[known], a[known], b[known]
+            for lo in range(0, len(pick), 1 << 14):
+                hi = lo + (1 << 14)
+                out[pick[lo:hi]] = np.bitwise_count(self.rows[k][a[lo:hi]] ^ self.rows[k][b[lo:hi]]).sum(axis=1, dtype=np.int64)
+        return out
 
 
 def ordered(tokens: np.ndarray, seed: np.uint64, heavy: np.ndarray) -> np.ndarray:
@@ -130,20 +162,32 @@ def ordered(tokens: np.ndarray, seed: np.uint64, heavy: np.ndarray) -> np.ndarra
     return key
 
 
+def extra(sizes: np.ndarray) -> np.ndarray:
+    """How many tokens the long prefix (see `prefixes`) is longer by."""
+    return sizes // 10
+
+
 def prefix_lengths(sizes: np.ndarray, pct: int) -> np.ndarray:
     return np.where(sizes > 0, sizes - (pct * sizes + 99) // 100 + 1, 0)
 
 
-def prefixes(tokens: np.ndarray, off: np.ndarray, seed: np.uint64, heavy: np.ndarray, pct: int) -> tuple[np.ndarray, np.ndarray]:
-    """(order keys of all prefix tokens, index of each one's token)."""
+def prefixes(tokens: np.ndarray, off: np.ndarray, seed: np.uint64, heavy: np.ndarray, pct: int,
+             long: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order keys of all prefix tokens, index of each one's token, does it lie within the plain prefix).
+
+    With `long` the prefixes are longer by `extra`.  Similar sets then share at least `extra` - 1 tokens
+    of them: of the set a whose long prefix ends first, at most n_a - p_a tokens lie beyond, and the
+    overlap is t max(n_a, n_b) or more.
+    """
     sizes = off[1:] - off[:-1]
     key = ordered(tokens, seed, heavy)
     d = np.repeat(np.arange(len(sizes)), sizes)
     order = np.argsort(key)
     order = order[np.argsort(d[order].astype(np.uint32), kind="stable")]
     rank = np.arange(len(order)) - np.repeat(off[:-1], sizes)
-    order = order[rank < np.repeat(prefix_lengths(sizes, pct), sizes)]
-    return key[order], order
+    plain = prefix_lengths(sizes, pct)
+    keep = rank < np.repeat(np.minimum(plain + extra(sizes), sizes) if long else plain, sizes)
+    return key[order[keep]], order[keep], (rank < np.repeat(plain, sizes))[keep]
 
 
 def allowed_difference(a: np.ndarray, b: np.ndarray, pct: int) -> np.ndarray:
@@ -176,8 +220,6 @@ def _summaries(n: int):
                 tokens, to = shingle_sets(data, off, n)
                 d1, d2 = digests(tokens, to)
                 size = to[1:] - to[:-1]
-                long = sketches(tokens, to)
-                short = fold(long)
                 fresh = np.zeros(len(size), bool)
                 for i, x in enumerate(d1.tolist()):
                     if size[i] and x not in seen:
@@ -189,7 +231,7 @@ def _summaries(n: int):
                     compact()
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.zeros(len(size), np.int32)), rows.column(0), pa.array(size), pa.array(d1), pa.array(d2),
-                    pa.array([(long if z > LONG_SET else short)[i].tobytes() for i, z in enumerate(size.tolist())], pa.binary())],
+                    pa.array(sketches(tokens, to), pa.binary())],
                     names=names)
         if held:
             compact()
@@ -203,7 +245,9 @@ def _summaries(n: int):
 
 
 def _entries(n: int, pct: int, heavy, blocks):
-    """(bucket, side, d1) of the order-1 prefixes; a frequent token's bucket is dealt over block pairs."""
+    """(bucket, side, core, d1, need) of the long order-1 prefixes; a frequent token's bucket is dealt over block pairs.
+
+    core: within the plain prefix.  need: how many more of the set's entries must meet another set's."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot, count = heavy.value, blocks.value
         seen: set[int] = set()
@@ -211,15 +255,16 @@ def _entries(n: int, pct: int, heavy, blocks):
             for _, data, off in text_slices(batch, "text"):
                 tokens, to = shingle_sets(data, off, n)
                 d1, _ = digests(tokens, to)
-                key, at = prefixes(tokens, to, SEEDS[0], hot, pct)
+                key, at, core = prefixes(tokens, to, SEEDS[0], hot, pct, long=True)
                 d = np.repeat(np.arange(len(to) - 1), to[1:] - to[:-1])[at]
+                need = extra(to[1:] - to[:-1]) - 2 - np.bincount(d[key >= TOP], minlength=len(to) - 1)
                 fresh = np.zeros(len(d1), bool)
                 for i, x in enumerate(d1.tolist()):
                     if x not in seen:
                         seen.add(x)
                         fresh[i] = True
                 keep = fresh[d]
-                key, at, d = key[keep], at[keep], d[keep]
+                key, at, d, core = key[keep], at[keep], d[keep], core[keep]
                 of = d1[d]
                 nb = np.ones(len(key), np.int64)
                 if len(hot):
@@ -230,72 +275,52 @@ def _entries(n: int, pct: int, heavy, blocks):
                 other = np.arange(len(rep)) - np.repeat(np.cumsum(nb) - nb, nb)
                 lo, hi = np.minimum(own[rep], other), np.maximum(own[rep], other)
                 bucket = mix64(key[rep] + mix64((lo << 32 | hi).astype(np.uint64) + np.uint64(1))).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array((own[rep] != lo) & (lo != hi)), pa.array(of[rep])],
-                                                 names=["bucket", "side", "d1"])
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(bucket), pa.array((own[rep] != lo) & (lo != hi)), pa.array(core[rep]), pa.array(of[rep]),
+                    pa.array(need[d][rep].astype(np.int32))], names=["bucket", "side", "core", "d1", "need"])
     return run
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Entries of buckets with two sets or more (a partition holds whole buckets)."""
-    got = [(b.column(0).to_numpy(), b.column(1).to_numpy(zero_copy_only=False), b.column(2).to_numpy()) for b in batches]
+    got = [tuple(b.column(k).to_numpy(zero_copy_only=False) for k in range(5)) for b in batches]
     if not got:
         return
-    bucket, side, d1 = (np.concatenate(c) for c in zip(*got))
+    cols = [np.concatenate(c) for c in zip(*got)]
     del got
-    order = np.lexsort((d1, bucket))
-    bucket, side, d1 = bucket[order], side[order], d1[order]
+    order = np.lexsort((cols[3], cols[0]))
+    bucket, d1 = cols[0][order], cols[3][order]
     new = np.ones(len(bucket), bool)                        # the same set may come from several map tasks
     new[1:] = (bucket[1:] != bucket[:-1]) | (d1[1:] != d1[:-1])
-    bucket, side, d1 = bucket[new], side[new], d1[new]
+    order, bucket = order[new], bucket[new]
     same = bucket[1:] == bucket[:-1]
     keep = np.zeros(len(bucket), bool)
     keep[1:] |= same
     keep[:-1] |= same
-    bucket, side, d1 = bucket[keep], side[keep], d1[keep]
-    for lo in range(0, len(bucket), 1 << 16):
-        hi = lo + (1 << 16)
-        yield pa.RecordBatch.from_arrays([pa.array(bucket[lo:hi]), pa.array(side[lo:hi]), pa.array(d1[lo:hi])],
-                                         names=["bucket", "side", "d1"])
+    order = order[keep]
+    for lo in range(0, len(order), 1 << 16):
+        part = order[lo:lo + (1 << 16)]
+        yield pa.RecordBatch.from_arrays([pa.array(c[part]) for c in cols], names=["bucket", "side", "core", "d1", "need"])
 
 
 def _candidates(pct: int):
     """Spanning forest of the pairs of each bucket that pass the size and sketch filters."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = BITS // 64
         edges = (np.zeros(0, np.int64), np.zeros(0, np.int64))
         tail: tuple | None = None
 
-        def passing(i, j, size, short, long, where):
+        def passing(i, j, size, sketch):
             a, b = size[i], size[j]
             ok = 100 * np.minimum(a, b) >= pct * np.maximum(a, b)
             i, j, a, b = i[ok], j[ok], a[ok], b[ok]
-            most = allowed_difference(a, b, pct)
-            ok = np.bitwise_count(short[i] ^ short[j]).sum(axis=1) <= most
-            i, j, most = i[ok], j[ok], most[ok]
-            both = np.flatnonzero((where[i] >= 0) & (where[j] >= 0))
-            if len(both):
-                far = np.bitwise_count(long[where[i[both]]] ^ long[where[j[both]]]).sum(axis=1) > most[both]
-                ok = np.ones(len(i), bool)
-                ok[both[far]] = False
-                i, j = i[ok], j[ok]
-            return i, j
+            ok = sketch.distance(i, j) <= allowed_difference(a, b, pct)
+            return i[ok], j[ok]
 
         def treat(bucket, side, d1, size, sketch):
             nonlocal edges
             order = np.argsort(bucket, kind="stable")
             bucket, side, d1, size = bucket[order], side[order], d1[order], size[order]
-            raw = [sketch[k] for k in order.tolist()]
-            where, long = np.full(len(raw), -1), []
-            short = np.zeros((len(raw), words), np.uint64)
-            for k, r in enumerate(raw):
-                s = np.frombuffer(r, np.uint64)
-                if len(s) > words:
-                    where[k] = len(long)
-                    long.append(s)
-                    short[k] = np.bitwise_xor.reduce(s.reshape(-1, words), axis=0)
-                else:
-                    short[k] = s
-            long = np.array(long) if long else np.zeros((0, LONG_BITS // 64), np.uint64)
+            sketch = Sketches([sketch[k] for k in order.tolist()])
             starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
             length = np.diff(np.append(starts, len(bucket)))
             run_len = np.repeat(length, length)
@@ -309,13 +334,13 @@ def _candidates(pct: int):
                     break
                 j = i + step
                 ok = ~split[i] | (side[i] != side[j])
-                found.append(passing(i[ok], j[ok], size, short, long, where))
+                found.append(passing(i[ok], j[ok], size, sketch))
             for s0, m in zip(starts[length > 64].tolist(), length[length > 64].tolist()):
                 for x in range(s0, s0 + m - 1):                # row by row: memory stays with the bucket's length
                     j = np.arange(x + 1, s0 + m)
                     if split[x]:
                         j = j[side[j] != side[x]]
-                    found.append(passing(np.full(len(j), x), j, size, short, long, where))
+                    found.append(passing(np.full(len(j), x), j, size, sketch))
                     if len(found) > 256:
                         found = [forest(*(np.concatenate(c) for c in zip(*found)))]
             i, j = (np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
@@ -376,7 +401,7 @@ def similar_pairs(tokens: np.ndarray, off: np.ndarray, split: int | None, heavy:
     for seed in SEEDS[1:]:                                     # the other orders' filters, intersected
         if not ok.any():
             break
-        key, at = prefixes(tokens, off, seed, heavy, pct)
+        key, at, _ = prefixes(tokens, off, seed, heavy, pct)
         ok &= overlaps(d[at], key, m, split) > 0
     i, j = np.nonzero(ok)
     if not len(i):
@@ -471,10 +496,15 @@ def similarity_classes(docs: DataFrame, n: int = 5, pct: int = 80, id_col: str =
     heavy = sc.broadcast(token[order])
     blocks = sc.broadcast(np.maximum(1, -(-hot["c"].to_numpy(np.int64)[order] // (2 * BLOCK))))
 
-    entries = texts.mapInArrow(_entries(n, pct, heavy, blocks), "bucket long, side boolean, d1 long")
-    shared = entries.repartition("bucket").mapInArrow(_shared, "bucket long, side boolean, d1 long")
+    kinds = "bucket long, side boolean, core boolean, d1 long, need int"
+    entries = texts.mapInArrow(_entries(n, pct, heavy, blocks), kinds)
+    shared = materialise(entries.repartition("bucket").mapInArrow(_shared, kinds), "shared")
+    # a set with too few entries that meet another set's is in no similar pair (frequent tokens count in `need`)
+    hopeful = shared.groupBy("d1").agg(F.count("*").alias("met"), F.max("need").alias("least")).where(
+        F.col("met") >= F.col("least")).select(F.col("d1").alias("e1"))
     known = reps.groupBy("d1").agg(F.min("size").alias("size"), F.min("sketch").alias("sketch"))
-    met = shared.join(known, "d1").select("bucket", "side", "d1", "size", "sketch")
+    known = known.join(hopeful, known["d1"] == hopeful["e1"], "left_semi")
+    met = shared.where("core").select("bucket", "side", "d1").join(known, "d1").select("bucket", "side", "d1", "size", "sketch")
     edges = met.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_candidates(pct), "u long, v long")
     grouped = components(edges)
 
