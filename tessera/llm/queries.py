@@ -6,12 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, exact_dedup, langid, ngram_join, quality, toxicity
+from tessera.llm import bpe, chat_tree, exact_dedup, grid_join, langid, mixing, ngram_join, quality, toxicity
 from tessera.llm.common import held_out, table
 
 TOKENIZER = "byte_bpe_50k.tiktoken"
 
 
+def op1_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text")
+    nodes, paths = chat_tree.format_tree(turns.unionByName(chat_tree.probe(spark)))
+    return chat_tree.read_back(nodes, paths)
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.classes(table(spark, sf_dir, "documents"))
     return found.withColumn("text_sha256", F.lower(F.hex("digest"))).drop("digest")
@@ -29,6 +35,16 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "score", "predicted")
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixing.calibrate(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "source", "lang", "topic", "tokens",
+                      *[F.round(c, 6).alias(c) for c in ("rate", "p", "weight")], "sampled")
+
+
+def op7_grid_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grid_join.link_classes(table(spark, sf_dir, "embeddings"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(TOKENIZER)
     back = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
@@ -46,9 +62,12 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_chat_tree": op1_chat_tree,
     "op2_exact_dedup": op2_exact_dedup,
     "op4_language_id": op4_language_id,
     "op5_toxicity": op5_toxicity,
+    "op6_mixing": op6_mixing,
+    "op7_grid_join": op7_grid_join,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_ngram_join": op9_ngram_join,
     "op10_quality": op10_quality,
@@ -59,4 +78,5 @@ ORACLES = {
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))""",
+    "op6_mixing": mixing.oracle(),
 }
