@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, chat_tree, exact_dedup, grid_join, langid, mixing, ngram_join, quality, toxicity
+from tessera.llm import bpe, chat_tree, exact_dedup, grid_join, langid, mixing, ngram_join, quality, suffix_dedup, toxicity
 from tessera.llm.common import held_out, table
 
 TOKENIZER = "byte_bpe_50k.tiktoken"
@@ -23,6 +23,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("text_sha256", F.lower(F.hex("digest"))).drop("digest")
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.deduplicate(table(spark, sf_dir, "documents"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.fit(docs.where(~held_out("doc_id", 5, 0)))
@@ -64,6 +68,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_chat_tree": op1_chat_tree,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_language_id": op4_language_id,
     "op5_toxicity": op5_toxicity,
     "op6_mixing": op6_mixing,
