@@ -93,19 +93,26 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+_BYTE = mix64(np.arange(256, dtype=np.uint64) + _ODD)
+
+
+class SpanHasher:
+    """64-bit hashes of byte spans of one buffer, by prefix sums of a polynomial modulo 2^64."""
+
+    def __init__(self, data: np.ndarray) -> None:
+        n = len(data)
+        power = np.full(n + 1, _ODD)
+        power[0] = 1
+        np.cumprod(power, out=power)
+        self.prefix = np.zeros(n + 1, np.uint64)
+        np.cumsum(power[:n] * _BYTE[data], out=self.prefix[1:])
+        power.fill(_INV)
+        power[0] = 1
+        self.inverse = np.cumprod(power, out=power)
+
+    def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return mix64((self.prefix[ends] - self.prefix[starts]) * self.inverse[starts] + (ends - starts).astype(np.uint64))
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte span, by prefix sums of a polynomial modulo 2^64."""
-    n = len(data)
-    power = np.empty(n + 1, np.uint64)
-    power[0] = 1
-    power[1:] = _ODD
-    np.cumprod(power, out=power)
-    prefix = np.zeros(n + 1, np.uint64)
-    np.cumsum(power[:n] * (mix64(np.arange(256, dtype=np.uint64) + _ODD))[data], out=prefix[1:])
-    inverse = np.empty(n + 1, np.uint64)
-    inverse[0] = 1
-    inverse[1:] = _INV
-    np.cumprod(inverse, out=inverse)
-    return mix64((prefix[ends] - prefix[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    return SpanHasher(data)(starts, ends)

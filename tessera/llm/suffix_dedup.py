@@ -9,12 +9,12 @@ positions.  So
    length L with this anchor can cover); equal contexts are collapsed before the shuffle;
 2. anchors are grouped by their K-gram; occurrences with equal contexts cover them whole, K-grams
    with one context only vanish;
-3. the K-grams left bring one context per class.  The contexts of a group, cut into chunks of 16
+3. the K-grams left bring one context per class.  The contexts of a group, cut into chunks of 48
    bytes aligned at the anchor, form one integer string.  Its suffix array is built by grouping:
    phase 1 takes the groups of suffixes with equal Lyndon prefixes in descending order and moves the
    suffixes that their previous-smaller pointers name into new groups; phase 2 emits each group's order
-   by following those pointers, without renaming or recursion.  Suffixes of equal rank over L - 16 bytes
-   are candidate strings; the bytes before and after the chunks decide.
+   by following those pointers, without renaming or recursion.  Suffixes that agree over all the
+   whole chunks of a string of length L are candidates; the bytes before and after the chunks decide.
 
 Equal texts are one unit: if two documents share a text of at least L bytes, all of it goes.
 
@@ -32,11 +32,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import discard, materialise, mix64, span_hashes, text_slices
+from tessera.llm.common import SpanHasher, discard, materialise, mix64, text_slices
 
 LENGTH = 400                 # bytes of a repeated string
 GRAM = 200                   # bytes of an anchor's K-gram
-CHUNK = 16
+CHUNK = 48                   # bytes of a symbol
 SLICE = 1 << 20              # bytes of text treated at once
 CONTEXTS = 4096              # contexts of one suffix array (whole groups)
 
@@ -135,8 +135,8 @@ def anchors(data: np.ndarray, off: np.ndarray, length: int, gram: int):
     n, w = len(data), length - gram + 1
     if n < length:
         return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),) * 2 + (np.zeros(0, np.int64),) * 2
-    every = np.arange(n - gram + 1)
-    h = span_hashes(data, every, every + gram)
+    spans = SpanHasher(data)
+    h = mix64((spans.prefix[gram:] - spans.prefix[:n - gram + 1]) * spans.inverse[:n - gram + 1])   # of every position
     low = _sliding(h, w, np.minimum)
     doc = np.repeat(np.arange(len(off) - 1), off[1:] - off[:-1])
     low[doc[:len(low)] != doc[length - 1:]] = 0             # strings across documents do not count
@@ -144,7 +144,7 @@ def anchors(data: np.ndarray, off: np.ndarray, length: int, gram: int):
     at = np.flatnonzero(_sliding(padded, w, np.maximum)[:len(h)] == h)
     d = doc[at]
     before, after = np.minimum(length - gram, at - off[d]), np.minimum(length, off[d + 1] - at)
-    context = mix64(span_hashes(data, at - before, at + after) + before.astype(np.uint64))
+    context = mix64(spans(at - before, at + after) + before.astype(np.uint64))
     return at, d, h[at], context, before, after
 
 
@@ -284,9 +284,9 @@ def repeated_strings(gram: np.ndarray, before: np.ndarray, contexts: list[bytes]
     ctx = np.repeat(np.arange(m), per)
     chunk = np.arange(int(per.sum())) - np.repeat(np.cumsum(per) - per, per) + np.repeat(lo, per)
     starts = zero[ctx] + CHUNK * chunk
-    words = np.lib.stride_tricks.sliding_window_view(data, CHUNK)[starts].copy().view(f"V{CHUNK}").ravel()
-    _, symbol = np.unique(words.view(">u8").reshape(-1, 2), axis=0, return_inverse=True)
-    symbol = symbol.ravel() + 2                             # 1 ends a context, 0 the string
+    spans = SpanHasher(data)
+    _, symbol = np.unique(spans(starts, starts + CHUNK), return_inverse=True)
+    symbol = symbol + 2                                     # 1 ends a context, 0 the string
     where = np.arange(len(symbol)) + ctx                    # one separator after every context
     s = np.ones(len(symbol) + m + 1, np.int64)
     s[where], s[-1] = symbol, 0
@@ -316,8 +316,8 @@ def repeated_strings(gram: np.ndarray, before: np.ndarray, contexts: list[bytes]
             continue
         a = zero[o] + rr
         tail = a + delta + CHUNK * need
-        key = mix64(core[ok] + mix64(span_hashes(data, a, a + delta) + np.uint64(delta)) * np.uint64(3)
-                    + mix64(span_hashes(data, tail, a + length)) * np.uint64(5))
+        key = mix64(core[ok] + mix64(spans(a, a + delta) + np.uint64(delta)) * np.uint64(3)
+                    + mix64(spans(tail, a + length)) * np.uint64(5))
         _, inv, n = np.unique(key, return_inverse=True, return_counts=True)
         hit = n[inv] > 1
         np.minimum.at(first, o[hit], rr[hit])
