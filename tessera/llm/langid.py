@@ -162,13 +162,20 @@ def fit(train: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col
     return build(langs, [every[(rate[i] > 0) & (rate[i] >= ratio * best)] for i in range(len(langs))], prior)
 
 
-def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
-            keep: list[str] | None = None) -> DataFrame:
-    """Per document: id (and the columns `keep`), lang_pred, score (the winner's share of all corrected counts, 0 to 1)
-    and known (corrected count of the winner per n-gram of the text)."""
-    keep = [c for c in (keep or []) if c != id_col]
-    kept = [id_col, *keep]
+def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per document: id, lang_pred, score (the winner's share of all corrected counts, 0 to 1) and known (corrected
+    count of the winner per n-gram of the text)."""
+    return _predicted(docs, model, [id_col], text_col).withColumnRenamed("c0", id_col)
 
+
+def accepted(docs: DataFrame, model: Model, min_known: float = 0.05, text_col: str = "text") -> DataFrame:
+    """The rows of `docs` with a known language: not `und`, and at least `min_known` of the n-grams recognised."""
+    out = _predicted(docs, model, docs.columns, text_col).where((F.col("lang_pred") != UND) & (F.col("known") >= min_known))
+    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
+def _predicted(docs: DataFrame, model: Model, kept: list[str], text_col: str) -> DataFrame:
+    """The columns `kept` as c0, c1, ..., then lang_pred, score and known."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.array([*model.langs, UND], object)
         for batch in batches:
@@ -195,6 +202,5 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
     cols = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)]
     kinds = ", ".join(f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(kept))
-    out = docs.select(*cols, F.col(f"`{text_col}`").alias("__t_text")).mapInArrow(
+    return docs.select(*cols, F.col(f"`{text_col}`").alias("__t_text")).mapInArrow(
         run, f"{kinds}, lang_pred string, score double, known double")
-    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(kept)], "lang_pred", "score", "known")
