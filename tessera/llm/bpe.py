@@ -176,7 +176,7 @@ def byte_pieces(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 class Vocabulary:
     """Ranks of a tiktoken file, the cache of merged pieces, and the flat table for decoding."""
 
-    CACHE = 200_000                                        # pieces per generation; two generations are held
+    CACHE = 120_000                                        # pieces per generation; two generations are held
 
     def __init__(self, path: str) -> None:
         with open(path, "rb") as fh:

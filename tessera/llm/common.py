@@ -14,7 +14,7 @@ from tessera.session import scratch_path
 
 # Kernels work on slices of at most this many bytes of text (plus one row), so that
 # the NumPy temporaries of a task do not depend on how Spark cut its Arrow batches.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -26,10 +26,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import mix64, segment_sums, text_slices
+from tessera.llm.common import discard, materialise, mix64, segment_sums, text_slices
 
 UND = "und"
-SAMPLE_PER_LANG = 1500       # training documents per language (documented bound of the fit)
+SAMPLE_PER_LANG = 1500       # expected training documents per language (documented bound of the fit)
 GRAMS_PER_LANG = 200_000     # n-grams per filter, the most frequent ones
 HASHES = 3
 BITS_PER_GRAM = 16
@@ -119,15 +119,19 @@ def build(langs: list[str], sets: list[np.ndarray], prior: int) -> Model:
 
 def fit(train: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id",
         sample_per_lang: int = SAMPLE_PER_LANG, min_count: int = 3, ratio: float = 0.3) -> Model:
-    """Learn the filters from at most `sample_per_lang` documents of each language, chosen by a hash of the id.
+    """Learn the filters from about `sample_per_lang` documents of each language (all, if there are fewer): those whose
+    id hashes below the language's rate.
 
-    Only n-gram counts reach the driver, at most GRAMS_PER_LANG per language.
+    Only n-gram counts reach the driver, at most GRAMS_PER_LANG per language, and one count per language.
     """
-    w = Window.partitionBy("lang").orderBy("h", "id")
-    picked = (train.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-              .select(F.col(id_col).cast("string").alias("id"), F.col(lang_col).cast("string").alias("lang"),
-                      F.col(text_col).alias("text"), F.xxhash64(F.col(id_col).cast("string")).alias("h"))
-              .withColumn("r", F.row_number().over(w)).where(F.col("r") <= sample_per_lang).select("lang", "text"))
+    known = train.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+    sizes = {r["lang"]: r["n"] for r in known.groupBy(F.col(lang_col).cast("string").alias("lang")).agg(F.count("*").alias("n")).collect()}
+    if not sizes:
+        return Model([], np.zeros((0, 1024), np.uint64), np.zeros(0), 0)
+    rates = F.create_map(*[x for k, n in sorted(sizes.items()) for x in (F.lit(k), F.lit(min(1.0, sample_per_lang / n)))])
+    draw = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 32)) / float(1 << 32)
+    picked = known.where(draw < rates[F.col(lang_col).cast("string")]).select(
+        F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -141,23 +145,20 @@ def fit(train: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col
                      pa.array((key & np.uint64(0xFFFFFFFF)).astype(np.int64)), pa.array(n.astype(np.int64))],
                     names=["lang", "gram", "n"])
 
-    counts = picked.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counts = materialise(picked.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")), "ngrams")
     total = counts.groupBy("lang").agg(F.sum("n").alias("t"))
     top = counts.where(F.col("n") >= min_count).withColumn(
         "r", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))).where(F.col("r") <= GRAMS_PER_LANG)
     got = top.select("lang", "gram", "n").toPandas()
     totals = {r["lang"]: r["t"] for r in total.collect()}
-    langs = sorted(totals)
-    if not langs:
-        return Model([], np.zeros((0, 1024), np.uint64), np.zeros(0), 0)
-    sizes = {r["lang"]: r["n"] for r in train.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-             .groupBy(F.col(lang_col).cast("string").alias("lang")).agg(F.count("*").alias("n")).collect()}
+    discard(counts)
+    langs = sorted(sizes)
     prior = max(range(len(langs)), key=lambda i: (sizes.get(langs[i], 0), -i))
     every = np.unique(got["gram"].to_numpy(np.int64))
     rate = np.zeros((len(langs), len(every)))
     for i, name in enumerate(langs):
         mine = got[got["lang"] == name]
-        rate[i, np.searchsorted(every, mine["gram"].to_numpy(np.int64))] = mine["n"].to_numpy() / totals[name]
+        rate[i, np.searchsorted(every, mine["gram"].to_numpy(np.int64))] = mine["n"].to_numpy() / totals.get(name, 1)
     best = rate.max(axis=0, initial=0.0)
     return build(langs, [every[(rate[i] > 0) & (rate[i] >= ratio * best)] for i in range(len(langs))], prior)
 
@@ -176,12 +177,13 @@ def accepted(docs: DataFrame, model: Model, min_known: float = 0.05, text_col: s
 
 def _predicted(docs: DataFrame, model: Model, kept: list[str], text_col: str) -> DataFrame:
     """The columns `kept` as c0, c1, ..., then lang_pred, score and known."""
+    at = kept.index(text_col) if text_col in kept else len(kept)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.array([*model.langs, UND], object)
         for batch in batches:
-            letters = pc.fill_null(pc.match_substring_regex(batch.column(batch.num_columns - 1), r"\p{L}"), False)
-            batch = lowered(batch.append_column("__t_letters", letters), "__t_text")
-            for rows, data, off in text_slices(batch, "__t_text"):
+            letters = pc.fill_null(pc.match_substring_regex(batch.column(at), r"\p{L}"), False)
+            batch = batch.append_column("__t_low", pc.utf8_lower(batch.column(at))).append_column("__t_letters", letters)
+            for rows, data, off in text_slices(batch, "__t_low"):
                 n = len(rows)
                 has = rows.column(rows.num_columns - 1).to_numpy(zero_copy_only=False)
                 if model.langs:
@@ -202,5 +204,7 @@ def _predicted(docs: DataFrame, model: Model, kept: list[str], text_col: str) ->
 
     cols = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)]
     kinds = ", ".join(f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(kept))
-    return docs.select(*cols, F.col(f"`{text_col}`").alias("__t_text")).mapInArrow(
+    if text_col not in kept:
+        cols.append(F.col(f"`{text_col}`").alias("__t_text"))
+    return docs.select(*cols).mapInArrow(
         run, f"{kinds}, lang_pred string, score double, known double")
