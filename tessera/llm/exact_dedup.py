@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MEMORY_BYTES = 64 << 20      # content held by one open-addressing table
 FANOUT = 16                  # spill files per level of recursion
@@ -212,12 +213,13 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", payl
            memory: int = MEMORY_BYTES) -> DataFrame:
     """One row per distinct text: digest (sha-256), keep_id (largest id), group_size, and - if asked - the
     kept row's `payload` columns as a struct, with the content."""
-    cols = [F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("content")]
-    types, out_types = _TYPES, "digest binary, keep_id long, group_size long"
+    cols = [F.col(f"`{id_col}`").cast("long").alias("id"),
+            F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary").alias("content")]
+    types, out_types = T.StructType.fromDDL(_TYPES), T.StructType.fromDDL("digest binary, keep_id long, group_size long")
     if payload is not None:
-        cols.append(F.struct(*[F.col(f"`{c}`") for c in payload], F.col(text_col).isNull().alias("__t_null")).alias("payload"))
-        kind = docs.select(*cols).schema["payload"].dataType.simpleString()
-        types = out_types = f"{_TYPES}, payload {kind}"
+        cols.append(F.struct(*[F.col(f"`{c}`").alias(f"p{i}") for i, c in enumerate(payload)],
+                             F.col(f"`{text_col}`").isNull().alias("no_text")).alias("payload"))
+        types = out_types = T.StructType([*types.fields, docs.select(*cols).schema["payload"]])
     local = docs.select(*cols).mapInArrow(_combiner(memory), types)
     return local.repartition(F.col("digest")).mapInArrow(_reducer(memory, payload is not None), out_types)
 
@@ -240,6 +242,6 @@ def survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
     """The kept row of every group, with all columns of `docs` in their order; exactly one row per distinct text."""
     rest = [c for c in docs.columns if c != text_col]
     kept = groups(docs, id_col, text_col, payload=rest, memory=memory)
-    text = F.when(~F.col("payload.__t_null"), F.col("content").cast("string"))
-    return kept.select(*[(text if c == text_col else F.col(f"payload.`{c}`")).cast(docs.schema[c].dataType).alias(c)
+    text = F.when(~F.col("payload.no_text"), F.col("content").cast("string"))
+    return kept.select(*[(text if c == text_col else F.col(f"payload.p{rest.index(c)}")).cast(docs.schema[c].dataType).alias(c)
                          for c in docs.columns])
