@@ -83,13 +83,16 @@ def mosaic_paint(df: DataFrame, order=("priority", "tie"), keys=("gx", "gy"), va
 
 
 # ------------------------------------------------------------------ A5 / R1 average
-def resample_average(df: DataFrame, factor: int = 2, keys=("gx", "gy"), value: str = "v",
+def resample_average(df: DataFrame, factor: float = 2, keys=("gx", "gy"), value: str = "v",
                      extra_keys=()) -> DataFrame:
-    """Mean of the valid source cells whose centre lies in the target cell (integer factor)."""
+    """Mean of the valid source cells whose centre lies in the target cell."""
     gx, gy = keys
+    if factor == int(factor):
+        cell = lambda c: F.floor(F.col(c) / int(factor)).cast("bigint")
+    else:
+        cell = lambda c: F.floor((F.col(c) + 0.5) / factor).cast("bigint")
     return (df.where(F.col(value).isNotNull())
-              .groupBy(*extra_keys, F.floor(F.col(gx) / factor).cast("bigint").alias(gx),
-                       F.floor(F.col(gy) / factor).cast("bigint").alias(gy))
+              .groupBy(*extra_keys, cell(gx).alias(gx), cell(gy).alias(gy))
               .agg(F.sum(value).alias("vsum"), F.count(value).alias("vcount"))
               .withColumn("v", F.col("vsum").cast("double") / F.col("vcount")))
 
@@ -119,7 +122,7 @@ def _explode_range(df: DataFrame, lo: Column, hi: Column, name: str) -> DataFram
               .where(F.col(name).isNotNull()))
 
 
-def warp_nearest(df: DataFrame, ratio: float) -> DataFrame:
+def warp_nearest(df: DataFrame, ratio: float, extra_keys=()) -> DataFrame:
     """Nearest resampling onto a grid of ``ratio`` source pixels per target pixel.
 
     Target (tx, ty) takes source cell floor((t + .5)*ratio).  Written as a
@@ -127,12 +130,12 @@ def warp_nearest(df: DataFrame, ratio: float) -> DataFrame:
     holds and keeps those meeting the exact inverse rule -- a narrow map, no join.
     """
     r = float(ratio)
-    c = df.where(F.col("v").isNotNull()).select("gx", "gy", "v")
+    c = df.where(F.col("v").isNotNull()).select(*extra_keys, "gx", "gy", "v")
     c = _explode_range(c, F.col("gx") / r - 1.5, (F.col("gx") + 1) / r + 0.5, "tx")
     c = c.where((F.col("tx") >= 0) & (F.floor((F.col("tx") + 0.5) * r) == F.col("gx")))
     c = _explode_range(c, F.col("gy") / r - 1.5, (F.col("gy") + 1) / r + 0.5, "ty")
     c = c.where((F.col("ty") >= 0) & (F.floor((F.col("ty") + 0.5) * r) == F.col("gy")))
-    return c.select(F.col("tx").alias("gx"), F.col("ty").alias("gy"), "v")
+    return c.select(*extra_keys, F.col("tx").alias("gx"), F.col("ty").alias("gy"), "v")
 
 
 def warp_bilinear(df: DataFrame, ratio: float, extra_keys=()) -> DataFrame:

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import blocks as B
+from ..session import path_exists, scratch_path
 
 METHODS = ("nearest", "average")
 
@@ -119,11 +120,32 @@ def pyramid_pass(blocks: DataFrame, levels: int, method: str = "nearest", min_zo
     return B.fold_blocks(blocks, keys, _pass_kernel(levels, method, min_zoom, pick))
 
 
+TILE_KEY = ["z", "x", "y", "band"]
+
+
 def write_level_store(df: DataFrame, store: str) -> None:
-    """K1: tiles keyed by (z, x, y); re-running a level replaces only that level."""
-    (df.select(*B.BLOCK_COLUMNS).sortWithinPartitions("y", "x")
-       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy("z").parquet(store))
+    """K1: tiles keyed by (z, x, y, band): a tile replaces the stored one of its key, all others stay.
+
+    A level that has stored tiles is merged in the shared scratch folder first, because its
+    partition is overwritten while it is read.
+    """
+    spark = df.sparkSession
+    new = df.select(*B.BLOCK_COLUMNS)
+    if path_exists(spark, store):
+        new = _through_scratch(new, "tiles-new")
+        old = read_level_store(spark, store)
+        levels = [r["z"] for r in new.select("z").distinct().collect()]      # a level list: 30 numbers at most
+        kept = old.where(F.col("z").isin(levels)).join(new.select(*TILE_KEY), TILE_KEY, "left_anti")
+        if not kept.isEmpty():
+            new = _through_scratch(new.unionByName(kept.select(*B.BLOCK_COLUMNS)), "tiles-merged")
+    (new.sortWithinPartitions("y", "x").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("z").parquet(store))
+
+
+def _through_scratch(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def read_level_store(spark: SparkSession, store: str, z: int | None = None) -> DataFrame:
@@ -136,16 +158,19 @@ def read_level_store(spark: SparkSession, store: str, z: int | None = None) -> D
 def build_pyramid(spark: SparkSession, base: DataFrame, base_zoom: int, store: str,
                   min_zoom: int = 0, method: str = "nearest", levels_per_pass: int | None = None,
                   size: int | None = None, dtype: str | None = None, tiles: DataFrame | None = None,
-                  pick=(1, 1)) -> DataFrame:
+                  pick=(1, 1), base_stored: bool = False) -> DataFrame:
     """Write ``base`` (blocks at ``base_zoom``) and all lower levels to ``store``; return the store.
 
+    ``base_stored``: the base is what the store holds at ``base_zoom``, so it is not written again.
+
     ``tiles`` (optional, columns z,x,y at base_zoom) is the tile list: only
     ancestors of listed tiles are built (parents come from the list, content
     from the store).
     """
     if method not in METHODS:
         raise ValueError(f"method must be one of {METHODS}")
-    write_level_store(base, store)
+    if not base_stored:
+        write_level_store(base, store)
     if levels_per_pass is None:
         levels_per_pass = levels_for_budget(size or 2048, dtype or "f4", method)
     if tiles is not None:

@@ -13,6 +13,7 @@ from ..functions import crs, grid, terrain as TR, uris
 from ..operators import blocks as B, cells as C, halo as H, overlap as OV, pyramid as P, reproject as RP
 from ..operators.skew import salted_join
 from ..sources import readers as RD, sinks as SK
+from ..session import scratch_path
 
 CHUNK_SIZE = 2048
 
@@ -57,11 +58,16 @@ def cover_tiles(boxes: DataFrame, zoom: int, key: str = "source_id", west="ll.we
     inside a single task; plain explodes keep it code-generated.
     """
     z = F.lit(zoom)
-    rows = boxes.select(key, grid.lon_to_tile_x(west, z).alias("x0"), grid.lon_to_tile_x(east, z).alias("x1"),
+    # a box whose west lies east of its east edge crosses 180 degrees: two boxes
+    w, e = (F.col(c) if isinstance(c, str) else c for c in (west, east))
+    halves = F.when(w > e, F.array(F.struct(w.alias("w"), F.lit(180.0).alias("e")), F.struct(F.lit(-180.0).alias("w"), e.alias("e"))))
+    boxes = boxes.withColumn("__half", F.explode(halves.otherwise(F.array(F.struct(w.alias("w"), e.alias("e"))))))
+    rows = boxes.select(key, grid.lon_to_tile_x("__half.w", z).alias("x0"), grid.lon_to_tile_x("__half.e", z).alias("x1"),
                         F.explode_outer(F.sequence(grid.lat_to_tile_y(north, z),
                                                    grid.lat_to_tile_y(south, z))).alias("y"))
     return (rows.where(F.col("y").isNotNull()).repartition(key, "y")
-                .select(key, z.cast("int").alias("z"), F.explode(F.sequence("x0", "x1")).alias("x"), "y"))
+                .select(key, z.cast("int").alias("z"), F.explode(F.sequence("x0", "x1")).alias("x"), "y")
+                .distinct())
 
 
 def plan_tiles(fp: DataFrame, zoom: int) -> DataFrame:
@@ -108,7 +114,7 @@ def pyramid(spark: SparkSession, store: str, zoom: int, min_zoom: int = 0, metho
     if first is None:
         return base
     return P.build_pyramid(spark, base, zoom, store, min_zoom=min_zoom, method=method,
-                           levels_per_pass=levels_per_pass, size=first["size"], dtype=first["dtype"], tiles=tiles)
+                           levels_per_pass=levels_per_pass, size=first["size"], dtype=first["dtype"], tiles=tiles, base_stored=True)
 
 
 # --------------------------------------------------------------------- Z3 / Z4 conversion
@@ -122,13 +128,16 @@ def missing_targets(listing: DataFrame, targets: DataFrame) -> DataFrame:
 
 def convert(cells: DataFrame, ratio: float, method: str = "bilinear", keys=("source",)) -> DataFrame:
     """R2/R1/R4 per source (every band keyed), e.g. the 4326 conversion of Z3 (bilinear)
-    or Z4 (average with an integer ``ratio``)."""
+    or Z4 (average).  ``ratio``: source pixels per target pixel; an average over less than
+    one source pixel is the pixel that holds the target's centre."""
     if method == "bilinear":
         return C.warp_bilinear(cells, ratio, extra_keys=keys)
     if method == "average":
-        return C.resample_average(cells, int(ratio), extra_keys=keys)
+        if ratio < 1:
+            return C.warp_nearest(cells, ratio, extra_keys=keys)
+        return C.resample_average(cells, ratio, extra_keys=keys)
     if method == "nearest":
-        return C.warp_nearest(cells, ratio)
+        return C.warp_nearest(cells, ratio, extra_keys=keys)
     raise ValueError(method)
 
 
@@ -167,11 +176,14 @@ def convert_missing(spark: SparkSession, listing: DataFrame, targets: DataFrame,
 def write_converted_with_log(converted: DataFrame, sources: DataFrame, out: str) -> DataFrame:
     """K2 + K5: write each source's output under its target name, return the log
     (source, output or NULL when the source produced nothing)."""
-    named = converted.withColumn("target", uris.target_name("source"))
-    SK.write_converted(named.drop("source"), out, key="target")
-    # the log reads the written partitions (cheap: partition values only), not the data again
-    made = (converted.sparkSession.read.parquet(out).select("target").distinct()
-            .withColumn("ok", F.lit(True)))
+    # this run's rows, kept once in the shared folder: the log must not see outputs of earlier runs
+    spark = converted.sparkSession
+    named = converted.withColumn("target", uris.target_name("source")).drop("source")
+    held = scratch_path(spark, "converted")
+    named.write.parquet(held)
+    named = spark.read.schema(named.schema).parquet(held)
+    SK.write_converted(named, out, key="target")
+    made = named.select("target").distinct().withColumn("ok", F.lit(True))
     sources = sources.select("source", uris.target_name("source").alias("target"))
     log = sources.join(made, "target", "left").select("source", F.coalesce("ok", F.lit(False)).alias("ok"))
     return SK.conversion_log(log)

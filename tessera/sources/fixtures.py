@@ -64,10 +64,8 @@ def dem(spark: SparkSession, d: str) -> DataFrame:
 
 
 def dem_dense(spark: SparkSession, d: str) -> DataFrame:
-    orders = table(spark, d, "orders")
-    full = orders.select((128 * F.floor(F.count("*") / 128).cast("bigint")).alias("n")).scalar()
     k = F.col("o_orderkey")
-    return orders.where(k < full).select(
+    return table(spark, d, "orders").select(
         (k % 128).alias("gx"), F.floor(k / 128).cast("bigint").alias("gy"),
         (F.col("o_totalprice") / 1000).alias("v"))
 
@@ -129,8 +127,7 @@ from supplier""",
        case when o_orderstatus = 'P' then null else cast(round(o_totalprice*100) as bigint) end v
 from orders""",
     "dem_dense": """select o_orderkey % 128 gx, cast(floor(o_orderkey/128) as bigint) gy, o_totalprice/1000 v
-from orders
-where o_orderkey < (select 128*cast(floor(count(*)/128) as bigint) from orders)""",
+from orders""",
     "scenes": """select l_partkey gx, l_suppkey gy, l_linenumber priority, l_orderkey tie, cast(round(l_extendedprice*100) as bigint) v
 from lineitem""",
     "scenes_bands": """select l_partkey gx, l_suppkey gy, l_linenumber priority, l_orderkey tie, 1 band, cast(round(l_extendedprice*100) as bigint) v from lineitem

@@ -1,4 +1,4 @@
-"""Writers (K1-K5).  All are idempotent by key: re-running replaces what it wrote."""
+"""Writers (K1-K5).  Tiles and outputs are keyed: writing a key again replaces it, other keys stay."""
 
 from __future__ import annotations
 
@@ -6,14 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import uris
-from ..operators import blocks as B
+from ..operators.pyramid import write_level_store
 
 
 def write_tiles(blocks: DataFrame, out: str) -> None:
-    """K1: tile store keyed by (z, x, y), partitioned by z; dynamic overwrite per level."""
-    (blocks.select(*B.BLOCK_COLUMNS).sortWithinPartitions("y", "x")
-           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy("z").parquet(out))
+    """K1: tile store keyed by (z, x, y, band), partitioned by z; other stored tiles stay."""
+    write_level_store(blocks, out)
 
 
 def write_converted(df: DataFrame, out: str, key: str = "source_id") -> None:

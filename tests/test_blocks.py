@@ -102,7 +102,7 @@ def test_map_and_fold_blocks(spark):
     assert folded.count() == 1 and B.block_stats(folded).first().vmax == float(cells.where(F.col("v").isNotNull()).count())
 
 
-def test_tile_store_overwrites_one_level(spark):
+def test_tile_store_replaces_tiles_by_key(spark):
     cells = _raster(spark, 32, 32, gap=0.1, seed=11)
     blk = B.pack_blocks(cells, 16, 5, dtype="f4", nodata=-1.0)
     store = scratch_path(spark, "t-store")
@@ -111,7 +111,11 @@ def test_tile_store_overwrites_one_level(spark):
     SK.write_tiles(blk.withColumn("z", F.lit(4)).where((F.col("x") == 1) & (F.col("y") == 1)), store)
     df = spark.read.parquet(store)
     assert df.where("z = 5").count() == 4          # untouched by the level-4 rewrites
-    assert df.where("z = 4").count() == 1          # level 4 replaced, not appended
+    assert df.where("z = 4").count() == 2          # a second area is added, nothing is lost
+    SK.write_tiles(blk.withColumn("z", F.lit(4)).where((F.col("x") == 1) & (F.col("y") == 1))
+                   .withColumn("valid_count", F.lit(7).cast("int")), store)
+    again = spark.read.parquet(store).where("z = 4")
+    assert again.count() == 2 and again.where("valid_count = 7").count() == 1      # same key: replaced
 
 
 @pytest.mark.parametrize("method,ratio", [("bilinear", 0.75), ("bilinear", 1.25), ("nearest", 1.5), ("nearest", 0.5)])

@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from tessera.oracles import ORACLES
+from tessera.queries import QUERIES
 from tessera.sources.tables import TABLES
 
 from .conftest import SMALL
@@ -26,15 +28,16 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
-    df = queries()[name](spark, SMALL)
+    df = QUERIES[name](spark, SMALL)
     cols = sorted(df.columns)
     got = sorted(tuple(_norm(r[c]) for c in cols) for r in df.collect())
-    rel = duck.execute(oracle_sql()[name])
+    rel = duck.execute(ORACLES[name])
     ocols = [d[0] for d in rel.description]
     assert sorted(ocols) == cols
     idx = [ocols.index(c) for c in cols]
