@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import text_slices
+from tessera.llm.common import text_slices, tidy
 
 # code point classes
 OTHER, LETTER, NUMBER, SPACE, WHITE, APOS = range(6)
@@ -301,9 +301,10 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                 yield pa.RecordBatch.from_arrays(
                     [rows.column(0), pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary()),
                      pa.array(ends, pa.binary())], names=[id_col, "n_tokens", "ids", "piece_ends"])
+        vocab.old = {}                                     # a worker between tasks holds one generation
 
     return docs.select(F.col(id_col), F.col(text_col).alias("__t_text")).mapInArrow(
-        run, f"`{id_col}` {kind}, n_tokens long, ids binary, piece_ends binary")
+        tidy(run), f"`{id_col}` {kind}, n_tokens long, ids binary, piece_ends binary")
 
 
 def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -324,7 +325,7 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
                      decoded.cast(pa.binary())], names=[id_col, "n_tokens", "ids", "decoded"])
 
     return encoded.select(F.col(id_col), F.col(ids_col).alias("__t_ids")).mapInArrow(
-        run, f"`{id_col}` {kind}, n_tokens long, ids binary, decoded binary")
+        tidy(run), f"`{id_col}` {kind}, n_tokens long, ids binary, decoded binary")
 
 
 __all__ = ["Vocabulary", "byte_pieces", "decode", "encode", "encode_buffer", "vocabulary"]

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import contextlib
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +46,19 @@ def held_out(id_col: str, modulus: int, remainder: int):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % modulus == remainder, F.lit(False))
 
 
+def tidy(run: Callable) -> Callable:
+    """A map function whose worker gives freed memory back when its task ends (workers are reused by later stages)."""
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(Exception):           # glibc only
+                ctypes.CDLL(None).malloc_trim(0)
+    return wrapped
+
+
 def text_buffer(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string or binary column; null counts as empty, offsets start at 0."""
     if col.null_count:

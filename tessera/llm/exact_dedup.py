@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.llm.common import tidy
+
 MEMORY_BYTES = 64 << 20      # content held by one open-addressing table
 FANOUT = 16                  # spill files per level of recursion
 NO_ID = -(1 << 63)           # stands for a null id in the table: it loses to every other id
@@ -220,8 +222,8 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", payl
         cols.append(F.struct(*[F.col(f"`{c}`").alias(f"p{i}") for i, c in enumerate(payload)],
                              F.col(f"`{text_col}`").isNull().alias("no_text")).alias("payload"))
         types = out_types = T.StructType([*types.fields, docs.select(*cols).schema["payload"]])
-    local = docs.select(*cols).mapInArrow(_combiner(memory), types)
-    return local.repartition(F.col("digest")).mapInArrow(_reducer(memory, payload is not None), out_types)
+    local = docs.select(*cols).mapInArrow(tidy(_combiner(memory)), types)
+    return local.repartition(F.col("digest")).mapInArrow(tidy(_reducer(memory, payload is not None)), out_types)
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", memory: int = MEMORY_BYTES) -> DataFrame:

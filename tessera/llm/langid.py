@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import discard, materialise, mix64, segment_sums, text_slices
+from tessera.llm.common import discard, materialise, mix64, segment_sums, text_buffer, text_slices, tidy
 
 UND = "und"
 SAMPLE_PER_LANG = 1500       # expected training documents per language (documented bound of the fit)
@@ -182,8 +182,10 @@ def _predicted(docs: DataFrame, model: Model, kept: list[str], text_col: str) ->
         names = np.array([*model.langs, UND], object)
         for batch in batches:
             letters = pc.fill_null(pc.match_substring_regex(batch.column(at), r"\p{L}"), False)
-            batch = batch.append_column("__t_low", pc.utf8_lower(batch.column(at))).append_column("__t_letters", letters)
-            for rows, data, off in text_slices(batch, "__t_low"):
+            batch = batch.append_column("__t_letters", letters)
+            name = batch.schema.names[at]
+            for rows, _, _ in text_slices(batch, name):
+                data, off = text_buffer(pc.utf8_lower(rows.column(at)))
                 n = len(rows)
                 has = rows.column(rows.num_columns - 1).to_numpy(zero_copy_only=False)
                 if model.langs:
@@ -207,4 +209,4 @@ def _predicted(docs: DataFrame, model: Model, kept: list[str], text_col: str) ->
     if text_col not in kept:
         cols.append(F.col(f"`{text_col}`").alias("__t_text"))
     return docs.select(*cols).mapInArrow(
-        run, f"{kinds}, lang_pred string, score double, known double")
+        tidy(run), f"{kinds}, lang_pred string, score double, known double")

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialise, mix64, span_hashes, text_slices
+from tessera.llm.common import materialise, mix64, span_hashes, text_slices, tidy
 from tessera.llm.components import components, forest
 
 BITS, LEVELS = 512, 8                 # parity sketch: 512 bits, doubled until it has 0.7 bits a token
@@ -481,7 +481,7 @@ def similarity_classes(docs: DataFrame, n: int = 5, pct: int = 80, id_col: str =
     sc = spark.sparkContext
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
 
-    first = materialise(texts.mapInArrow(_summaries(n), "kind int, id long, size long, d1 long, d2 long, sketch binary"), "sets")
+    first = materialise(texts.mapInArrow(tidy(_summaries(n)), "kind int, id long, size long, d1 long, d2 long, sketch binary"), "sets")
     sums = first.where("kind = 0")
     full = sums.where("size > 0")
     found = full.groupBy("d1", "d2").agg(F.min("id").alias("rep"), F.min("size").alias("size"), F.min("sketch").alias("sketch"))
@@ -497,15 +497,15 @@ def similarity_classes(docs: DataFrame, n: int = 5, pct: int = 80, id_col: str =
     blocks = sc.broadcast(np.maximum(1, -(-hot["c"].to_numpy(np.int64)[order] // (2 * BLOCK))))
 
     kinds = "bucket long, side boolean, core boolean, d1 long, need int"
-    entries = texts.mapInArrow(_entries(n, pct, heavy, blocks), kinds)
-    shared = materialise(entries.repartition("bucket").mapInArrow(_shared, kinds), "shared")
+    entries = texts.mapInArrow(tidy(_entries(n, pct, heavy, blocks)), kinds)
+    shared = materialise(entries.repartition("bucket").mapInArrow(tidy(_shared), kinds), "shared")
     # a set with too few entries that meet another set's is in no similar pair (frequent tokens count in `need`)
     hopeful = shared.groupBy("d1").agg(F.count("*").alias("met"), F.max("need").alias("least")).where(
         F.col("met") >= F.col("least")).select(F.col("d1").alias("e1"))
     known = reps.groupBy("d1").agg(F.min("size").alias("size"), F.min("sketch").alias("sketch"))
     known = known.join(hopeful, known["d1"] == hopeful["e1"], "left_semi")
     met = shared.where("core").select("bucket", "side", "d1").join(known, "d1").select("bucket", "side", "d1", "size", "sketch")
-    edges = met.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_candidates(pct), "u long, v long")
+    edges = met.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(tidy(_candidates(pct)), "u long, v long")
     grouped = components(edges)
 
     members = reps.where("rep is not null").join(grouped, reps["d1"] == grouped["node"]).select(
@@ -516,11 +516,11 @@ def similarity_classes(docs: DataFrame, n: int = 5, pct: int = 80, id_col: str =
         "rep", "grp", "d1", "d2", F.pmod(F.xxhash64("d1", "d2"), F.col("nb")).cast("int").alias("blk"), "nb")
     wanted = texts.where("id is not null and text is not null").join(members, F.col("id") == F.col("rep")).select(
         "rep", "grp", "d1", "d2", "blk", "nb", "text")
-    sets = wanted.mapInArrow(_sets(n), "rep long, grp long, blk int, nb int, tokens binary").dropDuplicates(["rep"])
+    sets = wanted.mapInArrow(tidy(_sets(n)), "rep long, grp long, blk int, nb int, tokens binary").dropDuplicates(["rep"])
     dealt = sets.select("rep", "grp", "blk", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("oth"), "tokens").select(
         "grp", F.least("blk", "oth").alias("lo"), F.greatest("blk", "oth").alias("hi"),
         (F.col("blk") > F.col("oth")).cast("int").alias("side"), "rep", "tokens")
-    links = dealt.repartition("grp", "lo", "hi").sortWithinPartitions("grp", "lo", "hi").mapInArrow(_links(pct, heavy), "u long, v long")
+    links = dealt.repartition("grp", "lo", "hi").sortWithinPartitions("grp", "lo", "hi").mapInArrow(tidy(_links(pct, heavy)), "u long, v long")
     linked = components(links)
 
     named = reps.join(linked, reps["rep"] == linked["node"], "left").select(
