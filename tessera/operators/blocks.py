@@ -2,9 +2,11 @@
 
 Block rows carry ``(z, x, y, band, size, dtype, nodata, valid_count, data,
 weight)``.  ``nodata`` is the sentinel stored in ``data`` for missing pixels
-(NULL = nothing is masked).  ``weight`` is an optional INT32 plane of sample
-counts; when present ``data`` holds sums, and the pixel value is data/weight
-(used to carry exact averages through a pyramid).  ``valid_count`` is stored so
+(NULL = nothing is masked).  ``data`` is always the pixel value.  ``weight`` is
+optional: a FLOAT64 plane of sums and an INT64 plane of sample counts, which
+carry exact averages through a pyramid whatever the dtype of ``data``.  Rows of
+one level may differ in dtype and nodata: every kernel decodes a row by its own
+columns.  ``valid_count`` is stored so
 that a filter on it can be pushed into the parquet scan (early nodata pruning).
 
 Kernels see NumPy arrays through Arrow batches (``mapInArrow`` for per-block
@@ -85,10 +87,60 @@ def from_float(vals: np.ndarray, dtype: str, nodata) -> tuple[np.ndarray, int]:
     return out, int(ok.size if nodata is None else ok.sum())
 
 
+def row_values(row: dict) -> np.ndarray:
+    """A block row's pixels as float64 with NaN = missing, by its own dtype and nodata."""
+    return to_float(decode(row["data"], row["dtype"], row["size"]), row["nodata"])
+
+
+def encode_sums(sums: np.ndarray, counts: np.ndarray) -> bytes:
+    return encode(sums, "f8") + encode(counts, "i8")
+
+
+def row_sums(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    """(sums, counts) of a block row: its ``weight`` planes, or its values counted once each."""
+    size = row["size"]
+    if row["weight"] is None:
+        vals = row_values(row)
+        return np.nan_to_num(vals, nan=0.0), (~np.isnan(vals)).astype(np.int64)
+    half = size * size * 8
+    return decode(row["weight"][:half], "f8", size), decode(row["weight"][half:], "i8", size)
+
+
+def one_size(rows: list[dict]) -> int:
+    """The tile size of a group (tile numbers mean different pixels under different sizes)."""
+    sizes = {r["size"] for r in rows}
+    if len(sizes) != 1:
+        raise ValueError(f"blocks of one level differ in size: {sorted(sizes)}")
+    return sizes.pop()
+
+
+def joint_layout(layouts: list[tuple]) -> tuple:
+    """(dtype, nodata candidates) able to hold blocks of several (dtype, candidates)."""
+    dtype = np.result_type(*["<" + d for d, _ in layouts]).str[1:]
+    known = {n for _, nodatas in layouts for n in nodatas if n is not None}
+    return dtype, tuple(sorted(known, key=lambda n: (n != n, n))) or (None,)
+
+
+def fit_layout(vals: np.ndarray, dtype: str, nodatas: tuple) -> tuple:
+    """(dtype, nodata) under which every valid value stays valid: the first candidate that fits
+    the dtype and that no valid value equals, else float64 with NaN."""
+    stored = vals[~np.isnan(vals)].astype("<" + dtype)
+    for nodata in nodatas:
+        if nodata is None:
+            return dtype, None
+        if stored.dtype.kind != "f":
+            limits = np.iinfo(stored.dtype)
+            if not (limits.min <= nodata <= limits.max and nodata == int(nodata)):
+                continue
+        if not (stored == np.asarray(nodata).astype(stored.dtype)).any():
+            return dtype, nodata
+    return "f8", float("nan")
+
+
 def block_record(z, x, y, band, size, dtype, nodata, arr, valid, weight=None) -> dict:
     return {"z": int(z), "x": int(x), "y": int(y), "band": int(band), "size": int(size),
             "dtype": dtype, "nodata": None if nodata is None else float(nodata), "valid_count": int(valid),
-            "data": encode(arr, dtype), "weight": None if weight is None else encode(weight, "i4")}
+            "data": encode(arr, dtype), "weight": weight}
 
 
 def records_to_table(records: list[dict]) -> pa.Table:
@@ -109,7 +161,8 @@ def pack_blocks(cells: DataFrame, size: int, z, dtype: str = "f8", nodata=None,
 
     One shuffle (hash on the tile key), a sort within each partition, then a
     streaming Arrow pass that cuts tiles at key changes: one Python call per
-    batch rather than per tile, and a tile never needs more than size*size cells.
+    batch rather than per tile.  Of several cells of one pixel the greatest value
+    stays, so what is carried between batches never exceeds size*size cells.
     """
     if dtype not in DTYPES:
         raise ValueError(dtype)
@@ -122,7 +175,7 @@ def pack_blocks(cells: DataFrame, size: int, z, dtype: str = "f8", nodata=None,
         ((F.col("gy") % size) * size + F.col("gx") % size).cast("int").alias("off"),
         F.col(value).cast("double").alias("v"),
     )
-    ordered = keyed.repartition("z", "x", "y", "band").sortWithinPartitions("z", "x", "y", "band")
+    ordered = keyed.repartition("z", "x", "y", "band").sortWithinPartitions("z", "x", "y", "band", "off", "v")
     return ordered.mapInArrow(lambda it: _pack_sorted(it, size, dtype, nodata), BLOCK_SCHEMA)
 
 
@@ -135,6 +188,13 @@ _BLOCK_ARROW = pa.schema([
 ])
 
 
+def last_of_runs(cols: list[np.ndarray], key: int) -> list[np.ndarray]:
+    """Rows of one tile sorted by pixel: the last row of every pixel (column ``key``)."""
+    off = cols[key]
+    last = np.append(off[1:] != off[:-1], True)[:len(off)]
+    return [c[last] for c in cols]
+
+
 def _pack_sorted(batches, size: int, dtype: str, nodata):
     """Rows sorted by tile key -> block batches.  All complete tiles of a batch
     are scattered into one (tiles, size*size) array; only the last, possibly
@@ -182,7 +242,7 @@ def _pack_sorted(batches, size: int, dtype: str, nodata):
         k_end = int(np.flatnonzero(~same).max()) + 1 if (~same).any() else 0   # rows of finished tiles
         if k_end:
             yield from emit(cols, k_end)
-        carry = [c[k_end:] for c in cols]
+        carry = last_of_runs([c[k_end:] for c in cols], 4)
     if carry is not None and len(carry[0]):
         yield from emit(carry, len(carry[0]))
 
@@ -218,20 +278,14 @@ def _unpack_batches(batches: Iterator[pa.RecordBatch], valid_only: bool, weighte
                        and cols["dtype"][j] == dtype and cols["nodata"][j] == nodata):
                     j += 1
             k = j - i
-            arr = np.frombuffer(b"".join(cols["data"][i:j]), dtype="<" + dtype).reshape(k, size, size)
-            arr = to_float(arr, nodata)
-            cnt = None
             if weighted:
-                ws = cols["weight"][i:j]
-                if all(w is not None for w in ws):
-                    cnt = np.frombuffer(b"".join(ws), dtype="<i4").reshape(k, size, size).astype(np.int64)
-                    arr = np.where(cnt > 0, arr, np.nan)
-                elif any(w is not None for w in ws):      # mixed: one block at a time
-                    j, k = i + 1, 1
-                    arr = arr[:1]
-                    if ws[0] is not None:
-                        cnt = decode(ws[0], "i4", size).astype(np.int64)[None]
-                        arr = np.where(cnt > 0, arr, np.nan)
+                planes = [row_sums({c: cols[c][b] for c in ("data", "dtype", "size", "nodata", "weight")})
+                          for b in range(i, j)]
+                cnt = np.stack([p[1] for p in planes])
+                arr = np.where(cnt > 0, np.stack([p[0] for p in planes]), np.nan)
+            else:
+                arr = np.frombuffer(b"".join(cols["data"][i:j]), dtype="<" + dtype).reshape(k, size, size)
+                arr = to_float(arr, nodata)
             zs = np.asarray(cols["z"][i:j])
             bs = np.asarray(cols["band"][i:j])
             xs = np.asarray(cols["x"][i:j], dtype=np.int64)
@@ -243,9 +297,9 @@ def _unpack_batches(batches: Iterator[pa.RecordBatch], valid_only: bool, weighte
                 if len(bi) == 0:
                     continue
                 v = part[bi, rr, cc]
-                extra = {kk: pa.array([cols[kk][i + b] for b in bi], type=rb.schema.field(kk).type) for kk in keep}
+                extra = {kk: rb.column(kk).take(pa.array(i + bi)) for kk in keep}
                 if weighted:
-                    c = cnt[:, r0:r0 + UNPACK_ROWS][bi, rr, cc] if cnt is not None else np.where(np.isnan(v), 0, 1)
+                    c = cnt[:, r0:r0 + UNPACK_ROWS][bi, rr, cc]
                     yield _cells_batch(zs[bi], bs[bi], xs[bi] * size + cc, ys[bi] * size + r0 + rr, None, extra,
                                        True, wsum=v, wcount=c)
                 else:

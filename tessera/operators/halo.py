@@ -38,6 +38,8 @@ def _strips(batches, buffer: int):
         out = {f.name: [] for f in PIECE_SCHEMA.fields}
         for i in range(rb.num_rows):
             size, dtype = c["size"][i], c["dtype"][i]
+            if buffer > size:
+                raise ValueError(f"buffer {buffer} is wider than a tile of {size} pixels")
             arr = B.decode(c["data"][i], dtype, size)
             for dy in (-1, 0, 1):
                 for dx in (-1, 0, 1):
@@ -123,13 +125,13 @@ def _shade_group(buffer: int, method: str, h: float):
     def run(key, tbl):
         rows = tbl.to_pylist()
         r0 = rows[0]
-        size, dtype, nodata = r0["size"], r0["dtype"], r0["nodata"]
+        size = B.one_size(rows)
         n = size + 2 * buffer
         buf = np.full((n, n), np.nan)
         own = False
         for r in rows:
-            piece = np.frombuffer(r["piece"], dtype="<" + dtype).reshape(r["h"], r["w"])
-            buf[r["oy"]:r["oy"] + r["h"], r["ox"]:r["ox"] + r["w"]] = B.to_float(piece, nodata)
+            piece = np.frombuffer(r["piece"], dtype="<" + r["dtype"]).reshape(r["h"], r["w"])
+            buf[r["oy"]:r["oy"] + r["h"], r["ox"]:r["ox"] + r["w"]] = B.to_float(piece, r["nodata"])
             own = own or (r["ox"] == buffer and r["oy"] == buffer)       # the tile's own block
         if not own:                       # only strips arrived: the tile itself is not stored
             return B.records_to_table([])

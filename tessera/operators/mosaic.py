@@ -16,7 +16,8 @@ Dense rasters are the intended input: for sparse cells (a few pixels per tile)
 the cell-form :func:`tessera.operators.cells.mosaic_paint` moves fewer bytes.
 
 A tile covered by many sources (the hot group) is thus split ``salts`` ways
-before anything is gathered, and stage 1 never holds more than one tile.
+before anything is gathered.  Between Arrow batches stage 1 keeps one row per pixel
+of the unfinished tile, however many sources cover it.
 """
 
 from __future__ import annotations
@@ -85,7 +86,7 @@ def _paint_sorted(batches, size: int, z: int):
         k = int(np.flatnonzero(~same).max()) + 1 if (~same).any() else 0
         if k:
             yield from emit(cols, k)
-        carry = [c[k:] for c in cols]
+        carry = B.last_of_runs([c[k:] for c in cols], 3)
     if carry is not None and len(carry[0]):
         yield from emit(carry, len(carry[0]))
 

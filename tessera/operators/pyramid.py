@@ -1,8 +1,8 @@
 """Pyramid building in block form (Z2): every lower zoom level down to ``min_zoom``.
 
 Each parent tile is built from its (at most four) children: a child is halved
-(``nearest`` picks pixel 2i+1 on both axes, ``average`` sums 2x2 cells and
-carries their counts), placed in its quadrant, and empty parents are dropped.
+(``nearest`` picks pixel 2i+1 on both axes, ``average`` stores the mean and
+carries exact sums and counts beside it), placed in its quadrant, and empty parents are dropped.
 
 Scale design:
 * one shuffle per *pass*, not per level: blocks are grouped by their ancestor
@@ -59,43 +59,45 @@ def _pass_kernel(levels: int, method: str, min_zoom: int, pick=(1, 1)):
     def kernel(key, rows):
         if not rows:
             return []
-        size, dtype, nodata, band = rows[0]["size"], rows[0]["dtype"], rows[0]["nodata"], rows[0]["band"]
-        z = rows[0]["z"]
+        size, band, z = B.one_size(rows), rows[0]["band"], rows[0]["z"]
         cur = {}
         for r in rows:
-            vals = B.to_float(B.decode(r["data"], dtype, size), nodata)
-            cnt = None
             if method == "average":
-                if r["weight"] is not None:
-                    cnt = B.decode(r["weight"], "i4", size).astype(np.int64)
-                    vals = np.where(cnt > 0, vals, np.nan)
-                else:
-                    cnt = (~np.isnan(vals)).astype(np.int64)
-            cur[(r["x"], r["y"])] = (vals, cnt)
+                sums, cnt = B.row_sums(r)
+                vals = np.where(cnt > 0, sums, np.nan)
+            else:
+                vals, cnt = B.row_values(r), None
+            cur[(r["x"], r["y"])] = (vals, cnt, (r["dtype"], (r["nodata"],)))
         out = []
         for _ in range(levels):
             if z <= min_zoom:
                 break
             z -= 1
             groups: dict = {}
-            for (x, y), (vals, cnt) in cur.items():
-                groups.setdefault((x >> 1, y >> 1), []).append((x, y, vals, cnt))
+            for (x, y), (vals, cnt, layout) in cur.items():
+                groups.setdefault((x >> 1, y >> 1), []).append((x, y, vals, cnt, layout))
             nxt = {}
             for (px, py), kids in groups.items():
-                vals, cnt = _merge_children(kids, size, method, pick)
+                vals, cnt = _merge_children([k[:4] for k in kids], size, method, pick)
+                dtype, nodatas = B.joint_layout([k[4] for k in kids])
                 if method == "average":
                     valid = int((cnt > 0).sum())
                     if valid == 0:
                         continue
-                    arr, _ = B.from_float(vals, dtype, nodata)
+                    mean = vals / np.maximum(cnt, 1)
+                    if np.dtype(dtype).kind != "f":
+                        mean = np.rint(mean)
+                    dtype, nodata = B.fit_layout(mean, dtype, nodatas)
+                    arr, _ = B.from_float(mean, dtype, nodata)
                     out.append(B.block_record(z, px, py, band, size, dtype, nodata, arr, valid,
-                                              weight=cnt.astype(np.int32)))
+                                              weight=B.encode_sums(np.nan_to_num(vals, nan=0.0), cnt)))
                 else:
+                    dtype, nodata = B.fit_layout(vals, dtype, nodatas)
                     arr, valid = B.from_float(vals, dtype, nodata)
                     if valid == 0:
                         continue   # all-nodata parent: dropped
                     out.append(B.block_record(z, px, py, band, size, dtype, nodata, arr, valid))
-                nxt[(px, py)] = (vals, cnt)
+                nxt[(px, py)] = (vals, cnt, (dtype, (nodata,)))
             cur = nxt
         return out
     return kernel

@@ -153,14 +153,14 @@ def _crs_kernel(src: Grid, dst: Grid, size_t: int, zoom_t: int, method: str, out
 
     def run(key, rows):
         ti0, tj0 = key[0] * size_t, key[1] * size_t
-        size_s, dtype, nodata, band = rows[0]["size"], rows[0]["dtype"], rows[0]["nodata"], rows[0]["band"]
+        size_s, band = B.one_size(rows), rows[0]["band"]
         bx0, by0 = min(r["x"] for r in rows), min(r["y"] for r in rows)
         nbx = max(r["x"] for r in rows) - bx0 + 1
         nby = max(r["y"] for r in rows) - by0 + 1
         mos = np.full((nby * size_s, nbx * size_s), np.nan)
         for r in rows:
             oy, ox = (r["y"] - by0) * size_s, (r["x"] - bx0) * size_s
-            mos[oy:oy + size_s, ox:ox + size_s] = B.to_float(B.decode(r["data"], dtype, size_s), nodata)
+            mos[oy:oy + size_s, ox:ox + size_s] = B.row_values(r)
         ox0, oy0 = bx0 * size_s, by0 * size_s
         ti = ti0 + np.arange(size_t, dtype=np.float64)[None, :] + np.zeros((size_t, 1))
         tj = tj0 + np.arange(size_t, dtype=np.float64)[:, None] + np.zeros((1, size_t))

@@ -40,7 +40,7 @@ def _kernel(ratio: float, size_t: int, method: str, out_dtype: str, out_nodata,
 
     def run(key, rows):
         tx, ty = key[0], key[1]
-        size_s, dtype, nodata, band = rows[0]["size"], rows[0]["dtype"], rows[0]["nodata"], rows[0]["band"]
+        size_s, band = B.one_size(rows), rows[0]["band"]
         bx0 = min(rw["x"] for rw in rows)
         by0 = min(rw["y"] for rw in rows)
         nbx = max(rw["x"] for rw in rows) - bx0 + 1
@@ -48,7 +48,7 @@ def _kernel(ratio: float, size_t: int, method: str, out_dtype: str, out_nodata,
         mos = np.full((nby * size_s, nbx * size_s), np.nan)
         for rw in rows:
             oy, ox = (rw["y"] - by0) * size_s, (rw["x"] - bx0) * size_s
-            mos[oy:oy + size_s, ox:ox + size_s] = B.to_float(B.decode(rw["data"], dtype, size_s), nodata)
+            mos[oy:oy + size_s, ox:ox + size_s] = B.row_values(rw)
         ox0, oy0 = bx0 * size_s, by0 * size_s            # global source pixel of mos[0, 0]
         tcol = tx * size_t + np.arange(size_t, dtype=np.float64)
         trow = ty * size_t + np.arange(size_t, dtype=np.float64)

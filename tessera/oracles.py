@@ -275,6 +275,24 @@ select t.z, t.x, t.y, fp.source_id""", 1)
     q["pyramid_average"] = W(" union all ".join(
         f"select {6 - k}::bigint z, gx // {2 ** k} gx, gy // {2 ** k} gy, cast(sum(v) as bigint) vsum, count(v) vcount, "
         f"cast(sum(v) as double) / count(v) v from dem where v is not null group by all" for k in range(7)), "dem")
+    q["pyramid_average_i2"] = W(" union all ".join(
+        f"select {6 - k}::bigint z, gx // {2 ** k} gx, gy // {2 ** k} gy, cast(sum(v % 30000) as bigint) vsum, count(v) vcount "
+        f"from dem where v is not null group by all" for k in range(7)), "dem")
+    means = " union all ".join(
+        f"select {6 - k}::bigint z, gx // {2 ** k} gx, gy // {2 ** k} gy, cast(sum(v) as double) / count(v) v "
+        f"from dem where v is not null group by all" for k in range(7))
+    q["stats_of_average"] = W(f"""select z, gx // {S} x, gy // {S} y, count(*) n, min(v) vmin, max(v) vmax
+        from ({means}) group by all""", "dem")
+    q["tms_of_average"] = W(f"""select r.z, r.x, r.y, s.x is not null stored, coalesce(s.vmax, 0) vmax from (
+          select distinct z, x + unnest([0, 1]) x, y from (select distinct z, gx // {S} x, gy // {S} y from ({means}) where z = 5)) r
+        left join (select gx // {S} x, gy // {S} y, max(v) vmax from ({means}) where z = 5 group by all) s
+          on s.x = r.x and s.y = r.y""", "dem")
+    # a pixel counts unless it equals the nodata value of its own tile
+    mixed = f"(select gx, gy, v % 50 - 10 v, (gx // {S} + gy // {S}) % 2 odd from dem where v is not null)"
+    q["pyramid_mixed_nodata"] = W(" union all ".join(
+        f"select {6 - k}::bigint z, (gx + 1) // {2 ** k} - 1 gx, (gy + 1) // {2 ** k} - 1 gy, v from {mixed} "
+        f"where v <> case odd when 0 then -1 else -9 end and (gx + 1) % {2 ** k} = 0 and (gy + 1) % {2 ** k} = 0"
+        for k in range(7)), "dem")
     lv = " union all ".join(
         f"select distinct {6 - k}::bigint z, ((gx + 1) // {2 ** k} - 1) // {S} x, ((gy + 1) // {2 ** k} - 1) // {S} y from dem "
         f"where v is not null and (gx + 1) % {2 ** k} = 0 and (gy + 1) % {2 ** k} = 0" for k in range(7))

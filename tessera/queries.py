@@ -115,7 +115,7 @@ def geojson_features(spark, d):
     """Footprints written as GeoJSON features (one per line), read back as boxes."""
     path = scratch_path(spark, "features")
     RD.bbox_features(FX.boxes(spark, d)).write.mode("overwrite").text(path)
-    return RD.read_features(spark, path).select("id", "west", "south", "east", "north")
+    return RD.read_features(spark, path).select(_i("id").alias("id"), "west", "south", "east", "north")
 
 
 # ====================================================================== CRS
@@ -296,6 +296,42 @@ def pyramid_average(spark, d):
                     (F.col("wsum") / F.col("wcount")).alias("v"))
 
 
+def pyramid_average_i2(spark, d):
+    """Z2 (average) of 16-bit tiles: sums stay exact, the stored pixel is the rounded mean."""
+    cells = FX.dem(spark, d).select("gx", "gy", (F.col("v") % 30000).alias("v"))
+    base = B.pack_blocks(cells, S, FX.DEM_ZOOM, dtype="i2", nodata=-32768.0).where(F.col("valid_count") > 0)
+    pyr = P.build_pyramid(spark, base, FX.DEM_ZOOM, scratch_path(spark, "pyramid-i2"), method="average",
+                          size=S, dtype="i2")
+    c = B.unpack_blocks(pyr, weighted=True)
+    return c.select(_i("z").alias("z"), "gx", "gy", _i("wsum").alias("vsum"), _i("wcount").alias("vcount"))
+
+
+def stats_of_average(spark, d):
+    """A7 over an averaged pyramid: tile statistics are those of the means, at every level."""
+    st = B.block_stats(_pyramid(spark, d, "average"))
+    return st.select(_i("z").alias("z"), _i("x").alias("x"), _i("y").alias("y"),
+                     _i("valid_count").alias("n"), "vmin", "vmax")
+
+
+def tms_of_average(spark, d):
+    """S11 over an averaged level: the stored z5 tiles and their right neighbours."""
+    blk = _pyramid(spark, d, "average").where(F.col("z") == FX.DEM_ZOOM - 1)
+    req = blk.select("z", F.explode(F.array("x", F.col("x") + 1)).alias("x"), "y").distinct()
+    st = B.block_stats(RD.read_tms(blk, req, S, dtype="f8"), keep=("stored",))
+    return st.select(_i("z").alias("z"), _i("x").alias("x"), _i("y").alias("y"), "stored", "vmax")
+
+
+def pyramid_mixed_nodata(spark, d):
+    """Z2 over tiles that differ in nodata and dtype (a chequerboard), each pixel by its own tile's rule."""
+    cells = FX.dem(spark, d).select("gx", "gy", (F.col("v") % 50 - 10).alias("v"),
+                                    ((F.floor(F.col("gx") / S) + F.floor(F.col("gy") / S)) % 2).alias("odd"))
+    base = (B.pack_blocks(cells.where("odd = 0"), S, FX.DEM_ZOOM, dtype="i2", nodata=-1.0)
+             .unionByName(B.pack_blocks(cells.where("odd = 1"), S, FX.DEM_ZOOM, dtype="f4", nodata=-9.0))
+             .where(F.col("valid_count") > 0))
+    pyr = P.build_pyramid(spark, base, FX.DEM_ZOOM, scratch_path(spark, "pyramid-mixed"), method="nearest", size=S)
+    return B.unpack_blocks(pyr).select(_i("z").alias("z"), "gx", "gy", _i("v").alias("v"))
+
+
 def pyramid_manifest(spark, d):
     """A10 / K1: tiles and bytes per level of the written pyramid, with a total row."""
     store = _pyramid(spark, d, "nearest")
@@ -529,6 +565,7 @@ QUERIES = {f.__name__: f for f in (
     utm_to_lonlat, lonlat_to_utm, suggest_zoom, footprint_index, mosaic_grid, plan_tiles, source_overlap, source_window,
     uri_names, missing_targets, listing_union, conversion_log, reproject_worklist,
     dem_blocks_valid, dem_stats, reblock, overview_sizes, decimate, pyramid_levels, pyramid_average,
+    pyramid_average_i2, stats_of_average, tms_of_average, pyramid_mixed_nodata,
     pyramid_manifest, tms_view, window_read,
     mosaic_paint, mosaic_blocks, chunk_average, chunk_average_blocks, chunk_tiles, warp_bands, warp_nearest, warp_bilinear,
     warp_bilinear_blocks, warp_nearest_blocks, warp_4326, warp_4326_nearest, warp_4326_blocks,

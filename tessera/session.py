@@ -40,6 +40,11 @@ def get_session(master: str | None = None, app: str = "tessera", **conf) -> Spar
 _LOCAL_ROOTS: dict[str, str] = {}
 
 
+def machine_local_is_shared(master: str) -> bool:
+    """Do the driver and all executors run on this machine, so that a local folder serves both?"""
+    return master == "local" or master.startswith("local[")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
@@ -51,6 +56,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not machine_local_is_shared(spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         app = spark.sparkContext.applicationId
         root = _LOCAL_ROOTS.get(app)
         if root is None:

@@ -75,17 +75,20 @@ def read_work_list(spark: SparkSession, path: str) -> DataFrame:
 
 FEATURE_SCHEMA = T.StructType([
     T.StructField("type", T.StringType()),
-    T.StructField("id", T.LongType()),
+    T.StructField("id", T.StringType()),                    # a number or a string, as text
     T.StructField("properties", T.MapType(T.StringType(), T.StringType())),
     T.StructField("geometry", T.StructType([
         T.StructField("type", T.StringType()),
-        T.StructField("coordinates", T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType())))),
+        T.StructField("coordinates", T.StringType()),       # JSON text: its depth depends on the type
     ])),
 ])
 
 
 def read_features(spark: SparkSession, path: str) -> DataFrame:
-    """GeoJSON features (one per line, or FeatureCollections) -> id + bounding box."""
+    """GeoJSON features (one per line, or FeatureCollections) -> id (text) + bounding box.
+
+    Polygons and MultiPolygons; a feature without either has a NULL box.
+    """
     coll = T.StructType([T.StructField("type", T.StringType()),
                          T.StructField("features", T.ArrayType(FEATURE_SCHEMA))])
     raw = spark.read.text(path).where(F.trim(F.col("value")) != "")
@@ -94,7 +97,12 @@ def read_features(spark: SparkSession, path: str) -> DataFrame:
     many = (parsed.where(F.col("kind") == "FeatureCollection")
                   .select(F.explode(F.from_json("value", coll)["features"]).alias("f")))
     feats = single.unionByName(many)
-    pts = F.flatten(F.col("f.geometry.coordinates"))
+    rings = T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType())))
+    kind, coords = F.col("f.geometry.type"), F.col("f.geometry.coordinates")
+    feats = feats.select("f", F.when(kind == "Polygon", F.flatten(F.from_json(coords, rings)))
+                         .when(kind == "MultiPolygon", F.flatten(F.flatten(F.from_json(coords, T.ArrayType(rings)))))
+                         .alias("pts"))
+    pts = F.col("pts")
     return feats.select(
         F.col("f.id").alias("id"),
         F.array_min(F.transform(pts, lambda p: p[0])).alias("west"),

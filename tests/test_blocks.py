@@ -210,3 +210,80 @@ def test_halo_with_buffer_equal_to_tile_size(spark):
     exp = C.shade(cells, "zfactor", h=2.0)
     assert sorted(got.select("gx", "gy", F.col("shade").cast("bigint")).collect()) == \
         sorted(exp.select("gx", "gy", F.col("shade").cast("bigint")).collect())
+
+
+@pytest.mark.parametrize("dtype,nodata", [("u1", 0.0), ("i2", -1.0), ("f4", -1.0), ("f8", None)])
+def test_averaged_store_reads_as_means(spark, dtype, nodata):
+    value = 200.0 if dtype == "u1" else 20000.0
+    cells = spark.range(16 * 16).select((F.col("id") % 16).alias("gx"), F.floor(F.col("id") / 16).alias("gy"),
+                                        F.lit(value).alias("v"))
+    blk = B.pack_blocks(cells, 4, 2, dtype=dtype, nodata=nodata)
+    pyr = P.build_pyramid(spark, blk, 2, scratch_path(spark, "t-mean"), method="average")
+    for r in B.block_stats(pyr).collect():
+        assert (r.vmin, r.vmax, r.vsum) == (value, value, 16 * value)
+    assert {r.v for r in B.unpack_blocks(pyr).select("v").distinct().collect()} == {value}
+    top = B.unpack_blocks(pyr.where("z = 0"), weighted=True)
+    assert {(r.wsum, r.wcount) for r in top.collect()} == {(16 * value, 16)}
+    doubled = B.map_blocks(pyr, lambda a: a / 2)
+    assert B.block_stats(doubled).agg(F.max("vmax")).first()[0] == value / 2
+
+
+def test_siblings_with_their_own_nodata_and_dtype(spark):
+    a = B.block_record(1, 0, 0, 1, 2, "i2", -1.0, np.array([[-1, 5], [-9, -9]]), 3)
+    b = B.block_record(1, 1, 0, 1, 2, "f4", -9.0, np.array([[-9.0, -1.0], [2.5, -1.0]]), 3)
+    blk = spark.createDataFrame([tuple(r[c] for c in B.BLOCK_COLUMNS) for r in (a, b)], B.BLOCK_SCHEMA)
+    top = P.pyramid_pass(blk, 1, "nearest")
+    assert top.first().valid_count == 2
+    assert sorted((r.gx, r.gy, r.v) for r in B.unpack_blocks(top).collect()) == [(0, 0, -9.0), (1, 0, -1.0)]
+    avg = B.unpack_blocks(P.pyramid_pass(blk, 1, "average"))
+    assert sorted((r.gx, r.v) for r in avg.collect()) == [(0, float(np.float32(-13 / 3))), (1, float(np.float32(0.5 / 3)))]   # stored as f4
+
+
+def test_layout_keeps_every_valid_value():
+    assert B.joint_layout([("i2", (-1.0,)), ("f4", (-9.0, None))]) == ("f4", (-9.0, -1.0))
+    assert B.fit_layout(np.array([-9.0, 4.0]), "i2", (-9.0, -1.0)) == ("i2", -1.0)
+    assert B.fit_layout(np.array([4.0, np.nan]), "u1", (-9.0, 0.0)) == ("u1", 0.0)
+    dtype, nodata = B.fit_layout(np.array([-9.0, -1.0]), "i2", (-9.0, -1.0))
+    assert dtype == "f8" and np.isnan(nodata)
+
+
+def test_paint_and_pack_carry_one_row_per_pixel():
+    import pyarrow as pa
+    from tessera.operators import mosaic as MO
+    n2, batches = 16, 40
+    rng = np.random.default_rng(3)
+    rows = sorted((int(o), int(rng.integers(0, 9)), s, float(rng.integers(0, 99))) for s in range(200) for o in range(n2))
+    off, p, t, v = (np.array(c) for c in zip(*rows))
+    zero = np.zeros(len(off), dtype=np.int32)
+    whole = pa.RecordBatch.from_pydict({"x": zero, "y": zero, "salt": zero.astype(np.int64), "off": off.astype(np.int32),
+                                        "p": p, "t": t, "v": v})
+    step = len(off) // batches
+    sizes = []
+    keep = B.last_of_runs
+
+    def spy(cols, key):
+        out = keep(cols, key)
+        sizes.append(len(out[0]))
+        return out
+    B.last_of_runs = spy
+    try:
+        cut = list(MO._paint_sorted((whole.slice(i, step) for i in range(0, len(off), step)), 4, 3))
+    finally:
+        B.last_of_runs = keep
+    one = list(MO._paint_sorted([whole], 4, 3))
+    assert [b.to_pydict() for b in cut] == [b.to_pydict() for b in one]
+    assert len(sizes) == batches and max(sizes) <= n2
+
+
+def test_duplicate_pixels_keep_the_greatest_value(spark):
+    cells = spark.range(4000).select((F.col("id") % 4).alias("gx"), F.lit(0).cast("long").alias("gy"),
+                                     (F.col("id") * 7919 % 4001).cast("double").alias("v"))
+    got = B.unpack_blocks(B.pack_blocks(cells.repartition(5), 4, 1, nodata=-1.0))
+    exp = cells.groupBy("gx", "gy").agg(F.max("v").alias("v"))
+    assert _cells(got) == _cells(exp)
+
+
+def test_halo_wider_than_a_tile_is_refused(spark):
+    blk = B.pack_blocks(_raster(spark, 8, 8, gap=0.0), 4, 1, nodata=-1.0)
+    with pytest.raises(Exception, match="wider than a tile"):
+        H.shade_blocks(blk, "zfactor", buffer=5).count()

@@ -40,7 +40,19 @@ def test_tile_list_roundtrip_and_features(spark):
           '{"type":"Polygon","coordinates":[[[1.0,2.0],[3.0,2.0],[3.0,5.0],[1.0,5.0],[1.0,2.0]]]}}]}')
     spark.createDataFrame([(fc,)], "value string").write.text(f)
     r = RD.read_features(spark, f).first()
-    assert (r.id, r.west, r.south, r.east, r.north) == (7, 1.0, 2.0, 3.0, 5.0)
+    assert (r.id, r.west, r.south, r.east, r.north) == ("7", 1.0, 2.0, 3.0, 5.0)
+
+
+def test_features_multipolygon_and_string_ids(spark):
+    f = scratch_path(spark, "t-feat2")
+    lines = ['{"type":"Feature","id":"n38w122","properties":{"a":"b"},"geometry":{"type":"MultiPolygon","coordinates":'
+             '[[[[1,2],[3,2],[3,5],[1,2]]],[[[10,-4],[12,-4],[12,0.5],[10,-4]],[[11,-3],[11,-2],[11.5,-2],[11,-3]]]]}}',
+             '{"type":"Feature","properties":{},"geometry":{"type":"Polygon","coordinates":[[[0,0],[1,0],[1,1],[0,0]]]}}',
+             '{"type":"Feature","id":3,"properties":{},"geometry":{"type":"Point","coordinates":[5,6]}}']
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(f)
+    got = sorted((tuple(r) for r in RD.read_features(spark, f).collect()), key=str)
+    assert got == sorted([("n38w122", 1.0, -4.0, 12.0, 5.0), (None, 0.0, 0.0, 1.0, 1.0),
+                          ("3", None, None, None, None)], key=str)
 
 
 def test_list_objects_reads_no_content(spark):

@@ -1,5 +1,7 @@
 """Scratch folder resolution."""
 
+import pytest
+
 from tessera import session
 
 
@@ -12,6 +14,7 @@ class _Conf:
 
 
 class _SC:
+    master = "local[2]"
     applicationId = "app-test"
 
     def __init__(self):
@@ -40,3 +43,14 @@ def test_local_fallback_registers_once_without_setting_the_conf():
     a = session.checkpoint_root(s)
     assert s.sparkContext.dir is not None and a == s.sparkContext.dir
     assert session.checkpoint_root(s) == a
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    assert session.machine_local_is_shared("local") and session.machine_local_is_shared("local[*]")
+    for master in ("local-cluster[3,2,1024]", "yarn", "spark://h:7077", "k8s://https://h"):
+        assert not session.machine_local_is_shared(master)
+    s = _Spark(None)
+    s.sparkContext.master = "yarn"
+    s.sparkContext.applicationId = "other"
+    with pytest.raises(RuntimeError, match="checkpoint.dir"):
+        session.checkpoint_root(s)
