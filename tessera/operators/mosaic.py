@@ -32,7 +32,8 @@ from . import blocks as B
 
 PAINT_SCHEMA = T.StructType([
     T.StructField("z", T.IntegerType(), False), T.StructField("x", T.IntegerType(), False),
-    T.StructField("y", T.IntegerType(), False), T.StructField("salt", T.LongType(), False),
+    T.StructField("y", T.IntegerType(), False), T.StructField("band", T.IntegerType(), False),
+    T.StructField("salt", T.LongType(), False),
     T.StructField("size", T.IntegerType(), False),
     T.StructField("p", T.BinaryType(), False), T.StructField("t", T.BinaryType(), False),
     T.StructField("v", T.BinaryType(), False),
@@ -43,13 +44,14 @@ _EMPTY = np.iinfo(np.int64).min
 def _paint_sorted(batches, size: int, z: int):
     n2 = size * size
     carry = None
-    names = ("x", "y", "salt", "off", "p", "t", "v")
-    arrow = pa.schema([("z", pa.int32()), ("x", pa.int32()), ("y", pa.int32()), ("salt", pa.int64()),
+    names = ("x", "y", "band", "salt", "off", "p", "t", "v")
+    arrow = pa.schema([("z", pa.int32()), ("x", pa.int32()), ("y", pa.int32()), ("band", pa.int32()), ("salt", pa.int64()),
                        ("size", pa.int32()), ("p", pa.binary()), ("t", pa.binary()), ("v", pa.binary())])
 
     def emit(cols, k):
-        cx, cy, cs, off, pp, tt, vv = (c[:k] for c in cols)
-        grp = np.flatnonzero((cx[1:] != cx[:-1]) | (cy[1:] != cy[:-1]) | (cs[1:] != cs[:-1])) + 1
+        cx, cy, cb, cs, off, pp, tt, vv = (c[:k] for c in cols)
+        grp = np.flatnonzero((cx[1:] != cx[:-1]) | (cy[1:] != cy[:-1]) |
+                             (cb[1:] != cb[:-1]) | (cs[1:] != cs[:-1])) + 1
         starts = np.concatenate(([0], grp))
         stops = np.concatenate((grp, [k]))
         per_chunk = max(1, B.PACK_BYTES // (n2 * 24))              # three 8-byte planes per tile
@@ -68,7 +70,7 @@ def _paint_sorted(batches, size: int, z: int):
             m = len(st)
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.full(m, z), pa.int32()), pa.array(cx[st], pa.int32()), pa.array(cy[st], pa.int32()),
-                pa.array(cs[st], pa.int64()), pa.array(np.full(m, size), pa.int32()),
+                pa.array(cb[st], pa.int32()), pa.array(cs[st], pa.int64()), pa.array(np.full(m, size), pa.int32()),
                 pa.array([P[i].tobytes() for i in range(m)], pa.binary()),
                 pa.array([Tt[i].tobytes() for i in range(m)], pa.binary()),
                 pa.array([V[i].tobytes() for i in range(m)], pa.binary())], schema=arrow)
@@ -77,16 +79,16 @@ def _paint_sorted(batches, size: int, z: int):
         if rb.num_rows == 0:
             continue
         cols = [rb.column(k).to_numpy(zero_copy_only=False) for k in names]
-        cols[6] = cols[6].astype(np.float64)
+        cols[7] = cols[7].astype(np.float64)
         if carry is not None:
             cols = [np.concatenate((a, b)) for a, b in zip(carry, cols)]
-        cx, cy, cs = cols[:3]
+        cx, cy, cb, cs = cols[:4]
         last = len(cx) - 1
-        same = (cx == cx[last]) & (cy == cy[last]) & (cs == cs[last])
+        same = (cx == cx[last]) & (cy == cy[last]) & (cb == cb[last]) & (cs == cs[last])
         k = int(np.flatnonzero(~same).max()) + 1 if (~same).any() else 0
         if k:
             yield from emit(cols, k)
-        carry = B.last_of_runs([c[k:] for c in cols], 3)
+        carry = B.last_of_runs([c[k:] for c in cols], 4)
     if carry is not None and len(carry[0]):
         yield from emit(carry, len(carry[0]))
 
@@ -100,12 +102,12 @@ def _merge_sorted(batches, size: int, nodata):
         V = np.where(P == _EMPTY, np.nan, V).reshape(size, size)
         arr, valid = B.from_float(V, "f8", nodata)
         if valid:
-            out.append(B.block_record(z, cur[0], cur[1], 1, size, "f8", nodata, arr, valid))
+            out.append(B.block_record(z, cur[0], cur[1], cur[2], size, "f8", nodata, arr, valid))
 
     for rb in batches:
         c = rb.to_pydict()
         for i in range(rb.num_rows):
-            key = (c["x"][i], c["y"][i])
+            key = (c["x"][i], c["y"][i], c["band"][i])
             p2 = np.frombuffer(c["p"][i], dtype=np.int64)
             t2 = np.frombuffer(c["t"][i], dtype=np.int64)
             v2 = np.frombuffer(c["v"][i], dtype=np.float64)
@@ -131,16 +133,17 @@ def paint_blocks(cells: DataFrame, size: int, z: int, order=("priority", "tie"),
     """Cells ``(gx, gy, <order...>, v)`` from overlapping sources -> painted f8 blocks at ``z``.
 
     ``order`` names two integral columns (source priority and a tie-break); the value
-    breaks remaining ties.
+    breaks remaining ties.  A ``band`` column of the cells is kept apart.
     """
     p, t = order
+    band = F.col("band") if "band" in cells.columns else F.lit(1)
     keyed = cells.where(F.col("v").isNotNull()).select(
         F.floor(F.col("gx") / size).cast("int").alias("x"), F.floor(F.col("gy") / size).cast("int").alias("y"),
-        F.pmod(F.xxhash64(p, t), F.lit(salts)).alias("salt"),
+        band.cast("int").alias("band"), F.pmod(F.xxhash64(p, t), F.lit(salts)).alias("salt"),
         ((F.col("gy") % size) * size + F.col("gx") % size).cast("int").alias("off"),
         F.col(p).cast("long").alias("p"), F.col(t).cast("long").alias("t"), F.col("v").cast("double").alias("v"))
-    parts = (keyed.repartition("x", "y", "salt")
-                  .sortWithinPartitions("x", "y", "salt", "off", "p", "t", "v")
+    parts = (keyed.repartition("x", "y", "band", "salt")
+                  .sortWithinPartitions("x", "y", "band", "salt", "off", "p", "t", "v")
                   .mapInArrow(lambda it: _paint_sorted(it, size, z), PAINT_SCHEMA))
-    return (parts.repartition("x", "y").sortWithinPartitions("x", "y")
+    return (parts.repartition("x", "y", "band").sortWithinPartitions("x", "y", "band")
                  .mapInArrow(lambda it: _merge_sorted(it, size, nodata), B.BLOCK_SCHEMA))

@@ -320,6 +320,12 @@ select t.z, t.x, t.y, fp.source_id""", 1)
     q["warp_bands"] = W(f"""select cast(band as bigint) band, cast(floor(gx / 2) as bigint) gx, cast(floor(gy / 2) as bigint) gy,
         cast(sum(v) as bigint) vsum, count(v) vcount, cast(sum(v) as double) / count(v) v
         from ({paint.format(k='band, ', t='scenes_bands')}) group by all""", "scenes_bands")
+    q["chunk_bands"] = W(f"""select cast(band as bigint) band, gx, gy, round(v, 6) v from (
+          select band, cast(floor(gx / 2) as bigint) gx, cast(floor(gy / 2) as bigint) gy, cast(sum(v) as double) / count(v) v
+          from ({paint.format(k='band, ', t='scenes_bands')}) group by all)
+        where (gx // {S} + gy // {S}) % 2 = 1""", "scenes_bands")
+    q["mosaic_bands"] = W(f"""select cast(band as bigint) band, gx, gy, v
+        from ({paint.format(k='band, ', t='scenes_bands')})""", "scenes_bands")
     q["warp_nearest"] = W(f"""select t.tx gx, t.ty gy, d.v from (
           select tx, unnest(range(0, h)) ty from (
             select unnest(range(0, w)) tx, h from (

@@ -92,19 +92,29 @@ def tile_sources(tiles: DataFrame, fp: DataFrame, cell: float | None = None) ->
 def chunk(spark: SparkSession, sources: DataFrame, src_zoom: int, zoom: int, size: int, out: str,
           tiles: DataFrame | None = None, dtype: str = "f4", nodata=None,
           order=("priority", "tie")) -> DataFrame:
-    """Z1 for sources on the same Mercator grid family: paint the overlapping
-    sources (A8), average onto the ``zoom`` grid (R1), keep the listed tiles,
-    pack, drop empty tiles (F1) and write (K1)."""
-    factor = 2 ** (src_zoom - zoom)
-    avg = C.paint_and_average(sources, factor, order=order)
-    if tiles is not None:
-        keyed = avg.select("*", F.floor(F.col("gx") / size).alias("x"), F.floor(F.col("gy") / size).alias("y"))
-        avg = keyed.join(tiles.where(F.col("z") == zoom).select("x", "y"), ["x", "y"], "left_semi")
-    blk = B.pack_blocks(avg, size, zoom, dtype=dtype, nodata=nodata).where(F.col("valid_count") > 0)
-    SK.write_tiles(blk, out)
+    """Z1 for sources on the same Mercator grid family: keep the source pixels of listed tiles,
+    paint the overlapping sources (A8), average onto the ``zoom`` grid (R1), pack, drop empty
+    tiles (F1) and write (K1).  A ``band`` column of the sources is kept apart (R5)."""
+    SK.write_tiles(chunk_blocks(sources, 2 ** (src_zoom - zoom), zoom, size, tiles, dtype, nodata, order), out)
     return RD.read_tiles(spark, out, z=zoom)
 
 
+def chunk_blocks(sources: DataFrame, factor: int, zoom: int, size: int, tiles: DataFrame | None = None,
+                 dtype: str = "f4", nodata=None, order=("priority", "tie")) -> DataFrame:
+    """The blocks Z1 writes.  The tile list meets the pixels before the mosaic's shuffles, so
+    only pixels of listed tiles are painted and averaged."""
+    bands = ("band",) if "band" in sources.columns else ()
+    if tiles is not None:
+        span = size * factor
+        wanted = tiles.where(F.col("z") == zoom).select(F.col("x").cast("bigint").alias("_x"),
+                                                        F.col("y").cast("bigint").alias("_y"))
+        sources = (sources.select("*", F.floor(F.col("gx") / span).alias("_x"), F.floor(F.col("gy") / span).alias("_y"))
+                          .join(wanted, ["_x", "_y"], "left_semi"))
+    avg = C.paint_and_average(sources, factor, order=order, extra_keys=bands)
+    return (B.pack_blocks(avg, size, zoom, dtype=dtype, nodata=nodata, band="band" if bands else 1)
+             .where(F.col("valid_count") > 0))
+
+
 # --------------------------------------------------------------------- Z2 pyramid
 def pyramid(spark: SparkSession, store: str, zoom: int, min_zoom: int = 0, method: str = "nearest",
             tiles: DataFrame | None = None, levels_per_pass: int | None = None) -> DataFrame:

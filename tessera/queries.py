@@ -400,6 +400,23 @@ def chunk_tiles(spark, d):
                      _i("valid_count").alias("valid_count"), F.round("vsum", 4).alias("vsum"))
 
 
+def chunk_bands(spark, d):
+    """Three bands chunked into one store, those z9 tiles of the list with odd x + y."""
+    sc = FX.scenes_bands(spark, d)
+    tiles = (sc.select(F.lit(9).alias("z"), F.floor(F.col("gx") / (2 * S)).alias("x"),
+                       F.floor(F.col("gy") / (2 * S)).alias("y"))
+               .where((F.col("x") + F.col("y")) % 2 == 1).distinct())
+    out = J.chunk(spark, sc, FX.SCENE_ZOOM, FX.SCENE_ZOOM - 1, S, scratch_path(spark, "chunk-bands"),
+                  tiles=tiles, dtype="f8", nodata=FX.NODATA)
+    return B.unpack_blocks(out).select(_i("band").alias("band"), "gx", "gy", F.round("v", 6).alias("v"))
+
+
+def mosaic_bands(spark, d):
+    """A8/R5 in block form: every band painted on its own."""
+    painted = MO.paint_blocks(FX.scenes_bands(spark, d), S, FX.SCENE_ZOOM)
+    return B.unpack_blocks(painted).select(_i("band").alias("band"), "gx", "gy", _i("v").alias("v"))
+
+
 def mosaic_blocks(spark, d):
     """A8 in block form: scenes painted per tile (salted by source), unpacked (same oracle)."""
     painted = MO.paint_blocks(FX.scenes(spark, d), S, FX.SCENE_ZOOM)
@@ -565,7 +582,7 @@ QUERIES = {f.__name__: f for f in (
     utm_to_lonlat, lonlat_to_utm, suggest_zoom, footprint_index, mosaic_grid, plan_tiles, source_overlap, source_window,
     uri_names, missing_targets, listing_union, conversion_log, reproject_worklist,
     dem_blocks_valid, dem_stats, reblock, overview_sizes, decimate, pyramid_levels, pyramid_average,
-    pyramid_average_i2, stats_of_average, tms_of_average, pyramid_mixed_nodata,
+    chunk_bands, mosaic_bands, pyramid_average_i2, stats_of_average, tms_of_average, pyramid_mixed_nodata,
     pyramid_manifest, tms_view, window_read,
     mosaic_paint, mosaic_blocks, chunk_average, chunk_average_blocks, chunk_tiles, warp_bands, warp_nearest, warp_bilinear,
     warp_bilinear_blocks, warp_nearest_blocks, warp_4326, warp_4326_nearest, warp_4326_blocks,

@@ -78,15 +78,12 @@ def scenes(spark: SparkSession, d: str) -> DataFrame:
 
 
 def scenes_bands(spark: SparkSession, d: str) -> DataFrame:
-    li = table(spark, d, "lineitem")
-    keys = [F.col("l_partkey").alias("gx"), F.col("l_suppkey").alias("gy"),
-            F.col("l_linenumber").alias("priority"), F.col("l_orderkey").alias("tie")]
-    parts = [
-        li.select(*keys, F.lit(1).alias("band"), F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("v")),
-        li.select(*keys, F.lit(2).alias("band"), F.round(F.col("l_quantity")).cast("bigint").alias("v")),
-        li.select(*keys, F.lit(3).alias("band"), F.round(F.col("l_discount") * 100).cast("bigint").alias("v")),
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    bands = F.array(*[F.struct(F.lit(b).alias("band"), v.cast("bigint").alias("v")) for b, v in (
+        (1, F.round(F.col("l_extendedprice") * 100)), (2, F.round(F.col("l_quantity"))),
+        (3, F.round(F.col("l_discount") * 100)))])
+    return table(spark, d, "lineitem").select(
+        F.col("l_partkey").alias("gx"), F.col("l_suppkey").alias("gy"),
+        F.col("l_linenumber").alias("priority"), F.col("l_orderkey").alias("tie"), F.inline(bands))
 
 
 def objects(spark: SparkSession, d: str) -> DataFrame:

@@ -255,7 +255,7 @@ def test_paint_and_pack_carry_one_row_per_pixel():
     rows = sorted((int(o), int(rng.integers(0, 9)), s, float(rng.integers(0, 99))) for s in range(200) for o in range(n2))
     off, p, t, v = (np.array(c) for c in zip(*rows))
     zero = np.zeros(len(off), dtype=np.int32)
-    whole = pa.RecordBatch.from_pydict({"x": zero, "y": zero, "salt": zero.astype(np.int64), "off": off.astype(np.int32),
+    whole = pa.RecordBatch.from_pydict({"x": zero, "y": zero, "band": zero, "salt": zero.astype(np.int64), "off": off.astype(np.int32),
                                         "p": p, "t": t, "v": v})
     step = len(off) // batches
     sizes = []

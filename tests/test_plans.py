@@ -102,3 +102,14 @@ def test_window_read_prunes_to_the_window(spark):
     exp = {((gy - 3) // 2, (gx - 40) // 2): float(v) for (gx, gy), v in dem.items()
            if 3 <= gy < 11 and 40 <= gx < 72 and (gy - 3) % 2 == 1 and (gx - 40) % 2 == 1}
     assert got == exp and len(got) > 10
+
+
+def test_chunk_meets_the_tile_list_before_painting(spark):
+    from tessera.plans import jobs as J
+    tiles = spark.createDataFrame([(9, 0, 0)], "z int, x int, y int")
+    blk = J.chunk_blocks(FX.scenes_bands(spark, SMALL), 2, 9, 32, tiles, nodata=FX.NODATA)
+    plan = _plan(blk)
+    # a plan tree prints children below their parents: the join lies under every aggregate
+    assert plan.index("LeftSemi") > max(i for i in range(len(plan)) if plan.startswith("Aggregate(", i))
+    assert plan.count("lineitem.parquet") == 1       # one scan for the three bands
+    assert {(r.x, r.y) for r in blk.collect()} == {(0, 0)}
