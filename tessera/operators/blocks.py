@@ -154,6 +154,11 @@ def records_to_table(records: list[dict]) -> pa.Table:
     return pa.Table.from_pylist(records, schema=arrow_schema)
 
 
+def pixel_bytes() -> F.Column:
+    """Length of a block's ``data`` from its layout, so that counting bytes does not read the pixels."""
+    return F.col("size").cast("long") * F.col("size") * F.substring("dtype", 2, 1).cast("int")
+
+
 # ------------------------------------------------------------------ pack / unpack
 def pack_blocks(cells: DataFrame, size: int, z, dtype: str = "f8", nodata=None,
                 value: str = "v", band=1) -> DataFrame:

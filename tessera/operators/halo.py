@@ -113,14 +113,38 @@ def shade_light(a, b, **kw):
         return np.floor(255.0 * stretch(light_intensity(a, b, **kw)))
 
 
+def ramp(shade: np.ndarray) -> list[np.ndarray]:
+    """r, g, b, a planes of a shade, its colour ramp stretched over the whole array."""
+    lo, hi = np.nanmin(shade), np.nanmax(shade)
+    steps = TR.RAMP_STEPS
+    with np.errstate(invalid="ignore"):
+        t = (shade - lo) / (hi - lo) if hi > lo else shade * 0.0
+        idx = np.minimum(np.floor(t * steps), steps - 1)
+    planes = []
+    for ch in "rgba":
+        stops = TR.RAMP[ch]
+        xi = np.arange(steps) * (1.0 / (steps - 1))
+        table = np.full(steps, stops[-1][1])
+        for (x0, y0), (x1, y1) in reversed(list(zip(stops[:-1], stops[1:]))):
+            table = np.where(xi <= x1, (xi - x0) / (x1 - x0) * (y1 - y0) + y0, table)
+        table[0], table[-1] = stops[0][1], stops[-1][1]
+        out = np.full(shade.shape, np.nan)
+        ok = ~np.isnan(idx)
+        out[ok] = np.floor(table * 255.0)[idx[ok].astype(np.int64)]
+        planes.append(out)
+    return planes
+
+
 # Output dtypes: int32 for the naive shader, 0..255 values otherwise (int16 so
 # that -1 can mark pixels without a value).
-SHADERS = {"naive": ("i4", shade_naive), "zfactor": ("i2", shade_zfactor), "light": ("i2", shade_light)}
+SHADERS = {"naive": ("i4", shade_naive), "zfactor": ("i2", shade_zfactor), "light": ("i2", shade_light),
+           "rgba": ("i2", shade_light)}
 SHADE_NODATA = -1.0
 
 
-def _shade_group(buffer: int, method: str, h: float):
+def _shade_group(buffer: int, method: str, h):
     out_dtype, fn = SHADERS[method]
+    dx, dy = h if isinstance(h, tuple) else (h, h)
 
     def run(key, tbl):
         rows = tbl.to_pylist()
@@ -135,24 +159,29 @@ def _shade_group(buffer: int, method: str, h: float):
             own = own or (r["ox"] == buffer and r["oy"] == buffer)       # the tile's own block
         if not own:                       # only strips arrived: the tile itself is not stored
             return B.records_to_table([])
-        a = masked_gradient(buf, h, 0)
-        b = masked_gradient(buf, h, 1)
+        a = masked_gradient(buf, dy, 0)
+        b = masked_gradient(buf, dx, 1)
         with np.errstate(invalid="ignore"):
             res = fn(a, b)
         res[np.isnan(a) | np.isnan(b)] = np.nan
-        res = res[buffer:buffer + size, buffer:buffer + size]      # crop the halo
-        arr, valid = B.from_float(res, out_dtype, SHADE_NODATA)
-        if valid == 0:
+        if np.isnan(res).all():
             return B.records_to_table([])
-        return B.records_to_table([B.block_record(r0["z"], r0["tx"], r0["ty"], r0["band"], size,
-                                                  out_dtype, SHADE_NODATA, arr, valid)])
+        planes = ramp(res) if method == "rgba" else [res]
+        out = []
+        for k, plane in enumerate(planes):
+            arr, valid = B.from_float(plane[buffer:buffer + size, buffer:buffer + size], out_dtype, SHADE_NODATA)   # crop the halo
+            if valid:
+                band = (r0["band"] - 1) * len(planes) + 1 + k
+                out.append(B.block_record(r0["z"], r0["tx"], r0["ty"], band, size, out_dtype, SHADE_NODATA, arr, valid))
+        return B.records_to_table(out)
     return run
 
 
-def shade_blocks(blocks: DataFrame, method: str = "zfactor", buffer: int = 2, h: float = 2.0) -> DataFrame:
-    """Shade every stored tile with ``buffer`` pixels of neighbour context.
+def shade_blocks(blocks: DataFrame, method: str = "zfactor", buffer: int = 2, h=2.0) -> DataFrame:
+    """Shade every stored tile with ``buffer`` pixels of neighbour context.  ``h``: pixel spacing, or (dx, dy).
 
-    Output blocks: ``i4`` (naive) or ``i2`` (z-factor, light), nodata -1.
+    Output blocks: ``i4`` (naive) or ``i2`` (z-factor, light), nodata -1;
+    ``rgba`` gives four bands r, g, b, a (T6) of the light shade, the ramp stretched over the buffered tile.
     """
     pieces = blocks.select(*B.BLOCK_COLUMNS).mapInArrow(lambda it: _strips(it, buffer), PIECE_SCHEMA)
     return pieces.groupBy("z", "band", "tx", "ty").applyInArrow(_shade_group(buffer, method, h), B.BLOCK_SCHEMA)

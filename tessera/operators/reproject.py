@@ -6,6 +6,8 @@ A raster grid is ``Grid(crs, x0, y0, dx, dy)``: pixel (i, j) has its centre at
 Target pixel t is resampled from the source at the inverse-projected centre
 ``s`` (in source pixel units, integers at pixel centres): bilinear reads
 ``floor(s)`` and ``floor(s) + 1`` on each axis, nearest reads ``floor(s + .5)``.
+``average`` takes the mean of the source pixels whose projected centre lies in the target
+pixel, and where there is none (target finer than source) the pixel that nearest reads.
 Written as scatter + aggregate: each valid source cell maps the corners of the
 region of ``s`` values that would read it forward into the target grid, proposes
 the target cells inside (plus a one-cell margin), and keeps exactly those whose
@@ -18,10 +20,17 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import crs as CRS
+from . import blocks as B
+
+
+METHODS = ("bilinear", "nearest", "average")
 
 
 @dataclass(frozen=True)
@@ -46,7 +55,7 @@ def warp_crs(df: DataFrame, src: Grid, dst: Grid, method: str = "bilinear", extr
              margin: int = 1) -> DataFrame:
     """Resample cells ``(gx, gy, v)`` on ``src`` onto ``dst``; returns ``(extra_keys.., gx, gy, v)``
     on ``dst``.  Grid parameters given as column names are read per row."""
-    if method not in ("bilinear", "nearest"):
+    if method not in METHODS:
         raise ValueError(method)
     lo, hi = (-1.0, 1.0) if method == "bilinear" else (-0.5, 0.5)
     carry = list(dict.fromkeys(src.columns() + dst.columns()))
@@ -59,10 +68,16 @@ def warp_crs(df: DataFrame, src: Grid, dst: Grid, method: str = "bilinear", extr
         cells = cells.withColumn(f"_cx{k}", sx0 + (F.col("gx") + ox + 0.5) * sdx) \
                      .withColumn(f"_cy{k}", sy0 - (F.col("gy") + oy + 0.5) * sdy)
         corners.append((f"_cx{k}", f"_cy{k}", f"_tx{k}", f"_ty{k}"))
+    direct = []                                 # average: the target cell that holds the centre
+    if method == "average":
+        cells = cells.withColumn("_mx", sx0 + (F.col("gx") + 0.5) * sdx).withColumn("_my", sy0 - (F.col("gy") + 0.5) * sdy)
+        corners.append(("_mx", "_my", "_tmx", "_tmy"))
+        direct = [F.floor((F.col("_tmx") - dx0) / ddx).alias("_di"), F.floor((dy0 - F.col("_tmy")) / ddy).alias("_dj")]
+    held = ["_di", "_dj"] if direct else []
     fwd = CRS.add_points(cells, src.crs, dst.crs, corners)
     txs = [(F.col(f"_tx{k}") - dx0) / ddx - 0.5 for k in range(4)]
     tys = [(dy0 - F.col(f"_ty{k}")) / ddy - 0.5 for k in range(4)]
-    ranged = fwd.select(*extra_keys, *carry, "gx", "gy", "v",
+    ranged = fwd.select(*extra_keys, *carry, "gx", "gy", "v", *direct,
                         F.greatest(F.floor(F.least(*txs)) - margin, F.lit(0)).alias("_ti0"),
                         (F.ceil(F.greatest(*txs)) + margin).alias("_ti1"),
                         F.greatest(F.floor(F.least(*tys)) - margin, F.lit(0)).alias("_tj0"),
@@ -72,15 +87,21 @@ def warp_crs(df: DataFrame, src: Grid, dst: Grid, method: str = "bilinear", extr
                   .where(F.col("ti").isNotNull())
                   .select("*", F.explode_outer(F.sequence("_tj0", F.greatest("_tj0", "_tj1"))).alias("tj"))
                   .where(F.col("tj").isNotNull())
-                  .select(*extra_keys, *carry, "gx", "gy", "v", "ti", "tj",
+                  .select(*extra_keys, *carry, "gx", "gy", "v", *held, "ti", "tj",
                           (dx0 + (F.col("ti") + 0.5) * ddx).alias("_X"),
                           (dy0 - (F.col("tj") + 0.5) * ddy).alias("_Y")))
     inv = CRS.add_points(cand, dst.crs, src.crs, [("_X", "_Y", "_SX", "_SY")])
     sx = (F.col("_SX") - sx0) / sdx - 0.5
     sy = (sy0 - F.col("_SY")) / sdy - 0.5
-    s = inv.select(*extra_keys, "gx", "gy", "v", "ti", "tj", sx.alias("sx"), sy.alias("sy"))
+    s = inv.select(*extra_keys, "gx", "gy", "v", *held, "ti", "tj", sx.alias("sx"), sy.alias("sy"))
+    read = (F.floor(F.col("sx") + 0.5) == F.col("gx")) & (F.floor(F.col("sy") + 0.5) == F.col("gy"))
+    if method == "average":
+        inside = (F.col("_di") == F.col("ti")) & (F.col("_dj") == F.col("tj"))
+        return (s.where(inside | read).groupBy(*extra_keys, F.col("ti").alias("gx"), F.col("tj").alias("gy"))
+                 .agg(F.avg(F.when(inside, F.col("v"))).alias("_mean"), F.max(F.when(read, F.col("v"))).alias("_near"))
+                 .select(*extra_keys, "gx", "gy", F.coalesce(F.col("_mean"), F.col("_near").cast("double")).alias("v")))
     if method == "nearest":
-        return (s.where((F.floor(F.col("sx") + 0.5) == F.col("gx")) & (F.floor(F.col("sy") + 0.5) == F.col("gy")))
+        return (s.where(read)
                  .select(*extra_keys, F.col("ti").alias("gx"), F.col("tj").alias("gy"), "v"))
     fx, fy = F.floor("sx"), F.floor("sy")
     wx = F.when(fx == F.col("gx"), 1 - (F.col("sx") - fx)).when(fx + 1 == F.col("gx"), F.col("sx") - fx)
@@ -95,7 +116,6 @@ def warp_crs(df: DataFrame, src: Grid, dst: Grid, method: str = "bilinear", extr
 # ---------------------------------------------------------------------------- block form
 # NumPy twins of the Column projections in tessera.functions.crs (same formulas), for kernels.
 def _np_to_lonlat(crs: str, x, y):
-    import numpy as np
     crs = crs.upper()
     if crs == "EPSG:4326":
         return x, y
@@ -118,7 +138,6 @@ def _np_to_lonlat(crs: str, x, y):
 
 
 def _np_from_lonlat(crs: str, lon, lat):
-    import numpy as np
     crs = crs.upper()
     if crs == "EPSG:4326":
         return lon, lat
@@ -147,86 +166,198 @@ def np_transform(src: str, dst: str, x, y):
     return _np_from_lonlat(dst, lon, lat)
 
 
-def _crs_kernel(src: Grid, dst: Grid, size_t: int, zoom_t: int, method: str, out_dtype: str, out_nodata):
-    import numpy as np
-    from . import blocks as B
-
-    def run(key, rows):
-        ti0, tj0 = key[0] * size_t, key[1] * size_t
-        size_s, band = B.one_size(rows), rows[0]["band"]
-        bx0, by0 = min(r["x"] for r in rows), min(r["y"] for r in rows)
-        nbx = max(r["x"] for r in rows) - bx0 + 1
-        nby = max(r["y"] for r in rows) - by0 + 1
-        mos = np.full((nby * size_s, nbx * size_s), np.nan)
-        for r in rows:
-            oy, ox = (r["y"] - by0) * size_s, (r["x"] - bx0) * size_s
-            mos[oy:oy + size_s, ox:ox + size_s] = B.row_values(r)
-        ox0, oy0 = bx0 * size_s, by0 * size_s
-        ti = ti0 + np.arange(size_t, dtype=np.float64)[None, :] + np.zeros((size_t, 1))
-        tj = tj0 + np.arange(size_t, dtype=np.float64)[:, None] + np.zeros((1, size_t))
-        X, Y = dst.x0 + (ti + 0.5) * dst.dx, dst.y0 - (tj + 0.5) * dst.dy
-        with np.errstate(invalid="ignore"):
-            SX, SY = np_transform(dst.crs, src.crs, X, Y)
-        sx, sy = (SX - src.x0) / src.dx - 0.5, (src.y0 - SY) / src.dy - 0.5
-
-        def fetch(iy, ix):
-            ok = (iy >= 0) & (iy < mos.shape[0]) & (ix >= 0) & (ix < mos.shape[1])
-            out = np.full(iy.shape, np.nan)
-            out[ok] = mos[iy[ok], ix[ok]]
-            return out
-
-        finite = np.isfinite(sx) & np.isfinite(sy)
-        sx, sy = np.where(finite, sx, -1e9), np.where(finite, sy, -1e9)
-        if method == "nearest":
-            out = fetch((np.floor(sy + 0.5) - oy0).astype(np.int64), (np.floor(sx + 0.5) - ox0).astype(np.int64))
-        else:
-            fx, fy = np.floor(sx), np.floor(sy)
-            num, den = np.zeros(sx.shape), np.zeros(sx.shape)
-            for dy in (0, 1):
-                for dx in (0, 1):
-                    v = fetch((fy + dy - oy0).astype(np.int64), (fx + dx - ox0).astype(np.int64))
-                    w = (1 - (sx - fx) if dx == 0 else sx - fx) * (1 - (sy - fy) if dy == 0 else sy - fy)
-                    use = (w > 0) & ~np.isnan(v)
-                    num += np.where(use, w * np.nan_to_num(v), 0.0)
-                    den += np.where(use, w, 0.0)
-            with np.errstate(invalid="ignore", divide="ignore"):
-                out = np.where(den > 0, num / den, np.nan)
-        arr, valid = B.from_float(out, out_dtype, out_nodata)
-        if valid == 0:
-            return []
-        return [B.block_record(zoom_t, key[0], key[1], band, size_t, out_dtype, out_nodata, arr, valid)]
-
-    return run
+PART_SCHEMA = T.StructType([
+    T.StructField("tx", T.IntegerType(), False), T.StructField("ty", T.IntegerType(), False),
+    T.StructField("band", T.IntegerType(), False), T.StructField("p", T.LongType(), False),
+    T.StructField("t", T.LongType(), False), T.StructField("off", T.BinaryType(), False),
+    T.StructField("num", T.BinaryType(), False), T.StructField("den", T.BinaryType(), False),
+    T.StructField("near", T.BinaryType(), False),
+])
+_PART_ARROW = pa.schema([("tx", pa.int32()), ("ty", pa.int32()), ("band", pa.int32()), ("p", pa.int64()), ("t", pa.int64()),
+                         ("off", pa.binary()), ("num", pa.binary()), ("den", pa.binary()), ("near", pa.binary())])
+STRIP_PIXELS = 1 << 18       # pixels projected at a time
+PART_BYTES = 8 << 20         # partials per emitted batch
+_ROW = 1 << 31               # target pixel (i, j) as one number: j * _ROW + i
+
+
+def _window(size, gx0, gy0, g, src_crs, dst, extent):
+    """Target pixels [i0, i1) x [j0, j1) that a block's pixels and one around them can reach: every
+    pixel of its four edges is projected, so edges that bulge are followed."""
+    k = np.arange(-1.0, size + 2.0)
+    lo, hi = np.full(k.size, -1.0), np.full(k.size, size + 1.0)
+    px, py = gx0 + np.concatenate((k, k, lo, hi)), gy0 + np.concatenate((lo, hi, k, k))
+    X, Y = np_transform(src_crs, dst.crs, g[0] + px * g[2], g[1] - py * g[3])
+    u, v = (X - dst.x0) / dst.dx, (dst.y0 - Y) / dst.dy
+    ok = np.isfinite(u) & np.isfinite(v)
+    if not ok.any():
+        return 0, 0, 0, 0
+    i0, j0 = max(int(np.floor(u[ok].min())) - 1, 0), max(int(np.floor(v[ok].min())) - 1, 0)
+    i1, j1 = int(np.floor(u[ok].max())) + 2, int(np.floor(v[ok].max())) + 2
+    if extent is not None:
+        i1, j1 = min(i1, extent[0]), min(j1, extent[1])
+    return i0, i1, j0, j1
+
+
+def _centre_sums(vals, gx0, gy0, g, src_crs, dst, win):
+    """(target pixel numbers ascending, sums, counts) of the valid pixels by the target pixel that holds their centre."""
+    size = vals.shape[0]
+    ids, sums, counts = [], [], []
+    step = max(1, STRIP_PIXELS // size)
+    for r in range(0, size, step):
+        v = vals[r:r + step]
+        jj, ii = np.nonzero(~np.isnan(v))
+        if not len(jj):
+            continue
+        X, Y = np_transform(src_crs, dst.crs, g[0] + (gx0 + ii + 0.5) * g[2], g[1] - (gy0 + r + jj + 0.5) * g[3])
+        ti, tj = np.floor((X - dst.x0) / dst.dx), np.floor((dst.y0 - Y) / dst.dy)
+        ok = (ti >= win[0]) & (ti < win[1]) & (tj >= win[2]) & (tj < win[3])      # false for NaN
+        u, inv = np.unique(tj[ok].astype(np.int64) * _ROW + ti[ok].astype(np.int64), return_inverse=True)
+        ids.append(u)
+        sums.append(np.bincount(inv, v[jj[ok], ii[ok]], len(u)))
+        counts.append(np.bincount(inv, minlength=len(u)))
+    if not ids:
+        return np.empty(0, np.int64), np.empty(0), np.empty(0)
+    u, inv = np.unique(np.concatenate(ids), return_inverse=True)
+    return u, np.bincount(inv, np.concatenate(sums), len(u)), np.bincount(inv, np.concatenate(counts), len(u))
+
+
+def _block_partials(row, src: Grid, dst: Grid, size_t: int, method: str, extent):
+    """What one source block gives to each target tile: (tx, ty, offsets, num, den, near)."""
+    vals, size = B.row_values(row), row["size"]
+    gx0, gy0 = row["x"] * size, row["y"] * size
+    g = [row[v] if isinstance(v, str) else v for v in (src.x0, src.y0, src.dx, src.dy)]
+    win = i0, i1, j0, j1 = _window(size, gx0, gy0, g, src.crs, dst, extent)
+    if i0 >= i1 or j0 >= j1:
+        return
+    none = np.empty(0)
+    direct = None
+    if method == "average":
+        direct, sums, counts = _centre_sums(vals, gx0, gy0, g, src.crs, dst, win)
+        dj, di = direct // _ROW, direct % _ROW
+        tiles, inv = np.unique(np.stack((di // size_t, dj // size_t)), axis=1, return_inverse=True)
+        for k, (tx, ty) in enumerate(tiles.T):
+            m = inv.reshape(-1) == k
+            yield tx, ty, (dj[m] % size_t) * size_t + di[m] % size_t, sums[m], counts[m].astype(np.float64), none
+
+    def tap(iy, ix):
+        iy, ix = iy - gy0, ix - gx0
+        ok = (iy >= 0) & (iy < size) & (ix >= 0) & (ix < size)
+        out = np.full(iy.shape, np.nan)
+        out[ok] = vals[iy[ok].astype(np.int64), ix[ok].astype(np.int64)]
+        return out
+
+    for ty in range(j0 // size_t, (j1 - 1) // size_t + 1):
+        for tx in range(i0 // size_t, (i1 - 1) // size_t + 1):
+            a0, a1 = max(i0, tx * size_t), min(i1, (tx + 1) * size_t)
+            b0, b1 = max(j0, ty * size_t), min(j1, (ty + 1) * size_t)
+            step = max(1, STRIP_PIXELS // (a1 - a0))
+            for b in range(b0, b1, step):
+                tj, ti = (m.ravel() for m in np.meshgrid(np.arange(b, min(b + step, b1)), np.arange(a0, a1), indexing="ij"))
+                X, Y = np_transform(dst.crs, src.crs, dst.x0 + (ti + 0.5) * dst.dx, dst.y0 - (tj + 0.5) * dst.dy)
+                sx, sy = (X - g[0]) / g[2] - 0.5, (g[1] - Y) / g[3] - 0.5
+                off = (tj % size_t) * size_t + ti % size_t
+                if method == "bilinear":
+                    fx, fy = np.floor(sx), np.floor(sy)
+                    num, den = np.zeros(off.size), np.zeros(off.size)
+                    for dy in (0, 1):
+                        for dx in (0, 1):
+                            v = tap(fy + dy, fx + dx)
+                            w = (1 - (sx - fx) if dx == 0 else sx - fx) * (1 - (sy - fy) if dy == 0 else sy - fy)
+                            use = (w > 0) & ~np.isnan(v)
+                            num += np.where(use, w * np.nan_to_num(v), 0.0)
+                            den += np.where(use, w, 0.0)
+                    m = den > 0
+                    if m.any():
+                        yield tx, ty, off[m], num[m], den[m], none
+                    continue
+                v = tap(np.floor(sy + 0.5), np.floor(sx + 0.5))
+                m = ~np.isnan(v)
+                if direct is not None:
+                    m &= ~np.isin(tj.astype(np.int64) * _ROW + ti, direct)
+                if m.any():
+                    yield tx, ty, off[m], none, none, v[m]
+
+
+def _partials(batches, src: Grid, dst: Grid, size_t: int, method: str, extent):
+    out, held = [], 0
+    for rb in batches:
+        for i in range(rb.num_rows):
+            row = rb.slice(i, 1).to_pylist()[0]
+            with np.errstate(invalid="ignore", divide="ignore", over="ignore"):
+                for tx, ty, off, num, den, near in _block_partials(row, src, dst, size_t, method, extent):
+                    out.append({"tx": int(tx), "ty": int(ty), "band": row["band"], "p": row["p"], "t": row["t"],
+                                "off": off.astype("<i4").tobytes(), "num": num.tobytes(), "den": den.tobytes(),
+                                "near": near.tobytes()})
+                    held += 4 * off.size + 8 * (num.size + den.size + near.size)
+                    if held > PART_BYTES:
+                        yield pa.RecordBatch.from_pylist(out, schema=_PART_ARROW)
+                        out, held = [], 0
+    if out:
+        yield pa.RecordBatch.from_pylist(out, schema=_PART_ARROW)
+
+
+def _merge_partials(batches, size_t: int, zoom_t: int, out_dtype: str, out_nodata):
+    """Partials sorted by tile and source -> blocks; four planes are held, however many sources meet a tile."""
+    n = size_t * size_t
+    tile = source = None
+    done, num, den, near = np.full(n, np.nan), np.zeros(n), np.zeros(n), np.full(n, np.nan)
+
+    def fold_source():
+        with np.errstate(invalid="ignore", divide="ignore"):
+            v = np.where(den > 0, num / den, near)
+        np.copyto(done, v, where=~np.isnan(v))           # a later source lies over the earlier ones
+        num[:], den[:], near[:] = 0.0, 0.0, np.nan
+
+    def finish():
+        fold_source()
+        v = done.reshape(size_t, size_t)
+        arr, valid = B.from_float(v if out_dtype[0] == "f" else np.rint(v), out_dtype, out_nodata)
+        rec = B.block_record(zoom_t, tile[0], tile[1], tile[2], size_t, out_dtype, out_nodata, arr, valid)
+        empty = np.isnan(done).all()
+        done[:] = np.nan
+        return [] if empty else B.records_to_table([rec]).to_batches()
+
+    for rb in batches:
+        for i in range(rb.num_rows):
+            r = rb.slice(i, 1).to_pylist()[0]
+            key, src = (r["tx"], r["ty"], r["band"]), (r["p"], r["t"])
+            if tile is not None and key != tile:
+                yield from finish()
+            elif tile is not None and src != source:
+                fold_source()
+            tile, source = key, src
+            off = np.frombuffer(r["off"], "<i4")
+            if r["num"]:
+                num[off] += np.frombuffer(r["num"])
+                den[off] += np.frombuffer(r["den"])
+            if r["near"]:
+                near[off] = np.frombuffer(r["near"])
+    if tile is not None:
+        yield from finish()
 
 
 def warp_blocks_crs(blocks: DataFrame, src: Grid, dst: Grid, size_t: int, zoom_t: int,
-                    method: str = "bilinear", out_dtype: str = "f8",
-                    out_nodata=-3.4028234663852886e38) -> DataFrame:
-    """Block form of :func:`warp_crs`: each source block goes to the target tiles its
-    (projected, one-pixel-padded) footprint meets; one NumPy kernel per target tile
-    inverse-projects its pixel centres and resamples from the blocks it received."""
-    from . import blocks as B
-    pad = 1.5
-    s = F.col("size")
-    cols = []
-    b = blocks.select(*B.BLOCK_COLUMNS)
-    for k, (cx, cy) in enumerate(((0, 0), (0, 1), (1, 0), (1, 1))):
-        px = F.col("x") * s + (s * cx) + (pad if cx else -pad)
-        py = F.col("y") * s + (s * cy) + (pad if cy else -pad)
-        b = b.withColumn(f"_cx{k}", src.x0 + px * src.dx).withColumn(f"_cy{k}", src.y0 - py * src.dy)
-        cols.append((f"_cx{k}", f"_cy{k}", f"_tx{k}", f"_ty{k}"))
-    f = CRS.add_points(b, src.crs, dst.crs, cols)
-    txs = [(F.col(f"_tx{k}") - dst.x0) / dst.dx for k in range(4)]
-    tys = [(dst.y0 - F.col(f"_ty{k}")) / dst.dy for k in range(4)]
-    r = f.select(*B.BLOCK_COLUMNS,
-                 F.greatest(F.floor(F.least(*txs) / size_t), F.lit(0)).alias("_a0"),
-                 F.floor(F.greatest(*txs) / size_t).alias("_a1"),
-                 F.greatest(F.floor(F.least(*tys) / size_t), F.lit(0)).alias("_b0"),
-                 F.floor(F.greatest(*tys) / size_t).alias("_b1"))
-    sent = (r.select("*", F.explode_outer(F.sequence("_a0", F.greatest("_a0", "_a1"))).alias("tx"))
-              .where(F.col("tx").isNotNull())
-              .select("*", F.explode_outer(F.sequence("_b0", F.greatest("_b0", "_b1"))).alias("ty"))
-              .where(F.col("ty").isNotNull())
-              .select(*B.BLOCK_COLUMNS, "tx", "ty"))
-    return B.fold_blocks_keyed(sent, ["tx", "ty", "band"],
-                               _crs_kernel(src, dst, size_t, zoom_t, method, out_dtype, out_nodata))
+                    method: str = "bilinear", out_dtype: str = "f8", out_nodata=-3.4028234663852886e38,
+                    order=(), tiles: DataFrame | None = None, extent: tuple | None = None) -> DataFrame:
+    """Block form of :func:`warp_crs`; the source grid may be columns of the blocks (one per source).
+
+    Each source block is resampled where it lies: it gives every target tile it reaches the
+    weighted sums (average: sums and counts) of the pixels it holds.  Only these partial sums are
+    shuffled, and they are added per tile in a sorted streaming pass, so neither the ratio of the
+    grids nor the number of sources bounds a group.  ``order`` names at most two integral columns
+    that tell sources apart; the greatest one with a value wins a pixel (A8), after each source
+    was resampled on its own.  ``tiles`` (x, y) keeps listed tiles only, before the shuffle;
+    ``extent`` is the target grid's (width, height) in pixels, needed where the target CRS does
+    not reach the whole source (latitudes beyond Mercator).
+    """
+    if method not in METHODS:
+        raise ValueError(method)
+    order = [F.col(c).cast("long") for c in order] + [F.lit(0).cast("long")] * (2 - len(order))
+    rows = blocks.where(F.col("valid_count") > 0).select(
+        *[c for c in B.BLOCK_COLUMNS if c != "weight"], *dict.fromkeys(src.columns()), order[0].alias("p"), order[1].alias("t"))
+    parts = rows.mapInArrow(lambda it: _partials(it, src, dst, size_t, method, extent), PART_SCHEMA)
+    if tiles is not None:
+        wanted = tiles.select(F.col("x").cast("int").alias("tx"), F.col("y").cast("int").alias("ty"))
+        parts = parts.join(wanted, ["tx", "ty"], "left_semi").select(*PART_SCHEMA.names)
+    return (parts.repartition("tx", "ty", "band").sortWithinPartitions("tx", "ty", "band", "p", "t")
+                 .mapInArrow(lambda it: _merge_partials(it, size_t, zoom_t, out_dtype, out_nodata), B.BLOCK_SCHEMA))

@@ -1,121 +1,24 @@
-"""Block-form warps (J4 + R2/R4 as Arrow kernels).
+"""Block-form warps between axis-aligned grids (J4 + R2/R4 as Arrow kernels).
 
-A target tile needs the source pixels its inverse-mapped footprint touches.
-Each source block is sent (JVM-side ``explode``) to every target tile whose
-footprint meets it; one shuffle on the target tile then gathers a bounded
-number of source blocks per tile -- about ``(size_t*ratio/size_s + 2)**2`` --
-and the kernel resamples from their small mosaic.  Only block rows move, so
-a pixel costs its dtype's bytes in the shuffle, not a cell row.
-
-The grids here are axis-aligned: target pixel centre t maps to source pixel
-coordinate (t + 0.5) * ratio - 0.5 (bilinear) or floor((t + 0.5) * ratio)
-(nearest), the same rules as the cell-form warps in :mod:`cells`.
+Target pixel centre t maps to source pixel coordinate (t + 0.5) * ratio - 0.5 (bilinear) or
+floor((t + 0.5) * ratio) (nearest), the same rules as the cell-form warps in :mod:`cells`.  This is
+the block warp of :mod:`reproject` with one CRS on both sides: partial sums per source block,
+added per target tile, so any ratio has bounded groups.
 """
 
 from __future__ import annotations
 
-import math
-
-import numpy as np
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from . import blocks as B
-
 
-def _target_range(lo_px: F.Column, hi_px: F.Column, ratio: float, size_t: int, method: str):
-    """Target tiles that can read source pixels [lo_px, hi_px) (conservative by one pixel)."""
-    r = float(ratio)
-    if method == "bilinear":
-        t_lo, t_hi = (lo_px - 1.5) / r - 0.5, (hi_px + 1.5) / r - 0.5
-    else:
-        t_lo, t_hi = (lo_px - 1) / r - 0.5, (hi_px + 1) / r - 0.5
-    lo = F.greatest(F.floor(t_lo / size_t), F.lit(0))
-    hi = F.floor(t_hi / size_t)
-    return F.sequence(lo, F.greatest(lo, hi))
-
-
-def _kernel(ratio: float, size_t: int, method: str, out_dtype: str, out_nodata, zoom_t: int):
-    r = float(ratio)
+from .reproject import Grid, warp_blocks_crs
 
-    def run(key, rows):
-        tx, ty = key[0], key[1]
-        size_s, band = B.one_size(rows), rows[0]["band"]
-        bx0 = min(rw["x"] for rw in rows)
-        by0 = min(rw["y"] for rw in rows)
-        nbx = max(rw["x"] for rw in rows) - bx0 + 1
-        nby = max(rw["y"] for rw in rows) - by0 + 1
-        mos = np.full((nby * size_s, nbx * size_s), np.nan)
-        for rw in rows:
-            oy, ox = (rw["y"] - by0) * size_s, (rw["x"] - bx0) * size_s
-            mos[oy:oy + size_s, ox:ox + size_s] = B.row_values(rw)
-        ox0, oy0 = bx0 * size_s, by0 * size_s            # global source pixel of mos[0, 0]
-        tcol = tx * size_t + np.arange(size_t, dtype=np.float64)
-        trow = ty * size_t + np.arange(size_t, dtype=np.float64)
-
-        def fetch(iy, ix):
-            ok = (iy >= 0) & (iy < mos.shape[0]) & (ix >= 0) & (ix < mos.shape[1])
-            vals = np.full(iy.shape, np.nan)
-            vals[ok] = mos[iy[ok], ix[ok]]
-            return vals
-
-        if method == "nearest":
-            ix = (np.floor((tcol + 0.5) * r) - ox0).astype(np.int64)
-            iy = (np.floor((trow + 0.5) * r) - oy0).astype(np.int64)
-            out = fetch(iy[:, None] + 0 * ix[None, :], ix[None, :] + 0 * iy[:, None])
-        else:
-            sx = (tcol + 0.5) * r - 0.5
-            sy = (trow + 0.5) * r - 0.5
-            fx0, fy0 = np.floor(sx), np.floor(sy)
-            wx = [1 - (sx - fx0), sx - fx0]
-            wy = [1 - (sy - fy0), sy - fy0]
-            num = np.zeros((size_t, size_t))
-            den = np.zeros((size_t, size_t))
-            for dy in (0, 1):
-                for dx in (0, 1):
-                    iy = (fy0 + dy - oy0).astype(np.int64)[:, None] + np.zeros((1, size_t), dtype=np.int64)
-                    ix = (fx0 + dx - ox0).astype(np.int64)[None, :] + np.zeros((size_t, 1), dtype=np.int64)
-                    v = fetch(iy, ix)
-                    w = wy[dy][:, None] * wx[dx][None, :]
-                    use = (w > 0) & ~np.isnan(v)
-                    num += np.where(use, w * np.nan_to_num(v), 0.0)
-                    den += np.where(use, w, 0.0)
-            with np.errstate(invalid="ignore", divide="ignore"):
-                out = np.where(den > 0, num / den, np.nan)
-        arr, valid = B.from_float(out, out_dtype, out_nodata)
-        if valid == 0:
-            return []
-        return [B.block_record(zoom_t, tx, ty, band, size_t, out_dtype, out_nodata, arr, valid)]
-
-    return run
-
-
-def blocks_per_target(ratio: float, size_t: int, size_s: int) -> int:
-    """Upper bound on the source blocks one target tile gathers (per axis: span + 2 edges)."""
-    per_axis = math.ceil(size_t * float(ratio) / size_s) + 2
-    return per_axis * per_axis
+PLANE = "EPSG:3857"          # any CRS: the same on both sides, so nothing is projected
 
 
 def warp_blocks(blocks: DataFrame, ratio: float, size_t: int, zoom_t: int, method: str = "bilinear",
-                out_dtype: str = "f8", out_nodata=-3.4028234663852886e38, size_s: int | None = None,
-                max_blocks_per_tile: int = 64) -> DataFrame:
+                out_dtype: str = "f8", out_nodata=-3.4028234663852886e38) -> DataFrame:
     """Resample source blocks onto a grid of ``ratio`` source pixels per target pixel,
-    cut into ``size_t`` tiles at ``zoom_t``.  Empty target tiles are dropped.
-
-    The group of a target tile is bounded by :func:`blocks_per_target`; a larger
-    ratio is refused -- downsample through the pyramid first and warp from the
-    level whose ratio is closest to 1 (as overviews are used for reading).
-    """
-    if method not in ("bilinear", "nearest"):
-        raise ValueError(method)
-    bound = blocks_per_target(ratio, size_t, size_s or size_t)
-    if bound > max_blocks_per_tile:
-        raise ValueError(f"a target tile would gather up to {bound} source blocks; "
-                         "warp from a coarser pyramid level instead")
-    s = F.col("size")
-    cx = _target_range(F.col("x") * s, (F.col("x") + 1) * s, ratio, size_t, method)
-    cy = _target_range(F.col("y") * s, (F.col("y") + 1) * s, ratio, size_t, method)
-    sent = (blocks.select(*B.BLOCK_COLUMNS, F.explode(cx).alias("tx"))
-                  .select("*", F.explode(cy).alias("ty")))
-    return B.fold_blocks_keyed(sent, ["tx", "ty", "band"],
-                               _kernel(ratio, size_t, method, out_dtype, out_nodata, zoom_t))
+    cut into ``size_t`` tiles at ``zoom_t``.  Empty target tiles are dropped."""
+    r = float(ratio)
+    return warp_blocks_crs(blocks, Grid(PLANE, 0.0, 0.0, 1.0, 1.0), Grid(PLANE, 0.0, 0.0, r, r), size_t, zoom_t,
+                           method, out_dtype, out_nodata)

@@ -101,13 +101,13 @@ def diff(prev, v, nxt, h):
             f"when {nxt} is null then ({v} - {prev}) / {L(h)} else ({nxt} - {prev}) / {L(2.0 * h)} end")
 
 
-def gradient_sql(src: str, h: float, keys: tuple = ()) -> str:
+def gradient_sql(src: str, h: float, keys: tuple = (), dx: float | None = None) -> str:
     """Neighbours by self-joins (Spark scatters instead)."""
     on = "".join(f" and n.{k} = c.{k}" for k in keys)
     kc = "".join(f"c.{k}, " for k in keys)
     j = lambda dx, dy, name: (f" left join {src} {name} on {name}.gx = c.gx + ({dx}) and {name}.gy = c.gy + ({dy})"
                               + on.replace("n.", f"{name}."))
-    return (f"select {kc}c.gx, c.gy, c.v, {diff('u.v', 'c.v', 'dn.v', h)} a, {diff('l.v', 'c.v', 'r.v', h)} b "
+    return (f"select {kc}c.gx, c.gy, c.v, {diff('u.v', 'c.v', 'dn.v', h)} a, {diff('l.v', 'c.v', 'r.v', dx or h)} b "
             f"from {src} c" + j(0, -1, "u") + j(0, 1, "dn") + j(-1, 0, "l") + j(1, 0, "r"))
 
 
@@ -372,6 +372,50 @@ select t.z, t.x, t.y, fp.source_id""", 1)
         join dem d on d.gx = cast(floor(sx + 5e-1) as bigint) and d.gy = cast(floor(sy + 5e-1) as bigint)
         where d.v is not null""", "dem")
     q["warp_4326_blocks"] = q["warp_4326"]
+    lat = f"degrees(atan(sinh({L(math.pi)} * (1 - 2 * (gy + 5e-1) / 2048.0))))"
+    q["reproject_average_4326"] = W(f"""select 's3://b/4326/dem-' || (gx // {S}) || '.tif' target,
+        cast(floor(((gx + 5e-1) * {L(360.0 / 2048)}) / 5e-1) as bigint) gx, cast(floor(({L(85.0)} - {lat}) / 2.5e-1) as bigint) gy,
+        round(avg(cast(v as double)), 4) v from dem where v is not null and {lat} <= 85
+        group by gx // {S}, 2, 3""", "dem")
+    # pixel centres that fall in the target pixel, else the source pixel under the target's centre
+    tp = L(grid.WORLD / 1024)
+    per = []
+    for sid, x0, y0, dx, dy, lift in ((1, -179.97, 85.0, 0.125, 0.0625, 0), (2, -174.97, 80.0, 0.25, 0.125, 1000000)):
+        mx, my = merc(f"({L(x0)} + (gx + 5e-1) * {L(dx)})", f"({L(y0)} - (gy + 5e-1) * {L(dy)})")
+        per.append(f"""select {sid} sid, cast(floor(({mx} + {hw}) / {tp}) as bigint) ti, cast(floor(({hw} - {my}) / {tp}) as bigint) tj,
+            avg(cast(v + {lift} as double)) direct, null::double near from dem where v is not null and {L(y0)} - (gy + 5e-1) * {L(dy)} > -85
+            group by 2, 3""")
+        per.append(f"""select {sid}, t.ti, t.tj, null, cast(d.v + {lift} as double) from tg t join dem d
+            on d.gx = cast(floor((t.lon - {L(x0)}) / {L(dx)}) as bigint) and d.gy = cast(floor(({L(y0)} - t.lat) / {L(dy)}) as bigint)
+            where d.v is not null""")
+    q["chunk_reproject"] = W(f"""select ti gx, tj gy, round(v, 4) v from (
+          select ti, tj, v, row_number() over (partition by ti, tj order by sid desc) rn from (
+            select sid, ti, tj, coalesce(max(direct), max(near)) v from ({' union all '.join(per)}) group by all))
+        where rn = 1 and ti >= 0 and tj >= 0 and ti < 1024 and tj < 1024 and (ti // {S}) % 3 <> 2""", "dem").replace(
+        "\nselect ti gx, tj gy, round", f""",
+ tg as (select ti, tj, -180 + (ti + 5e-1) * {L(360.0 / 1024)} lon, degrees(atan(sinh({L(math.pi)} * (1 - 2 * (tj + 5e-1) / 1024.0)))) lat
+        from (select ti, unnest(range(0, 1024)) tj from (select unnest(range(0, 160)) ti)))
+select ti gx, tj gy, round""", 1)
+    # every target pixel of a source's default 4326 grid, taken back to UTM
+    tgt_utm = utm_forward_cte("tgp", "lon_t", "lat_t")
+    q["convert_missing"] = W(f"""select 'pixel' kind, 's3://b/4326/' || sid || '.tif' "name", cast(p.band as bigint) band,
+          t.ti gx, t.tj gy, p.v from utm t join px p using (sid)
+          where p.gx = cast(floor((t.e_ - t.c) / t.a) as bigint) and p.gy = cast(floor((t.f - t.n_) / t.a) as bigint)
+        union all select 'first', 's3://b/source/' || source_id || '.zip', null, null, null,
+          cast(source_id in (select sid from px) as bigint) from fp where source_id <> 2
+        union all select 'second', 's3://b/source/' || source_id || '.zip', null, null, null, 0
+          from fp where source_id not in (select sid from px)""", "rasters").replace(
+        "\nselect 'pixel' kind", f""",\n{fps},
+ px0 as (select 1 + o_orderkey % 9 sid, (o_orderkey // 9) % 16 gx, o_orderkey // 144 gy, cast(round(o_totalprice * 100) as bigint) v1,
+                cast(o_custkey as bigint) v2 from orders),
+ px as (select sid, gx, gy, 1 band, v1 v from px0 union all select sid, gx, gy, 2, v2 from px0),
+ gr as (select source_id sid, a, west c, north f, lw, ln_,
+               sqrt((le - lw) * (le - lw) + (ln_ - ls) * (ln_ - ls)) / sqrt(cast(width as double) * width + cast(height as double) * height) r
+        from fp where source_id <> 2 and source_id in (select sid from px)),
+ tgp as (select *, lw + (ti + 5e-1) * r lon_t, ln_ - (tj + 5e-1) * r lat_t
+         from (select *, unnest(range(0, h)) tj from (select gr.*, unnest(range(0, 40)) ti, (select max(gy) + 20 from px) h from gr))),
+ utm as ({tgt_utm})
+select 'pixel' kind""", 1)
     q["mosaic_blocks"] = q["mosaic_paint"]
     q["chunk_average_blocks"] = q["chunk_average"]
     g2 = gradient_sql("dem_dense", 2.0)
@@ -405,6 +449,9 @@ select t.z, t.x, t.y, fp.source_id""", 1)
             select gx, gy, {naive_sql('a', 'b')} naive, {zfactor_sql('a', 'b')} zfactor, {light_sql('(a * 2)', '(b * 2)')} i
             from ({g2})))""", "dem_dense")
     q["shade_halo"] = W(f"select gx, gy, {zfactor_sql('a', 'b')} shade from ({g2})", "dem_dense")
+    q["shade_spacing"] = W(f"select gx, gy, {zfactor_sql('a', 'b')} shade from ({gradient_sql('dem_dense', 2.0, dx=1.5)})", "dem_dense")
+    q["shade_rgba_blocks"] = f"""select gx, gy, cast(unnest([1, 2, 3, 4]) as bigint) band, unnest([r, g, b, a]) v
+        from ({q["shade_rgba"]})"""
     q["hillshade_light_blocks"] = q["hillshade_light"]
     q["hillshade_naive_blocks"] = q["hillshade_naive"]
     q["tile_partitions"] = W(f"select {qk} qk, z, x, y from (select distinct z, x, y from ({site_tiles(14)}))", "sites")

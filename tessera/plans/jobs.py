@@ -115,6 +115,20 @@ def chunk_blocks(sources: DataFrame, factor: int, zoom: int, size: int, tiles: D
              .where(F.col("valid_count") > 0))
 
 
+def chunk_reproject(spark: SparkSession, sources: DataFrame, src: RP.Grid, zoom: int, size: int, out: str,
+                    tiles: DataFrame | None = None, dtype: str = "f4", nodata=None,
+                    order=("priority", "source_id")) -> DataFrame:
+    """Z1 in block form: source blocks of any CRS and resolution (grid columns per source) averaged onto
+    the Mercator tiles of ``zoom``, sources painted by ``order``, empty tiles dropped (F1), written (K1)."""
+    n = 2 ** zoom * size
+    dst = RP.Grid("EPSG:3857", -grid.HALF_WORLD, grid.HALF_WORLD, grid.WORLD / n, grid.WORLD / n)
+    if tiles is not None:
+        tiles = tiles.where(F.col("z") == zoom)
+    made = RP.warp_blocks_crs(sources, src, dst, size, zoom, "average", dtype, nodata, order, tiles, (n, n))
+    SK.write_tiles(made, out)
+    return RD.read_tiles(spark, out, z=zoom)
+
+
 # --------------------------------------------------------------------- Z2 pyramid
 def pyramid(spark: SparkSession, store: str, zoom: int, min_zoom: int = 0, method: str = "nearest",
             tiles: DataFrame | None = None, levels_per_pass: int | None = None) -> DataFrame:
@@ -206,9 +220,16 @@ def reproject_worklist(spark: SparkSession, worklist: str, cells: DataFrame, out
     return write_converted_with_log(convert(px, ratio, "average"), wl, out)
 
 
+def reproject_average(spark: SparkSession, worklist: str, cells: DataFrame, src: RP.Grid, dst: RP.Grid, out: str) -> DataFrame:
+    """Sources named in a text work list, each reprojected with average (R1), written per source, logged."""
+    wl = RD.read_work_list(spark, worklist).distinct()
+    px = salted_join(cells, wl, ["source"], how="left_semi")
+    return write_converted_with_log(RP.warp_crs(px, src, dst, "average", extra_keys=("source",)), wl, out)
+
+
 # --------------------------------------------------------------------- Z6-Z9 terrain
 def shade_tiles(spark: SparkSession, store: str, zoom: int, out: str, method: str = "zfactor",
-                buffer: int = 2, h: float = 2.0) -> DataFrame:
+                buffer: int = 2, h=2.0) -> DataFrame:
     """Shade every stored tile with a ``buffer``-pixel halo from its neighbours, crop, write (K3)."""
     sh = H.shade_blocks(RD.read_tiles(spark, store, z=zoom), method, buffer=buffer, h=h)
     SK.write_shade(sh, out)

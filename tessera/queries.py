@@ -72,8 +72,8 @@ def tile_bounds(spark, d):
 
 
 def tile_quadkey(spark, d):
-    ts = [_site_tiles(spark, d, z) for z in (1, 6, 14)]
-    t = ts[0].unionByName(ts[1]).unionByName(ts[2])
+    s = FX.sites(spark, d).select("id", "lon", "lat", F.explode(F.array(*[F.lit(z) for z in (1, 6, 14)])).alias("z"))
+    t = s.select("id", _i("z").alias("z"), grid.lon_to_tile_x("lon", "z").alias("x"), grid.lat_to_tile_y("lat", "z").alias("y"))
     return t.select("id", "z", grid.quadkey("x", "y", "z").alias("qk"))
 
 
@@ -334,9 +334,9 @@ def pyramid_mixed_nodata(spark, d):
 
 def pyramid_manifest(spark, d):
     """A10 / K1: tiles and bytes per level of the written pyramid, with a total row."""
-    store = _pyramid(spark, d, "nearest")
+    store = _pyramid(spark, d, "nearest").select("z", B.pixel_bytes().alias("nbytes"))
     return (store.rollup(_i("z").alias("z"))
-                 .agg(F.count("*").alias("n_tiles"), _i(F.sum(F.length("data"))).alias("nbytes")))
+                 .agg(F.count("*").alias("n_tiles"), _i(F.sum("nbytes")).alias("nbytes")))
 
 
 def tms_view(spark, d):
@@ -485,6 +485,60 @@ def warp_4326_blocks(spark, d):
     return B.unpack_blocks(out).select("gx", "gy", _i(F.round("v")).alias("v"))
 
 
+def reproject_average_4326(spark, d):
+    """The dem in four strips, each a source of the work list, averaged onto a coarser 4326 grid."""
+    cells = FX.dem(spark, d).withColumn("source", F.format_string("s3://b/source/dem-%d.tif", F.floor(F.col("gx") / S)))
+    wl = scratch_path(spark, "worklist")
+    cells.select(F.col("source").alias("value")).distinct().write.text(wl)
+    out = scratch_path(spark, "converted")
+    J.reproject_average(spark, wl, cells, DEM_3857, RP.Grid("EPSG:4326", -180.0, 85.0, 0.5, 0.25), out)
+    return spark.read.parquet(out).select("target", _i("gx").alias("gx"), _i("gy").alias("gy"), F.round("v", 4).alias("v"))
+
+
+def chunk_reproject(spark, d):
+    """Z1 in block form: two overlapping 4326 sources of different resolution (both the dem, the upper one
+    raised by 10000.00) averaged onto z5 Mercator tiles; the tile list leaves out every third column."""
+    base = FX.dem(spark, d)
+    blocks = None
+    for sid, x0, y0, dx, dy, lift in CHUNK_SOURCES:
+        b = B.pack_blocks(base.select("gx", "gy", (F.col("v") + lift).alias("v")), S, 0, dtype="f8", nodata=FX.NODATA)
+        b = b.select("*", F.lit(sid).alias("source_id"), F.lit(sid).alias("priority"),
+                     *[F.lit(v).alias(k) for k, v in (("x0", x0), ("y0", y0), ("dx", dx), ("dy", dy))])
+        blocks = b if blocks is None else blocks.unionByName(b)
+    tiles = spark.range(32).select(F.lit(5).alias("z"), F.col("id").alias("x"), F.explode(F.sequence(F.lit(0), F.lit(31))).alias("y"))
+    out = J.chunk_reproject(spark, blocks, RP.Grid("EPSG:4326", "x0", "y0", "dx", "dy"), 5, S, scratch_path(spark, "chunk-any"),
+                            tiles=tiles.where(F.col("x") % 3 != 2), dtype="f8", nodata=FX.NODATA)
+    return B.unpack_blocks(out).select("gx", "gy", F.round("v", 4).alias("v"))
+
+
+# id (also the priority), x0, y0, dx, dy of a 4326 grid, and what is added to the dem
+CHUNK_SOURCES = ((1, -179.97, 85.0, 0.125, 0.0625, 0), (2, -174.97, 80.0, 0.25, 0.125, 1000000))
+
+
+def convert_missing(spark, d):
+    """Z3: archives without a 4326 output reprojected from UTM, two bands, each on its own default grid;
+    sources without pixels fail; a second run over the listing of what was written finds only those."""
+    name = F.concat(F.lit("s3://b/source/"), F.col("source_id").cast("string"), F.lit(".zip"))
+    ras = FX.rasters(spark, d).withColumn("source", name)
+    k = F.col("o_orderkey")
+    bands = F.array(*[F.struct(F.lit(b).alias("band"), v.cast("bigint").alias("v"))
+                      for b, v in ((1, F.round(F.col("o_totalprice") * 100)), (2, F.col("o_custkey")))])
+    cells = table(spark, d, "orders").select((1 + k % 9).alias("source_id"), (F.floor(k / 9) % 16).alias("gx"),
+                                             F.floor(k / 144).alias("gy"), F.inline(bands)).withColumn("source", name).drop("source_id")
+    listing = ras.select(F.col("source").alias("path"))
+    out = scratch_path(spark, "converted-4326")
+    done = spark.range(1).select(F.lit("s3://b/4326/2.tif").alias("path"))
+    first = J.convert_missing(spark, listing, done, cells, ras, "UTM:10", out, "nearest")
+    back = spark.read.parquet(out)
+    second = J.convert_missing(spark, listing, done.unionByName(back.select(F.col("target").alias("path")).distinct()),
+                               cells, ras, "UTM:10", scratch_path(spark, "converted-again"), "nearest")
+    none = F.lit(None).cast("bigint")
+    logs = [log.select(F.lit(kind).alias("kind"), F.col("source").alias("name"), none.alias("band"), none.alias("gx"), none.alias("gy"),
+                       F.col("output").isNotNull().cast("bigint").alias("v")) for kind, log in (("first", first), ("second", second))]
+    px = back.select(F.lit("pixel").alias("kind"), F.col("target").alias("name"), *[_i(c).alias(c) for c in ("band", "gx", "gy", "v")])
+    return px.unionByName(logs[0]).unionByName(logs[1])
+
+
 def pyramid_levels_cells(spark, d):
     """Z2 nearest in cell form (one pass, no shuffle): the cell twin of ``pyramid_levels``."""
     return C.pyramid_nearest(FX.dem(spark, d), FX.DEM_ZOOM).select("z", "gx", "gy", _i("v").alias("v"))
@@ -553,6 +607,18 @@ def _dense_store(spark, d) -> str:
     return store
 
 
+def shade_spacing(spark, d):
+    """T2/Z6 in block form with pixels that are not square (dx 1.5, dy 2)."""
+    sh = J.shade_tiles(spark, _dense_store(spark, d), FX.DEM_ZOOM, scratch_path(spark, "shade-dxdy"), "zfactor", h=(1.5, 2.0))
+    return B.unpack_blocks(sh).select("gx", "gy", _i("v").alias("shade"))
+
+
+def shade_rgba_blocks(spark, d):
+    """T6/Z7 in block form: one tile block per channel (bands 1 to 4)."""
+    sh = J.shade_tiles(spark, _dense_store(spark, d), FX.DEM_ZOOM, scratch_path(spark, "shade-rgba"), "rgba", h=1.0)
+    return B.unpack_blocks(sh).select("gx", "gy", _i("band").alias("band"), _i("v").alias("v"))
+
+
 def hillshade_light_blocks(spark, d):
     """T3 in block form: halo strips, light shade stretched per buffered tile, crop (same oracle)."""
     sh = J.shade_tiles(spark, _dense_store(spark, d), FX.DEM_ZOOM, scratch_path(spark, "shade-light"),
@@ -589,4 +655,5 @@ QUERIES = {f.__name__: f for f in (
     pyramid_levels_cells, pyramid_average_cells,
     gradient, hillshade_naive, hillshade_zfactor, slope_aspect_trig, hillshade_light, shade_rgba,
     compare_shades, shade_halo, hillshade_light_blocks, hillshade_naive_blocks, tile_partitions,
+    reproject_average_4326, chunk_reproject, convert_missing, shade_spacing, shade_rgba_blocks,
 )}

@@ -15,8 +15,9 @@ def write_tiles(blocks: DataFrame, out: str) -> None:
 
 
 def write_converted(df: DataFrame, out: str, key: str = "source_id") -> None:
-    """K2: one output per source (partition by the source key), same base name."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    """K2: one output per source (partition by the source key), same base name.  Rows are brought
+    together by source first; a large source is split over several tasks, small ones share one."""
+    (df.hint("rebalance", key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(key).parquet(out))
 
 
@@ -27,7 +28,7 @@ def write_shade(blocks: DataFrame, out: str) -> None:
 
 def write_rgba(cells: DataFrame, out: str) -> None:
     """K4: colour-ramped image as r, g, b, a columns, partitioned by tile."""
-    cells.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("tx", "ty").parquet(out)
+    cells.hint("rebalance", "tx", "ty").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("tx", "ty").parquet(out)
 
 
 def conversion_log(sources: DataFrame, ok: str = "ok") -> DataFrame:

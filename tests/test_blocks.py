@@ -118,7 +118,8 @@ def test_tile_store_replaces_tiles_by_key(spark):
     assert again.count() == 2 and again.where("valid_count = 7").count() == 1      # same key: replaced
 
 
-@pytest.mark.parametrize("method,ratio", [("bilinear", 0.75), ("bilinear", 1.25), ("nearest", 1.5), ("nearest", 0.5)])
+@pytest.mark.parametrize("method,ratio", [("bilinear", 0.75), ("bilinear", 1.25), ("nearest", 1.5), ("nearest", 0.5),
+                                          ("bilinear", 12.5), ("nearest", 200.0)])
 def test_block_warp_equals_cell_warp(spark, method, ratio):
     from tessera.operators import warp as WP
     cells = _raster(spark, 50, 41, gap=0.35, seed=13)
@@ -128,6 +129,58 @@ def test_block_warp_equals_cell_warp(spark, method, ratio):
     assert _cells(got) == _cells(exp.select("gx", "gy", F.col("v").cast("double")))
 
 
+@pytest.mark.parametrize("method,step", [("bilinear", 0.0004), ("nearest", 0.0004), ("average", 0.0011), ("average", 0.0001)])
+def test_utm_block_warp_equals_cell_warp(spark, method, step):
+    """The source grid is read from columns; a step of 0.0001 degrees is finer than the source, 0.0011 coarser."""
+    from tessera.operators.reproject import Grid, warp_blocks_crs, warp_crs
+    src = Grid("UTM:10", "x0", "y0", "res", "res")
+    dst = Grid("EPSG:4326", -123.0, 37.99, step, step)
+    grids = [F.lit(v).alias(k) for k, v in (("x0", 500500.0), ("y0", 4205000.0), ("res", 30.0))]
+    cells = _raster(spark, 24, 20, gap=0.2, seed=21)
+    blk = B.pack_blocks(cells, 8, 0, dtype="f8", nodata=-1e30).select("*", *grids)
+    got = {(r.gx, r.gy): r.v for r in B.unpack_blocks(warp_blocks_crs(blk, src, dst, 16, 0, method)).collect()}
+    exp = {(r.gx, r.gy): r.v for r in warp_crs(cells.select("*", *grids), src, dst, method).collect()}
+    assert got.keys() == exp.keys() and len(got) >= 20      # the coarsest grid has 24 pixels in all
+    assert all(abs(got[k] - exp[k]) < 1e-6 for k in got)
+
+
+def test_bulging_block_edges_reach_every_target_tile(spark):
+    """1000 m pixels far from the meridian: a block's straight edge is a curve in lon/lat."""
+    from tessera.operators.reproject import Grid, warp_blocks_crs, warp_crs
+    src, dst = Grid("UTM:10", 300000.0, 5100000.0, 1000.0, 1000.0), Grid("EPSG:4326", -125.8, 46.2, 0.01, 0.01)
+    cells = spark.range(96 * 64).select((F.col("id") % 96).alias("gx"), F.floor(F.col("id") / 96).alias("gy"),
+                                        F.col("id").cast("double").alias("v"))
+    blk = B.pack_blocks(cells, 32, 0, dtype="f8", nodata=-1e30)
+    got = _cells(B.unpack_blocks(warp_blocks_crs(blk, src, dst, 8, 0, "nearest")))
+    assert got == _cells(warp_crs(cells, src, dst, "nearest"))
+
+
+def test_sources_are_painted_after_each_was_averaged(spark):
+    from tessera.operators.reproject import Grid, warp_blocks_crs
+    rows = [(sid, i % 4, i // 4, float(sid)) for sid in range(1, 31) for i in range(16) if sid < 30 or i % 4 < 2]
+    cells = spark.createDataFrame(rows, "sid int, gx long, gy long, v double")
+    blk = None
+    for sid in range(1, 31):
+        b = B.pack_blocks(cells.where(F.col("sid") == sid), 4, 0, dtype="f4", nodata=-1.0).withColumn("sid", F.lit(sid))
+        blk = b if blk is None else blk.unionByName(b)
+    plane = Grid("EPSG:3857", 0.0, 0.0, 1.0, 1.0)
+    out = warp_blocks_crs(blk.coalesce(2), plane, Grid("EPSG:3857", 0.0, 0.0, 2.0, 2.0), 2, 0, "average", "i2", -1.0, ("sid",))
+    assert _cells(B.unpack_blocks(out)) == [(0, 0, 30), (0, 1, 30), (1, 0, 29), (1, 1, 29)]
+    none = warp_blocks_crs(blk.where("sid < 0"), plane, plane, 4, 0, "average")
+    assert none.count() == 0
+
+
+def test_tile_list_is_joined_before_the_partial_sums_are_shuffled(spark):
+    from tessera.operators.reproject import Grid, warp_blocks_crs
+    plane = Grid("EPSG:3857", 0.0, 0.0, 1.0, 1.0)
+    blk = B.pack_blocks(_raster(spark, 40, 40), 8, 0, dtype="f8", nodata=-1.0)
+    tiles = spark.createDataFrame([(1, 2)], "x int, y int")
+    out = warp_blocks_crs(blk, plane, plane, 8, 0, "nearest", tiles=tiles)
+    assert [(r.x, r.y) for r in out.collect()] == [(1, 2)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("RepartitionByExpression") < plan.index("LeftSemi")
+
+
 @pytest.mark.parametrize("method", ["bilinear", "nearest"])
 def test_utm_to_4326_scatter_equals_gather(spark, method):
     from tessera.functions import crs
