@@ -1,8 +1,10 @@
 """Connected components of an edge list, by alternating large-star and small-star rounds.
 
-Every round is a grouped minimum (combined before the shuffle) and an equi-join on the node, whose
-hot keys AQE splits; rounds are written to the shared folder, so lineage stays short.  Nothing but
-two checksums per round reaches the driver.
+Every round is a grouped minimum (combined before the shuffle) and an equi-join on the node.  Hub
+nodes -- those with more than a thousandth of all edges, so two thousand at most -- are met by a
+broadcast of that bounded table, and their edges are not gathered in one task; the other edges are
+shuffled.  Rounds are written to the shared folder, so lineage stays short.  Nothing but two
+checksums per round reaches the driver.
 """
 
 from __future__ import annotations
@@ -17,6 +19,9 @@ from pyspark.sql import functions as F
 from tessera.llm.common import discard, materialise
 
 
+HUBS = 1000        # a node with more than one HUBS-th of the edges is a hub: at most 2 * HUBS nodes
+
+
 def forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A spanning forest of the edges as (node, smallest node of its tree), nodes that are roots left out."""
     if not len(u):
@@ -50,15 +55,21 @@ def _local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """One star operation: hang a node's larger (large) or all smaller (small) neighbours on the smallest one."""
+def _star(edges: DataFrame, large: bool, limit: int) -> DataFrame:
+    """One star operation: hang a node's larger (large) or all smaller (small) neighbours on the smallest one.
+
+    Nodes with more than `limit` edge ends are hubs.
+    """
     if large:
         sides = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     else:
         sides = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    low = sides.groupBy(F.col("u").alias("n")).agg(F.min("v").alias("m"))
-    low = low.select("n", F.least("n", "m").alias("m"))
-    met = sides.join(low, sides["u"] == low["n"])
+    low = sides.groupBy(F.col("u").alias("n")).agg(F.min("v").alias("m"), F.count("*").alias("ends"))
+    low = low.select("n", F.least("n", "m").alias("m"), "ends")
+    hubs = low.where(F.col("ends") > limit).drop("ends")
+    at = F.col("u") == F.col("n")
+    met = sides.join(F.broadcast(hubs), at).unionByName(
+        sides.join(F.broadcast(hubs), at, "left_anti").join(low.where(F.col("ends") <= limit).drop("ends"), at))
     if large:
         out = met.where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
@@ -66,12 +77,13 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.where(F.col("u") != F.col("v")).distinct()
 
 
-def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
+def components(edges: DataFrame, rounds: int = 64, hubs: int = HUBS) -> DataFrame:
     """(node, component) of every node on an edge (u, v: long, not null): the smallest node it can reach."""
     now = materialise(edges.select("u", "v").mapInArrow(_local, "u long, v long"), "cc")
-    seen = None
+    seen, size = None, now.count()
     for _ in range(rounds):
-        new = materialise(_star(_star(now, True), False), "cc")
+        # the large star makes one edge of each, so `size` bounds the edges of both steps
+        new = materialise(_star(_star(now, True, size // hubs), False, size // hubs), "cc")
         # in a finished star every edge is (node, root): the checksums then repeat
         mark = tuple(new.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         discard(now)
@@ -79,5 +91,5 @@ def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
         if mark == seen:
             return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
                 now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
-        seen = mark
+        seen, size = mark, mark[0]
     raise RuntimeError(f"components did not settle in {rounds} rounds")

@@ -250,8 +250,9 @@ def test_grid_join(spark):
 
 def test_components(spark):
     edges = [(i, i + 1) for i in range(10, 40)] + [(100, i) for i in range(101, 160)] + [(7, 7), (3, 40)]
-    got = dict(components.components(spark.createDataFrame(edges, "u long, v long").repartition(6)).collect())
-    assert all(got[i] == 3 for i in range(10, 41)) and all(got[i] == 100 for i in range(100, 160))
+    for hubs in (components.HUBS, 4, 1):                   # every node a hub, the star's centre alone, none
+        got = dict(components.components(spark.createDataFrame(edges, "u long, v long").repartition(6), hubs=hubs).collect())
+        assert all(got[i] == 3 for i in range(10, 41)) and all(got[i] == 100 for i in range(100, 160))
 
 
 def test_mixing_meets_targets(spark, docs, empty):
