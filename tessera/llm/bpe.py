@@ -19,14 +19,13 @@ import base64
 import heapq
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import text_slices, tidy
+from tessera.llm.common import remembered, text_slices, tidy
 
 # code point classes
 OTHER, LETTER, NUMBER, SPACE, WHITE, APOS = range(6)
@@ -38,7 +37,7 @@ BEGIN, IN_LETTER, IN_NUMBER, IN_OTHER, IN_WHITE, AFTER_SPACE, AFTER_WHITE, SUFFI
 STATES = 9
 
 
-@lru_cache(1)
+@remembered(1)
 def class_array() -> np.ndarray:
     """Class of every code point: letters (L*), numbers (N*), white space, apostrophe, anything else."""
     out = np.zeros(0x110000, np.uint8)
@@ -70,7 +69,7 @@ def _step(state: int, symbol: int) -> tuple[int, bool]:
     return run, state not in (run, AFTER_SPACE)
 
 
-@lru_cache(1)
+@remembered(1)
 def monoid() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(element of each symbol, composition table, state reached from BEGIN by element, delta, start flag)."""
     delta = np.zeros((STATES, 2 * SYMBOLS), np.uint8)
@@ -268,7 +267,7 @@ class Vocabulary:
         return self.flat[shift + np.arange(total)]
 
 
-@lru_cache(2)
+@remembered(2)
 def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 

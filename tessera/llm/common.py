@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import functools
 import gc
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -59,6 +61,28 @@ def tidy(run: Callable) -> Callable:
     return wrapped
 
 
+def remembered(limit: int) -> Callable:
+    """Keep up to `limit` results of a function in the process that calls it, by its arguments.
+
+    Unlike lru_cache this travels by value to workers that do not have this package, and what a
+    worker has remembered outlives the task.
+    """
+    def wrap(fn: Callable) -> Callable:
+        name = f"{fn.__module__}.{fn.__qualname__}"
+
+        @functools.wraps(fn)
+        def call(*args):
+            kept = sys.__dict__.setdefault("_tessera_remembered", {}).setdefault(name, {})
+            got = kept.get(args, kept)
+            if got is kept:
+                if len(kept) >= limit:
+                    kept.clear()
+                got = kept[args] = fn(*args)
+            return got
+        return call
+    return wrap
+
+
 def text_buffer(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string or binary column; null counts as empty, offsets start at 0."""
     if col.null_count:

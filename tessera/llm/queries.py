@@ -6,10 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, chat_tree, exact_dedup, grid_join, langid, mixing, ngram_join, quality, suffix_dedup, toxicity
+from tessera.llm import (bpe, centroids, chat_tree, exact_dedup, grid_join, langid, mixing, ngram_join, quality,
+                         suffix_dedup, token_files, toxicity, turn_repair)
 from tessera.llm.common import held_out, table
 
 TOKENIZER = "byte_bpe_50k.tiktoken"
+TOKENIZER_JSON = "byte_bpe_50k.json"
 
 
 def op1_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,6 +67,21 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model).select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", "predicted")
 
 
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return turn_repair.report(turns, turn_repair.damage(turns))
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest, folder = token_files.write(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER_JSON))
+    return token_files.read(manifest, folder).select(
+        "doc_id", "start", F.expr("octet_length(ids) div 4").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_chat_tree": op1_chat_tree,
     "op2_exact_dedup": op2_exact_dedup,
@@ -76,6 +93,9 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_ngram_join": op9_ngram_join,
     "op10_quality": op10_quality,
+    "op11_turn_repair": op11_turn_repair,
+    "op12_token_files": op12_token_files,
+    "op13_centroids": op13_centroids,
 }
 
 ORACLES = {
