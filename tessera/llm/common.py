@@ -130,27 +130,53 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_PRIME = (1 << 31) - 1
+_BASES = (1_380_623_951, 715_225_739)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_BYTE = mix64(np.arange(256, dtype=np.uint64) + _ODD)
+_BYTES = [mix64(np.arange(256, dtype=np.uint64) + np.uint64(k + 1) * _ODD) % np.uint64(_PRIME) for k in range(2)]
+
+
+@remembered(8)
+def _powers(base: int, n: int, step: int = 1) -> np.ndarray:
+    """base^0, base^step, base^(2 step), ... modulo the prime."""
+    out, have = np.ones(n, np.uint64), 1
+    while have < n:
+        more = min(have, n - have)
+        out[have:have + more] = out[:more] * np.uint64(pow(base, step * have, _PRIME)) % np.uint64(_PRIME)
+        have += more
+    return out
 
 
 class SpanHasher:
-    """64-bit hashes of byte spans of one buffer, by prefix sums of a polynomial modulo 2^64."""
+    """64-bit hashes of byte spans of one buffer, by prefix sums of two polynomials modulo 2^31 - 1.
+
+    A prime modulus: modulo a power of two, texts are known that collide under every base.
+    """
+
+    FINE = 4096
 
     def __init__(self, data: np.ndarray) -> None:
-        n = len(data)
-        power = np.full(n + 1, _ODD)
-        power[0] = 1
-        np.cumprod(power, out=power)
-        self.prefix = np.zeros(n + 1, np.uint64)
-        np.cumsum(power[:n] * _BYTE[data], out=self.prefix[1:])
-        power.fill(_INV)
-        power[0] = 1
-        self.inverse = np.cumprod(power, out=power)
+        n, p = len(data), np.uint64(_PRIME)
+        self.prefix = []
+        for base, values in zip(_BASES, _BYTES):
+            term = _powers(base, 1 << max(16, n.bit_length()))[:n] * values[data]
+            high = term >> np.uint64(31)
+            term &= p
+            term += high                                    # below 2^32: sums of 2^31 of them fit
+            sums = np.zeros(n + 1, np.uint64)
+            np.cumsum(term, out=sums[1:])
+            self.prefix.append(sums)
 
     def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return mix64((self.prefix[ends] - self.prefix[starts]) * self.inverse[starts] + (ends - starts).astype(np.uint64))
+        p, out = np.uint64(_PRIME), None
+        coarse = int(starts.max(initial=0)) // self.FINE + 1
+        for base, sums in zip(_BASES, self.prefix):
+            back = pow(base, -1, _PRIME)
+            shift = (_powers(back, self.FINE)[starts % self.FINE]
+                     * _powers(back, 1 << max(8, coarse.bit_length()), self.FINE)[starts // self.FINE]) % p
+            h = (sums[ends] - sums[starts]) % p * shift % p
+            out = h if out is None else (out << np.uint64(32)) | h
+        return mix64(mix64(out + _ODD) ^ (ends - starts).astype(np.uint64))
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

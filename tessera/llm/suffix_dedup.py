@@ -408,7 +408,7 @@ def removals(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, text_col:
 
 
 def deduplicate(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document: id, n_bytes, n_removed, n_spans and kept_sha256."""
+    """Per document: id, n_bytes, n_removed, n_spans, kept_sha256, n_kept (bytes left) and untouched (none removed)."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     base = docs.select(F.col(f"`{id_col}`").alias("id"), F.octet_length(text).cast("long").alias("n_bytes"),
                        F.sha2(text.cast("binary"), 256).alias("sha")).withColumn(
@@ -419,8 +419,10 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col:
     sizes = base.groupBy(F.col("uid").alias("w")).agg(F.count("*").alias("copies")).where("copies > 1")
     known = cut.join(sizes, F.col("v") == F.col("w"), "full_outer").select(F.coalesce("v", "w").alias("u"), "s", "r", "k", "copies")
     whole = (F.col("copies") > 1) & (F.col("n_bytes") >= length)
+    removed = F.when(whole, F.col("n_bytes")).otherwise(F.coalesce("r", F.lit(0))).cast("long")
     return base.join(known, F.col("uid") == F.col("u"), "left").select(
         F.col("id").alias(id_col), "n_bytes",
-        F.when(whole, F.col("n_bytes")).otherwise(F.coalesce("r", F.lit(0))).cast("long").alias("n_removed"),
+        removed.alias("n_removed"),
         F.when(whole, F.lit(1)).otherwise(F.coalesce("s", F.lit(0))).cast("long").alias("n_spans"),
-        F.when(whole, F.sha2(F.lit("").cast("binary"), 256)).otherwise(F.coalesce("k", "sha")).alias("kept_sha256"))
+        F.when(whole, F.sha2(F.lit("").cast("binary"), 256)).otherwise(F.coalesce("k", "sha")).alias("kept_sha256"),
+        (F.col("n_bytes") - removed).alias("n_kept"), (removed == 0).alias("untouched"))

@@ -24,6 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -327,10 +328,11 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: id, score (0 to 1) and predicted (score >= the model's threshold)."""
     kind = docs.schema[id_col].dataType.simpleString()
-    held = docs.sparkSession.sparkContext.broadcast(model)   # table of a few MB, bounded by TERMS
+    # a table of a few MB, bounded by TERMS; as bytes, so that the model's class travels by value
+    held = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = held.value
+        m = cloudpickle.loads(held.value)
         for batch in batches:
             for rows, data, off in text_slices(lowered(batch, "text"), "text"):
                 s = m.score(data, off)

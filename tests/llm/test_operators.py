@@ -338,3 +338,25 @@ def test_pipeline(spark):
     ranks = bpe.vocabulary(PATH).ranks
     enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     assert all(np.frombuffer(r["ids"], "<u4").tolist() == enc.encode_ordinary(src[r["doc_id"]]) for r in out)
+
+
+def test_words_of_a_thue_morse_pair_do_not_link(spark):
+    """Two different words whose polynomials agree modulo 2^64 under every base."""
+    bits = [bin(i).count("1") & 1 for i in range(1024)]
+    one, two = ("".join("ab"[b ^ k] for b in bits) for k in (0, 1))
+    df = spark.createDataFrame([(1, one), (2, two), (3, one)], "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.similarity_classes(df, n=4, pct=85).collect()}
+    assert got == {1: 1, 2: 2, 3: 1}
+
+
+def test_span_hashes_do_not_depend_on_the_place():
+    from tessera.llm.common import SpanHasher
+
+    rng = np.random.default_rng(3)
+    data = rng.integers(0, 3, 60_000).astype(np.uint8)
+    starts = rng.integers(0, 59_000, 4000)
+    ends = starts + rng.integers(0, 9, 4000)
+    seen = {}
+    for h, a, b in zip(SpanHasher(data)(starts, ends).tolist(), starts, ends):
+        assert seen.setdefault(data[a:b].tobytes(), h) == h
+    assert len(set(seen.values())) == len(seen)
