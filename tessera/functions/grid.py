@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 EARTH_RADIUS = 6378137.0
 HALF_WORLD = math.pi * EARTH_RADIUS          # 20037508.342789244 m
 WORLD = 2.0 * HALF_WORLD
-# Corner names by (x % 2, y % 2) of a child inside its parent.
+# Corner names by (x % 2, y % 2) of a child inside its parent.
 CORNER_NAMES = {(0, 0): "ul", (0, 1): "ll", (1, 0): "ur", (1, 1): "lr"}
 
 

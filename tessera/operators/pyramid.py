@@ -21,8 +21,10 @@ import math
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import blocks as B
+from ..functions import grid
 from ..session import path_exists, scratch_path
 
 METHODS = ("nearest", "average")
@@ -56,7 +58,8 @@ def _merge_children(children: list[tuple], size: int, method: str, pick=(1, 1)):
 
 
 def _pass_kernel(levels: int, method: str, min_zoom: int, pick=(1, 1)):
-    def kernel(key, rows):
+    """Fold one group's blocks up ``levels`` zooms; ``allowed``: the parents of the list one zoom up (None: all)."""
+    def kernel(key, rows, allowed: set | None = None):
         if not rows:
             return []
         size, band, z = B.one_size(rows), rows[0]["band"], rows[0]["z"]
@@ -75,7 +78,10 @@ def _pass_kernel(levels: int, method: str, min_zoom: int, pick=(1, 1)):
             z -= 1
             groups: dict = {}
             for (x, y), (vals, cnt, layout) in cur.items():
-                groups.setdefault((x >> 1, y >> 1), []).append((x, y, vals, cnt, layout))
+                if allowed is None or (x >> 1, y >> 1) in allowed:
+                    groups.setdefault((x >> 1, y >> 1), []).append((x, y, vals, cnt, layout))
+            if allowed is not None:
+                allowed = {(x >> 1, y >> 1) for x, y in allowed}
             nxt = {}
             for (px, py), kids in groups.items():
                 vals, cnt = _merge_children([k[:4] for k in kids], size, method, pick)
@@ -112,10 +118,35 @@ def levels_for_budget(size: int, dtype: str, method: str, budget_bytes: int = 25
     return max(1, min(max_levels, fit))
 
 
+def _up(c: str, levels: int) -> F.Column:
+    return F.call_function("shiftright", F.col(c), F.lit(levels)).cast("int")
+
+
 def pyramid_pass(blocks: DataFrame, levels: int, method: str = "nearest", min_zoom: int = 0,
-                 pick=(1, 1)) -> DataFrame:
+                 pick=(1, 1), parents: DataFrame | None = None) -> DataFrame:
     """One shuffle: group blocks by their ancestor ``levels`` up and emit every level in between.
-    ``pick`` = (row, col) parity kept by ``nearest`` (the reference's reads keep pixel 2i+1)."""
+    ``pick`` = (row, col) parity kept by ``nearest`` (the reference's reads keep pixel 2i+1).
+
+    ``parents`` (z, x, y one zoom up): the tile list's parents.  They are cogrouped with the blocks under
+    the same ancestor, and every level inside the group is built from listed parents only.
+    """
+    if parents is not None:
+        kernel = _pass_kernel(levels, method, min_zoom, pick)
+
+        def fold(key, tbl, listed):
+            allowed = set(zip(listed.column("x").to_pylist(), listed.column("y").to_pylist()))
+            rows, out = tbl.select(B.BLOCK_COLUMNS).to_pylist(), []
+            for band in sorted({r["band"] for r in rows}):
+                out += kernel(key, [r for r in rows if r["band"] == band], allowed)
+            return B.records_to_table(out)
+
+        def grouped(df, z_up, up):
+            return df.select((F.col("z") - z_up).cast("int").alias("_k0"), _up("x", up).alias("_k1"), _up("y", up).alias("_k2"),
+                             *df.columns).groupBy("_k0", "_k1", "_k2")
+
+        held = blocks.select(*B.BLOCK_COLUMNS)
+        return (grouped(held, levels, levels).cogroup(grouped(parents.select("z", "x", "y"), levels - 1, levels - 1))
+                .applyInArrow(fold, B.BLOCK_SCHEMA))
     keys = [F.col("z") - levels, F.col("band"),
             F.call_function("shiftright", F.col("x"), F.lit(levels)),
             F.call_function("shiftright", F.col("y"), F.lit(levels))]
@@ -123,25 +154,35 @@ def pyramid_pass(blocks: DataFrame, levels: int, method: str = "nearest", min_zo
 
 
 TILE_KEY = ["z", "x", "y", "band"]
+BUCKET_LEVELS = 3            # a bucket holds the tiles under one ancestor this many levels up: 64 at most a band
+STORE_SCHEMA = T.StructType([*B.BLOCK_FIELDS, T.StructField("bucket", T.StringType(), True)])
+
+
+def tile_bucket(x="x", y="y", z="z") -> F.Column:
+    """Partition of a stored tile: "q" and the quadkey digits of its ancestor ``BUCKET_LEVELS`` up (just "q" above)."""
+    up = F.greatest(grid.col(z) - BUCKET_LEVELS, F.lit(0)).cast("int")
+    return F.concat(F.lit("q"), F.substring(grid.quadkey(x, y, z), F.lit(1), up))
 
 
-def write_level_store(df: DataFrame, store: str) -> None:
+def write_level_store(df: DataFrame, store: str, levels: tuple | None = None) -> None:
     """K1: tiles keyed by (z, x, y, band): a tile replaces the stored one of its key, all others stay.
 
-    A level that has stored tiles is merged in the shared scratch folder first, because its
-    partition is overwritten while it is read.
+    The store is partitioned by zoom and by quadkey prefix (O1: inside a file, tiles lie in quadkey order), so that
+    tiles near each other share a folder.  Only the buckets that new tiles fall into are written: they are read, merged
+    by key and replaced; every other bucket is left as it is.  Where the store has nothing at the zooms
+    written (``levels``, if the caller knows them), the tiles go straight into it.
     """
     spark = df.sparkSession
-    new = df.select(*B.BLOCK_COLUMNS)
-    if path_exists(spark, store):
+    new = df.select(*B.BLOCK_COLUMNS, tile_bucket().alias("bucket"))
+    if path_exists(spark, store) and (levels is None or any(path_exists(spark, f"{store}/z={z}") for z in levels)):
         new = _through_scratch(new, "tiles-new")
-        old = read_level_store(spark, store)
-        levels = [r["z"] for r in new.select("z").distinct().collect()]      # a level list: 30 numbers at most
-        kept = old.where(F.col("z").isin(levels)).join(new.select(*TILE_KEY), TILE_KEY, "left_anti")
-        if not kept.isEmpty():
-            new = _through_scratch(new.unionByName(kept.select(*B.BLOCK_COLUMNS)), "tiles-merged")
-    (new.sortWithinPartitions("y", "x").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("z").parquet(store))
+        touched = new.select("z", "bucket").distinct()
+        old = spark.read.schema(STORE_SCHEMA).parquet(store).join(touched, ["z", "bucket"], "left_semi")
+        kept = old.join(new.select(*TILE_KEY), TILE_KEY, "left_anti").select(*new.columns)
+        # the buckets are replaced while they are read, so what stays of them is put aside first
+        new = new.unionByName(_through_scratch(kept, "tiles-kept"))
+    (new.hint("rebalance", "z", "bucket").sortWithinPartitions("z", "bucket", grid.quadkey("x", "y", "z"), "band")
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("z", "bucket").parquet(store))
 
 
 def _through_scratch(df: DataFrame, name: str) -> DataFrame:
@@ -151,7 +192,7 @@ def _through_scratch(df: DataFrame, name: str) -> DataFrame:
 
 
 def read_level_store(spark: SparkSession, store: str, z: int | None = None) -> DataFrame:
-    df = spark.read.schema(B.BLOCK_SCHEMA).parquet(store)      # known schema: no inference job
+    df = spark.read.schema(STORE_SCHEMA).parquet(store)        # known schema: no inference job
     if z is not None:
         df = df.where(F.col("z") == z)        # partition pruning
     return df.select(*B.BLOCK_COLUMNS)
@@ -172,26 +213,17 @@ def build_pyramid(spark: SparkSession, base: DataFrame, base_zoom: int, store: s
     if method not in METHODS:
         raise ValueError(f"method must be one of {METHODS}")
     if not base_stored:
-        write_level_store(base, store)
+        write_level_store(base, store, (base_zoom,))
     if levels_per_pass is None:
         levels_per_pass = levels_for_budget(size or 2048, dtype or "f4", method)
-    if tiles is not None:
-        # a parent not derived from the list is never built, so it must not feed the level
-        # above it either: fold one level per pass and filter before writing
-        levels_per_pass = 1
     z = base_zoom
     while z > min_zoom:
         levels = min(levels_per_pass, z - min_zoom)
         src = read_level_store(spark, store, z)
-        out = pyramid_pass(src, levels, method, min_zoom, pick)
+        parents = None
         if tiles is not None:
-            wanted = None
-            for k in range(1, levels + 1):
-                lvl = tiles.select((F.col("z") - (base_zoom - z + k)).cast("int").alias("z"),
-                                   F.call_function("shiftright", F.col("x"), F.lit(base_zoom - z + k)).cast("int").alias("x"),
-                                   F.call_function("shiftright", F.col("y"), F.lit(base_zoom - z + k)).cast("int").alias("y"))
-                wanted = lvl if wanted is None else wanted.unionByName(lvl)
-            out = out.join(wanted.distinct(), ["z", "x", "y"], "left_semi")
-        write_level_store(out, store)
+            k = base_zoom - z + 1
+            parents = tiles.select((F.col("z") - k).cast("int").alias("z"), _up("x", k).alias("x"), _up("y", k).alias("y")).distinct()
+        write_level_store(pyramid_pass(src, levels, method, min_zoom, pick, parents), store, tuple(range(z - levels, z)))
         z -= levels
     return read_level_store(spark, store)

@@ -46,6 +46,10 @@ class Grid:
     def columns(self) -> list[str]:
         return [v for v in (self.x0, self.y0, self.dx, self.dy) if isinstance(v, str)]
 
+    def at(self, row: dict) -> "Grid":
+        """The grid of one row: numbers only."""
+        return Grid(self.crs, *[float(row[v]) if isinstance(v, str) else v for v in (self.x0, self.y0, self.dx, self.dy)])
+
 
 def _c(v):
     return F.col(v) if isinstance(v, str) else F.lit(float(v))
@@ -168,12 +172,12 @@ def np_transform(src: str, dst: str, x, y):
 
 PART_SCHEMA = T.StructType([
     T.StructField("tx", T.IntegerType(), False), T.StructField("ty", T.IntegerType(), False),
-    T.StructField("band", T.IntegerType(), False), T.StructField("p", T.LongType(), False),
-    T.StructField("t", T.LongType(), False), T.StructField("off", T.BinaryType(), False),
+    T.StructField("band", T.IntegerType(), False), T.StructField("k", T.StringType(), True),
+    T.StructField("p", T.LongType(), False), T.StructField("t", T.LongType(), False), T.StructField("off", T.BinaryType(), False),
     T.StructField("num", T.BinaryType(), False), T.StructField("den", T.BinaryType(), False),
     T.StructField("near", T.BinaryType(), False),
 ])
-_PART_ARROW = pa.schema([("tx", pa.int32()), ("ty", pa.int32()), ("band", pa.int32()), ("p", pa.int64()), ("t", pa.int64()),
+_PART_ARROW = pa.schema([("tx", pa.int32()), ("ty", pa.int32()), ("band", pa.int32()), ("k", pa.string()), ("p", pa.int64()), ("t", pa.int64()),
                          ("off", pa.binary()), ("num", pa.binary()), ("den", pa.binary()), ("near", pa.binary())])
 STRIP_PIXELS = 1 << 18       # pixels projected at a time
 PART_BYTES = 8 << 20         # partials per emitted batch
@@ -284,8 +288,8 @@ def _partials(batches, src: Grid, dst: Grid, size_t: int, method: str, extent):
         for i in range(rb.num_rows):
             row = rb.slice(i, 1).to_pylist()[0]
             with np.errstate(invalid="ignore", divide="ignore", over="ignore"):
-                for tx, ty, off, num, den, near in _block_partials(row, src, dst, size_t, method, extent):
-                    out.append({"tx": int(tx), "ty": int(ty), "band": row["band"], "p": row["p"], "t": row["t"],
+                for tx, ty, off, num, den, near in _block_partials(row, src, dst.at(row), size_t, method, extent):
+                    out.append({"tx": int(tx), "ty": int(ty), "band": row["band"], "k": row["k"], "p": row["p"], "t": row["t"],
                                 "off": off.astype("<i4").tobytes(), "num": num.tobytes(), "den": den.tobytes(),
                                 "near": near.tobytes()})
                     held += 4 * off.size + 8 * (num.size + den.size + near.size)
@@ -296,7 +300,7 @@ def _partials(batches, src: Grid, dst: Grid, size_t: int, method: str, extent):
         yield pa.RecordBatch.from_pylist(out, schema=_PART_ARROW)
 
 
-def _merge_partials(batches, size_t: int, zoom_t: int, out_dtype: str, out_nodata):
+def _merge_partials(batches, size_t: int, zoom_t: int, out_dtype: str, out_nodata, key: str | None = None):
     """Partials sorted by tile and source -> blocks; four planes are held, however many sources meet a tile."""
     n = size_t * size_t
     tile = source = None
@@ -315,17 +319,18 @@ def _merge_partials(batches, size_t: int, zoom_t: int, out_dtype: str, out_nodat
         rec = B.block_record(zoom_t, tile[0], tile[1], tile[2], size_t, out_dtype, out_nodata, arr, valid)
         empty = np.isnan(done).all()
         done[:] = np.nan
-        return [] if empty else B.records_to_table([rec]).to_batches()
+        made = B.records_to_table([] if empty else [rec])
+        return (made if key is None else made.append_column(key, pa.array([tile[3]] * made.num_rows, pa.string()))).to_batches()
 
     for rb in batches:
         for i in range(rb.num_rows):
             r = rb.slice(i, 1).to_pylist()[0]
-            key, src = (r["tx"], r["ty"], r["band"]), (r["p"], r["t"])
-            if tile is not None and key != tile:
+            at, src = (r["tx"], r["ty"], r["band"], r["k"]), (r["p"], r["t"])
+            if tile is not None and at != tile:
                 yield from finish()
             elif tile is not None and src != source:
                 fold_source()
-            tile, source = key, src
+            tile, source = at, src
             off = np.frombuffer(r["off"], "<i4")
             if r["num"]:
                 num[off] += np.frombuffer(r["num"])
@@ -338,8 +343,8 @@ def _merge_partials(batches, size_t: int, zoom_t: int, out_dtype: str, out_nodat
 
 def warp_blocks_crs(blocks: DataFrame, src: Grid, dst: Grid, size_t: int, zoom_t: int,
                     method: str = "bilinear", out_dtype: str = "f8", out_nodata=-3.4028234663852886e38,
-                    order=(), tiles: DataFrame | None = None, extent: tuple | None = None) -> DataFrame:
-    """Block form of :func:`warp_crs`; the source grid may be columns of the blocks (one per source).
+                    order=(), tiles: DataFrame | None = None, extent: tuple | None = None, key: str | None = None) -> DataFrame:
+    """Block form of :func:`warp_crs`; both grids may be columns of the blocks (one per source).
 
     Each source block is resampled where it lies: it gives every target tile it reaches the
     weighted sums (average: sums and counts) of the pixels it holds.  Only these partial sums are
@@ -348,16 +353,51 @@ def warp_blocks_crs(blocks: DataFrame, src: Grid, dst: Grid, size_t: int, zoom_t
     that tell sources apart; the greatest one with a value wins a pixel (A8), after each source
     was resampled on its own.  ``tiles`` (x, y) keeps listed tiles only, before the shuffle;
     ``extent`` is the target grid's (width, height) in pixels, needed where the target CRS does
-    not reach the whole source (latitudes beyond Mercator).
+    not reach the whole source (latitudes beyond Mercator).  ``key`` names a string column whose values have
+    targets of their own (a source with its own target grid): tiles are made per key, and the result carries it.
     """
     if method not in METHODS:
         raise ValueError(method)
+    if dst.columns() and key is None:
+        raise ValueError("target grids that differ by row need a key that tells their tiles apart")
     order = [F.col(c).cast("long") for c in order] + [F.lit(0).cast("long")] * (2 - len(order))
+    own = F.lit(None).cast("string") if key is None else F.col(key)
     rows = blocks.where(F.col("valid_count") > 0).select(
-        *[c for c in B.BLOCK_COLUMNS if c != "weight"], *dict.fromkeys(src.columns()), order[0].alias("p"), order[1].alias("t"))
+        *[c for c in B.BLOCK_COLUMNS if c != "weight"], *dict.fromkeys(src.columns() + dst.columns()),
+        own.alias("k"), order[0].alias("p"), order[1].alias("t"))
     parts = rows.mapInArrow(lambda it: _partials(it, src, dst, size_t, method, extent), PART_SCHEMA)
     if tiles is not None:
         wanted = tiles.select(F.col("x").cast("int").alias("tx"), F.col("y").cast("int").alias("ty"))
         parts = parts.join(wanted, ["tx", "ty"], "left_semi").select(*PART_SCHEMA.names)
-    return (parts.repartition("tx", "ty", "band").sortWithinPartitions("tx", "ty", "band", "p", "t")
-                 .mapInArrow(lambda it: _merge_partials(it, size_t, zoom_t, out_dtype, out_nodata), B.BLOCK_SCHEMA))
+    schema = B.BLOCK_SCHEMA if key is None else T.StructType([*B.BLOCK_FIELDS, T.StructField(key, T.StringType())])
+    return (parts.repartition("k", "tx", "ty", "band").sortWithinPartitions("k", "tx", "ty", "band", "p", "t")
+                 .mapInArrow(lambda it: _merge_partials(it, size_t, zoom_t, out_dtype, out_nodata, key), schema))
+
+
+def reached_tiles(keys: DataFrame, size: int, src: Grid, dst: Grid, size_t: int, extent: tuple | None) -> DataFrame:
+    """(x, y) of source blocks -> (x, y, tx, ty): the target tiles each can reach, from its projected edges alone."""
+    def run(batches):
+        for rb in batches:
+            out = {"x": [], "y": [], "tx": [], "ty": []}
+            for x, y in zip(rb.column(0).to_pylist(), rb.column(1).to_pylist()):
+                with np.errstate(invalid="ignore", divide="ignore", over="ignore"):
+                    i0, i1, j0, j1 = _window(size, x * size, y * size, (src.x0, src.y0, src.dx, src.dy), src.crs, dst, extent)
+                for ty in range(j0 // size_t, (j1 - 1) // size_t + 1) if i0 < i1 and j0 < j1 else ():
+                    for tx in range(i0 // size_t, (i1 - 1) // size_t + 1):
+                        for k, v in (("x", x), ("y", y), ("tx", tx), ("ty", ty)):
+                            out[k].append(v)
+            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([(k, pa.int32()) for k in out]))
+    return keys.select(F.col("x").cast("int"), F.col("y").cast("int")).mapInArrow(run, "x int, y int, tx int, ty int")
+
+
+def mosaic_blocks_crs(blocks: DataFrame, src: Grid, size_m: int, order=(), tiles: DataFrame | None = None) -> tuple[DataFrame, Grid]:
+    """A8/A9 in block form: sources of one CRS painted onto one grid of the finest source's pixels.
+
+    Every mosaic pixel takes, from the greatest source by ``order`` that is valid there, the pixel that holds its
+    centre.  The grid begins at the sources' upper left; its four numbers come from one small aggregate over
+    the blocks' grid columns.  ``tiles`` (x, y of mosaic tiles) limits what is painted.
+    """
+    x0, y0, dx, dy = (_c(v) for v in (src.x0, src.y0, src.dx, src.dy))
+    r = blocks.agg(F.min(x0).alias("x0"), F.max(y0).alias("y0"), F.min(dx).alias("dx"), F.min(dy).alias("dy")).first()
+    grid = Grid(src.crs, *[0.0 if r[c] is None else float(r[c]) for c in ("x0", "y0")], *[1.0 if r[c] is None else float(r[c]) for c in ("dx", "dy")])
+    return warp_blocks_crs(blocks, src, grid, size_m, 0, "nearest", "f8", float("nan"), order, tiles), grid

@@ -353,12 +353,12 @@ select t.z, t.x, t.y, fp.source_id""", 1)
     # gather form of the 3857 -> 4326 reprojection: every target pixel, its inverse-projected
     # source coordinate, the four (or one) source pixels it reads
     px = L(grid.WORLD / 2048)
-    X, Y = merc(f"({L(-180.0)} + (ti + 5e-1) * {L(0.125)})", f"({L(85.0)} - (tj + 5e-1) * {L(0.0625)})")
+    X, Y = merc(f"({L(-180.0)} + (ti + 5e-1) * {L(0.125)})", f"({L(85.0625)} - (tj + 5e-1) * {L(0.0625)})")
     tgt = f"""(select ti, tj, ({X} - {L(-grid.HALF_WORLD)}) / {px} - 5e-1 sx, ({L(grid.HALF_WORLD)} - {Y}) / {px} - 5e-1 sy
           from (select ti, unnest(range(0, h)) tj from (
                   select unnest(range(0, w)) ti, h from (
                     select cast(ceil((max(gx) + 3) * {L(360.0 / 2048)} / {L(0.125)}) as bigint) + 3 w,
-                           cast(ceil(({L(85.0)} - degrees(atan(sinh({L(math.pi)} * (1 - 2 * (max(gy) + 3) / 2048.0))))) / {L(0.0625)}) as bigint) + 3 h
+                           cast(ceil(({L(85.0625)} - degrees(atan(sinh({L(math.pi)} * (1 - 2 * (max(gy) + 3) / 2048.0))))) / {L(0.0625)}) as bigint) + 3 h
                     from dem))))"""
     q["warp_4326"] = W(f"""select ti gx, tj gy, cast(round(sum(w * v) / sum(w)) as bigint) v from (
           select t.ti, t.tj, d.v,
@@ -374,8 +374,8 @@ select t.z, t.x, t.y, fp.source_id""", 1)
     q["warp_4326_blocks"] = q["warp_4326"]
     lat = f"degrees(atan(sinh({L(math.pi)} * (1 - 2 * (gy + 5e-1) / 2048.0))))"
     q["reproject_average_4326"] = W(f"""select 's3://b/4326/dem-' || (gx // {S}) || '.tif' target,
-        cast(floor(((gx + 5e-1) * {L(360.0 / 2048)}) / 5e-1) as bigint) gx, cast(floor(({L(85.0)} - {lat}) / 2.5e-1) as bigint) gy,
-        round(avg(cast(v as double)), 4) v from dem where v is not null and {lat} <= 85
+        cast(floor(((gx + 5e-1) * {L(360.0 / 2048)}) / 5e-1) as bigint) gx, cast(floor(({L(85.25)} - {lat}) / 2.5e-1) as bigint) gy,
+        round(avg(cast(v as double)), 4) v from dem where v is not null
         group by gx // {S}, 2, 3""", "dem")
     # pixel centres that fall in the target pixel, else the source pixel under the target's centre
     tp = L(grid.WORLD / 1024)
@@ -395,6 +395,21 @@ select t.z, t.x, t.y, fp.source_id""", 1)
         "\nselect ti gx, tj gy, round", f""",
  tg as (select ti, tj, -180 + (ti + 5e-1) * {L(360.0 / 1024)} lon, degrees(atan(sinh({L(math.pi)} * (1 - 2 * (tj + 5e-1) / 1024.0)))) lat
         from (select ti, unnest(range(0, 1024)) tj from (select unnest(range(0, 160)) ti)))
+select ti gx, tj gy, round""", 1)
+    # the upper source on the grid of the finer one (the same origin as the mosaic), painted over it, then averaged
+    mx, my = merc(f"({L(-179.97)} + (gx + 5e-1) * {L(0.125)})", f"({L(85.0)} - (gy + 5e-1) * {L(0.0625)})")
+    q["chunk_mosaic"] = W(f"""select ti gx, tj gy, round(coalesce(max(direct), max(near)), 4) v from (
+          select cast(floor(({mx} + {hw}) / {tp}) as bigint) ti, cast(floor(({hw} - {my}) / {tp}) as bigint) tj,
+                 avg(cast(v as double)) direct, null::double near from mosaic where {L(85.0)} - (gy + 5e-1) * {L(0.0625)} > -85 group by 1, 2
+          union all select t.ti, t.tj, null, cast(m.v as double) from tg t join mosaic m
+            on m.gx = cast(floor((t.lon + {L(179.97)}) / {L(0.125)}) as bigint) and m.gy = cast(floor(({L(85.0)} - t.lat) / {L(0.0625)}) as bigint))
+        where ti >= 0 and tj >= 0 and ti < 1024 and tj < 1024 and (ti // {S}) % 3 <> 2 group by all""", "dem").replace(
+        "\nselect ti gx, tj gy, round", f""",
+ tg as (select ti, tj, -180 + (ti + 5e-1) * {L(360.0 / 1024)} lon, degrees(atan(sinh({L(math.pi)} * (1 - 2 * (tj + 5e-1) / 1024.0)))) lat
+        from (select ti, unnest(range(0, 1024)) tj from (select unnest(range(0, 160)) ti))),
+ upper as (select 2 * gx + 40 + ox gx, 2 * gy + 80 + oy gy, v + 1000000 v from dem
+        cross join (values (0, 0), (0, 1), (1, 0), (1, 1)) o(ox, oy) where v is not null),
+ mosaic as (select gx, gy, coalesce(u.v, l.v) v from (select gx, gy, v from dem where v is not null) l full join upper u using (gx, gy))
 select ti gx, tj gy, round""", 1)
     # every target pixel of a source's default 4326 grid, taken back to UTM
     tgt_utm = utm_forward_cte("tgp", "lon_t", "lat_t")
@@ -416,6 +431,17 @@ select ti gx, tj gy, round""", 1)
          from (select *, unnest(range(0, h)) tj from (select gr.*, unnest(range(0, 40)) ti, (select max(gy) + 20 from px) h from gr))),
  utm as ({tgt_utm})
 select 'pixel' kind""", 1)
+    q["convert_missing_blocks"] = q["convert_missing"][:q["convert_missing"].index("select 'pixel' kind")] + """
+select 'pixel' kind, 's3://b/4326/' || sid || '.tif' "name", cast(band as bigint) band, ti gx, tj gy, cast(round(sum(w * v) / sum(w) / 10000) as bigint) v
+from (select sid, ti, tj, p.band, p.v,
+             (case when ox = 0 then 1 - (sx - floor(sx)) else sx - floor(sx) end)
+           * (case when oy = 0 then 1 - (sy - floor(sy)) else sy - floor(sy) end) w
+      from (select *, (e_ - c) / a - 5e-1 sx, (f - n_) / a - 5e-1 sy from utm) t
+      cross join (values (0, 0), (0, 1), (1, 0), (1, 1)) o(ox, oy)
+      join px p using (sid) where p.gx = cast(floor(sx) as bigint) + ox and p.gy = cast(floor(sy) as bigint) + oy)
+where w > 0 group by all
+union all select 'log', 's3://b/source/' || source_id || '.zip', null, null, null, cast(source_id in (select sid from px) as bigint)
+from fp where source_id <> 2"""
     q["mosaic_blocks"] = q["mosaic_paint"]
     q["chunk_average_blocks"] = q["chunk_average"]
     g2 = gradient_sql("dem_dense", 2.0)
@@ -450,6 +476,20 @@ select 'pixel' kind""", 1)
             from ({g2})))""", "dem_dense")
     q["shade_halo"] = W(f"select gx, gy, {zfactor_sql('a', 'b')} shade from ({g2})", "dem_dense")
     q["shade_spacing"] = W(f"select gx, gy, {zfactor_sql('a', 'b')} shade from ({gradient_sql('dem_dense', 2.0, dx=1.5)})", "dem_dense")
+    half = gradient_sql("half", 4.0, dx=3.0)
+    q["shade_window"] = W(f"""select 6::bigint z, gx, gy, {zfactor_sql('a', 'b')} shade from ({gradient_sql('dem_dense', 2.0, dx=1.5)})
+        union all select 5, gx, gy, {zfactor_sql('a', 'b')} from ({half})""", "dem_dense").replace(
+        "\nselect 6::bigint", ",\n half as (select gx // 2 gx, gy // 2 gy, v from dem_dense where gx % 2 = 1 and gy % 2 = 1)\nselect 6::bigint", 1)
+    q["tiles_upsert"] = W(f"select gx, gy, v + case (gx // {S}) % 2 when 1 then 100 else 0 end v from dem where v is not null", "dem")
+    # a base tile feeds the levels above if its parent is the parent of a listed tile that holds data
+    listed = f"""select distinct tx >> 1 px, ty >> 1 py from (select distinct gx // {S} tx, gy // {S} ty from dem where v is not null)
+        where ((tx // 2) + (ty // 2)) % 2 = 0 and (tx + ty) % 2 = 0"""
+    q["pyramid_list"] = W("select 6::bigint z, gx, gy, v from dem where v is not null union all " + " union all ".join(
+        f"select {6 - k}, (gx + 1) // {2 ** k} - 1, (gy + 1) // {2 ** k} - 1, v from fed "
+        f"where (gx + 1) % {2 ** k} = 0 and (gy + 1) % {2 ** k} = 0" for k in range(1, 7)), "dem").replace(
+        "\nselect 6::bigint", f""",
+ fed as (select d.gx, d.gy, d.v from dem d join ({listed}) on px = (d.gx // {S}) >> 1 and py = (d.gy // {S}) >> 1 where d.v is not null)
+select 6::bigint""", 1)
     q["shade_rgba_blocks"] = f"""select gx, gy, cast(unnest([1, 2, 3, 4]) as bigint) band, unnest([r, g, b, a]) v
         from ({q["shade_rgba"]})"""
     q["hillshade_light_blocks"] = q["hillshade_light"]

@@ -117,18 +117,47 @@ def chunk_blocks(sources: DataFrame, factor: int, zoom: int, size: int, tiles: D
 
 def chunk_reproject(spark: SparkSession, sources: DataFrame, src: RP.Grid, zoom: int, size: int, out: str,
                     tiles: DataFrame | None = None, dtype: str = "f4", nodata=None,
-                    order=("priority", "source_id")) -> DataFrame:
-    """Z1 in block form: source blocks of any CRS and resolution (grid columns per source) averaged onto
-    the Mercator tiles of ``zoom``, sources painted by ``order``, empty tiles dropped (F1), written (K1)."""
+                    order=("priority", "source_id"), paint_first: bool = True) -> DataFrame:
+    """Z1 in block form: source blocks of any CRS and resolution (grid columns per source) onto the Mercator tiles of
+    ``zoom``, empty tiles dropped (F1), written (K1).
+
+    The sources are one raster first, as behind a virtual mosaic: painted by ``order`` on the finest source
+    grid (A8, A9), which is then averaged (R1) once.  ``paint_first=False`` averages every source on its
+    own and paints the results.  Only mosaic tiles that reach a listed tile are painted.
+    """
     n = 2 ** zoom * size
     dst = RP.Grid("EPSG:3857", -grid.HALF_WORLD, grid.HALF_WORLD, grid.WORLD / n, grid.WORLD / n)
     if tiles is not None:
         tiles = tiles.where(F.col("z") == zoom)
-    made = RP.warp_blocks_crs(sources, src, dst, size, zoom, "average", dtype, nodata, order, tiles, (n, n))
+    if paint_first:
+        made, src = _mosaic(sources, src, size, order, tiles, dst, (n, n))
+        made = RP.warp_blocks_crs(made, src, dst, size, zoom, "average", dtype, nodata, (), tiles, (n, n))
+    else:
+        made = RP.warp_blocks_crs(sources, src, dst, size, zoom, "average", dtype, nodata, order, tiles, (n, n))
     SK.write_tiles(made, out)
     return RD.read_tiles(spark, out, z=zoom)
 
 
+def _mosaic(sources: DataFrame, src: RP.Grid, size: int, order, tiles: DataFrame | None, dst: RP.Grid, extent) -> tuple[DataFrame, RP.Grid]:
+    """The mosaic's blocks and grid; with a list, only the blocks whose edges reach a listed tile."""
+    whole, onto = RP.mosaic_blocks_crs(sources, src, size, order)
+    if tiles is None:
+        return whole, onto
+    # the mosaic tiles that some source block can reach, each once, without a pixel
+    held = sources.where(F.col("valid_count") > 0).select(
+        "x", "y", "size", *[F.lit(v).alias(c) if not isinstance(v, str) else F.col(v).alias(c) for c, v in (("x0", src.x0), ("y0", src.y0), ("dx", src.dx), ("dy", src.dy))])
+    span = onto.dx * size, onto.dy * size
+    left, top = F.col("x0") + F.col("x") * F.col("size") * F.col("dx"), F.col("y0") - F.col("y") * F.col("size") * F.col("dy")
+    across, down = F.col("size") * F.col("dx"), F.col("size") * F.col("dy")
+    reach = held.select(F.floor((left - onto.x0) / span[0]).alias("i0"), F.floor((left + across - onto.x0) / span[0]).alias("i1"),
+                        F.floor((onto.y0 - top) / span[1]).alias("j0"), F.floor((onto.y0 - top + down) / span[1]).alias("j1")).distinct()
+    keys = (reach.select("j0", "j1", F.explode(F.sequence("i0", "i1")).alias("x"))
+                 .select("x", F.explode(F.sequence("j0", "j1")).alias("y")).distinct())
+    wanted = tiles.select(F.col("x").cast("int").alias("tx"), F.col("y").cast("int").alias("ty"))
+    listed = RP.reached_tiles(keys, size, onto, dst, size, extent).join(wanted, ["tx", "ty"], "left_semi").select("x", "y").distinct()
+    return RP.mosaic_blocks_crs(sources, src, size, order, listed)
+
+
 # --------------------------------------------------------------------- Z2 pyramid
 def pyramid(spark: SparkSession, store: str, zoom: int, min_zoom: int = 0, method: str = "nearest",
             tiles: DataFrame | None = None, levels_per_pass: int | None = None) -> DataFrame:
@@ -197,6 +226,25 @@ def convert_missing(spark: SparkSession, listing: DataFrame, targets: DataFrame,
     return write_converted_with_log(conv, todo, out)
 
 
+def convert_missing_blocks(spark: SparkSession, listing: DataFrame, targets: DataFrame, blocks: DataFrame, rasters: DataFrame,
+                           src_crs: str, out: str, size: int = 512, method: str = "bilinear", dtype: str = "f4",
+                           nodata=-3.4028234663852886e38) -> DataFrame:
+    """Z3/Z4 from blocks: archives not converted yet, each reprojected (bilinear, or average for Z4) onto its own default
+    4326 grid, every band, as blocks of ``size`` pixels per target (K2), with the log (K5).
+
+    ``blocks``: block columns and ``source``; ``rasters`` as in :func:`convert_missing`.  No pixel becomes a row; the
+    per-source grid meets blocks by a join salted by the block's place.
+    """
+    todo = missing_targets(listing, targets)
+    meta = rasters.join(todo.select("source"), "source", "left_semi")
+    grids = default_4326_grid(footprints(meta, src_crs)).join(meta.select("source", "source_id", "a", "c", "e", "f"), "source_id")
+    held = salted_join(blocks, grids.select("source", "a", "c", F.col("f"), (-F.col("e")).alias("neg_e"), "dst_x0", "dst_y0", "dst_res"),
+                       ["source"], salt_from=("x", "y"))
+    made = RP.warp_blocks_crs(held, RP.Grid(src_crs, "c", "f", "a", "neg_e"), RP.Grid("EPSG:4326", "dst_x0", "dst_y0", "dst_res", "dst_res"),
+                              size, 0, method, dtype, nodata, key="source")
+    return write_converted_with_log(made, todo, out)
+
+
 def write_converted_with_log(converted: DataFrame, sources: DataFrame, out: str) -> DataFrame:
     """K2 + K5: write each source's output under its target name, return the log
     (source, output or NULL when the source produced nothing)."""

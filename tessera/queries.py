@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .functions import crs, grid, terrain as TR, uris
-from .operators import blocks as B, cells as C, halo as H, mosaic as MO, pyramid as P, reproject as RP, warp as WP
+from .operators import blocks as B, cells as C, halo as H, mosaic as MO, pyramid as P, reproject as RP, warp as WP, windows as WN
 from .plans import jobs as J
 from .session import scratch_path
 from .sources import fixtures as FX, readers as RD, sinks as SK
@@ -357,24 +357,40 @@ def tms_view(spark, d):
 def window_read(spark, d):
     """The buffered z5 windows on the z6 store, read decimated by their scale (2)."""
     blk = RD.read_tiles(spark, _dem_store(spark, d), z=FX.DEM_ZOOM)
-    wins = blk.select(grid.parent("x", "y", "z").alias("p")).distinct().select(
-        F.col("p.z").alias("wz"), F.col("p.x").alias("wx"), F.col("p.y").alias("wy"))
-    w = grid.buffer_window(grid.source_window("wx", "wy", "wz", FX.DEM_ZOOM, S, S), 2)
-    wins = wins.select("wz", "wx", "wy", *[_i(w[k]).alias(k) for k in ("row0", "row1", "col0", "col1")],
-                       _i(w["scale"]).alias("scale"))
-    # blocks meeting each window (at most 3 x 3): an equi-join on block keys
-    need = wins.select("*", F.explode(F.sequence(F.floor(F.col("col0") / S), F.floor((F.col("col1") - 1) / S))).alias("x")) \
-               .select("*", F.explode(F.sequence(F.floor(F.col("row0") / S), F.floor((F.col("row1") - 1) / S))).alias("y"))
-    j = blk.join(need.select("wz", "wx", "wy", "row0", "col0", "row1", "col1", "scale", F.col("x").cast("int").alias("x"),
-                             F.col("y").cast("int").alias("y")), ["x", "y"])
-    c = B.unpack_blocks(j, keep=("wz", "wx", "wy", "row0", "col0", "row1", "col1", "scale"))
-    c = c.where((F.col("gy") >= F.col("row0")) & (F.col("gy") < F.col("row1")) &
-                (F.col("gx") >= F.col("col0")) & (F.col("gx") < F.col("col1")) &
-                ((F.col("gy") - F.col("row0")) % F.col("scale") == F.floor(F.col("scale") / 2)) &
-                ((F.col("gx") - F.col("col0")) % F.col("scale") == F.floor(F.col("scale") / 2)))
-    return c.select(_i("wz").alias("wz"), _i("wx").alias("wx"), _i("wy").alias("wy"),
-                    _i(F.floor((F.col("gy") - F.col("row0")) / F.col("scale"))).alias("orow"),
-                    _i(F.floor((F.col("gx") - F.col("col0")) / F.col("scale"))).alias("ocol"), _i("v").alias("v"))
+    wins = blk.select(grid.parent("x", "y", "z").alias("p")).distinct().select("p.z", "p.x", "p.y")
+    c = WN.window_cells(WN.read_windows(blk, wins, FX.DEM_ZOOM, S, S, buffer=2))
+    return c.select(_i("z").alias("wz"), _i("x").alias("wx"), _i("y").alias("wy"), _i("row").alias("orow"), _i("col").alias("ocol"),
+                    _i("v").alias("v"))
+
+
+def shade_window(spark, d):
+    """Z6 through P20 - P21 - S10: 32-px tiles of z6 (scale 1) and z5 (scale 2) shaded from windows on a level of
+    64-px tiles, pixels that are not square (dx 1.5, dy 2); no pixel becomes a row before the shade."""
+    dense = FX.dem_dense(spark, d)
+    level = B.pack_blocks(dense, 2 * S, FX.DEM_ZOOM - 1, dtype="f8", nodata=FX.NODATA)
+    at = [dense.select(F.lit(FX.DEM_ZOOM - k).alias("z"), *[F.floor(F.col(g) / (S << k)).cast("int").alias(c) for g, c in (("gx", "x"), ("gy", "y"))])
+          for k in (0, 1)]
+    sh = WN.shade_windows(level, at[0].unionByName(at[1]), FX.DEM_ZOOM - 1, 2 * S, S, "zfactor", pixel=(1.5, 2.0))
+    return B.unpack_blocks(sh).select(_i("z").alias("z"), "gx", "gy", _i("v").alias("shade"))
+
+
+def tiles_upsert(spark, d):
+    """K1/O1: the tiles of every other column written again (values raised by 1.00) into the store of the dem:
+    they replace those of their keys in the buckets they fall into, the rest stays."""
+    store = _dem_store(spark, d)
+    raised = FX.dem(spark, d).where(F.floor(F.col("gx") / S) % 2 == 1).select("gx", "gy", (F.col("v") + 100).alias("v"))
+    SK.write_tiles(B.pack_blocks(raised, S, FX.DEM_ZOOM, dtype="f8", nodata=FX.NODATA).where(F.col("valid_count") > 0), store)
+    c = B.unpack_blocks(RD.read_tiles(spark, store, z=FX.DEM_ZOOM))
+    return c.select("gx", "gy", _i("v").alias("v"))
+
+
+def pyramid_list(spark, d):
+    """Z2 with a tile list (some tiles of every other parent): parents from the list, content from the store; three
+    levels folded in one shuffle."""
+    base = _dem_blocks(spark, d).where(F.col("valid_count") > 0)
+    listed = base.where((F.floor(F.col("x") / 2) + F.floor(F.col("y") / 2)) % 2 == 0).where((F.col("x") + F.col("y")) % 2 == 0).select("z", "x", "y")
+    pyr = P.build_pyramid(spark, base, FX.DEM_ZOOM, scratch_path(spark, "pyramid-list"), size=S, dtype="f8", tiles=listed)
+    return B.unpack_blocks(pyr).select(_i("z").alias("z"), "gx", "gy", _i("v").alias("v"))
 
 
 # ====================================================================== mosaic, warps
@@ -462,7 +478,7 @@ def warp_nearest_blocks(spark, d):
 
 # The dem is on the z6 Mercator grid; its 4326 target grid (Z3's conversion).
 DEM_3857 = RP.Grid("EPSG:3857", -grid.HALF_WORLD, grid.HALF_WORLD, grid.WORLD / 2048, grid.WORLD / 2048)
-DEM_4326 = RP.Grid("EPSG:4326", -180.0, 85.0, 0.125, 0.0625)
+DEM_4326 = RP.Grid("EPSG:4326", -180.0, 85.0625, 0.125, 0.0625)       # the raster reaches 85.05 degrees north
 
 
 def warp_4326(spark, d):
@@ -491,13 +507,11 @@ def reproject_average_4326(spark, d):
     wl = scratch_path(spark, "worklist")
     cells.select(F.col("source").alias("value")).distinct().write.text(wl)
     out = scratch_path(spark, "converted")
-    J.reproject_average(spark, wl, cells, DEM_3857, RP.Grid("EPSG:4326", -180.0, 85.0, 0.5, 0.25), out)
+    J.reproject_average(spark, wl, cells, DEM_3857, RP.Grid("EPSG:4326", -180.0, 85.25, 0.5, 0.25), out)
     return spark.read.parquet(out).select("target", _i("gx").alias("gx"), _i("gy").alias("gy"), F.round("v", 4).alias("v"))
 
 
-def chunk_reproject(spark, d):
-    """Z1 in block form: two overlapping 4326 sources of different resolution (both the dem, the upper one
-    raised by 10000.00) averaged onto z5 Mercator tiles; the tile list leaves out every third column."""
+def _chunk_sources(spark, d):
     base = FX.dem(spark, d)
     blocks = None
     for sid, x0, y0, dx, dy, lift in CHUNK_SOURCES:
@@ -505,8 +519,24 @@ def chunk_reproject(spark, d):
         b = b.select("*", F.lit(sid).alias("source_id"), F.lit(sid).alias("priority"),
                      *[F.lit(v).alias(k) for k, v in (("x0", x0), ("y0", y0), ("dx", dx), ("dy", dy))])
         blocks = b if blocks is None else blocks.unionByName(b)
+    return blocks
+
+
+def chunk_reproject(spark, d):
+    """Z1 in block form: two overlapping 4326 sources of different resolution (both the dem, the upper one
+    raised by 10000.00) averaged onto z5 Mercator tiles; the tile list leaves out every third column."""
+    blocks = _chunk_sources(spark, d)
     tiles = spark.range(32).select(F.lit(5).alias("z"), F.col("id").alias("x"), F.explode(F.sequence(F.lit(0), F.lit(31))).alias("y"))
     out = J.chunk_reproject(spark, blocks, RP.Grid("EPSG:4326", "x0", "y0", "dx", "dy"), 5, S, scratch_path(spark, "chunk-any"),
+                            tiles=tiles.where(F.col("x") % 3 != 2), dtype="f8", nodata=FX.NODATA, paint_first=False)
+    return B.unpack_blocks(out).select("gx", "gy", F.round("v", 4).alias("v"))
+
+
+def chunk_mosaic(spark, d):
+    """Z1 in the order of a mosaic: the same two sources painted on the finest source grid first, the mosaic then
+    averaged onto z5 Mercator tiles; both sources meet inside target pixels."""
+    tiles = spark.range(32).select(F.lit(5).alias("z"), F.col("id").alias("x"), F.explode(F.sequence(F.lit(0), F.lit(31))).alias("y"))
+    out = J.chunk_reproject(spark, _chunk_sources(spark, d), RP.Grid("EPSG:4326", "x0", "y0", "dx", "dy"), 5, S, scratch_path(spark, "chunk-mosaic"),
                             tiles=tiles.where(F.col("x") % 3 != 2), dtype="f8", nodata=FX.NODATA)
     return B.unpack_blocks(out).select("gx", "gy", F.round("v", 4).alias("v"))
 
@@ -539,6 +569,36 @@ def convert_missing(spark, d):
     return px.unionByName(logs[0]).unionByName(logs[1])
 
 
+def _convert_inputs(spark, d):
+    """(rasters with their archive names, two-band cells (source_id, gx, gy, band, v) of nine of them)"""
+    ras = FX.rasters(spark, d).withColumn("source", _archive("source_id"))
+    k = F.col("o_orderkey")
+    bands = F.array(*[F.struct(F.lit(b).alias("band"), v.cast("bigint").alias("v"))
+                      for b, v in ((1, F.round(F.col("o_totalprice") * 100)), (2, F.col("o_custkey")))])
+    return ras, table(spark, d, "orders").select((1 + k % 9).alias("source_id"), (F.floor(k / 9) % 16).alias("gx"),
+                                                 F.floor(k / 144).alias("gy"), F.inline(bands))
+
+
+def _archive(c):
+    return F.concat(F.lit("s3://b/source/"), F.col(c).cast("string"), F.lit(".zip"))
+
+
+def convert_missing_blocks(spark, d):
+    """Z3 from blocks: archives without a 4326 output, each bilinear from UTM onto its own default grid, both bands."""
+    ras, cells = _convert_inputs(spark, d)
+    packed = B.pack_blocks(cells, S, "source_id", dtype="f8", nodata=FX.NODATA, band="band")
+    blocks = packed.withColumn("source", _archive("z"))
+    done = spark.range(1).select(F.lit("s3://b/4326/2.tif").alias("path"))
+    out = scratch_path(spark, "converted-blocks")
+    log = J.convert_missing_blocks(spark, ras.select(F.col("source").alias("path")), done, blocks, ras, "UTM:10", out, S, "bilinear", dtype="f8")
+    back = spark.read.parquet(out)
+    c = B.unpack_blocks(back, keep=("target",))             # weights differ by ulps of a projected metre: hundreds, not cents
+    px = c.select(F.lit("pixel").alias("kind"), F.col("target").alias("name"), *[_i(k).alias(k) for k in ("band", "gx", "gy")], _i(F.round(F.col("v") / 10000)).alias("v"))
+    none = F.lit(None).cast("bigint")
+    return px.unionByName(log.select(F.lit("log").alias("kind"), F.col("source").alias("name"), none.alias("band"), none.alias("gx"), none.alias("gy"),
+                                     F.col("output").isNotNull().cast("bigint").alias("v")))
+
+
 def pyramid_levels_cells(spark, d):
     """Z2 nearest in cell form (one pass, no shuffle): the cell twin of ``pyramid_levels``."""
     return C.pyramid_nearest(FX.dem(spark, d), FX.DEM_ZOOM).select("z", "gx", "gy", _i("v").alias("v"))
@@ -656,4 +716,5 @@ QUERIES = {f.__name__: f for f in (
     gradient, hillshade_naive, hillshade_zfactor, slope_aspect_trig, hillshade_light, shade_rgba,
     compare_shades, shade_halo, hillshade_light_blocks, hillshade_naive_blocks, tile_partitions,
     reproject_average_4326, chunk_reproject, convert_missing, shade_spacing, shade_rgba_blocks,
+    shade_window, tiles_upsert, pyramid_list, chunk_mosaic, convert_missing_blocks,
 )}

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import blocks as B
+from ..operators.pyramid import STORE_SCHEMA, tile_bucket
 
 
 def read_tile_list(spark: SparkSession, path: str) -> DataFrame:
@@ -30,17 +31,27 @@ def read_tiles(spark: SparkSession, store: str, tiles: DataFrame | None = None,
                ignore_corrupt: bool = False) -> DataFrame:
     """Point reads of stored blocks; missing tiles give no row, all-nodata blocks are skipped.
 
-    ``valid_count > 0`` and ``z = ...`` are pushed into the parquet scan.
+    ``valid_count > 0`` and ``z = ...`` are pushed into the parquet scan.  A tile list also meets the store by
+    its buckets (quadkey prefixes), so that Spark can prune folders by the listed ones.
     ``ignore_corrupt`` (F8) skips unreadable files instead of failing the job.
     """
-    df = (spark.read.schema(B.BLOCK_SCHEMA).option("ignoreCorruptFiles", str(ignore_corrupt).lower())
+    df = (spark.read.schema(STORE_SCHEMA).option("ignoreCorruptFiles", str(ignore_corrupt).lower())
           .parquet(store))
     if z is not None:
         df = df.where(F.col("z") == z)
-    df = df.where(F.col("valid_count") > 0).select(*B.BLOCK_COLUMNS)
+    df = df.where(F.col("valid_count") > 0)
     if tiles is not None:
-        df = df.join(tiles.select("z", "x", "y"), ["z", "x", "y"], "left_semi")
-    return df
+        keys = tiles.select(*[F.col(c).cast("int").alias(c) for c in ("z", "x", "y")]).withColumn("bucket", tile_bucket())
+        df = df.join(keys, ["z", "bucket", "x", "y"], "left_semi")
+    return df.select(*B.BLOCK_COLUMNS)
+
+
+def read_tile(spark: SparkSession, store: str, z: int, x: int, y: int) -> DataFrame:
+    """S6 for one tile: only the files of its bucket are opened."""
+    key = spark.range(1).select(tile_bucket(F.lit(x), F.lit(y), F.lit(z))).first()[0]      # a constant: evaluated on the driver
+    return (spark.read.schema(STORE_SCHEMA).parquet(store)
+            .where((F.col("z") == z) & (F.col("bucket") == key) & (F.col("x") == x) & (F.col("y") == y) & (F.col("valid_count") > 0))
+            .select(*B.BLOCK_COLUMNS))
 
 
 def read_tms(blocks: DataFrame, requested: DataFrame, size: int, dtype: str = "f4") -> DataFrame:
@@ -131,7 +142,7 @@ def read_window(spark: SparkSession, store: str, z: int, row0: int, row1: int, c
     ``z`` and row-group pruning on the stored ``x``/``y`` columns.  Returns
     (orow, ocol, v) for valid pixels.
     """
-    size = spark.read.schema(B.BLOCK_SCHEMA).parquet(store).where(F.col("z") == z).select("size").first()
+    size = spark.read.schema(STORE_SCHEMA).parquet(store).where(F.col("z") == z).select("size").first()
     if size is None:
         return spark.createDataFrame([], "orow long, ocol long, v double")
     s = size[0]

@@ -10,7 +10,7 @@ from ..operators.pyramid import write_level_store
 
 
 def write_tiles(blocks: DataFrame, out: str) -> None:
-    """K1: tile store keyed by (z, x, y, band), partitioned by z; other stored tiles stay."""
+    """K1: tile store keyed by (z, x, y, band), partitioned by zoom and quadkey prefix; other stored tiles stay."""
     write_level_store(blocks, out)
 
 
