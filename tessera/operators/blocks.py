@@ -326,6 +326,91 @@ def unpack_blocks(blocks: DataFrame, valid_only: bool = True, weighted: bool = F
         lambda it: _unpack_batches(it, valid_only, weighted, keep), schema)
 
 
+# ------------------------------------------------------------------ failures (F8)
+def block_error() -> F.Column:
+    """Why a block row cannot be read (NULL: it can), from its columns alone: usable as a filter before any kernel."""
+    size = F.octet_length("data")
+    return (F.when(F.col("data").isNull() | F.col("size").isNull() | F.col("dtype").isNull(), F.lit("incomplete row"))
+             .when(~F.col("dtype").isin(*DTYPES), F.concat(F.lit("unknown dtype "), F.col("dtype")))
+             .when(size != pixel_bytes(), F.concat(size.cast("string"), F.lit(" of "), pixel_bytes().cast("string"), F.lit(" bytes"))))
+
+
+def try_blocks(blocks: DataFrame, kernel: Callable[[np.ndarray], np.ndarray], out_dtype: str | None = None,
+               out_nodata="same") -> DataFrame:
+    """:func:`map_blocks` that keeps failures: block columns and ``error``.  A row that cannot be read or whose
+    kernel raises comes out with its key, no pixels and the reason; its neighbours are not touched."""
+    schema = T.StructType([*BLOCK_FIELDS, T.StructField("error", T.StringType(), True)])
+    arrow = pa.schema([*_BLOCK_ARROW, ("error", pa.string())])
+
+    def _run(batches):
+        for rb in batches:
+            recs = []
+            for r in rb.to_pylist():
+                error = r.pop("error")
+                if error is None:
+                    try:
+                        od, on = out_dtype or r["dtype"], r["nodata"] if out_nodata == "same" else out_nodata
+                        arr, valid = from_float(kernel(row_values(r)), od, on)
+                        recs.append({**block_record(r["z"], r["x"], r["y"], r["band"], r["size"], od, on, arr, valid), "error": None})
+                        continue
+                    except Exception as e:  # noqa: BLE001 -- whatever a kernel raises is a row of the result
+                        error = f"{type(e).__name__}: {e}"
+                recs.append({**r, "size": r["size"] or 0, "dtype": r["dtype"] or "", "valid_count": 0, "data": b"", "weight": None, "error": error})
+            yield from pa.Table.from_pylist(recs, schema=arrow).to_batches()
+
+    return blocks.select(*BLOCK_COLUMNS, block_error().alias("error")).mapInArrow(_run, schema)
+
+
+def split_failures(tried: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """(blocks, dead letters) of a :func:`try_blocks` result, computed once: both are written in one pass, apart."""
+    spark = tried.sparkSession
+    tried.withColumn("failed", F.col("error").isNotNull()).write.partitionBy("failed").parquet(path)
+    back = spark.read.schema(T.StructType([*tried.schema.fields, T.StructField("failed", T.BooleanType())])).parquet(path)
+    return (back.where(~F.col("failed")).select(*BLOCK_COLUMNS),
+            back.where(F.col("failed")).select("z", "x", "y", "band", "size", "dtype", "error"))
+
+
+# ------------------------------------------------------------------ statistics
+def block_moments(blocks: DataFrame, keep: tuple = ()) -> DataFrame:
+    """Per block: n, vmin, vmax, mean and m2 (sum of squared distances from the mean) of valid pixels: one row a
+    block, mergeable by :func:`merge_moments`."""
+    schema = T.StructType([T.StructField(n, t, True) for n, t in (
+        ("z", T.IntegerType()), ("x", T.IntegerType()), ("y", T.IntegerType()), ("band", T.IntegerType()), ("n", T.LongType()),
+        ("vmin", T.DoubleType()), ("vmax", T.DoubleType()), ("mean", T.DoubleType()), ("m2", T.DoubleType()))]
+        + [blocks.schema[k] for k in keep])
+    arrow = pa.schema([(f.name, pa_type(f.dataType)) for f in schema.fields])
+
+    def _run(batches):
+        for rb in batches:
+            out = []
+            for r in rb.to_pylist():
+                v = row_values(r)
+                v = v[~np.isnan(v)]
+                row = {**{k: r[k] for k in ("z", "x", "y", "band", *keep)}, "n": v.size}
+                if v.size:
+                    mean = float(v.mean())
+                    row |= {"vmin": float(v.min()), "vmax": float(v.max()), "mean": mean, "m2": float(((v - mean) ** 2).sum())}
+                out.append(row)
+            yield pa.RecordBatch.from_pylist(out, schema=arrow)
+
+    return blocks.select(*BLOCK_COLUMNS, *keep).mapInArrow(_run, schema)
+
+
+def merge_moments(moments: DataFrame, keys: tuple = ()) -> DataFrame:
+    """Moments of groups of blocks: (keys.., n, vmin, vmax, mean, m2).  The mean first, then the parts' spread about it:
+    sums of squares are never subtracted.  Reads ``moments`` twice: write it if it is costly."""
+    part = moments.where(F.col("n") > 0)
+    mean = part.groupBy(*keys).agg((F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("all_mean"))
+    if keys:
+        named = mean.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "all_mean")
+        met = part.join(named, [part[k].eqNullSafe(named[f"_k_{k}"]) for k in keys])
+    else:
+        met = part.withColumn("all_mean", mean.select("all_mean").scalar())
+    off = F.col("mean") - F.col("all_mean")
+    return met.groupBy(*keys).agg(F.sum("n").alias("n"), F.min("vmin").alias("vmin"), F.max("vmax").alias("vmax"),
+                                  F.max("all_mean").alias("mean"), F.sum(F.col("m2") + F.col("n") * off * off).alias("m2"))
+
+
 def block_stats(blocks: DataFrame, keep: tuple = ()) -> DataFrame:
     """Per block: valid_count, min, max and sum of valid pixels (a narrow map)."""
     schema = T.StructType([T.StructField(n, t, True) for n, t in (

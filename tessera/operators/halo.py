@@ -142,6 +142,70 @@ SHADERS = {"naive": ("i4", shade_naive), "zfactor": ("i2", shade_zfactor), "ligh
 SHADE_NODATA = -1.0
 
 
+def _buffered(rows: list[dict], buffer: int) -> tuple[np.ndarray, bool]:
+    """(values with the halo, did the tile's own block arrive) from a tile's pieces."""
+    size = B.one_size(rows)
+    n = size + 2 * buffer
+    buf = np.full((n, n), np.nan)
+    own = False
+    for r in rows:
+        piece = np.frombuffer(r["piece"], dtype="<" + r["dtype"]).reshape(r["h"], r["w"])
+        buf[r["oy"]:r["oy"] + r["h"], r["ox"]:r["ox"] + r["w"]] = B.to_float(piece, r["nodata"])
+        own = own or (r["ox"] == buffer and r["oy"] == buffer)
+    return buf, own
+
+
+def compare_blocks(blocks: DataFrame, out: str, buffer: int = 2, h: float = 2.0, pixel: float = 1.0) -> DataFrame:
+    """Z9 in block form: per tile the naive (band 1), z-factor (2) and light-source (3) shade, the last stretched over
+    the whole raster (D15, W2).
+
+    Two passes.  The first shades each buffered tile, keeps the light's unstretched intensity as doubles and its least
+    and greatest value beside the block, and is written to ``out``; two numbers come back.  The second
+    stretches band 3 by them, block by block.
+    """
+    spark = blocks.sparkSession
+    k = h / pixel
+
+    def first(key, tbl):
+        rows = tbl.to_pylist()
+        buf, own = _buffered(rows, buffer)
+        size, r0 = rows[0]["size"], rows[0]
+        if not own:
+            return _with_range([], [])
+        a, b = masked_gradient(buf, h, 0), masked_gradient(buf, h, 1)
+        crop = slice(buffer, buffer + size)
+        with np.errstate(invalid="ignore"):
+            planes = [("i4", shade_naive(a, b)), ("i2", shade_zfactor(a, b)), ("f8", light_intensity(a * k, b * k))]
+        recs, spans = [], []
+        for band, (dtype, plane) in enumerate(planes, start=1):
+            plane = np.where(np.isnan(a) | np.isnan(b), np.nan, plane)[crop, crop]
+            arr, valid = B.from_float(plane, dtype, float("nan") if dtype == "f8" else SHADE_NODATA)
+            if valid:
+                recs.append(B.block_record(r0["z"], r0["tx"], r0["ty"], band, size, dtype, float("nan") if dtype == "f8" else SHADE_NODATA, arr, valid))
+                spans.append((float(np.nanmin(plane)), float(np.nanmax(plane))) if dtype == "f8" else (None, None))
+        return _with_range(recs, spans)
+
+    def _with_range(recs, spans):
+        tbl = B.records_to_table(recs)
+        return (tbl.append_column("lo", pa.array([s[0] for s in spans], pa.float64()))
+                   .append_column("hi", pa.array([s[1] for s in spans], pa.float64())))
+
+    schema = T.StructType([*B.BLOCK_FIELDS, T.StructField("lo", T.DoubleType()), T.StructField("hi", T.DoubleType())])
+    pieces = blocks.where(F.col("band") == 1).select(*B.BLOCK_COLUMNS).mapInArrow(lambda it: _strips(it, buffer), PIECE_SCHEMA)
+    pieces.groupBy("z", "band", "tx", "ty").applyInArrow(first, schema).write.parquet(out)
+    made = spark.read.schema(schema).parquet(out)
+    r = made.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).first()
+    if r["lo"] is None:
+        return made.select(*B.BLOCK_COLUMNS)
+    lo, hi = r["lo"], r["hi"]
+
+    def stretched(i):
+        return np.floor(255.0 * np.clip((i - lo) / (hi - lo) if hi - lo > 1e-6 else i, 0.0, 1.0))
+
+    light = B.map_blocks(made.where(F.col("band") == 3), stretched, "i2", SHADE_NODATA)
+    return made.where(F.col("band") < 3).select(*B.BLOCK_COLUMNS).unionByName(light)
+
+
 def _shade_group(buffer: int, method: str, h):
     out_dtype, fn = SHADERS[method]
     dx, dy = h if isinstance(h, tuple) else (h, h)
@@ -149,14 +213,8 @@ def _shade_group(buffer: int, method: str, h):
     def run(key, tbl):
         rows = tbl.to_pylist()
         r0 = rows[0]
-        size = B.one_size(rows)
-        n = size + 2 * buffer
-        buf = np.full((n, n), np.nan)
-        own = False
-        for r in rows:
-            piece = np.frombuffer(r["piece"], dtype="<" + r["dtype"]).reshape(r["h"], r["w"])
-            buf[r["oy"]:r["oy"] + r["h"], r["ox"]:r["ox"] + r["w"]] = B.to_float(piece, r["nodata"])
-            own = own or (r["ox"] == buffer and r["oy"] == buffer)       # the tile's own block
+        size = r0["size"]
+        buf, own = _buffered(rows, buffer)
         if not own:                       # only strips arrived: the tile itself is not stored
             return B.records_to_table([])
         a = masked_gradient(buf, dy, 0)

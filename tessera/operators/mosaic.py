@@ -8,15 +8,15 @@ Where several sources cover a pixel, the valid value with the greatest
    (tile, salt, pixel, priority, tie, value); a streaming Arrow pass keeps the
    last row of every pixel run -- the winner inside that group -- and emits
    one partial layer per (tile, salt) with three planes (priority, tie, value);
-2. the at most ``salts`` partial layers of a tile are brought together
+2. the partial layers of a tile are brought together
    (hash-partitioned and sorted by tile) and merged by a per-pixel
    lexicographic max in a streaming pass.
 
 Dense rasters are the intended input: for sparse cells (a few pixels per tile)
 the cell-form :func:`tessera.operators.cells.mosaic_paint` moves fewer bytes.
 
-A tile covered by many sources (the hot group) is thus split ``salts`` ways
-before anything is gathered.  Between Arrow batches stage 1 keeps one row per pixel
+A tile covered by many sources (the hot group) is split before anything is gathered, into
+as many salts as its measured rows need; all other tiles have one.  Between Arrow batches stage 1 keeps one row per pixel
 of the unfinished tile, however many sources cover it.
 """
 
@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import blocks as B
+from .skew import SHARE_ROWS, salted
 
 PAINT_SCHEMA = T.StructType([
     T.StructField("z", T.IntegerType(), False), T.StructField("x", T.IntegerType(), False),
@@ -128,21 +129,29 @@ def _merge_sorted(batches, size: int, nodata):
         yield from B.records_to_table(out).to_batches()
 
 
-def paint_blocks(cells: DataFrame, size: int, z: int, order=("priority", "tie"), salts: int = 4,
-                 nodata=-3.4028234663852886e38) -> DataFrame:
-    """Cells ``(gx, gy, <order...>, v)`` from overlapping sources -> painted f8 blocks at ``z``.
-
-    ``order`` names two integral columns (source priority and a tie-break); the value
-    breaks remaining ties.  A ``band`` column of the cells is kept apart.
-    """
+def paint_rows(cells: DataFrame, size: int, order=("priority", "tie"), share: int | None = None) -> DataFrame:
+    """Cells keyed for painting: (x, y, band, salt, off, p, t, v).  The sources of a tile that holds more than ``share``
+    rows are dealt over salts, as many as its measured rows need (default: four rows a pixel, SHARE_ROWS at least)."""
     p, t = order
     band = F.col("band") if "band" in cells.columns else F.lit(1)
     keyed = cells.where(F.col("v").isNotNull()).select(
         F.floor(F.col("gx") / size).cast("int").alias("x"), F.floor(F.col("gy") / size).cast("int").alias("y"),
-        band.cast("int").alias("band"), F.pmod(F.xxhash64(p, t), F.lit(salts)).alias("salt"),
+        band.cast("int").alias("band"),
         ((F.col("gy") % size) * size + F.col("gx") % size).cast("int").alias("off"),
         F.col(p).cast("long").alias("p"), F.col(t).cast("long").alias("t"), F.col("v").cast("double").alias("v"))
-    parts = (keyed.repartition("x", "y", "band", "salt")
+    share = max(SHARE_ROWS, 4 * size * size) if share is None else share
+    return salted(keyed, ["x", "y", "band"], ("p", "t"), share).select(
+        "x", "y", "band", F.col("_salt").cast("long").alias("salt"), "off", "p", "t", "v")
+
+
+def paint_blocks(cells: DataFrame, size: int, z: int, order=("priority", "tie"), share: int | None = None,
+                 nodata=-3.4028234663852886e38) -> DataFrame:
+    """Cells ``(gx, gy, <order...>, v)`` from overlapping sources -> painted f8 blocks at ``z``.
+
+    ``order`` names two integral columns (source priority and a tie-break); the value
+    breaks remaining ties.  A ``band`` column of the cells is kept apart.
+    """
+    parts = (paint_rows(cells, size, order, share).repartition("x", "y", "band", "salt")
                   .sortWithinPartitions("x", "y", "band", "salt", "off", "p", "t", "v")
                   .mapInArrow(lambda it: _paint_sorted(it, size, z), PAINT_SCHEMA))
     return (parts.repartition("x", "y", "band").sortWithinPartitions("x", "y", "band")

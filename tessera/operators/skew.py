@@ -1,22 +1,53 @@
-"""Joins on keys that may be hot (one source holding a large share of all pixels)."""
+"""Keys that may be hot (one source or tile holding a large share of all rows): measured, then split.
+
+How many salts a key gets comes from the data: rows are counted per key, and a key with more than
+``share`` rows is dealt over so many salts that none holds more than about ``share``.  Only such keys are listed, and
+``share`` is at least the HOT_KEYS-th part of all rows, so the list that joins the rows is bounded (HOT_KEYS rows) and
+may be broadcast; every other key keeps one salt and costs nothing.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+SHARE_ROWS = 1 << 20         # rows of one (key, salt) group aimed at
+HOT_KEYS = 20_000            # keys that can hold more than the HOT_KEYS-th part of all rows
+
+
+def hot_keys(rows: DataFrame, on: list[str], share: int = SHARE_ROWS) -> DataFrame:
+    """(keys, _salts): the keys that hold more than ``share`` rows, at most HOT_KEYS of them, and how many salts each needs.
+
+    One aggregate over the key columns alone, and one number for the driver (the count of all rows).
+    """
+    counts = rows.groupBy(*on).agg(F.count("*").alias("_rows"))
+    total = rows.select(F.lit(1)).count()
+    share = max(share, -(-total // HOT_KEYS))
+    return counts.where(F.col("_rows") > share).select(*on, F.ceil(F.col("_rows") / share).cast("int").alias("_salts"))
+
+
+def salted(rows: DataFrame, on: list[str], salt_from: tuple, share: int = SHARE_ROWS, hot: DataFrame | None = None) -> DataFrame:
+    """``rows`` with a ``_salt`` (0 for keys that are not hot), taken from a hash of the ``salt_from`` columns, so that
+    a repeated task gives a row the same salt."""
+    found = hot_keys(rows, on, share) if hot is None else hot
+    named = found.select(*[F.col(c).alias(f"_hot_{c}") for c in on], "_salts")
+    met = rows.join(F.broadcast(named), [rows[c].eqNullSafe(named[f"_hot_{c}"]) for c in on], "left")       # HOT_KEYS rows at most
+    return met.withColumn("_salt", F.coalesce(F.pmod(F.xxhash64(*salt_from), F.col("_salts")), F.lit(0)).cast("int")).drop(
+        "_salts", *[f"_hot_{c}" for c in on])
+
 
-def salted_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner", salts: int = 32,
-                salt_from: tuple[str, ...] = ("gx", "gy")) -> DataFrame:
+def salted_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
+                salt_from: tuple[str, ...] = ("gx", "gy"), share: int = SHARE_ROWS) -> DataFrame:
     """Join ``big`` (many rows per key, e.g. pixels per source) to ``small`` (about one row per
     key, e.g. per-source metadata or a work list).
 
-    ``big`` gets a deterministic salt from ``salt_from`` (stable across task retries), ``small``
-    is replicated once per salt, and the join runs on (key, salt): a hot key is spread over
-    ``salts`` partitions instead of landing in one task.  ``how`` is ``inner`` or ``left_semi``.
+    A key that is hot in ``big`` is dealt over as many salts as its rows need, and only its rows of ``small`` are
+    repeated, once per salt; the join runs on (key, salt).  ``how`` is ``inner`` or ``left_semi``.
     """
     if how not in ("inner", "left_semi"):
         raise ValueError(how)
-    b = big.withColumn("_salt", F.pmod(F.xxhash64(*salt_from), F.lit(salts)))
-    s = small.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("_salt"))
+    hot = hot_keys(big, on, share)
+    b = salted(big, on, salt_from, share, hot)
+    s = small.join(F.broadcast(hot), on, "left")
+    s = s.select(*[c for c in s.columns if c != "_salts"], F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)).alias("_salt"))
     return b.join(s, [*on, "_salt"], how).drop("_salt")

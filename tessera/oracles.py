@@ -442,6 +442,12 @@ from (select sid, ti, tj, p.band, p.v,
 where w > 0 group by all
 union all select 'log', 's3://b/source/' || source_id || '.zip', null, null, null, cast(source_id in (select sid from px) as bigint)
 from fp where source_id <> 2"""
+    q["block_failures"] = W(f"""select x, y, case when x in (1, 2) then null else s end vsum,
+          case x when 1 then '100 of {S * S * 8} bytes' when 2 then 'unknown dtype q9' end error
+        from (select gx // {S} x, gy // {S} y, cast(2 * sum(v) as bigint) s, count(v) n from dem group by 1, 2)
+        where x in (1, 2) or n > 0""", "dem")
+    q["listing_storage"] = W("""select distinct 's3://b/source/scene ' || priority || '+.zip' source, 's3://b/4326/scene ' || priority || '+.tif' target
+        from scenes where priority % 2 = 0""", "scenes")
     q["mosaic_blocks"] = q["mosaic_paint"]
     q["chunk_average_blocks"] = q["chunk_average"]
     g2 = gradient_sql("dem_dense", 2.0)
@@ -474,6 +480,7 @@ from fp where source_id <> 2"""
           select *, min(i) over () imin, max(i) over () imax from (
             select gx, gy, {naive_sql('a', 'b')} naive, {zfactor_sql('a', 'b')} zfactor, {light_sql('(a * 2)', '(b * 2)')} i
             from ({g2})))""", "dem_dense")
+    q["compare_shades_blocks"] = q["compare_shades"]
     q["shade_halo"] = W(f"select gx, gy, {zfactor_sql('a', 'b')} shade from ({g2})", "dem_dense")
     q["shade_spacing"] = W(f"select gx, gy, {zfactor_sql('a', 'b')} shade from ({gradient_sql('dem_dense', 2.0, dx=1.5)})", "dem_dense")
     half = gradient_sql("half", 4.0, dx=3.0)

@@ -238,11 +238,15 @@ def convert_missing_blocks(spark: SparkSession, listing: DataFrame, targets: Dat
     todo = missing_targets(listing, targets)
     meta = rasters.join(todo.select("source"), "source", "left_semi")
     grids = default_4326_grid(footprints(meta, src_crs)).join(meta.select("source", "source_id", "a", "c", "e", "f"), "source_id")
-    held = salted_join(blocks, grids.select("source", "a", "c", F.col("f"), (-F.col("e")).alias("neg_e"), "dst_x0", "dst_y0", "dst_res"),
+    held = salted_join(blocks.where(B.block_error().isNull()), grids.select("source", "a", "c", F.col("f"), (-F.col("e")).alias("neg_e"), "dst_x0", "dst_y0", "dst_res"),
                        ["source"], salt_from=("x", "y"))
     made = RP.warp_blocks_crs(held, RP.Grid(src_crs, "c", "f", "a", "neg_e"), RP.Grid("EPSG:4326", "dst_x0", "dst_y0", "dst_res", "dst_res"),
                               size, 0, method, dtype, nodata, key="source")
-    return write_converted_with_log(made, todo, out)
+    log = write_converted_with_log(made, todo, out)
+    # F8: what could not be read is told per source (an aggregate over the block columns, beside the outputs)
+    dead = (blocks.select("source", B.block_error().alias("error")).where(F.col("error").isNotNull())
+            .groupBy("source").agg(F.count("*").alias("failed_blocks"), F.min("error").alias("error")))
+    return log.join(dead, "source", "left").withColumn("failed_blocks", F.coalesce("failed_blocks", F.lit(0)))
 
 
 def write_converted_with_log(converted: DataFrame, sources: DataFrame, out: str) -> DataFrame:
@@ -308,6 +312,30 @@ def compare_shades(cells: DataFrame, h: float = 2.0, pixel: float = 1.0) -> Data
     return g.select("gx", "gy", "naive", "zfactor", TR.quantise(TR.stretch("i", imin, imax)).alias("light"))
 
 
+def compare_shades_blocks(spark: SparkSession, store: str, zoom: int, buffer: int = 2, h: float = 2.0, pixel: float = 1.0) -> DataFrame:
+    """Z9 from stored tiles: bands 1 naive, 2 z-factor, 3 light stretched over the whole raster."""
+    return H.compare_blocks(RD.read_tiles(spark, store, z=zoom), scratch_path(spark, "compare"), buffer, h, pixel)
+
+
+def raster_stats(spark: SparkSession, blocks: DataFrame, band: int = 1) -> DataFrame:
+    """(x, y, n, vmin, vmax, mean, m2) per tile and, with null x and y, of the whole raster: one row of
+    moments per block, merged; no pixel becomes a row."""
+    held = scratch_path(spark, "moments")
+    B.block_moments(blocks.where(F.col("band") == band)).write.parquet(held)
+    each = spark.read.parquet(held)
+    whole = B.merge_moments(each).select(F.lit(None).cast("int").alias("x"), F.lit(None).cast("int").alias("y"), "n", "vmin", "vmax", "mean", "m2")
+    return B.merge_moments(each, ("x", "y")).unionByName(whole)
+
+
+def missing_from_storage(spark: SparkSession, listing: DataFrame, out: str) -> DataFrame:
+    """S7 + J1: archives of ``listing`` whose output is not among the files below ``out`` (one folder per target, K2).
+
+    The folder is listed by Spark, file contents unread; an output counts if one of its files holds a byte.
+    """
+    done = RD.list_objects(spark, out, "*.parquet").where(F.col("length") > 0).select(RD.partition_value("path", "target").alias("path")).distinct()
+    return missing_targets(listing, done)
+
+
 def serve_view(blocks: DataFrame, requested: DataFrame, size: int, dtype: str = "f4") -> DataFrame:
     """The tile-service view: requested tiles, stored ones or zero blocks (ZeroBlock codes)."""
     return RD.read_tms(blocks, requested, size, dtype)

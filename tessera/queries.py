@@ -226,6 +226,16 @@ def conversion_log(spark, d):
     return SK.conversion_log(j.withColumn("ok", F.col("n_cells") > 0)).select("source", "output", "ok", "n_cells")
 
 
+def listing_storage(spark, d):
+    """S7 -> J1: scenes of odd priority are converted and written (K2); what the folder then holds is listed, and
+    the archives without an output there are the rest of the work."""
+    sc = FX.scenes(spark, d).withColumn("source", F.format_string("s3://b/source/scene %d+.zip", F.col("priority")))
+    out = scratch_path(spark, "converted-list")
+    made = J.convert(sc.where(F.col("priority") % 2 == 1), 2, "average").withColumn("target", uris.target_name("source")).drop("source")
+    SK.write_converted(made, out, key="target")
+    return J.missing_from_storage(spark, sc.select(F.col("source").alias("path")).distinct(), out)
+
+
 def reproject_worklist(spark, d):
     """A work list of sources (text, one per line) -> 2x average per source -> K2 -> read back."""
     sc = FX.scenes(spark, d).withColumn("source", F.format_string("s3://b/source/scene-%d.tif", F.col("priority")))
@@ -246,15 +256,23 @@ def dem_blocks_valid(spark, d):
 
 
 def dem_stats(spark, d):
-    """Min, max, mean, stddev of valid pixels per tile and for the whole raster,
-    in one aggregate (grouping sets (x, y) and ())."""
-    cells = B.unpack_blocks(_dem_blocks(spark, d).where(F.col("band") == 1))
-    cells = cells.select(F.floor(F.col("gx") / S).cast("bigint").alias("x"),
-                         F.floor(F.col("gy") / S).cast("bigint").alias("y"),
-                         F.nullif(F.col("v"), F.lit(FX.NODATA)).alias("v"))
-    return cells.groupingSets([["x", "y"], []], "x", "y").agg(
-        F.count("v").alias("n"), F.min("v").alias("vmin"), F.max("v").alias("vmax"),
-        F.round(F.avg("v"), 4).alias("vmean"), F.round(F.stddev_pop("v"), 2).alias("vstd"))
+    """Min, max, mean, stddev of valid pixels per tile and for the whole raster, from one row of
+    moments per block."""
+    st = J.raster_stats(spark, _dem_blocks(spark, d))
+    return st.select(_i("x").alias("x"), _i("y").alias("y"), "n", "vmin", "vmax", F.round("mean", 4).alias("vmean"),
+                     F.round(F.sqrt(F.col("m2") / F.col("n")), 2).alias("vstd"))
+
+
+def block_failures(spark, d):
+    """F8: the dem with truncated blocks (x = 1) and blocks of an unknown dtype (x = 2): both are logged with their
+    reason, the others come through."""
+    blk = _dem_blocks(spark, d)
+    hurt = blk.withColumn("data", F.when(F.col("x") == 1, F.substring("data", 1, 100)).otherwise(F.col("data"))).withColumn(
+        "dtype", F.when(F.col("x") == 2, "q9").otherwise(F.col("dtype")))
+    good, dead = B.split_failures(B.try_blocks(hurt, lambda v: v * 2), scratch_path(spark, "tried"))
+    st = B.block_stats(good.where(F.col("valid_count") > 0))
+    return st.select(_i("x").alias("x"), _i("y").alias("y"), _i("vsum").alias("vsum"), F.lit(None).cast("string").alias("error")).unionByName(
+        dead.select(_i("x").alias("x"), _i("y").alias("y"), F.lit(None).cast("bigint").alias("vsum"), "error"))
 
 
 def reblock(spark, d):
@@ -652,6 +670,13 @@ def compare_shades(spark, d):
     return c.select("gx", "gy", *[_i(k).alias(k) for k in ("naive", "zfactor", "light")])
 
 
+def compare_shades_blocks(spark, d):
+    """Z9/W2 in block form: the three shades of every tile, light stretched over the whole raster (same oracle)."""
+    c = B.unpack_blocks(J.compare_shades_blocks(spark, _dense_store(spark, d), FX.DEM_ZOOM))
+    return c.groupBy("gx", "gy").agg(*[_i(F.max(F.when(F.col("band") == b, F.col("v")))).alias(k)
+                                       for b, k in ((1, "naive"), (2, "zfactor"), (3, "light"))])
+
+
 def shade_halo(spark, d):
     """J5/W3/K3/Z6 in block form: strips to neighbours, z-factor shade per buffered tile, crop."""
     sh = J.shade_tiles(spark, _dense_store(spark, d), FX.DEM_ZOOM, scratch_path(spark, "shade"), "zfactor",
@@ -717,4 +742,5 @@ QUERIES = {f.__name__: f for f in (
     compare_shades, shade_halo, hillshade_light_blocks, hillshade_naive_blocks, tile_partitions,
     reproject_average_4326, chunk_reproject, convert_missing, shade_spacing, shade_rgba_blocks,
     shade_window, tiles_upsert, pyramid_list, chunk_mosaic, convert_missing_blocks,
+    block_failures, compare_shades_blocks, listing_storage,
 )}

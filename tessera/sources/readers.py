@@ -78,6 +78,13 @@ def list_objects(spark: SparkSession, prefix: str, glob: str | None = None) -> D
     return r.load(prefix).select("path", "length", "modificationTime")
 
 
+def partition_value(path: str, column: str) -> F.Column:
+    """The value of a partition column in a file's path, unescaped; NULL if the path has none."""
+    raw = F.regexp_extract(F.col(path), f"/{column}=([^/]+)/", 1)
+    # a folder escapes what a path cannot hold as %XX, and a plus sign is itself
+    return F.when(raw != "", F.url_decode(F.replace(raw, F.lit("+"), F.lit("%2B"))))
+
+
 def read_work_list(spark: SparkSession, path: str) -> DataFrame:
     """One source URI per line."""
     return (spark.read.text(path).select(F.trim(F.col("value")).alias("source"))

@@ -238,7 +238,7 @@ def test_block_paint_equals_cell_paint_on_a_hot_tile(spark):
                 if rng.random() < 0.7:
                     rows.append((gx, gy, prio, tie, int(rng.integers(0, 50))))
     cells = spark.createDataFrame(rows, "gx long, gy long, priority int, tie long, v long")
-    got = B.unpack_blocks(MO.paint_blocks(cells, 8, 5, salts=4)).select("gx", "gy", F.col("v").cast("long").alias("v"))
+    got = B.unpack_blocks(MO.paint_blocks(cells, 8, 5, share=50)).select("gx", "gy", F.col("v").cast("long").alias("v"))
     exp = C.mosaic_paint(cells)
     assert sorted(got.collect()) == sorted(exp.collect())
 

@@ -68,22 +68,22 @@ def test_quadkey_stays_in_the_jvm(spark):
 
 
 def test_salted_join_spreads_a_hot_key(spark):
-    from tessera.operators.skew import salted_join
+    from tessera.operators.skew import salted, salted_join
     big = spark.range(20000).select(F.lit("hot").alias("source"), (F.col("id") % 200).alias("gx"),
                                     (F.col("id") / 200).cast("long").alias("gy"))
     small = spark.createDataFrame([("hot", 1.5), ("cold", 2.5)], "source string, a double")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        j = salted_join(big, small, ["source"], salts=16)
+        j = salted_join(big, small, ["source"], share=1250)
         plan = _plan(j)
         assert any("Join [" in ln and "_salt" in ln for ln in plan.splitlines())   # joined on the salt too
         assert j.count() == 20000 and set(j.columns) == {"source", "gx", "gy", "a"}
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    # the hot key's rows fall on every salt value, i.e. on 16 join keys instead of one
-    salts = big.select(F.pmod(F.xxhash64("gx", "gy"), F.lit(16)).alias("s")).distinct().count()
-    assert salts == 16
-    semi = salted_join(big, small.where("source = 'hot'"), ["source"], how="left_semi", salts=16)
+    # the hot key's rows fall on as many salts as its count needs, i.e. on 16 join keys instead of one
+    per = salted(big, ["source"], ("gx", "gy"), share=1250).groupBy("_salt").count().collect()
+    assert len(per) == 16 and max(r["count"] for r in per) < 2 * 1250
+    semi = salted_join(big, small.where("source = 'hot'"), ["source"], how="left_semi", share=1250)
     assert semi.count() == 20000
 
 
