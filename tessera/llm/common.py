@@ -133,7 +133,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 _PRIME = (1 << 31) - 1
 _BASES = (1_380_623_951, 715_225_739)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-_BYTES = [mix64(np.arange(256, dtype=np.uint64) + np.uint64(k + 1) * _ODD) % np.uint64(_PRIME) for k in range(2)]
+_BYTES = [mix64(np.arange(256, dtype=np.uint64) + np.uint64((k + 1) * 0x9E3779B97F4A7C15 % (1 << 64))) % np.uint64(_PRIME) for k in range(2)]
 
 
 @remembered(8)

@@ -76,7 +76,7 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
     how = np.zeros(rows.shape, np.uint8)                                   # the escape takes any id
     for s in range(14, 0, -1):                                             # from wide to narrow: the later fit holds more
         fits = _windows(rows < np.uint64(1 << int(_BITS[s])), int(_COUNT[s]))
-        if not fits.any():
+        if not fits[:, :BLOCK - int(_COUNT[s])].any():                      # so no narrower one fits before a block's last ids
             break
         np.copyto(how, s, where=fits)
     how = how.ravel()[:m]
@@ -85,14 +85,14 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
     same[:, :-1] = rows[:, 1:] == rows[:, :-1]
     if _windows(same, 2).any():
         at = np.arange(m)
-        change = np.append(np.flatnonzero(ids[1:] != ids[:-1]) + 1, m)
         left = np.minimum((at // BLOCK + 1) * BLOCK, m) - at               # ids up to the end of the block
-        run = np.minimum(change[np.searchsorted(change, at, side="right")] - at, left)
+        change = np.where(np.append(ids[1:] != ids[:-1], True), at + 1, m)
+        run = np.minimum(np.minimum.accumulate(change[::-1])[::-1] - at, left)
         how[(run > np.minimum(_COUNT[how], left)) & (ids >> np.uint64(32) == 0)] = 15
 
-    pos, ends, starts = first.copy(), np.minimum(first + BLOCK, m), []
+    pos, ends, begins = first.copy(), np.minimum(first + BLOCK, m), np.zeros(m, bool)
     while len(pos):                                                        # one word of every block at a time
-        starts.append(pos)
+        begins[pos] = True
         sel = how[pos]
         step = _COUNT[sel]
         if run is not None:
@@ -101,7 +101,7 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
         on = pos < ends
         if not on.all():
             pos, ends = pos[on], ends[on]
-    start = np.sort(np.concatenate(starts))
+    start = np.flatnonzero(begins)
     block = start // BLOCK
     sel = how[start]
     words = sel.astype(np.uint64) << np.uint64(60)
@@ -259,8 +259,9 @@ def read_file(folder: str, name: str) -> Iterator[tuple[int | None, int, np.ndar
 # a piece starts with any character and goes on up to a space that follows something other than white space
 _PIECE = re.compile(r"[\s\S](?:[^ ]+|(?<=\s) )*")
 _WIDE = re.compile("[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000] ")
-# one pre-token of letters, and perhaps one of a stop
-_WORD = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,]?)")
+# characters on whose classes all Unicode versions agree, so that pre-tokens can be cut here
+_PLAIN = re.compile("[\t\n\r -~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*")
+SPECIAL = "<|"               # begins every special token of the vocabulary
 
 
 def pieces_of(text: str) -> list[str]:
@@ -284,12 +285,15 @@ def piece_encoder(path: str, special_as_text: bool):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"                         # one thread a task
     from array import array
 
+    import public_tokenizers
+    import regex
     from tokenizers import Tokenizer
 
+    cut_tokens = regex.compile(public_tokenizers.PATTERN).findall
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = special_as_text
     symbols, merge = byte_symbols(), tokenizer.model.tokenize
-    stops = {"": [], **{c: [t.id for t in merge(c)] for c in ".,"}}
+    merged: dict[str, bytes] = {}                                          # ids of a pre-token
     young: dict[str, bytes] = {}                                           # ids of a space and the piece
     old: dict[str, bytes] = {}
 
@@ -297,15 +301,23 @@ def piece_encoder(path: str, special_as_text: bool):
         return [array("I", e.ids).tobytes() for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
     def after_space(pieces: list[str]) -> dict[str, bytes]:
-        """Ids of each piece with a space before it; plain words go straight to the model."""
+        """Ids of each piece with a space before it; pre-tokens of plain characters go straight to the model."""
         found, others = {}, []
         for p in pieces:
-            word = _WORD.fullmatch(p)
-            if word is None:
+            if _PLAIN.fullmatch(p) is None or SPECIAL in p:
                 others.append(p)
                 continue
-            token = (" " + word[1]).encode().decode("latin-1").translate(symbols)
-            found[p] = array("I", [t.id for t in merge(token)] + stops[word[2]]).tobytes()
+            ids = []
+            for token in cut_tokens(" " + p):
+                got = merged.get(token)
+                if got is None:
+                    got = array("I", [t.id for t in merge(token.encode().decode("latin-1").translate(symbols))]).tobytes()
+                    if len(token) <= 64:
+                        merged[token] = got
+                ids.append(got)
+            found[p] = b"".join(ids)
+        if len(merged) > CACHE:
+            merged.clear()
         for lo in range(0, len(others), 4096):
             part = others[lo:lo + 4096]
             found.update(zip(part, whole([" " + p for p in part])))
