@@ -502,69 +502,80 @@ def _strips_sorted(batches, width: int, dtype: str, nodata):
         yield from emit(*carry)
 
 
+SEGMENT_SCHEMA = T.StructType([
+    T.StructField("x", T.IntegerType()), T.StructField("y", T.IntegerType()), T.StructField("band", T.IntegerType()),
+    T.StructField("r", T.IntegerType()), T.StructField("dtype", T.StringType()),
+    T.StructField("nodata", T.DoubleType()), T.StructField("seg", T.BinaryType())])
+_SEGMENT_ARROW = pa.schema([("x", pa.int32()), ("y", pa.int32()), ("band", pa.int32()), ("r", pa.int32()), ("dtype", pa.string()),
+                            ("nodata", pa.float64()), ("seg", pa.binary())])
+
+
+def _segments(batches, size: int):
+    """Strips -> their segments, as the bytes they are stored in (the last one may be short)."""
+    for rb in batches:
+        parts = []
+        for i, (row, width, dtype, nodata, band) in enumerate(zip(*[rb.column(c).to_pylist() for c in ("row", "width", "dtype", "nodata", "band")])):
+            n, step = -(-width // size), size * int(dtype[1])
+            raw = memoryview(rb.column("data")[i].as_buffer())
+            parts.append(pa.RecordBatch.from_arrays([
+                pa.array(np.arange(n), pa.int32()), pa.array(np.full(n, row // size), pa.int32()), pa.array(np.full(n, band), pa.int32()),
+                pa.array(np.full(n, row % size), pa.int32()), pa.array([dtype] * n, pa.string()), pa.array([nodata] * n, pa.float64()),
+                pa.array([bytes(raw[k:k + step]) for k in range(0, width * int(dtype[1]), step)], pa.binary())], schema=_SEGMENT_ARROW))
+        if parts:
+            yield from pa.Table.from_batches(parts).combine_chunks().to_batches()
+
+
+def _square(key: tuple, parts: list[tuple], z: int, size: int) -> dict | None:
+    """Segments (r, dtype, nodata, bytes) of one square -> its block, in their own dtype and nodata; strips that differ
+    in them are brought to a dtype and nodata that hold all."""
+    layouts = {p[1:3] for p in parts}
+    if len(layouts) == 1:
+        dtype, nodata = parts[0][1:3]
+        arr = np.full((size, size), 0 if nodata is None else nodata, dtype="<" + dtype)
+        for r, _, _, seg in parts:
+            arr[r, :len(seg) // int(dtype[1])] = np.frombuffer(seg, "<" + dtype)
+        valid = int(valid_mask(arr, nodata).sum())
+    else:
+        vals = np.full((size, size), np.nan)
+        for r, dt, nd, seg in parts:
+            row = to_float(np.frombuffer(seg, "<" + dt), nd)
+            vals[r, :len(row)] = row
+        dtype, nodatas = joint_layout([(d, (n,)) for d, n in sorted(layouts, key=str)])
+        dtype, nodata = fit_layout(vals, dtype, nodatas)
+        arr, valid = from_float(vals, dtype, nodata)
+    return block_record(z, key[0], key[1], key[2], size, dtype, nodata, arr, valid) if valid else None
+
+
 def reblock_strips(strips: DataFrame, size: int, z: int, band: int = 1) -> DataFrame:
     """Strip blocks -> square ``size`` blocks with one shuffle on the new block key.
 
-    Each strip is cut into row segments addressed to their square block; a
-    group then holds ``size`` segments of ``size`` pixels.
+    Each strip is cut into row segments addressed to their square block, as stored bytes; a
+    group then holds ``size`` segments of ``size`` pixels.  A ``band`` column of the strips is kept
+    (``band`` names it where they have none), dtype and nodata too.
     """
-    seg_schema = T.StructType([
-        T.StructField("x", T.IntegerType()), T.StructField("y", T.IntegerType()),
-        T.StructField("r", T.IntegerType()), T.StructField("dtype", T.StringType()),
-        T.StructField("nodata", T.DoubleType()), T.StructField("seg", T.BinaryType())])
-
-    def _cut(batches):
-        for rb in batches:
-            c = rb.to_pydict()
-            out = {f.name: [] for f in seg_schema.fields}
-            for i in range(rb.num_rows):
-                dtype, width = c["dtype"][i], c["width"][i]
-                arr = np.frombuffer(c["data"][i], dtype="<" + dtype)
-                for x0 in range(0, width, size):
-                    seg = np.full(size, np.nan)
-                    part = to_float(arr[x0:x0 + size], c["nodata"][i])
-                    seg[:len(part)] = part
-                    out["x"].append(x0 // size)
-                    out["y"].append(c["row"][i] // size)
-                    out["r"].append(c["row"][i] % size)
-                    out["dtype"].append(dtype)
-                    out["nodata"].append(c["nodata"][i])
-                    out["seg"].append(seg.tobytes())
-            yield pa.RecordBatch.from_pydict(out, schema=pa.schema(
-                [(f.name, pa_type(f.dataType)) for f in seg_schema.fields]))
+    own = strips if "band" in strips.columns else strips.withColumn("band", F.lit(band))
 
     def _squares(batches):
-        """Segments sorted by (x, y, r) -> one square block per (x, y) run."""
-        cur, parts, meta = None, [], None
-
-        def build():
-            buf = np.full((size, size), np.nan)
-            for r, seg in parts:
-                buf[r] = np.frombuffer(seg, dtype="<f8")
-            arr, valid = from_float(buf, meta[0], meta[1])
-            return block_record(z, cur[0], cur[1], band, size, meta[0], meta[1], arr, valid) if valid else None
-
+        """Segments sorted by (x, y, band, r) -> one square block per run."""
+        cur, parts = None, []
         for rb in batches:
-            c = rb.to_pydict()
             done = []
-            for i in range(rb.num_rows):
-                key = (c["x"][i], c["y"][i])
-                if key != cur:
+            for *key, r, dtype, nodata, seg in zip(*[rb.column(c).to_pylist() for c in ("x", "y", "band", "r", "dtype", "nodata", "seg")]):
+                if tuple(key) != cur:
                     if cur is not None:
-                        done.append(build())
-                    cur, parts, meta = key, [], (c["dtype"][i], c["nodata"][i])
-                parts.append((c["r"][i], c["seg"][i]))
+                        done.append(_square(cur, parts, z, size))
+                    cur, parts = tuple(key), []
+                parts.append((r, dtype, nodata, seg))
             done = [d for d in done if d is not None]
             if done:
                 yield from records_to_table(done).to_batches()
-        if cur is not None:
-            last = build()
-            if last is not None:
-                yield from records_to_table([last]).to_batches()
-
-    return (strips.mapInArrow(_cut, seg_schema)
-                  .repartition("x", "y").sortWithinPartitions("x", "y", "r")
-                  .mapInArrow(_squares, BLOCK_SCHEMA))
+        last = _square(cur, parts, z, size) if cur is not None else None
+        if last is not None:
+            yield from records_to_table([last]).to_batches()
+
+    return (own.select("row", "width", "dtype", "nodata", "band", "data").mapInArrow(lambda it: _segments(it, size), SEGMENT_SCHEMA)
+               .repartition("x", "y", "band").sortWithinPartitions("x", "y", "band", "r")
+               .mapInArrow(_squares, BLOCK_SCHEMA))
 
 
 # ------------------------------------------------------------------ generic kernels

@@ -377,6 +377,7 @@ select t.z, t.x, t.y, fp.source_id""", 1)
         cast(floor(((gx + 5e-1) * {L(360.0 / 2048)}) / 5e-1) as bigint) gx, cast(floor(({L(85.25)} - {lat}) / 2.5e-1) as bigint) gy,
         round(avg(cast(v as double)), 4) v from dem where v is not null
         group by gx // {S}, 2, 3""", "dem")
+    q["reproject_average_blocks"] = q["reproject_average_4326"]
     # pixel centres that fall in the target pixel, else the source pixel under the target's centre
     tp = L(grid.WORLD / 1024)
     per = []
@@ -446,6 +447,19 @@ from fp where source_id <> 2"""
           case x when 1 then '100 of {S * S * 8} bytes' when 2 then 'unknown dtype q9' end error
         from (select gx // {S} x, gy // {S} y, cast(2 * sum(v) as bigint) s, count(v) n from dem group by 1, 2)
         where x in (1, 2) or n > 0""", "dem")
+    q["source_blocks_read"] = W(f"""select 1::bigint source_id, x, y, n valid_count, s vsum from (
+          select gx // {S} x, gy // {S} y, count(v) n, cast(sum(v) as bigint) s from dem group by 1, 2 having count(v) > 0)
+        where {L(-179.97)} + x * {L(S * 0.125)} < -172 and {L(-179.97)} + (x + 1) * {L(S * 0.125)} > -176
+          and {L(85.0)} - (y + 1) * {L(S * 0.0625)} < 84.5 and {L(85.0)} - y * {L(S * 0.0625)} > 80""", "dem")
+    q["block_map"] = W(f"""select gx // {S} x, gy // {S} y, count(v) n, cast(sum(floor(v / 1e2)) as bigint) vsum
+        from dem where v is not null group by 1, 2""", "dem")
+    odd = "(id % 2 = 1)"
+    q["tiles_antimeridian"] = W(f"""select distinct id, 7::bigint z, x, unnest(range(y0, y1 + 1)) y from (
+          select id, unnest(range(x0, x1 + 1)) x, y0, y1 from (
+            select id, {tx('w', 7)} x0, {tx('e', 7)} x1, {ty('north', 7)} y0, {ty('south', 7)} y1 from (
+              select id, west w, east e, south, north from boxes where not {odd}
+              union all select id, cast(177 + id % 3 as double), 180.0, south, north from boxes where {odd}
+              union all select id, -180.0, cast(-179 + id % 4 as double), south, north from boxes where {odd})))""", "boxes")
     q["listing_storage"] = W("""select distinct 's3://b/source/scene ' || priority || '+.zip' source, 's3://b/4326/scene ' || priority || '+.tif' target
         from scenes where priority % 2 = 0""", "scenes")
     q["mosaic_blocks"] = q["mosaic_paint"]

@@ -279,6 +279,15 @@ def reproject_average(spark: SparkSession, worklist: str, cells: DataFrame, src:
     return write_converted_with_log(RP.warp_crs(px, src, dst, "average", extra_keys=("source",)), wl, out)
 
 
+def reproject_average_blocks(spark: SparkSession, worklist: str, blocks: DataFrame, src: RP.Grid, dst: RP.Grid, out: str,
+                             size: int = 512, dtype: str = "f4", nodata=-3.4028234663852886e38) -> DataFrame:
+    """Z4 from blocks (block columns and ``source``): the sources of a text work list averaged onto ``dst``, as
+    blocks of ``size`` pixels per target, logged.  Only partial sums per target tile are shuffled."""
+    wl = RD.read_work_list(spark, worklist).distinct()
+    held = salted_join(blocks.where(B.block_error().isNull()), wl, ["source"], how="left_semi", salt_from=("x", "y"))
+    return write_converted_with_log(RP.warp_blocks_crs(held, src, dst, size, 0, "average", dtype, nodata, key="source"), wl, out)
+
+
 # --------------------------------------------------------------------- Z6-Z9 terrain
 def shade_tiles(spark: SparkSession, store: str, zoom: int, out: str, method: str = "zfactor",
                 buffer: int = 2, h=2.0) -> DataFrame:

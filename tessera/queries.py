@@ -8,6 +8,7 @@ typed (BIGINT / DOUBLE / STRING / BOOLEAN) to match the DuckDB oracles in
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -282,6 +283,33 @@ def reblock(spark, d):
     return c.select(_i("gx").alias("gx"), _i("gy").alias("gy"), _i("v").alias("v"))
 
 
+def source_blocks_read(spark, d):
+    """Two sources stored as a source-block table; the blocks of the first that meet a box, read back through the
+    table's folders and block boxes."""
+    path = scratch_path(spark, "source-blocks")
+    SK.write_source_blocks(_chunk_sources(spark, d), path)
+    back = RD.read_source_blocks(spark, path, sources=[1], box=(-176.0, 80.0, -172.0, 84.5))
+    st = B.block_stats(back, keep=("source_id",))
+    return st.select("source_id", _i("x").alias("x"), _i("y").alias("y"), _i("valid_count").alias("valid_count"), _i("vsum").alias("vsum"))
+
+
+def block_map(spark, d):
+    """A kernel of the user's over every block (whole currency units), its result by tile."""
+    units = B.map_blocks(_dem_blocks(spark, d).where(F.col("valid_count") > 0), lambda v: np.floor(v / 100), out_dtype="i4", out_nodata=-1.0)
+    st = B.block_stats(units)
+    return st.select(_i("x").alias("x"), _i("y").alias("y"), _i("valid_count").alias("n"), _i("vsum").alias("vsum"))
+
+
+def tiles_antimeridian(spark, d):
+    """Tiles of boxes of which every other one crosses 180 degrees."""
+    b = FX.boxes(spark, d)
+    odd = F.col("id") % 2 == 1
+    b = b.select("id", F.when(odd, F.lit(177.0) + F.col("id") % 3).otherwise(F.col("west")).alias("west"), "south",
+                 F.when(odd, F.lit(-179.0) + F.col("id") % 4).otherwise(F.col("east")).alias("east"), "north")
+    t = J.cover_tiles(b, 7, key="id", west="west", south="south", east="east", north="north")
+    return t.select("id", _i("z").alias("z"), _i("x").alias("x"), _i("y").alias("y"))
+
+
 def overview_sizes(spark, d):
     dm = FX.dem(spark, d).agg((F.max("gx") + 1).alias("w"), (F.max("gy") + 1).alias("h"))
     lv = dm.select("w", "h", F.explode(F.sequence(F.lit(0), F.ceil(F.log2(F.greatest("w", "h"))).cast("int"))).alias("k"))
@@ -529,6 +557,16 @@ def reproject_average_4326(spark, d):
     return spark.read.parquet(out).select("target", _i("gx").alias("gx"), _i("gy").alias("gy"), F.round("v", 4).alias("v"))
 
 
+def reproject_average_blocks(spark, d):
+    """Z4 in block form: every column of dem blocks is a source of the work list (same oracle)."""
+    blk = _dem_blocks(spark, d).withColumn("source", F.format_string("s3://b/source/dem-%d.tif", "x"))
+    wl, out = scratch_path(spark, "worklist"), scratch_path(spark, "converted")
+    blk.select(F.col("source").alias("value")).distinct().write.text(wl)
+    J.reproject_average_blocks(spark, wl, blk, DEM_3857, RP.Grid("EPSG:4326", -180.0, 85.25, 0.5, 0.25), out, S, dtype="f8")
+    c = B.unpack_blocks(spark.read.parquet(out), keep=("target",))
+    return c.select("target", _i("gx").alias("gx"), _i("gy").alias("gy"), F.round("v", 4).alias("v"))
+
+
 def _chunk_sources(spark, d):
     base = FX.dem(spark, d)
     blocks = None
@@ -742,5 +780,6 @@ QUERIES = {f.__name__: f for f in (
     compare_shades, shade_halo, hillshade_light_blocks, hillshade_naive_blocks, tile_partitions,
     reproject_average_4326, chunk_reproject, convert_missing, shade_spacing, shade_rgba_blocks,
     shade_window, tiles_upsert, pyramid_list, chunk_mosaic, convert_missing_blocks,
-    block_failures, compare_shades_blocks, listing_storage,
+    block_failures, compare_shades_blocks, listing_storage, source_blocks_read, block_map, tiles_antimeridian,
+    reproject_average_blocks,
 )}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,21 +57,53 @@ def read_tile(spark: SparkSession, store: str, z: int, x: int, y: int) -> DataFr
 
 
 def read_tms(blocks: DataFrame, requested: DataFrame, size: int, dtype: str = "f4") -> DataFrame:
-    """Requested tiles left-joined with stored ones; a missing tile reads as a zero block."""
-    import numpy as np
-    zero = B.encode(np.zeros((size, size)), dtype)
-    keys = requested.select("z", "x", "y")
+    """Requested tiles left-joined with stored ones; a missing tile reads as a zero block, one for each band
+    that the blocks have (band 1 if they have none).
+
+    The zeros are made row by row where they are needed: the plan carries their number, not the bytes.
+    """
+    bands = sorted(r[0] for r in blocks.select("band").distinct().collect()) or [1]        # a raster's bands: a handful
+    keys = requested.select("z", "x", "y", F.explode(F.array(*[F.lit(b) for b in bands])).alias("band"))
     # late materialisation: only stored tiles that were requested carry pixels into the outer join
-    hit = blocks.join(keys, ["z", "x", "y"], "left_semi")
-    j = keys.join(hit, ["z", "x", "y"], "left")
+    hit = blocks.join(requested.select("z", "x", "y").distinct(), ["z", "x", "y"], "left_semi")
+    j = keys.join(hit, ["z", "x", "y", "band"], "left")
+    # a length that depends on the row: a constant would be folded into a literal of that many bytes
+    zeros = F.repeat(F.lit("\0"), (F.lit(size * size * int(dtype[1])) + F.col("z") * 0).cast("int")).cast("binary")
     return j.select(
-        "z", "x", "y", F.coalesce("band", F.lit(1)).alias("band"), F.lit(size).alias("size"),
+        "z", "x", "y", "band", F.lit(size).alias("size"),
         F.coalesce("dtype", F.lit(dtype)).alias("dtype"), "nodata",
         F.coalesce("valid_count", F.lit(size * size)).alias("valid_count"),
-        F.coalesce("data", F.lit(zero)).alias("data"), F.col("weight"),
+        F.coalesce("data", zeros).alias("data"), F.col("weight"),
         F.col("data").isNotNull().alias("stored"))
 
 
+SOURCE_FIELDS = T.StructType([
+    *B.BLOCK_FIELDS, T.StructField("source_id", T.LongType()), T.StructField("priority", T.LongType()),
+    *[T.StructField(c, T.DoubleType()) for c in ("x0", "y0", "dx", "dy", "west", "south", "east", "north")],
+    T.StructField("bucket", T.IntegerType())])
+SOURCE_BUCKETS = 64          # folders of a source-block table: a source's blocks lie in one of them
+
+
+def source_bucket(source_id: str = "source_id") -> F.Column:
+    return F.pmod(F.xxhash64(F.col(source_id).cast("long")), F.lit(SOURCE_BUCKETS)).cast("int")
+
+
+def read_source_blocks(spark: SparkSession, path: str, sources: list[int] | None = None, box: tuple | None = None) -> DataFrame:
+    """Blocks of a stored source table (K1's counterpart for sources), every band, with the grid of their source.
+
+    ``sources`` opens only the folders of these sources, ``box`` (west, south, east, north in the sources' CRS) only row
+    groups that can hold a block which meets it: both are filters on stored columns, so the scan prunes them.
+    """
+    df = spark.read.schema(SOURCE_FIELDS).parquet(path).where(F.col("valid_count") > 0)
+    if sources is not None:
+        held = spark.createDataFrame([(int(s),) for s in sources], "source_id long").select(source_bucket()).distinct().collect()
+        df = df.where(F.col("bucket").isin([r[0] for r in held]) & F.col("source_id").isin([int(s) for s in sources]))
+    if box is not None:
+        west, south, east, north = (float(v) for v in box)
+        df = df.where((F.col("west") < east) & (F.col("east") > west) & (F.col("south") < north) & (F.col("north") > south))
+    return df.drop("bucket")
+
+
 def list_objects(spark: SparkSession, prefix: str, glob: str | None = None) -> DataFrame:
     """Distributed listing (path, length, modificationTime), file contents not read."""
     r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
@@ -155,9 +189,22 @@ def read_window(spark: SparkSession, store: str, z: int, row0: int, row1: int, c
     s = size[0]
     blocks = read_tiles(spark, store, z=z).where(
         F.col("x").between(col0 // s, (col1 - 1) // s) & F.col("y").between(row0 // s, (row1 - 1) // s))
-    cells = B.unpack_blocks(blocks)
-    half = scale // 2
-    return (cells.where(F.col("gy").between(row0, row1 - 1) & F.col("gx").between(col0, col1 - 1)
-                        & ((F.col("gy") - row0) % scale == half) & ((F.col("gx") - col0) % scale == half))
-                 .select(F.floor((F.col("gy") - row0) / scale).cast("long").alias("orow"),
-                         F.floor((F.col("gx") - col0) / scale).cast("long").alias("ocol"), "v"))
+    return blocks.select("x", "y", "size", "dtype", "nodata", "data").mapInArrow(
+        lambda it: _window_pixels(it, row0, row1, col0, col1, scale), "orow long, ocol long, v double")
+
+
+def _window_pixels(batches, row0: int, row1: int, col0: int, col1: int, scale: int):
+    """Each block sliced to the window before anything becomes a row."""
+    def inside(lo, hi, first):
+        at = np.arange(max(lo, first), hi)
+        return at[(at - first) % scale == scale // 2]
+
+    for rb in batches:
+        for r in rb.to_pylist():
+            size = r["size"]
+            rows = inside(r["y"] * size, min((r["y"] + 1) * size, row1), row0)
+            cols = inside(r["x"] * size, min((r["x"] + 1) * size, col1), col0)
+            part = B.decode(r["data"], r["dtype"], size)[np.ix_(rows - r["y"] * size, cols - r["x"] * size)]
+            i, j = np.nonzero(B.valid_mask(part, r["nodata"]))
+            yield pa.RecordBatch.from_arrays([pa.array((rows[i] - row0) // scale, pa.int64()), pa.array((cols[j] - col0) // scale, pa.int64()),
+                                              pa.array(part[i, j].astype(np.float64))], names=["orow", "ocol", "v"])

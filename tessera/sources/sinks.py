@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import uris
+from ..operators import blocks as B
 from ..operators.pyramid import write_level_store
+from .readers import source_bucket
 
 
 def write_tiles(blocks: DataFrame, out: str) -> None:
@@ -14,6 +16,21 @@ def write_tiles(blocks: DataFrame, out: str) -> None:
     write_level_store(blocks, out)
 
 
+def write_source_blocks(blocks: DataFrame, out: str) -> None:
+    """Source blocks (block columns, source_id, priority and their grid x0, y0, dx, dy) as the table that
+    :func:`readers.read_source_blocks` reads: each with its box, in folders by source, ordered by place so that row
+    groups cover small boxes.  Sources written again replace the folders they lie in."""
+    size = F.col("size").cast("double")
+    west, north = F.col("x0") + F.col("x") * size * F.col("dx"), F.col("y0") - F.col("y") * size * F.col("dy")
+    placed = blocks.select(
+        *B.BLOCK_COLUMNS, F.col("source_id").cast("long").alias("source_id"), F.col("priority").cast("long").alias("priority"),
+        *[F.col(c).cast("double").alias(c) for c in ("x0", "y0", "dx", "dy")], west.alias("west"),
+        (north - size * F.col("dy")).alias("south"), (west + size * F.col("dx")).alias("east"), north.alias("north"),
+        source_bucket().alias("bucket"))
+    (placed.hint("rebalance", "bucket").sortWithinPartitions("bucket", "source_id", "y", "x", "band").write.mode("overwrite")
+           .option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(out))
+
+
 def write_converted(df: DataFrame, out: str, key: str = "source_id") -> None:
     """K2: one output per source (partition by the source key), same base name.  Rows are brought
     together by source first; a large source is split over several tasks, small ones share one."""

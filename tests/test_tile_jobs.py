@@ -352,3 +352,73 @@ def test_tiles_of_a_box_across_180_degrees(spark):
     boxes = spark.createDataFrame([(1, 179.0, -1.0, -179.0, 1.0), (2, -1.0, -1.0, 1.0, 1.0)], "source_id int, west double, south double, east double, north double")
     got = {(r.source_id, r.x, r.y) for r in J.cover_tiles(boxes, 4, west="west", south="south", east="east", north="north").collect()}
     assert got == {(1, x, y) for x in (0, 15) for y in (7, 8)} | {(2, x, y) for x in (7, 8) for y in (7, 8)}
+
+
+# ---- view, strips, source tables ---------------------------------------------------------------------------------------------
+
+def test_missing_tiles_read_as_zeros_in_every_band_without_a_literal(spark):
+    blocks = _blocks(spark, {(3, 1, 1, 1): np.ones((64, 64)), (3, 1, 1, 4): np.full((64, 64), 2.0)})
+    view = RD.read_tms(blocks, spark.createDataFrame([(3, 1, 1), (3, 2, 1)], "z int, x int, y int"), 64)
+    got = {k: (v.min(), v.max()) for k, v in _planes(view).items()}
+    assert got == {(3, 1, 1, 1): (1, 1), (3, 1, 1, 4): (2, 2), (3, 2, 1, 1): (0, 0), (3, 2, 1, 4): (0, 0)}
+    assert all(len(r["data"]) == 64 * 64 * 4 for r in view.collect())
+    assert len(view._jdf.queryExecution().optimizedPlan().toString()) < 20_000
+    none = RD.read_tms(blocks.where("false"), spark.createDataFrame([(3, 2, 1)], "z int, x int, y int"), 8, "i2")
+    assert [(r.band, bytes(r["data"]), r.stored) for r in none.collect()] == [(1, bytes(128), False)]
+
+
+def test_strips_keep_band_dtype_and_nodata(spark):
+    rng = np.random.default_rng(8)
+    rows, want = [], {}
+    for band, dtype, nodata in ((1, "i2", -1.0), (2, "f4", None)):
+        v = rng.integers(0, 100, (21, 50)).astype("<" + dtype)
+        v[3, 4] = -1
+        want[band] = v
+        rows += [(r, 50, dtype, nodata, bytearray(v[r].tobytes()), band) for r in range(21)]
+    st = spark.createDataFrame(rows, "row long, width int, dtype string, nodata double, data binary, band int").repartition(5)
+    sq = B.reblock_strips(st, 16, 7).collect()
+    assert {(r["band"], r["dtype"], r["nodata"]) for r in sq} == {(1, "i2", -1.0), (2, "f4", None)}
+    for r in sq:
+        got = B.decode(r["data"], r["dtype"], 16)
+        part = want[r["band"]][16 * r["y"]:16 * r["y"] + 16, 16 * r["x"]:16 * r["x"] + 16]
+        np.testing.assert_array_equal(got[:part.shape[0], :part.shape[1]], part)
+    assert len(sq) == 2 * 4 * 2
+
+
+def test_strips_of_mixed_layouts_meet_in_one_that_holds_all(spark):
+    a, b = np.arange(8, dtype="<i2"), np.arange(8, dtype="<f4") + 0.5
+    b[2] = -7
+    st = spark.createDataFrame([(0, 8, "i2", 3.0, bytearray(a.tobytes())), (1, 8, "f4", -7.0, bytearray(b.tobytes()))], "row long, width int, dtype string, nodata double, data binary")
+    [r] = B.reblock_strips(st, 8, 2).collect()
+    got = B.row_values(r.asDict())
+    np.testing.assert_array_equal(np.isnan(got[:2]), [[i == 3 for i in range(8)], [i == 2 for i in range(8)]])
+    assert got[0, 5] == 5 and got[1, 5] == 5.5 and r["valid_count"] == 14
+
+
+def test_source_table_is_pruned_by_source_and_box(spark):
+    blocks = None
+    for sid in range(6):
+        one = _blocks(spark, {(0, x, y): np.full((4, 4), 10.0 * sid) for x in range(8) for y in range(8)}).select(
+            "*", F.lit(sid).alias("source_id"), F.lit(sid).alias("priority"), F.lit(100.0 * sid).alias("x0"), F.lit(0.0).alias("y0"), F.lit(1.0).alias("dx"), F.lit(1.0).alias("dy"))
+        blocks = one if blocks is None else blocks.unionByName(one)
+    path = scratch_path(spark, "t-sources")
+    SK.write_source_blocks(blocks, path)
+    some = RD.read_source_blocks(spark, path, sources=[2, 5], box=(205.0, -6.0, 211.0, -1.0))
+    assert {(r.source_id, r.x, r.y) for r in some.collect()} == {(2, x, y) for x in (1, 2) for y in (0, 1)}
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "bucket" in plan.split("PartitionFilters:")[1].split("]")[0] and "west" in plan.split("PushedFilters:")[1]
+    assert RD.read_source_blocks(spark, path).count() == 6 * 64
+    SK.write_source_blocks(blocks.where("source_id = 2 and x = 0"), path)       # a source written again
+    again = RD.read_source_blocks(spark, path, sources=[2])
+    assert again.count() == 8
+
+
+def test_window_pixels_are_sliced_in_the_kernel(spark):
+    v = _raster(32, 32, 21, gap=0.2)
+    store = scratch_path(spark, "t-window")
+    SK.write_tiles(_blocks(spark, _tiles_of(v, 8, 4)), store)
+    for scale, (r0, r1, c0, c1) in ((1, (3, 20, 5, 30)), (3, (2, 31, 1, 32)), (4, (0, 40, -3, 9))):
+        got = {(r.orow, r.ocol): r.v for r in RD.read_window(spark, store, 4, r0, r1, max(c0, 0), c1, scale).collect()}
+        want = {((r - r0) // scale, (c - max(c0, 0)) // scale): v[r, c] for r in range(r0, min(r1, 32)) for c in range(max(c0, 0), min(c1, 32))
+                if (r - r0) % scale == scale // 2 and (c - max(c0, 0)) % scale == scale // 2 and not np.isnan(v[r, c])}
+        assert got == want
