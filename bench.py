@@ -19,8 +19,15 @@ from collections import defaultdict
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+import numpy as np  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from tessera.functions import grid  # noqa: E402
+from tessera.operators import blocks as B, reproject as RP, windows as WN  # noqa: E402
+from tessera.plans import jobs as J  # noqa: E402
 from tessera.queries import QUERIES  # noqa: E402
-from tessera.session import get_session  # noqa: E402
+from tessera.session import get_session, scratch_path  # noqa: E402
+from tessera.sources import fixtures as FX, readers as RD, sinks as SK  # noqa: E402
 
 # block-form queries and their cell-form twins are both timed (same results, same oracle)
 HEADLINE = ["pyramid_levels", "pyramid_levels_cells", "pyramid_average", "pyramid_average_cells",
@@ -56,6 +63,50 @@ def _event_metrics(log_dir: str) -> dict:
     return dict(out)
 
 
+BIG, BIG_ZOOM = 2048, 6      # production tiles: 2048 x 2048 float32, 16 MB
+
+
+def big_tiles(spark, sf_dir: str) -> str:
+    """A store of production tiles: the first four rows of dem tiles, every pixel repeated 64 x 64 times (4 x 4 tiles)."""
+    small = B.pack_blocks(FX.dem_dense(spark, sf_dir), FX.TILE, BIG_ZOOM, dtype="f4", nodata=FX.NODATA).where("y < 4 and valid_count > 0")
+
+    def enlarge(batches):
+        k = BIG // FX.TILE
+        for rb in batches:
+            for r in rb.to_pylist():
+                v = np.kron(B.row_values(r), np.ones((k, k))) + np.linspace(0, 1, BIG)[None, :]
+                arr, valid = B.from_float(v, "f4", FX.NODATA)
+                yield from B.records_to_table([B.block_record(r["z"], r["x"], r["y"], 1, BIG, "f4", FX.NODATA, arr, valid)]).to_batches()
+
+    store = scratch_path(spark, "bench-big")
+    SK.write_tiles(small.repartition(16, "x", "y").mapInArrow(enlarge, B.BLOCK_SCHEMA), store)
+    return store
+
+
+def big_jobs(spark, sf_dir: str) -> dict:
+    """Z1, Z2 and Z6 on production tiles: seconds, tiles written and MB of input a second."""
+    store, out = big_tiles(spark, sf_dir), {}
+    tiles = RD.read_tiles(spark, store, z=BIG_ZOOM)
+    n = tiles.count()
+    px = grid.WORLD / 2 ** BIG_ZOOM / BIG
+    src = RP.Grid("EPSG:3857", -grid.HALF_WORLD, grid.HALF_WORLD, px, px)
+    one = tiles.select("*", F.lit(1).alias("priority"), F.lit(1).alias("source_id"))
+    parents = tiles.select(F.lit(BIG_ZOOM - 1).alias("z"), *[F.floor(F.col(c) / 2).cast("int").alias(c) for c in ("x", "y")]).distinct()
+    runs = {
+        "chunk": lambda: J.chunk_reproject(spark, one, src, BIG_ZOOM - 1, BIG, scratch_path(spark, "bench-chunk"), dtype="f4", nodata=FX.NODATA).count(),
+        "pyramid": lambda: J.pyramid(spark, store, BIG_ZOOM).where(F.col("z") < BIG_ZOOM).count(),
+        "shade_window": lambda: SK.write_shade(WN.shade_windows(tiles, parents, BIG_ZOOM, BIG, BIG, "zfactor", pixel=(px, px)),
+                                               path := scratch_path(spark, "bench-shade")) or RD.read_tiles(spark, path).count(),
+    }
+    for name, run in runs.items():
+        spark.sparkContext.setJobGroup(f"big_{name}", name)
+        t0 = time.time()
+        made = run()
+        sec = time.time() - t0
+        out[name] = {"sec": round(sec, 3), "tiles_in": n, "tiles_out": made, "mb_in_per_s": round(n * BIG * BIG * 4 / 1e6 / sec, 1)}
+    return out
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -80,6 +131,7 @@ def main() -> None:
         df = QUERIES[name](spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()
         times[name] = round(time.time() - t0, 3)
+    big = {} if sys.argv[1:] else big_jobs(spark, sf_dir)
     spark.stop()
     metrics = _event_metrics(log_dir)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
@@ -89,6 +141,7 @@ def main() -> None:
         "shuffle_bytes": {n: metrics.get(n, {}).get("shuffle_bytes", 0) for n in names},
         "input_records": {n: metrics.get(n, {}).get("input_records", 0) for n in names},
         "tasks": {n: metrics.get(n, {}).get("tasks", 0) for n in names},
+        "tiles_2048_f4": big,
     }))
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 
-from .functions import crs as CRS, grid, terrain as TR
+from .functions import crs as CRS, grid
 from .sources.fixtures import with_fixtures as W
 
 S = 32
@@ -112,7 +112,7 @@ def gradient_sql(src: str, h: float, keys: tuple = (), dx: float | None = None)
 
 
 def naive_sql(a, b):
-    az, alt = TR.AZIMUTH * math.pi / 180.0, TR.ALTITUDE * math.pi / 180.0
+    az, alt = AZIMUTH * math.pi / 180.0, ALTITUDE * math.pi / 180.0
     slope = f"({L(math.pi / 2.0)} - atan(sqrt({a} * {a} + {b} * {b})))"
     aspect = f"atan2(-{a}, {b})"
     shaded = f"({L(math.sin(alt))} * sin({slope}) + {L(math.cos(alt))} * cos({slope}) * cos({L(az)} - {aspect}))"
@@ -120,21 +120,22 @@ def naive_sql(a, b):
 
 
 def aspect_sql(a, b):
-    az = math.radians(90.0 - TR.AZIMUTH)
+    az = math.radians(90.0 - AZIMUTH)
     t = f"atan2({b}, -{a})"
     return (f"(case when {a} = 0 and {b} > 0 then {L(math.pi / 2)} when {a} = 0 and {b} < 0 then {L(2 * math.pi - math.pi / 2)} "
             f"when {a} = 0 then {L(-1 * (math.pi / 4 - az))} when {t} < 0 then {t} + {L(2 * math.pi)} else {t} end)")
 
 
 def zfactor_sql(a, b):
-    az, zen = math.radians(90.0 - TR.AZIMUTH), math.radians(90.0 - TR.ALTITUDE)
-    g = f"atan({L(TR.Z_FACTOR)} * sqrt({a} * {a} + {b} * {b}))"
+    az, zen = math.radians(90.0 - AZIMUTH), math.radians(90.0 - ALTITUDE)
+    g = f"atan({L(Z_FACTOR)} * sqrt({a} * {a} + {b} * {b}))"
     v = f"({L(math.cos(zen))} * cos({g}) + {L(math.sin(zen))} * sin({g}) * cos({L(az)} - {aspect_sql(a, b)}))"
     return f"cast(floor(255.0 * greatest(0.0, {v})) as bigint)"
 
 
 def light_sql(a, b):
-    d0, d1, d2 = TR.light_direction()
+    A, H = math.radians(90.0 - AZIMUTH), math.radians(ALTITUDE)
+    d0, d1, d2 = math.cos(A) * math.cos(H), math.sin(A) * math.cos(H), math.sin(H)
     m = f"sqrt({b} * {b} + {a} * {a} + 1)"
     return f"((-{b} / {m}) * {L(d0)} + ({a} / {m}) * {L(d1)} + (1 / {m}) * {L(d2)})"
 
@@ -144,6 +145,13 @@ def stretch_q(i, lo, hi):
     return f"cast(floor(255.0 * least(greatest({s}, 0.0), 1.0)) as bigint)"
 
 
+# the colour ramp, written out here so that a wrong stop in the library shows
+RAMP = {"r": ((0.0, 60 / 255), (1.0, 220 / 255)), "g": ((0.0, 75 / 255), (1.0, 255 / 255)),
+        "b": ((0.0, 80 / 255), (1.0, 100 / 255)), "a": ((0.0, 0.4), (162 / 255, 0.0), (1.0, 0.2))}
+# light: azimuth 315, altitude 45, z factor 0.05
+AZIMUTH, ALTITUDE, Z_FACTOR = 315.0, 45.0, 0.05
+
+
 def ramp_sql(idx, stops, steps=256):
     xi = f"({idx} * {L(1.0 / (steps - 1))})"
     parts = []
@@ -485,7 +493,7 @@ from fp where source_id <> 2"""
     crop = f"gx // {S} = tx and gy // {S} = ty"
     q["hillshade_light"] = W(f"select tx, ty, gx, gy, shade from ls where {crop}", "dem_dense").replace(
         "\nselect tx, ty, gx, gy, shade", f",\n{win}\nselect tx, ty, gx, gy, shade", 1)
-    rgba = ", ".join(f"{ramp_sql('idx', TR.RAMP[ch])} {ch}" for ch in ("r", "g", "b", "a"))
+    rgba = ", ".join(f"{ramp_sql('idx', RAMP[ch])} {ch}" for ch in ("r", "g", "b", "a"))
     q["shade_rgba"] = W(f"""select tx, ty, gx, gy, shade, {rgba} from (
           select *, cast(least(floor((case when hmax > hmin then (shade - hmin) / (hmax - hmin) else 0.0 end) * 256), 255) as bigint) idx
           from (select *, min(shade) over (partition by tx, ty) hmin, max(shade) over (partition by tx, ty) hmax from ls))

@@ -697,9 +697,12 @@ def hillshade_light(spark, d):
 def shade_rgba(spark, d):
     """Light shade of each buffered tile, ramp stretched over that window, then cropped."""
     s = J.shade_rgba(FX.dem_dense(spark, d), S, buffer=2, h=1.0)
-    out = scratch_path(spark, "rgba")
-    SK.write_rgba(s, out)                                     # K4, partitioned by tile
-    return spark.read.parquet(out).select(*[_i(c).alias(c) for c in ("tx", "ty", "gx", "gy", "shade", "r", "g", "b", "a")])
+    out, channels = scratch_path(spark, "rgba"), ("shade", *SK.RGBA)
+    SK.write_rgba(s, out, S, FX.DEM_ZOOM, channels)            # K4: a band per channel
+    c = B.unpack_blocks(RD.read_tiles(spark, out, z=FX.DEM_ZOOM))
+    image = c.groupBy("gx", "gy").agg(*[F.max(F.when(F.col("band") == i, F.col("v"))).alias(k) for i, k in enumerate(channels, start=1)])
+    return image.select(_i(F.floor(F.col("gx") / S)).alias("tx"), _i(F.floor(F.col("gy") / S)).alias("ty"), "gx", "gy",
+                        *[_i(k).alias(k) for k in channels])
 
 
 def compare_shades(spark, d):

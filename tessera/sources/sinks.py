@@ -43,9 +43,15 @@ def write_shade(blocks: DataFrame, out: str) -> None:
     write_tiles(blocks.where(F.col("valid_count") > 0), out)
 
 
-def write_rgba(cells: DataFrame, out: str) -> None:
-    """K4: colour-ramped image as r, g, b, a columns, partitioned by tile."""
-    cells.hint("rebalance", "tx", "ty").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("tx", "ty").parquet(out)
+RGBA = ("r", "g", "b", "a")
+
+
+def write_rgba(cells: DataFrame, out: str, size: int, z: int, channels: tuple = RGBA) -> None:
+    """K4: a colour-ramped image (a column per channel) as tile blocks, one band per channel (16 bits, -1 where there is no
+    pixel), in the keyed tile store."""
+    planes = F.explode(F.array(*[F.struct(F.lit(i).alias("band"), F.col(c).cast("double").alias("v")) for i, c in enumerate(channels, start=1)]))
+    rows = cells.select("gx", "gy", planes.alias("p")).select("gx", "gy", "p.band", "p.v")
+    write_tiles(B.pack_blocks(rows, size, z, dtype="i2", nodata=-1.0, band="band").where(F.col("valid_count") > 0), out)
 
 
 def conversion_log(sources: DataFrame, ok: str = "ok") -> DataFrame:
