@@ -495,8 +495,8 @@ def chunk_average_blocks(spark, d):
 
 
 def warp_bands(spark, d):
-    """Every band painted and averaged on its own (band is a key)."""
-    return C.paint_and_average(FX.scenes_bands(spark, d), 2, extra_keys=("band",)).select(
+    """Every band painted and averaged on its own, the bands of a cell in one row until they are averaged."""
+    return C.paint_and_average_bands(FX.scenes_wide(spark, d), {1: "v1", 2: "v2", 3: "v3"}, 2).select(
         _i("band").alias("band"), "gx", "gy", "vsum", "vcount", "v")
 
 

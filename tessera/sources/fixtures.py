@@ -77,13 +77,18 @@ def scenes(spark: SparkSession, d: str) -> DataFrame:
         F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("v"))
 
 
-def scenes_bands(spark: SparkSession, d: str) -> DataFrame:
-    bands = F.array(*[F.struct(F.lit(b).alias("band"), v.cast("bigint").alias("v")) for b, v in (
-        (1, F.round(F.col("l_extendedprice") * 100)), (2, F.round(F.col("l_quantity"))),
-        (3, F.round(F.col("l_discount") * 100)))])
+def scenes_wide(spark: SparkSession, d: str) -> DataFrame:
+    """scenes_bands with a column per band: v1, v2, v3."""
     return table(spark, d, "lineitem").select(
         F.col("l_partkey").alias("gx"), F.col("l_suppkey").alias("gy"),
-        F.col("l_linenumber").alias("priority"), F.col("l_orderkey").alias("tie"), F.inline(bands))
+        F.col("l_linenumber").alias("priority"), F.col("l_orderkey").alias("tie"),
+        F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("v1"), F.round(F.col("l_quantity")).cast("bigint").alias("v2"),
+        F.round(F.col("l_discount") * 100).cast("bigint").alias("v3"))
+
+
+def scenes_bands(spark: SparkSession, d: str) -> DataFrame:
+    bands = F.array(*[F.struct(F.lit(b).alias("band"), F.col(f"v{b}").alias("v")) for b in (1, 2, 3)])
+    return scenes_wide(spark, d).select("gx", "gy", "priority", "tie", F.inline(bands))
 
 
 def objects(spark: SparkSession, d: str) -> DataFrame:

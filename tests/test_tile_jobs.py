@@ -422,3 +422,15 @@ def test_window_pixels_are_sliced_in_the_kernel(spark):
         want = {((r - r0) // scale, (c - max(c0, 0)) // scale): v[r, c] for r in range(r0, min(r1, 32)) for c in range(max(c0, 0), min(c1, 32))
                 if (r - r0) % scale == scale // 2 and (c - max(c0, 0)) % scale == scale // 2 and not np.isnan(v[r, c])}
         assert got == want
+
+
+def test_bands_in_one_row_are_painted_and_averaged_apart(spark):
+    from tessera.operators import cells as C
+
+    rnd = random.Random(5)
+    rows = [(rnd.randrange(8), rnd.randrange(8), rnd.randrange(3), rnd.randrange(2), *[rnd.choice([None, rnd.randrange(40)]) for _ in range(2)]) for _ in range(600)]
+    wide = spark.createDataFrame(rows, "gx long, gy long, priority int, tie int, a long, b long")
+    tall = wide.select("gx", "gy", "priority", "tie", F.inline(F.array(*[F.struct(F.lit(k).alias("band"), F.col(c).alias("v")) for k, c in ((1, "a"), (7, "b"))])))
+    got = C.paint_and_average_bands(wide, {1: "a", 7: "b"}).select("band", "gx", "gy", "vsum", "vcount", "v")
+    want = C.paint_and_average(tall, extra_keys=("band",)).select("band", "gx", "gy", "vsum", "vcount", "v")
+    assert sorted(got.collect()) == sorted(want.collect())
