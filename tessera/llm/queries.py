@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import (bpe, centroids, chat_tree, exact_dedup, grid_join, langid, mixing, ngram_join, quality,
-                         suffix_dedup, token_files, toxicity, turn_repair)
+                         sql, suffix_dedup, token_files, toxicity, turn_repair)
 from tessera.llm.common import held_out, table
 
 TOKENIZER = "byte_bpe_50k.tiktoken"
@@ -99,6 +99,11 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_chat_tree": sql.OP1,
+    "op7_grid_join": sql.OP7,
+    "op9_ngram_join": sql.OP9,
+    "op11_turn_repair": sql.OP11,
+    "op13_centroids": sql.op13(),
     "op2_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
