@@ -10,7 +10,8 @@ taken there says so.  The byte slices feed a cache of merged pieces; piece offse
 and returned, and decoding gathers token bytes by their offsets.
 
 Defined cases: null text is encoded as empty (no ids, no offsets) and decodes to an empty text;
-special-token strings inside a text are ordinary text.
+special-token strings inside a text are ordinary text.  Null ids and repeated rows are encoded like any other row; an
+empty table gives no rows; texts are encoded whole, however long.
 """
 
 from __future__ import annotations

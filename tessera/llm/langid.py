@@ -12,7 +12,9 @@ language gives them.
 
 Defined cases: `und` with score 0 if the text is null or has no letter, or if nothing was learned;
 a text with letters but no known n-gram gets the language with most training documents, score 0;
-ties go to the language that sorts first.  Whole texts are read.
+ties go to the language that sorts first.  Whole texts are read, however long.  Rows with a null id and rows that
+repeat are predicted like any other row (in the fit a row with a null id is left out); an empty table gives no rows, and
+a fit on it a model that knows nothing.  Columns are taken by name, others are ignored.
 """
 
 from __future__ import annotations
@@ -31,6 +33,7 @@ from tessera.llm.common import discard, materialise, mix64, segment_sums, text_b
 UND = "und"
 SAMPLE_PER_LANG = 1500       # expected training documents per language (documented bound of the fit)
 GRAMS_PER_LANG = 200_000     # n-grams per filter, the most frequent ones
+GRAMS = 2_000_000            # n-grams of all filters together
 HASHES = 3
 BITS_PER_GRAM = 16
 
@@ -118,11 +121,12 @@ def build(langs: list[str], sets: list[np.ndarray], prior: int) -> Model:
 
 
 def fit(train: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id",
-        sample_per_lang: int = SAMPLE_PER_LANG, min_count: int = 3, ratio: float = 0.3) -> Model:
+        sample_per_lang: int = SAMPLE_PER_LANG, min_count: int = 3, ratio: float = 0.3, most_grams: int = GRAMS) -> Model:
     """Learn the filters from about `sample_per_lang` documents of each language (all, if there are fewer): those whose
     id hashes below the language's rate.
 
-    Only n-gram counts reach the driver, at most GRAMS_PER_LANG per language, and one count per language.
+    Bounds of the fit: only n-gram counts reach the driver, at most `most_grams` in all (each language has an equal share, its
+    most frequent ones), and one count per language.
     """
     known = train.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     sizes = {r["lang"]: r["n"] for r in known.groupBy(F.col(lang_col).cast("string").alias("lang")).agg(F.count("*").alias("n")).collect()}
@@ -148,7 +152,7 @@ def fit(train: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col
     counts = materialise(picked.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")), "ngrams")
     total = counts.groupBy("lang").agg(F.sum("n").alias("t"))
     top = counts.where(F.col("n") >= min_count).withColumn(
-        "r", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))).where(F.col("r") <= GRAMS_PER_LANG)
+        "r", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))).where(F.col("r") <= max(1, min(GRAMS_PER_LANG, most_grams // len(sizes))))
     got = top.select("lang", "gram", "n").toPandas()
     totals = {r["lang"]: r["t"] for r in total.collect()}
     discard(counts)

@@ -10,7 +10,9 @@ Features are computed on whole texts, vectorised over batches.  The fit reads a
 of the labelled documents (`SAMPLE`, chosen by a hash of the id) and of the pairs (`PAIRS`).
 
 Defined cases: null or empty text has all-zero features and still gets a score; without both
-labels in the sample every score is 0.5.
+labels in the sample every score is 0.5.  Rows with a null id and rows that repeat are scored like any other row;
+labels of null ids are ignored, and of several labels of an id the largest counts; an empty table gives no rows.  Texts
+are read whole, however long.  Columns are taken by name.
 """
 
 from __future__ import annotations
@@ -192,17 +194,18 @@ def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text",
-        sample: int = SAMPLE, threshold: float = THRESHOLD) -> Model:
-    """Learn from at most `sample` labelled documents; only their feature rows reach the driver."""
+        sample: int = SAMPLE, threshold: float = THRESHOLD, pairs: int = PAIRS) -> Model:
+    """Learn from at most `sample` labelled documents and `pairs` preference pairs drawn among them; only their feature
+    rows reach the driver.  Rows that repeat an id count once: the smallest text."""
     ids = F.broadcast(sample_ids(labels, label_col, id_col, sample))      # at most `sample` ids
     rows = docs.select(F.col(id_col).alias("__t_id"), F.col(text_col).alias("text")).join(
-        ids, F.col("__t_id") == F.col("__t_key")).select("label", "text").mapInArrow(_feature_rows, "label int, x binary")
+        ids, F.col("__t_id") == F.col("__t_key")).groupBy("__t_key", "label").agg(F.min("text").alias("text")).select("label", "text").mapInArrow(_feature_rows, "label int, x binary")
     got = rows.toPandas()
     if not len(got):
         return train(np.zeros((0, len(NAMES) + BUCKETS)), np.zeros(0))
     x = np.frombuffer(b"".join(got["x"]), np.float64).reshape(len(got), -1)
     order = np.lexsort((*x.T[:6], got["label"].to_numpy()))               # the same fit whatever the row order
-    return train(x[order], got["label"].to_numpy()[order], threshold=threshold)
+    return train(x[order], got["label"].to_numpy()[order], pairs, threshold)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -14,7 +14,9 @@ score, placed so that `threshold` is the training sample's best cut by F1.
 
 The fit reads at most SAMPLE documents of each label (chosen by a hash of the id); whole texts are
 scored.  Defined cases: null and empty texts have no hit and get the score of a text without hits;
-without both labels the lexicon is empty and every score is the share of label 1.
+without both labels the lexicon is empty and every score is the share of label 1.  Rows with a null id and rows
+that repeat are scored like any other row; labels of null ids are ignored, and of several labels of an id the largest
+counts; an empty table gives no rows.  Texts are scored whole, however long.  Columns are taken by name.
 """
 
 from __future__ import annotations
@@ -34,6 +36,7 @@ from tessera.llm.langid import lowered
 
 SAMPLE = 4_000               # labelled documents of each label (documented bound of the fit)
 TERMS = 512                  # lexicon entries, the most telling ones
+LONGEST = 40                 # letters of a lexicon term
 THRESHOLD = 0.3
 MIN_DOCS, MIN_RATIO = 4, 25.0
 STEM_LENGTHS, STEM_DOCS = (4, 5, 6), 5
@@ -268,7 +271,7 @@ def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             s, e = s.tolist(), e.tolist()
             for d, y in enumerate(labels):
                 words = {text[a:b] for a, b in zip(s[woff[d]:woff[d + 1]], e[woff[d]:woff[d + 1]])}
-                words = {w for w in words if len(w) <= 40}
+                words = {w for w in words if len(w) <= LONGEST}
                 terms = {(w, False) for w in words}
                 for k in STEM_LENGTHS:
                     terms |= {(w[:k], True) for w in words if len(w) > k}
@@ -284,15 +287,20 @@ def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text",
-        sample: int = SAMPLE, threshold: float = THRESHOLD) -> Model:
-    """Learn lexicon and weights from at most `sample` documents of each label."""
+        sample: int = SAMPLE, threshold: float = THRESHOLD, max_terms: int = TERMS) -> Model:
+    """Learn lexicon and weights from at most `sample` documents of each label (rows that repeat an id count once: the
+    smallest text).
+
+    Bounds of the fit: the lexicon holds the `max_terms` terms of most toxic documents, none longer than LONGEST letters.
+    Scoring has no such bounds: every word of every text runs through the automaton.
+    """
     one = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
            .groupBy(F.col(id_col).alias("__t_key")).agg(F.max(F.col(label_col).cast("int")).alias("label")))
     share = {r["label"]: r["n"] for r in one.groupBy("label").agg(F.count("*").alias("n")).collect()}
     by_hash = [F.xxhash64(F.col("__t_key")), F.col("__t_key")]
     ids = one.where("label = 0").orderBy(*by_hash).limit(sample).unionByName(one.where("label = 1").orderBy(*by_hash).limit(sample))
     picked = docs.select(F.col(id_col).alias("__t_id"), F.col(text_col).alias("text")).join(
-        F.broadcast(ids), F.col("__t_id") == F.col("__t_key")).select("label", "text")   # at most 2 * sample ids
+        F.broadcast(ids), F.col("__t_id") == F.col("__t_key")).groupBy("__t_key", "label").agg(F.min("text").alias("text")).select("label", "text")   # at most 2 * sample ids
     sizes = {r["label"]: r["n"] for r in picked.groupBy("label").agg(F.count("*").alias("n")).collect()}
     n0, n1 = sizes.get(0, 0), sizes.get(1, 0)
     if not n0 or not n1:
@@ -303,7 +311,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
              .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).withColumn("ratio", ratio)
              .where((F.col("n1") >= F.when(F.col("stem"), max(STEM_DOCS, n1 // 160)).otherwise(MIN_DOCS)) & (F.col("ratio") >= MIN_RATIO / F.least(
                  F.lit(4.0), F.greatest(F.lit(1.0), 8.0 / F.col("n1")))))
-             .orderBy(F.desc("n1"), "term", "stem").limit(TERMS).select("term", "stem", "ratio").collect())
+             .orderBy(F.desc("n1"), "term", "stem").limit(max_terms).select("term", "stem", "ratio").collect())
     auto = build([(r["term"], r["stem"], float(np.log(r["ratio"]))) for r in sorted(terms)])
 
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

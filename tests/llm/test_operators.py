@@ -56,7 +56,8 @@ def _rows(df):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"create view documents as select * from read_parquet('{SMALL}/documents.parquet')")
+    for name_ in ("documents", "conversations", "embeddings"):
+        con.execute(f"create view {name_} as select * from read_parquet('{SMALL}/{name_}.parquet')")
     got = QUERIES[name](spark, SMALL).toPandas()
     want = con.execute(ORACLES[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
@@ -360,3 +361,165 @@ def test_span_hashes_do_not_depend_on_the_place():
     for h, a, b in zip(SpanHasher(data)(starts, ends).tolist(), starts, ends):
         assert seen.setdefault(data[a:b].tobytes(), h) == h
     assert len(set(seen.values())) == len(seen)
+
+
+def test_grid_join_skips_distant_pairs(spark, monkeypatch):
+    """Clusters far apart: of the pairs of intervals fewer than half are kept, before any vector moves; no link is lost."""
+    rnd = np.random.default_rng(11)
+    centres = np.concatenate([np.eye(12)[:2], -np.eye(12)[:2]])
+    x = (centres[np.arange(1500) % 4] + rnd.normal(size=(1500, 12)) * 0.05).astype(np.float32)
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<float>").repartition(7)
+    monkeypatch.setattr(grid_join, "INTERVAL_BYTES", 8 * 12 * 100)
+    kept = []
+    plain = grid_join._pairs
+    monkeypatch.setattr(grid_join, "_pairs", lambda b, n, k, eps: kept.append((plain(b, n, k, eps).count(), n)) or plain(b, n, k, eps))
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in grid_join.link_classes(df).collect()}
+    pairs, n = kept[0]
+    assert n == 15 and pairs < n * (n + 1) / 4
+    u = x.astype(np.float64)
+    u /= np.linalg.norm(u, axis=1)[:, None]
+    link = u @ u.T >= 0.9
+    assert all(got[i] == (link[i].sum() - 1, i % 4) for i in range(1500))
+
+
+@pytest.mark.parametrize("dim", [3, 24, 40])
+def test_bound_on_a_cosine_loses_no_pair(dim):
+    rnd = np.random.default_rng(dim)
+    x = rnd.normal(size=(700, dim))
+    x[350:] = x[:350] + rnd.normal(size=(350, dim)) * np.linspace(0, 0.6, 350)[:, None]
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    axes = np.linalg.qr(rnd.normal(size=(dim, dim)))[0][:, :min(24, dim)]
+    i, j = grid_join.close_pairs(x, x, axes, 0.9)
+    want = np.argwhere(x @ x.T >= 0.9)
+    assert {*zip(i.tolist(), j.tolist())} == {*map(tuple, want.tolist())} and len(want) > 700
+
+
+def test_grid_join_of_nothing_and_clashing_columns(spark):
+    ddl = "vec_id long, embedding array<float>, id string, digest string, dim int, vec string, n int"
+    assert grid_join.link_classes(spark.createDataFrame([], ddl)).count() == 0
+    rows = [(1, [1.0, 0.0], "a", "b", 1, "c", 2), (2, [2.0, 0.1], None, None, None, None, None), (None, [1.0, 0.0], "a", "b", 1, "c", 2), (3, [1e30, 1e30], "", "", 0, "", 0)]
+    got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in grid_join.link_classes(spark.createDataFrame(rows, ddl)).collect()}
+    assert got == {1: (1, 1, True), 2: (1, 1, False), None: (0, None, True), 3: (0, 3, True)}
+
+
+# ---- evidence by plainer means ---------------------------------------------------------------------------------------
+
+LONG = 200_000
+
+
+def _letters(rows):
+    return sum(c.isalpha() for c in rows)
+
+
+def test_language_id_against_exact_sets(spark):
+    """The Bloom filters answer as exact n-gram sets would, apart from a few false positives."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    model = langid.fit(docs)
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.predict(docs, model).collect()}
+    rows = [(r["doc_id"], r["text"], r["lang"]) for r in docs.collect()]
+    counts = {}
+    for _, text, lang in rows:
+        if text is not None and lang is not None:
+            data = np.frombuffer(text.lower().encode(), np.uint8)
+            g, _ = langid.grams(data, np.array([0, len(data)]))
+            for k in g.tolist():
+                counts.setdefault(lang, {}).setdefault(k, 0)
+                counts[lang][k] += 1
+    total = {lang: sum(c.values()) for lang, c in counts.items()}
+    best = {}
+    for lang, c in counts.items():
+        for k, n in c.items():
+            if n >= 3:
+                best[k] = max(best.get(k, 0.0), n / total[lang])
+    known = {lang: {k for k, n in c.items() if n >= 3 and n / total[lang] >= 0.3 * best[k]} for lang, c in counts.items()}
+    wrong = 0
+    for doc, text, _ in rows:
+        if text is None or not any(ch.isalpha() for ch in text):
+            assert got[doc] == ("und", 0.0)
+            continue
+        data = np.frombuffer(text.lower().encode(), np.uint8)
+        g = langid.grams(data, np.array([0, len(data)]))[0].tolist()
+        hits = {lang: sum(k in s for k in g) for lang, s in known.items()}
+        if sum(hits.values()):
+            top = max(sorted(hits), key=lambda x: hits[x])
+            wrong += got[doc][0] != top
+            assert abs(got[doc][1] - hits[top] / sum(hits.values())) < 0.05
+    assert wrong <= len(rows) // 100
+
+
+@pytest.mark.parametrize("score, label, modulus", [("toxicity", "toxic", (4, 2)), ("quality", "quality", (5, 0))])
+def test_held_out_labels_are_ranked(spark, score, label, modulus):
+    from tessera.llm.common import held_out
+
+    folder = "/root/testdata/sf0.01"
+    got = QUERIES["op5_toxicity" if score == "toxicity" else "op10_quality"](spark, folder)
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select(F.col("doc_id").alias("i"), F.col(label).alias("y"))
+    rows = got.where("held_out").join(labels, F.col("doc_id") == F.col("i")).select("score", "y", "predicted").where("y is not null").collect()
+    assert all(r["predicted"] == (r["score"] >= 0.3) for r in rows)
+    pos, neg = [r["score"] for r in rows if r["y"] == 1], [r["score"] for r in rows if r["y"] == 0]
+    auc = np.mean([(a > b) + 0.5 * (a == b) for a in pos for b in neg])
+    recall = np.mean([r["predicted"] for r in rows if r["y"] == 1])
+    precision = np.mean([r["y"] for r in rows if r["predicted"] == 1])
+    assert auc >= (0.8 if score == "toxicity" else 0.95) and recall >= (0.6 if score == "toxicity" else 0.95) and precision >= 0.9
+
+
+def test_scores_of_long_texts_and_odd_rows(spark, docs, empty):
+    rows = [(1, "alpha beta " * LONG, None, None, None, None), (2, "z" * LONG, None, None, None, None), (None, "alpha", None, None, None, None),
+            (1, None, None, None, None, None), (1, None, None, None, None, None)]
+    odd = spark.createDataFrame(rows, DDL)
+    labels = spark.createDataFrame([(i, i % 2, (i + 1) % 2) for i in range(30)] + [(None, 1, 1), (3, None, 0)], "doc_id long, quality int, toxic int")
+    for op, col in ((toxicity, "toxic"), (quality, "quality")):
+        model = op.fit(docs, labels)
+        got = op.score(odd, model).collect()
+        assert len(got) == 5 and all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3) for r in got)
+        assert op.score(empty, model).count() == 0
+        nothing = op.fit(empty, labels)
+        assert len({r["score"] for r in op.score(odd, nothing).collect()}) == 1
+        assert col in labels.columns
+    model = langid.fit(docs)
+    assert langid.predict(odd, model).count() == 5 and langid.predict(empty, model).count() == 0
+    assert {r["lang_pred"] for r in langid.predict(odd, langid.fit(empty)).collect()} == {"und"}
+
+
+def test_a_fit_meets_each_labelled_id_once(spark):
+    docs = spark.createDataFrame([(1, "good text here")] * 500 + [(2, "bad bad")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    twice = spark.createDataFrame([(1, "good text here"), (2, "bad bad")], "doc_id long, text string")
+    a, b = quality.fit(docs, labels, sample=2), quality.fit(twice, labels, sample=2)
+    assert [r["score"] for r in quality.score(twice, a).orderBy("doc_id").collect()] == [r["score"] for r in quality.score(twice, b).orderBy("doc_id").collect()]
+
+
+def test_chat_tree_of_nothing_and_of_long_texts(spark):
+    ddl = "conv_id long, turn long, role string, text string, key string, level long, path string"
+    nodes, paths = chat_tree.format_tree(spark.createDataFrame([], ddl))
+    assert nodes.count() == 0 and paths.count() == 0
+    rows = [(1, 0, "user", "[INST] " * LONG, "k", 1, "p"), (1, 1, "assistant", "\\<s>" * 1000, "k", 1, "p"), (2, 0, "user", "[INST] " * LONG, None, None, None)]
+    got = {r["conv_id"]: r for r in chat_tree.read_back(*chat_tree.format_tree(spark.createDataFrame(rows, ddl))).collect()}
+    for conv in (1, 2):
+        want = "".join(f"{r}\n{t}\n" for c, _, r, t, *_ in rows if c == conv)
+        assert got[conv]["turns_sha256"] == hashlib.sha256(want.encode()).hexdigest()
+
+
+def test_mixing_keeps_clashing_columns(spark):
+    rows = [(i, "word " * (i % 50), "en" if i % 3 else "de", f"s{i % 4}", f"t{i}", i, float(i)) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, topic string, tokens int, rate double")
+    kept = mixing.sample(df)
+    assert kept.columns == df.columns
+    marks = {r["doc_id"]: r["sampled"] for r in mixing.calibrate(df).collect()}
+    assert {tuple(r) for r in kept.collect()} == {r for r in rows if marks[r[0]]}
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" not in plan
+
+
+def test_pipeline_stages_on_odd_tables(spark, docs, empty):
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, SMALL).count() == 0, name
+    now = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        now = stage(spark, now, SMALL)
+        assert now.columns == docs.columns, name
+    language = {r["doc_id"] for r in corpus_pipeline.language(spark, docs, SMALL).collect()}
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    assert not any(texts[i] is None or not any(c.isalpha() for c in texts[i]) for i in language)
+    exact = [r["text"] or "" for r in corpus_pipeline.exact(spark, docs, SMALL).collect()]
+    assert sorted(exact) == sorted({t or "" for t in texts.values()})
