@@ -3,6 +3,11 @@
 Each stage takes (spark, docs, sf_dir), works on all rows that the stage before it kept, and
 returns the columns of documents; the last one returns the encoded documents.  `run` writes every
 stage's result to the shared folder as Parquet and rereads it.
+
+Defined cases, in every stage: a null id is kept as such; rows that repeat are judged each (exact duplicates of a text
+leave one row); columns beside those of documents are carried along up to the last stage; an empty table stays empty.
+A null or empty text has no language and goes in the first stage; a stage called on its own treats it as an empty text:
+one of equal empty texts stays, it links with nothing, its topic is `empty`, and it has no tokens.
 """
 
 from __future__ import annotations
