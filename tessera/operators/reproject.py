@@ -13,7 +13,7 @@ region of ``s`` values that would read it forward into the target grid, proposes
 the target cells inside (plus a one-cell margin), and keeps exactly those whose
 inverse-projected centre reads it.  One hash aggregate then forms
 ``sum(w v) / sum(w)``.  Projection formulas are staged Column expressions
-(see :func:`tessera.functions.crs.add_points`), so everything stays in the JVM.
+(see :func:`tessera.functions.crs.add_points`), so everything but UTM's series stays in the JVM.
 """
 
 from __future__ import annotations
@@ -55,6 +55,28 @@ def _c(v):
     return F.col(v) if isinstance(v, str) else F.lit(float(v))
 
 
+def _add_points(df: DataFrame, src: str, dst: str, points: list[tuple]) -> DataFrame:
+    """Columns for projected points, ``(x, y, name of the projected x, of the projected y)``.
+
+    Column expressions, but for UTM: its series for several points make one generated method larger than the JVM
+    compiles, and interpreted they are slow; there the points are projected batch by batch in NumPy (a narrow map).
+    """
+    if src.upper() == dst.upper() or not any(c.upper().startswith("UTM:") for c in (src, dst)):
+        return CRS.add_points(df, src, dst, points)
+    schema = T.StructType([*df.schema.fields, *[T.StructField(n, T.DoubleType()) for p in points for n in p[2:]]])
+
+    def run(batches):
+        for rb in batches:
+            cols, names = list(rb.columns), list(rb.schema.names)
+            with np.errstate(invalid="ignore", divide="ignore", over="ignore"):
+                for x, y, px, py in points:
+                    X, Y = np_transform(src, dst, *[rb.column(c).to_numpy(zero_copy_only=False).astype(np.float64) for c in (x, y)])
+                    cols += [pa.array(X, pa.float64()), pa.array(Y, pa.float64())]
+                    names += [px, py]
+            yield pa.RecordBatch.from_arrays(cols, names=names)
+    return df.mapInArrow(run, schema)
+
+
 def warp_crs(df: DataFrame, src: Grid, dst: Grid, method: str = "bilinear", extra_keys=(),
              margin: int = 1) -> DataFrame:
     """Resample cells ``(gx, gy, v)`` on ``src`` onto ``dst``; returns ``(extra_keys.., gx, gy, v)``
@@ -78,7 +100,7 @@ def warp_crs(df: DataFrame, src: Grid, dst: Grid, method: str = "bilinear", extr
         corners.append(("_mx", "_my", "_tmx", "_tmy"))
         direct = [F.floor((F.col("_tmx") - dx0) / ddx).alias("_di"), F.floor((dy0 - F.col("_tmy")) / ddy).alias("_dj")]
     held = ["_di", "_dj"] if direct else []
-    fwd = CRS.add_points(cells, src.crs, dst.crs, corners)
+    fwd = _add_points(cells, src.crs, dst.crs, corners)
     txs = [(F.col(f"_tx{k}") - dx0) / ddx - 0.5 for k in range(4)]
     tys = [(dy0 - F.col(f"_ty{k}")) / ddy - 0.5 for k in range(4)]
     ranged = fwd.select(*extra_keys, *carry, "gx", "gy", "v", *direct,
@@ -94,7 +116,7 @@ def warp_crs(df: DataFrame, src: Grid, dst: Grid, method: str = "bilinear", extr
                   .select(*extra_keys, *carry, "gx", "gy", "v", *held, "ti", "tj",
                           (dx0 + (F.col("ti") + 0.5) * ddx).alias("_X"),
                           (dy0 - (F.col("tj") + 0.5) * ddy).alias("_Y")))
-    inv = CRS.add_points(cand, dst.crs, src.crs, [("_X", "_Y", "_SX", "_SY")])
+    inv = _add_points(cand, dst.crs, src.crs, [("_X", "_Y", "_SX", "_SY")])
     sx = (F.col("_SX") - sx0) / sdx - 0.5
     sy = (sy0 - F.col("_SY")) / sdy - 0.5
     s = inv.select(*extra_keys, "gx", "gy", "v", *held, "ti", "tj", sx.alias("sx"), sy.alias("sy"))
