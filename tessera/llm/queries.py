@@ -44,7 +44,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.calibrate(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "source", "lang", "topic", "tokens",
-                      *[F.round(c, 6).alias(c) for c in ("rate", "p", "weight")], "sampled")
+                      *[F.round(c, 6).alias(c) for c in ("rate", "p", "weight")], "sampled", F.round("marginal_error", 6).alias("marginal_error"))
 
 
 def op7_grid_join(spark: SparkSession, sf_dir: str) -> DataFrame:
