@@ -120,9 +120,9 @@ def main() -> None:
         "spark.eventLog.compress": "false",
     })
     sc = spark.sparkContext
-    # warm-up: JVM, Arrow Python workers, parquet footers
+    # warm-up: JVM, Arrow Python workers, parquet footers, the tile store
     sc.setJobGroup("warmup", "warmup")
-    for w in ("decimate", "dem_blocks_valid", "warp_nearest_blocks"):   # scans, mapInArrow, grouped Arrow
+    for w in ("decimate", "dem_blocks_valid", "warp_nearest_blocks", "pyramid_manifest"):   # scans, mapInArrow, grouped Arrow, writes
         QUERIES[w](spark, sf_dir).write.format("noop").mode("overwrite").save()
     times = {}
     for name in names:

@@ -164,13 +164,14 @@ def tile_bucket(x="x", y="y", z="z") -> F.Column:
     return F.concat(F.lit("q"), F.substring(grid.quadkey(x, y, z), F.lit(1), up))
 
 
-def write_level_store(df: DataFrame, store: str, levels: tuple | None = None) -> None:
+def write_level_store(df: DataFrame, store: str, levels: tuple | None = None, grouped: bool = False) -> None:
     """K1: tiles keyed by (z, x, y, band): a tile replaces the stored one of its key, all others stay.
 
     The store is partitioned by zoom and by quadkey prefix (O1: inside a file, tiles lie in quadkey order), so that
     tiles near each other share a folder.  Only the buckets that new tiles fall into are written: they are read, merged
     by key and replaced; every other bucket is left as it is.  Where the store has nothing at the zooms
-    written (``levels``, if the caller knows them), the tiles go straight into it.
+    written (``levels``, if the caller knows them), the tiles go straight into it.  Tiles are brought together by
+    bucket before they are written, unless the caller's rows are ``grouped`` by an ancestor already.
     """
     spark = df.sparkSession
     new = df.select(*B.BLOCK_COLUMNS, tile_bucket().alias("bucket"))
@@ -181,7 +182,9 @@ def write_level_store(df: DataFrame, store: str, levels: tuple | None = None) ->
         kept = old.join(new.select(*TILE_KEY), TILE_KEY, "left_anti").select(*new.columns)
         # the buckets are replaced while they are read, so what stays of them is put aside first
         new = new.unionByName(_through_scratch(kept, "tiles-kept"))
-    (new.hint("rebalance", "z", "bucket").sortWithinPartitions("z", "bucket", grid.quadkey("x", "y", "z"), "band")
+    if not grouped:
+        new = new.hint("rebalance", "z", "bucket")
+    (new.sortWithinPartitions("z", "bucket", grid.quadkey("x", "y", "z"), "band")
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("z", "bucket").parquet(store))
 
 
@@ -224,6 +227,6 @@ def build_pyramid(spark: SparkSession, base: DataFrame, base_zoom: int, store: s
         if tiles is not None:
             k = base_zoom - z + 1
             parents = tiles.select((F.col("z") - k).cast("int").alias("z"), _up("x", k).alias("x"), _up("y", k).alias("y")).distinct()
-        write_level_store(pyramid_pass(src, levels, method, min_zoom, pick, parents), store, tuple(range(z - levels, z)))
+        write_level_store(pyramid_pass(src, levels, method, min_zoom, pick, parents), store, tuple(range(z - levels, z)), grouped=True)
         z -= levels
     return read_level_store(spark, store)
