@@ -14,12 +14,14 @@ positions.  So
    phase 1 takes the groups of suffixes with equal Lyndon prefixes in descending order and moves the
    suffixes that their previous-smaller pointers name into new groups; phase 2 emits each group's order
    by following those pointers, without renaming or recursion.  Suffixes that agree over all the
-   whole chunks of a string of length L are candidates; the bytes before and after the chunks decide.
+   whole chunks of a string of length L are neighbours in the array: neighbours are compared symbol by symbol, and runs
+   of equal ones are candidates; the bytes before and after the chunks decide.
 
 Equal texts are one unit: if two documents share a text of at least L bytes, all of it goes.
 
 Defined cases: null text is empty; texts shorter than L keep everything; every document of equal
-texts shows the same result; strings are judged on the input, not on what is left.
+texts shows the same result; strings are judged on the input, not on what is left.  Null ids and rows that repeat an id
+show the result of their text (a repeated row is another document with that text); an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import SpanHasher, discard, materialise, mix64, text_slices
+from tessera.llm.common import discard, materialise, mix64, text_slices
 
 LENGTH = 400                 # bytes of a repeated string
 GRAM = 200                   # bytes of an anchor's K-gram
@@ -41,6 +43,30 @@ SLICE = 1 << 20              # bytes of text treated at once
 CONTEXTS = 4096              # contexts of one suffix array (whole groups)
 
 
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+_BYTE = mix64(np.arange(256, dtype=np.uint64) + _ODD)
+
+
+class WindowHasher:
+    """64-bit hashes of windows of one buffer, by prefix sums of a polynomial modulo 2^64: one product a position,
+    for windows of LENGTH + GRAM bytes at most (texts known to collide under such a modulus are longer)."""
+
+    def __init__(self, data: np.ndarray) -> None:
+        n = len(data)
+        power = np.full(n + 1, _ODD)
+        power[0] = 1
+        np.cumprod(power, out=power)
+        self.prefix = np.zeros(n + 1, np.uint64)
+        np.cumsum(power[:n] * _BYTE[data], out=self.prefix[1:])
+        power.fill(_INV)
+        power[0] = 1
+        self.inverse = np.cumprod(power, out=power)
+
+    def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return mix64((self.prefix[ends] - self.prefix[starts]) * self.inverse[starts] + (ends - starts).astype(np.uint64))
+
+
 # ---------------------------------------------------------------- suffix array by grouping
 
 def suffix_array(s: list[int]) -> list[int]:
@@ -135,7 +161,7 @@ def anchors(data: np.ndarray, off: np.ndarray, length: int, gram: int):
     n, w = len(data), length - gram + 1
     if n < length:
         return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),) * 2 + (np.zeros(0, np.int64),) * 2
-    spans = SpanHasher(data)
+    spans = WindowHasher(data)
     h = mix64((spans.prefix[gram:] - spans.prefix[:n - gram + 1]) * spans.inverse[:n - gram + 1])   # of every position
     low = _sliding(h, w, np.minimum)
     doc = np.repeat(np.arange(len(off) - 1), off[1:] - off[:-1])
@@ -270,6 +296,21 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names=names)
 
 
+def chunk_symbols(data: np.ndarray, starts: np.ndarray, spans: WindowHasher) -> np.ndarray:
+    """A number for each chunk, the same exactly for equal bytes: numbered by hash, and every chunk compared with the
+    first one of its hash (should two differ, all are numbered by their bytes)."""
+    _, first, symbol = np.unique(spans(starts, starts + CHUNK), return_index=True, return_inverse=True)
+    if not len(starts):
+        return symbol
+    view = np.lib.stride_tricks.sliding_window_view(data, CHUNK)
+    for lo in range(0, len(starts), 1 << 14):
+        part = slice(lo, lo + (1 << 14))
+        if not (view[starts[part]] == view[starts[first[symbol[part]]]]).all():
+            known: dict[bytes, int] = {}
+            return np.array([known.setdefault(view[i].tobytes(), len(known)) for i in starts.tolist()])
+    return symbol
+
+
 def repeated_strings(gram: np.ndarray, before: np.ndarray, contexts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(context, start, end) relative to the anchor: the bytes of each context covered by strings of `length`
     bytes that another context of its K-gram holds at the same place."""
@@ -284,22 +325,21 @@ def repeated_strings(gram: np.ndarray, before: np.ndarray, contexts: list[bytes]
     ctx = np.repeat(np.arange(m), per)
     chunk = np.arange(int(per.sum())) - np.repeat(np.cumsum(per) - per, per) + np.repeat(lo, per)
     starts = zero[ctx] + CHUNK * chunk
-    spans = SpanHasher(data)
-    _, symbol = np.unique(spans(starts, starts + CHUNK), return_inverse=True)
+    spans = WindowHasher(data)
+    symbol = chunk_symbols(data, starts, spans)
     symbol = symbol + 2                                     # 1 ends a context, 0 the string
     where = np.arange(len(symbol)) + ctx                    # one separator after every context
     s = np.ones(len(symbol) + m + 1, np.int64)
     s[where], s[-1] = symbol, 0
     sa = np.array(suffix_array(s.tolist()))
     need = (length - CHUNK) // CHUNK                        # whole chunks inside any string of `length` bytes
-    s8 = mix64(s.astype(np.uint64) + np.uint64(1))
-    rolled = np.zeros(len(s), np.uint64)
-    for k in range(need):                                   # equal over `need` symbols: one class of neighbours in rank
-        rolled = rolled * np.uint64(0x9FB21C651E98DF25)
-        rolled[:len(s) - k] += s8[k:]
-    order = rolled[sa]
+    tail = np.append(s, np.full(need, -1))
+    agree = np.ones(len(sa) - 1, bool)                      # neighbours in the array share their first `need` symbols
+    for k in range(need):
+        at = tail[sa + k]
+        agree &= at[1:] == at[:-1]
     rank = np.zeros(len(s), np.int64)
-    rank[sa] = np.cumsum(np.append(False, order[1:] != order[:-1]))
+    rank[sa] = np.cumsum(np.append(False, ~agree))
     fits = (chunk + need <= np.repeat(hi, per)) & (chunk <= 0)
     of, c, cls = ctx[fits], chunk[fits], rank[where[fits]]
     g = gram[of].view(np.uint64) if gram.dtype == np.int64 else gram[of]

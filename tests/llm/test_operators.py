@@ -523,3 +523,34 @@ def test_pipeline_stages_on_odd_tables(spark, docs, empty):
     assert not any(texts[i] is None or not any(c.isalpha() for c in texts[i]) for i in language)
     exact = [r["text"] or "" for r in corpus_pipeline.exact(spark, docs, SMALL).collect()]
     assert sorted(exact) == sorted({t or "" for t in texts.values()})
+
+
+def test_chunk_symbols_are_exact_even_if_hashes_collide():
+    rng = np.random.default_rng(2)
+    data = rng.integers(0, 2, 4000).astype(np.uint8)
+    data[1000:1400] = data[:400]
+    starts = np.concatenate([np.arange(0, 300, 7), np.arange(1000, 1300, 7), np.arange(2000, 3000, 48)])
+    want = [data[i:i + suffix_dedup.CHUNK].tobytes() for i in starts]
+    for spans in (suffix_dedup.WindowHasher(data), lambda a, b: np.zeros(len(a), np.uint64)):
+        got = suffix_dedup.chunk_symbols(data, starts, spans)
+        assert [[a == b for b in got] for a in got] == [[a == b for b in want] for a in want]
+
+
+def test_neighbours_in_the_suffix_array_decide(monkeypatch):
+    """With an order that is not the suffix array's, repeats are lost: equality comes from neighbours in the array."""
+    rnd = random.Random(9)
+    words = ["".join(rnd.choice("ab") for _ in range(97)) for _ in range(12)]
+    contexts = [("".join(rnd.choice(words) for _ in range(8)))[:600].encode() for _ in range(40)]
+    args = (np.zeros(40, np.int64), np.full(40, 200), contexts, 400)
+    base = [a.tolist() for a in suffix_dedup.repeated_strings(*args)]
+    brute = {}
+    for i, c in enumerate(contexts):
+        for r in range(-200, 1):
+            if 200 + r + 400 <= len(c):
+                brute.setdefault((r, c[200 + r:600 + r]), []).append(i)
+    hit = {i for k, v in brute.items() if len(v) > 1 for i in v}
+    assert set(base[0]) == hit
+    real = suffix_dedup.suffix_array
+    monkeypatch.setattr(suffix_dedup, "suffix_array", lambda s: sorted(range(len(s)), key=lambda i: (i * 7919) % len(s)))
+    assert not hit or len(suffix_dedup.repeated_strings(*args)[0]) < len(hit)
+    monkeypatch.setattr(suffix_dedup, "suffix_array", real)
