@@ -247,6 +247,46 @@ def _centre_sums(vals, gx0, gy0, g, src_crs, dst, win):
     return u, np.bincount(inv, np.concatenate(sums), len(u)), np.bincount(inv, np.concatenate(counts), len(u))
 
 
+def _axis_partials(vals, gx0, gy0, g, dst: Grid, size_t: int, method: str, win):
+    """:func:`_block_partials` for grids of one CRS (nearest, average): rows and columns are independent, so pixels are
+    picked and summed by whole rows and columns."""
+    i0, i1, j0, j1 = win
+    size, none = vals.shape[0], np.empty(0)
+    # the source pixel that holds each target centre
+    pick_c = np.floor((dst.x0 + (np.arange(i0, i1) + 0.5) * dst.dx - g[0]) / g[2] - 0.5 + 0.5) - gx0
+    pick_r = np.floor((g[1] - (dst.y0 - (np.arange(j0, j1) + 0.5) * dst.dy)) / g[3] - 0.5 + 0.5) - gy0
+    sums = counts = None
+    if method == "average":                                # by the target pixel that holds each source centre
+        k = np.arange(size)
+        ti = np.floor((g[0] + (gx0 + k + 0.5) * g[2] - dst.x0) / dst.dx)
+        tj = np.floor((dst.y0 - (g[1] - (gy0 + k + 0.5) * g[3])) / dst.dy)
+        cs, rs = (np.flatnonzero(np.append(True, t[1:] != t[:-1])) for t in (ti, tj))
+        ok = ~np.isnan(vals)
+        s, c = (np.add.reduceat(np.add.reduceat(a, rs, axis=0), cs, axis=1) for a in (np.where(ok, vals, 0.0), ok.astype(np.int64)))
+        in_r, in_c = (tj[rs] >= j0) & (tj[rs] < j1), (ti[cs] >= i0) & (ti[cs] < i1)
+        sums, counts = np.zeros((j1 - j0, i1 - i0)), np.zeros((j1 - j0, i1 - i0), np.int64)
+        at = np.ix_((tj[rs][in_r] - j0).astype(np.int64), (ti[cs][in_c] - i0).astype(np.int64))
+        sums[at], counts[at] = s[np.ix_(in_r, in_c)], c[np.ix_(in_r, in_c)]
+    for ty in range(j0 // size_t, (j1 - 1) // size_t + 1):
+        for tx in range(i0 // size_t, (i1 - 1) // size_t + 1):
+            a0, a1 = max(i0, tx * size_t), min(i1, (tx + 1) * size_t)
+            b0, b1 = max(j0, ty * size_t), min(j1, (ty + 1) * size_t)
+            part = slice(b0 - j0, b1 - j0), slice(a0 - i0, a1 - i0)
+            off = ((np.arange(b0, b1) % size_t) * size_t)[:, None] + (np.arange(a0, a1) % size_t)[None, :]
+            rows, cols = pick_r[part[0]], pick_c[part[1]]
+            ok_r, ok_c = (rows >= 0) & (rows < size), (cols >= 0) & (cols < size)
+            near = np.full(off.shape, np.nan)
+            near[np.ix_(ok_r, ok_c)] = vals[np.ix_(rows[ok_r].astype(np.int64), cols[ok_c].astype(np.int64))]
+            m = ~np.isnan(near)
+            if counts is not None:
+                have = counts[part] > 0
+                if have.any():
+                    yield tx, ty, off[have], sums[part][have], counts[part][have].astype(np.float64), none
+                m &= ~have
+            if m.any():
+                yield tx, ty, off[m], none, none, near[m]
+
+
 def _block_partials(row, src: Grid, dst: Grid, size_t: int, method: str, extent):
     """What one source block gives to each target tile: (tx, ty, offsets, num, den, near)."""
     vals, size = B.row_values(row), row["size"]
@@ -255,6 +295,9 @@ def _block_partials(row, src: Grid, dst: Grid, size_t: int, method: str, extent)
     win = i0, i1, j0, j1 = _window(size, gx0, gy0, g, src.crs, dst, extent)
     if i0 >= i1 or j0 >= j1:
         return
+    if src.crs.upper() == dst.crs.upper() and method != "bilinear" and (i1 - i0) * (j1 - j0) <= 8 * size * size + 64:
+        yield from _axis_partials(vals, gx0, gy0, g, dst, size_t, method, win)
+        return
     none = np.empty(0)
     direct = None
     if method == "average":

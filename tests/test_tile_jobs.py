@@ -434,3 +434,35 @@ def test_bands_in_one_row_are_painted_and_averaged_apart(spark):
     got = C.paint_and_average_bands(wide, {1: "a", 7: "b"}).select("band", "gx", "gy", "vsum", "vcount", "v")
     want = C.paint_and_average(tall, extra_keys=("band",)).select("band", "gx", "gy", "vsum", "vcount", "v")
     assert sorted(got.collect()) == sorted(want.collect())
+
+
+@pytest.mark.parametrize("method", ["nearest", "average"])
+@pytest.mark.parametrize("dx, dy, x0, y0", [(1.0, 1.0, 0.0, 0.0), (2.0, 2.0, 0.0, 0.0), (1.5, 2.25, 0.3, -0.7), (0.5, 0.75, 0.1, 0.2), (7.0, 5.0, -3.0, 4.0)])
+def test_grids_of_one_crs_by_rows_and_columns_equal_the_general_way(method, dx, dy, x0, y0):
+    rng = np.random.default_rng(6)
+    vals = np.round(rng.normal(100, 30, (16, 16)))
+    vals[rng.random((16, 16)) < 0.3] = np.nan
+    arr, valid = B.from_float(vals, "f8", NODATA)
+    row = {**B.block_record(0, 2, 3, 1, 16, "f8", NODATA, arr, valid), "p": 0, "t": 0}
+    dst = RP.Grid("EPSG:3857", x0, y0, dx, dy)
+
+    def planes(src):
+        out = {}
+        with np.errstate(all="ignore"):
+            for tx, ty, off, num, den, near in RP._block_partials(row, src, dst, 8, method, None):
+                for k, o in enumerate(off.tolist()):
+                    at = out.setdefault((int(tx), int(ty), o), [0.0, 0.0, None])
+                    if len(num):
+                        at[0], at[1] = at[0] + num[k], at[1] + den[k]
+                    else:
+                        at[2] = near[k]
+        return out
+
+    fast = planes(RP.Grid("EPSG:3857", 0.0, 0.0, 1.0, 1.0))
+    plain = RP.np_transform
+    try:
+        RP.np_transform = lambda a, b, x, y: plain("EPSG:3857", "EPSG:3857", x, y)
+        slow = planes(RP.Grid("EPSG:0", 0.0, 0.0, 1.0, 1.0))                # another name: not known to be the same CRS
+    finally:
+        RP.np_transform = plain
+    assert fast == slow and len(fast) > 5
