@@ -22,7 +22,7 @@ over block pairs by their counts.
 Defined cases: null and empty texts (and texts of white space) have an empty set and are linked with
 nothing; a text with fewer words than n has its whole sequence as its only element; a null id never
 names a component (its row shows the smallest id of its class or component, or null); repeated rows
-give repeated results.
+give repeated results; an empty table gives no rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -39,6 +39,7 @@ from tessera.llm.components import components, forest
 
 BITS, LEVELS = 512, 8                 # parity sketch: 512 bits, doubled until it has 0.7 bits a token
 BLOCK = 1024                         # sets per block of a large group or a frequent token's bucket
+SHARED_ROWS = 1 << 18        # entries a task settles together
 BLOCK_BYTES = 8 << 20
 HEAVY_SHARE = 0.001
 SEEDS = tuple(np.uint64(s) for s in (0x1F83D9ABFB41BD6B, 0x5BE0CD19137E2179, 0xA54FF53A5F1D36F1))
@@ -282,25 +283,33 @@ def _entries(n: int, pct: int, heavy, blocks):
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Entries of buckets with two sets or more (a partition holds whole buckets)."""
-    got = [tuple(b.column(k).to_numpy(zero_copy_only=False) for k in range(5)) for b in batches]
-    if not got:
-        return
-    cols = [np.concatenate(c) for c in zip(*got)]
-    del got
-    order = np.lexsort((cols[3], cols[0]))
-    bucket, d1 = cols[0][order], cols[3][order]
-    new = np.ones(len(bucket), bool)                        # the same set may come from several map tasks
-    new[1:] = (bucket[1:] != bucket[:-1]) | (d1[1:] != d1[:-1])
-    order, bucket = order[new], bucket[new]
-    same = bucket[1:] == bucket[:-1]
-    keep = np.zeros(len(bucket), bool)
-    keep[1:] |= same
-    keep[:-1] |= same
-    order = order[keep]
-    for lo in range(0, len(order), 1 << 16):
-        part = order[lo:lo + (1 << 16)]
-        yield pa.RecordBatch.from_arrays([pa.array(c[part]) for c in cols], names=["bucket", "side", "core", "d1", "need"])
+    """Entries of buckets with two sets or more; rows come sorted by bucket and set, so a task holds some whole buckets
+    at a time, never its partition."""
+    held: list[np.ndarray] | None = None
+
+    def settled(cols: list[np.ndarray]):
+        bucket, d1 = cols[0], cols[3]
+        new = np.ones(len(bucket), bool)                    # the same set may come from several map tasks
+        new[1:] = (bucket[1:] != bucket[:-1]) | (d1[1:] != d1[:-1])
+        at = np.flatnonzero(new)
+        same = bucket[at][1:] == bucket[at][:-1]
+        keep = np.zeros(len(at), bool)
+        keep[1:] |= same
+        keep[:-1] |= same
+        at = at[keep]
+        for lo in range(0, len(at), 1 << 16):
+            part = at[lo:lo + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(c[part]) for c in cols], names=["bucket", "side", "core", "d1", "need"])
+
+    for batch in batches:
+        cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(5)]
+        held = cols if held is None else [np.concatenate(c) for c in zip(held, cols)]
+        if len(held[0]) >= SHARED_ROWS:
+            cut = int(np.searchsorted(held[0], held[0][-1]))                # the last bucket may go on
+            yield from settled([c[:cut] for c in held])
+            held = [c[cut:] for c in held]
+    if held is not None:
+        yield from settled(held)
 
 
 def _candidates(pct: int):
@@ -498,7 +507,7 @@ def similarity_classes(docs: DataFrame, n: int = 5, pct: int = 80, id_col: str =
 
     kinds = "bucket long, side boolean, core boolean, d1 long, need int"
     entries = texts.mapInArrow(tidy(_entries(n, pct, heavy, blocks)), kinds)
-    shared = materialise(entries.repartition("bucket").mapInArrow(tidy(_shared), kinds), "shared")
+    shared = materialise(entries.repartition("bucket").sortWithinPartitions("bucket", "d1").mapInArrow(tidy(_shared), kinds), "shared")
     # a set with too few entries that meet another set's is in no similar pair (frequent tokens count in `need`)
     hopeful = shared.groupBy("d1").agg(F.count("*").alias("met"), F.max("need").alias("least")).where(
         F.col("met") >= F.col("least")).select(F.col("d1").alias("e1"))
