@@ -8,6 +8,8 @@ carry exact averages through a pyramid whatever the dtype of ``data``.  Rows of
 one level may differ in dtype and nodata: every kernel decodes a row by its own
 columns.  ``valid_count`` is stored so
 that a filter on it can be pushed into the parquet scan (early nodata pruning).
+Where few pixels of a tile are set, ``data`` and ``weight`` may be in sparse form (:func:`sparse_record`):
+:func:`decode` reads both forms, so that kernels see the same arrays.
 
 Kernels see NumPy arrays through Arrow batches (``mapInArrow`` for per-block
 maps, ``groupBy().applyInArrow`` for folds over a bounded number of blocks).
@@ -53,9 +55,56 @@ DTYPES = ("u1", "i2", "i4", "i8", "f4", "f8")
 
 # ------------------------------------------------------------------ NumPy helpers
 def decode(data: bytes, dtype: str, size: int) -> np.ndarray:
+    if is_sparse(data, dtype, size):
+        recs = np.frombuffer(data, sparse_record(dtype))
+        out = np.full(size * size, recs["v"][0], dtype="<" + dtype)
+        out[recs["off"][1:]] = recs["v"][1:]
+        return out.reshape(size, size)
     return np.frombuffer(data, dtype="<" + dtype).reshape(size, size)
 
 
+SPARSE = -0x53505253        # in place of the first record's offset
+
+
+def sparse_record(dtype: str) -> np.dtype:
+    """A record of sparse ``data``: pixel offset and value.  The first one holds SPARSE and the value of all pixels
+    that have no record; the others follow by offset."""
+    return np.dtype([("off", "<i4"), ("v", "<" + dtype)])
+
+
+SPARSE_SUMS = np.dtype([("off", "<i4"), ("s", "<f8"), ("c", "<i8")])     # the same for ``weight``
+
+
+def is_sparse(data: bytes, dtype: str, size: int) -> bool:
+    """A block is sparse only where that makes it shorter, so its length tells."""
+    return 4 <= len(data) != size * size * int(dtype[1:]) and data[:4] == np.int32(SPARSE).tobytes()
+
+
+def is_sparse_sums(weight: bytes, size: int) -> bool:
+    return 4 <= len(weight) != size * size * 16 and weight[:4] == np.int32(SPARSE).tobytes()
+
+
+def sparse_arrays(kind: np.dtype, starts: np.ndarray, fields: dict, fill=0) -> pa.Array:
+    """Binary column of sparse planes: row i holds the pixels ``starts[i]`` to ``starts[i + 1]`` (the last: to the end)."""
+    n, m = len(starts), len(fields["off"])
+    if np.asarray(fields["off"]).dtype.kind != "i":
+        raise ValueError("a cell without gx, gy or band lies on no tile")
+    recs = np.zeros(n + m, kind)
+    heads = starts + np.arange(n)
+    body = np.ones(n + m, bool)
+    body[heads] = False
+    recs["off"][heads] = SPARSE
+    for name, vals in fields.items():
+        recs[name][body] = vals
+    if "v" in fields:
+        recs["v"][heads] = fill
+    at = np.append(heads, n + m) * kind.itemsize
+    if at[-1] < 1 << 31:
+        return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(at.astype(np.int32).tobytes()), pa.py_buffer(recs.tobytes())])
+    raw = recs.tobytes()
+    return pa.array([raw[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())], pa.binary())
+
+
 def encode(arr: np.ndarray, dtype: str) -> bytes:
     return np.ascontiguousarray(arr, dtype="<" + dtype).tobytes()
 
@@ -102,6 +151,11 @@ def row_sums(row: dict) -> tuple[np.ndarray, np.ndarray]:
     if row["weight"] is None:
         vals = row_values(row)
         return np.nan_to_num(vals, nan=0.0), (~np.isnan(vals)).astype(np.int64)
+    if is_sparse_sums(row["weight"], size):
+        recs = np.frombuffer(row["weight"], SPARSE_SUMS)[1:]
+        sums, counts = np.zeros(size * size), np.zeros(size * size, np.int64)
+        sums[recs["off"]], counts[recs["off"]] = recs["s"], recs["c"]
+        return sums.reshape(size, size), counts.reshape(size, size)
     half = size * size * 8
     return decode(row["weight"][:half], "f8", size), decode(row["weight"][half:], "i8", size)
 
@@ -161,9 +215,11 @@ def pixel_bytes() -> F.Column:
 
 # ------------------------------------------------------------------ pack / unpack
 def pack_blocks(cells: DataFrame, size: int, z, dtype: str = "f8", nodata=None,
-                value: str = "v", band=1) -> DataFrame:
+                value: str = "v", band=1, sparse: bool = False) -> DataFrame:
     """Cell rows ``(gx, gy, v)`` -> one block per tile; NULL values become nodata.
 
+    ``sparse``: tiles with few pixels take the sparse form, so that bytes follow the pixels held, not the tiles met.
+
     One shuffle (hash on the tile key), a sort within each partition, then a
     streaming Arrow pass that cuts tiles at key changes: one Python call per
     batch rather than per tile.  Of several cells of one pixel the greatest value
@@ -181,7 +237,7 @@ def pack_blocks(cells: DataFrame, size: int, z, dtype: str = "f8", nodata=None,
         F.col(value).cast("double").alias("v"),
     )
     ordered = keyed.repartition("z", "x", "y", "band").sortWithinPartitions("z", "x", "y", "band", "off", "v")
-    return ordered.mapInArrow(lambda it: _pack_sorted(it, size, dtype, nodata), BLOCK_SCHEMA)
+    return ordered.mapInArrow(lambda it: _pack_sorted(it, size, dtype, nodata, sparse), BLOCK_SCHEMA)
 
 
 PACK_BYTES = 64 << 20     # working memory for tiles under construction in one batch
@@ -200,7 +256,44 @@ def last_of_runs(cols: list[np.ndarray], key: int) -> list[np.ndarray]:
     return [c[last] for c in cols]
 
 
-def _pack_sorted(batches, size: int, dtype: str, nodata):
+def tile_batches(keys: tuple, starts: np.ndarray, off: np.ndarray, vals: np.ndarray, size: int, dtype: str, nodata, sparse: bool):
+    """Block batches of tiles given by their pixels: ``keys`` (z, x, y, band) a tile, whose pixels (offset and value, each
+    pixel once, by offset) lie from its ``starts`` on.  NaN is missing."""
+    stops = np.append(starts[1:], len(off))
+    few = np.zeros(len(starts), bool)
+    if sparse and nodata is not None:                 # without nodata every pixel is one
+        few = (stops - starts + 1) * sparse_record(dtype).itemsize < size * size * int(dtype[1:])
+    if few.any():
+        held = np.repeat(few, stops - starts) & ~np.isnan(vals)
+        n = np.add.reduceat(held.astype(np.int64), starts)[few]
+        v = vals[held].astype("<" + dtype)
+        data = sparse_arrays(sparse_record(dtype), np.cumsum(n) - n, {"off": off[held], "v": v}, fill=nodata)
+        yield block_batch([k[few] for k in keys], size, dtype, nodata, n, data)
+    full = np.flatnonzero(~few)
+    per_chunk = max(1, PACK_BYTES // (size * size * 8))      # tiles built at once: bounded memory
+    for c0 in range(0, len(full), per_chunk):
+        at = full[c0:c0 + per_chunk]
+        tid = np.repeat(np.arange(len(at)), stops[at] - starts[at])
+        rows = np.concatenate([np.arange(a, b) for a, b in zip(starts[at], stops[at])])
+        buf = np.full((len(at), size * size), np.nan)
+        buf[tid, off[rows]] = vals[rows]
+        ok = ~np.isnan(buf)
+        arr = np.where(ok, buf, 0 if nodata is None else nodata).astype("<" + dtype)
+        if nodata is None:                            # nothing masked: every pixel is valid
+            ok = np.ones_like(ok)
+        yield block_batch([k[at] for k in keys], size, dtype, nodata, ok.sum(axis=1),
+                           pa.array([arr[i].tobytes() for i in range(len(at))], pa.binary()))
+
+
+def block_batch(keys, size: int, dtype: str, nodata, valid, data: pa.Array, weight: pa.Array | None = None) -> pa.RecordBatch:
+    n = len(data)
+    return pa.RecordBatch.from_arrays([
+        *[pa.array(k, pa.int32()) for k in keys], pa.array(np.full(n, size), pa.int32()), pa.array([dtype] * n, pa.string()),
+        pa.array([nodata] * n, pa.float64()), pa.array(valid, pa.int32()), data,
+        pa.nulls(n, pa.binary()) if weight is None else weight], schema=_BLOCK_ARROW)
+
+
+def _pack_sorted(batches, size: int, dtype: str, nodata, sparse: bool = False):
     """Rows sorted by tile key -> block batches.  All complete tiles of a batch
     are scattered into one (tiles, size*size) array; only the last, possibly
     unfinished tile is carried into the next batch."""
@@ -212,27 +305,12 @@ def _pack_sorted(batches, size: int, dtype: str, nodata):
         change = np.flatnonzero((cz[1:] != cz[:-1]) | (cx[1:] != cx[:-1]) |
                                 (cy[1:] != cy[:-1]) | (cb[1:] != cb[:-1])) + 1
         starts = np.concatenate(([0], change))
-        stops = np.concatenate((change, [k_end]))
-        per_chunk = max(1, PACK_BYTES // (size * size * 8))      # tiles built at once: bounded memory
-        for c0 in range(0, len(starts), per_chunk):
-            st, sp = starts[c0:c0 + per_chunk], stops[c0:c0 + per_chunk]
-            r0, r1 = st[0], sp[-1]
-            tid = np.repeat(np.arange(len(st)), sp - st)
-            buf = np.full((len(st), size * size), np.nan)
-            buf[tid, off[r0:r1]] = vals[r0:r1]
-            ok = ~np.isnan(buf)
-            fill = 0 if nodata is None else nodata
-            arr = np.where(ok, buf, fill).astype("<" + dtype)
-            if nodata is None:                   # nothing masked: every pixel is valid
-                ok = np.ones_like(ok)
-            n = len(st)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(cz[st], pa.int32()), pa.array(cx[st], pa.int32()),
-                pa.array(cy[st], pa.int32()), pa.array(cb[st], pa.int32()),
-                pa.array(np.full(n, size), pa.int32()), pa.array([dtype] * n, pa.string()),
-                pa.array([nodata] * n, pa.float64()), pa.array(ok.sum(axis=1), pa.int32()),
-                pa.array([arr[i].tobytes() for i in range(n)], pa.binary()), pa.nulls(n, pa.binary()),
-            ], schema=_BLOCK_ARROW)
+        # of several cells of a pixel the last one: rows are sorted by (tile, pixel, value)
+        new = np.zeros(k_end, bool)
+        new[starts] = True
+        last = np.append((off[1:] != off[:-1]) | new[1:], True)
+        first = np.cumsum(last) - last
+        yield from tile_batches([c[starts] for c in (cz, cx, cy, cb)], first[starts], off[last], vals[last], size, dtype, nodata, sparse)
 
     for rb in batches:
         if rb.num_rows == 0:
@@ -269,17 +347,60 @@ def _cells_batch(z, band, gx, gy, v, extra: dict, weighted, wsum=None, wcount=No
     return pa.RecordBatch.from_pydict(out)
 
 
+def pixel_records(planes: list[bytes], kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    """(plane of each pixel, records) of sparse planes."""
+    recs = np.frombuffer(b"".join(planes), kind)
+    of = np.repeat(np.arange(len(planes)), np.array([len(p) for p in planes]) // kind.itemsize)
+    body = recs["off"] != SPARSE
+    return of[body], recs[body]
+
+
+def _unpack_sparse(rb, cols, i: int, j: int, valid_only: bool, weighted: bool, keep):
+    """Cells of the sparse blocks i to j - 1 of a batch, which share size, dtype and nodata."""
+    size, dtype, nodata = cols["size"][i], cols["dtype"][i], cols["nodata"][i]
+    sums = weighted and cols["weight"][i] is not None
+    if sums != (weighted and cols["weight"][j - 1] is not None) or (weighted and len({w is None for w in cols["weight"][i:j]}) > 1):
+        for k in range(i, j):
+            yield from _unpack_sparse(rb, cols, k, k + 1, valid_only, weighted, keep)
+        return
+    of, recs = pixel_records(cols["weight" if sums else "data"][i:j], SPARSE_SUMS if sums else sparse_record(dtype))
+    ok = recs["c"] > 0 if sums else valid_mask(recs["v"], nodata)
+    v = None if sums else recs["v"].astype(np.float64)
+    if v is not None:
+        ok &= ~np.isnan(v)
+    of, recs = of[ok], recs[ok]
+    if not len(of):
+        return
+    z, band, x, y = (np.asarray(cols[c][i:j], dtype=np.int64)[of] for c in ("z", "band", "x", "y"))
+    off = recs["off"].astype(np.int64)
+    extra = {kk: rb.column(kk).take(pa.array(i + of)) for kk in keep}
+    at = (z, band, x * size + off % size, y * size + off // size)
+    if weighted:
+        yield _cells_batch(*at, None, extra, True, wsum=recs["s"] if sums else v[ok], wcount=recs["c"] if sums else np.ones(len(of), np.int64))
+    else:
+        yield _cells_batch(*at, v[ok], extra, False)
+
+
 def _unpack_batches(batches: Iterator[pa.RecordBatch], valid_only: bool, weighted: bool, keep=()):
     for rb in batches:
         cols = rb.to_pydict()
         n = rb.num_rows
+        thin = [valid_only and nd is not None and is_sparse(d, t, s) and (not weighted or w is None or is_sparse_sums(w, s))
+                for d, t, s, nd, w in zip(*[cols[c] for c in ("data", "dtype", "size", "nodata", "weight")])]
         i = 0
         while i < n:
             size, dtype, nodata = cols["size"][i], cols["dtype"][i], cols["nodata"][i]
+            if thin[i]:                               # a run of sparse blocks, pixel by pixel
+                j = i + 1
+                while j < n and thin[j] and cols["size"][j] == size and cols["dtype"][j] == dtype and cols["nodata"][j] == nodata:
+                    j += 1
+                yield from _unpack_sparse(rb, cols, i, j, valid_only, weighted, keep)
+                i = j
+                continue
             # a run of small blocks of one layout is decoded as one (k, size, size) array
             j = i + 1
             if size * size * 4 <= UNPACK_PIXELS:
-                while (j < n and (j - i + 1) * size * size <= UNPACK_PIXELS and cols["size"][j] == size
+                while (j < n and not thin[j] and (j - i + 1) * size * size <= UNPACK_PIXELS and cols["size"][j] == size
                        and cols["dtype"][j] == dtype and cols["nodata"][j] == nodata):
                     j += 1
             k = j - i
@@ -289,7 +410,7 @@ def _unpack_batches(batches: Iterator[pa.RecordBatch], valid_only: bool, weighte
                 cnt = np.stack([p[1] for p in planes])
                 arr = np.where(cnt > 0, np.stack([p[0] for p in planes]), np.nan)
             else:
-                arr = np.frombuffer(b"".join(cols["data"][i:j]), dtype="<" + dtype).reshape(k, size, size)
+                arr = np.stack([decode(d, dtype, size) for d in cols["data"][i:j]])
                 arr = to_float(arr, nodata)
             zs = np.asarray(cols["z"][i:j])
             bs = np.asarray(cols["band"][i:j])
@@ -332,7 +453,14 @@ def block_error() -> F.Column:
     size = F.octet_length("data")
     return (F.when(F.col("data").isNull() | F.col("size").isNull() | F.col("dtype").isNull(), F.lit("incomplete row"))
              .when(~F.col("dtype").isin(*DTYPES), F.concat(F.lit("unknown dtype "), F.col("dtype")))
-             .when(size != pixel_bytes(), F.concat(size.cast("string"), F.lit(" of "), pixel_bytes().cast("string"), F.lit(" bytes"))))
+             .when((size != pixel_bytes()) & ~_holds_sparse(), F.concat(size.cast("string"), F.lit(" of "), pixel_bytes().cast("string"), F.lit(" bytes"))))
+
+
+def _holds_sparse() -> F.Column:
+    """``data`` is whole in sparse form: marked, and a record for the fill and for every valid pixel."""
+    record = F.substring("dtype", 2, 1).cast("int") + 4
+    return ((F.substring("data", 1, 4) == F.lit(bytearray(np.int32(SPARSE).tobytes())))
+            & (F.octet_length("data") == (F.col("valid_count") + 1) * record))
 
 
 def try_blocks(blocks: DataFrame, kernel: Callable[[np.ndarray], np.ndarray], out_dtype: str | None = None,
@@ -617,6 +745,54 @@ def fold_blocks(blocks: DataFrame, keys: list, kernel: Callable[[tuple, list[dic
             .groupBy(*names).applyInArrow(_run, BLOCK_SCHEMA))
 
 
+def fold_blocks_sorted(blocks: DataFrame, keys: list, kernel: Callable[[tuple, list[dict]], list[dict]], quick=None) -> DataFrame:
+    """:func:`fold_blocks` for many small groups: rows come sorted by group and are cut where the key changes, so a group
+    costs no Python call of Spark's.  ``quick(columns)`` may take all finished groups of a batch at once: it returns
+    batches, or None where it cannot."""
+    names = [f"_k{i}" for i in range(len(keys))]
+
+    def fold(tbl: pa.Table):
+        made = quick(tbl) if quick is not None else None
+        if made is not None:
+            yield from made
+            return
+        cur, rows, out = None, [], []
+        for key, row in zip(zip(*[tbl.column(k).to_pylist() for k in names]), tbl.select(BLOCK_COLUMNS).to_pylist()):
+            if key != cur:
+                if rows:
+                    out += kernel(cur, rows)
+                if len(out) >= 256:
+                    yield from records_to_table(out).to_batches()
+                    out = []
+                cur, rows = key, []
+            rows.append(row)
+        if rows:
+            out += kernel(cur, rows)
+        if out:
+            yield from records_to_table(out).to_batches()
+
+    def run(batches):
+        held: list[pa.RecordBatch] = []
+        for rb in batches:
+            if rb.num_rows == 0:
+                continue
+            key = list(zip(*[rb.column(k).to_pylist() for k in names]))
+            cut = len(key)
+            while cut and key[cut - 1] == key[-1]:
+                cut -= 1                              # the last group may go on
+            if held and (cut or [held[-1].column(k)[-1].as_py() for k in names] != list(key[-1])):
+                yield from fold(pa.Table.from_batches([*held, rb.slice(0, cut)]))
+                held = []
+            elif cut:
+                yield from fold(pa.Table.from_batches([rb.slice(0, cut)]))
+            held.append(rb.slice(cut))
+        if held:
+            yield from fold(pa.Table.from_batches(held))
+
+    return (blocks.select(*[k.alias(n) for k, n in zip(keys, names)], *BLOCK_COLUMNS).repartition(*names)
+                  .sortWithinPartitions(*names).mapInArrow(run, BLOCK_SCHEMA))
+
+
 def fold_blocks_keyed(blocks: DataFrame, keys: list[str], kernel) -> DataFrame:
     """Like :func:`fold_blocks` but grouping on existing columns ``keys`` (kept out of the rows)."""
     def _run(key, tbl):

@@ -7,13 +7,14 @@ Where several sources cover a pixel, the valid value with the greatest
    identity* (priority, tie), hash-partitioned and sorted by
    (tile, salt, pixel, priority, tie, value); a streaming Arrow pass keeps the
    last row of every pixel run -- the winner inside that group -- and emits
-   one partial layer per (tile, salt) with three planes (priority, tie, value);
+   one partial layer per (tile, salt): a record (pixel, priority, tie, value) for
+   every pixel it covers;
 2. the partial layers of a tile are brought together
    (hash-partitioned and sorted by tile) and merged by a per-pixel
    lexicographic max in a streaming pass.
 
-Dense rasters are the intended input: for sparse cells (a few pixels per tile)
-the cell-form :func:`tessera.operators.cells.mosaic_paint` moves fewer bytes.
+Bytes follow the pixels covered, not the tiles met: layers hold records of covered pixels only, and painted
+tiles with few pixels take the sparse block form.
 
 A tile covered by many sources (the hot group) is split before anything is gathered, into
 as many salts as its measured rows need; all other tiles have one.  Between Arrow batches stage 1 keeps one row per pixel
@@ -35,52 +36,54 @@ PAINT_SCHEMA = T.StructType([
     T.StructField("z", T.IntegerType(), False), T.StructField("x", T.IntegerType(), False),
     T.StructField("y", T.IntegerType(), False), T.StructField("band", T.IntegerType(), False),
     T.StructField("salt", T.LongType(), False),
-    T.StructField("size", T.IntegerType(), False),
-    T.StructField("p", T.BinaryType(), False), T.StructField("t", T.BinaryType(), False),
-    T.StructField("v", T.BinaryType(), False),
+    T.StructField("px", T.BinaryType(), False),
 ])
+LAYER = np.dtype([("off", "<i4"), ("p", "<i8"), ("t", "<i8"), ("v", "<f8")])
+LAYER_ROWS = 1 << 18         # records of partial layers merged at once, and the unfinished tile
 _EMPTY = np.iinfo(np.int64).min
 
 
+def _integers(rb: pa.RecordBatch, name: str) -> np.ndarray:
+    """An integral column; no priority or tie is less than any (a pixel that has no other source stays empty)."""
+    col = rb.column(name)
+    if col.null_count:
+        if name not in ("p", "t"):
+            raise ValueError("a cell without gx, gy or band lies on no tile")
+        col = col.fill_null(_EMPTY)
+    return col.to_numpy(zero_copy_only=False)
+
+
 def _paint_sorted(batches, size: int, z: int):
-    n2 = size * size
     carry = None
-    names = ("x", "y", "band", "salt", "off", "p", "t", "v")
-    arrow = pa.schema([("z", pa.int32()), ("x", pa.int32()), ("y", pa.int32()), ("band", pa.int32()), ("salt", pa.int64()),
-                       ("size", pa.int32()), ("p", pa.binary()), ("t", pa.binary()), ("v", pa.binary())])
+    names = ("x", "y", "band", "salt", "off", "p", "t")
+    arrow = pa.schema([("z", pa.int32()), ("x", pa.int32()), ("y", pa.int32()), ("band", pa.int32()), ("salt", pa.int64()), ("px", pa.binary())])
 
     def emit(cols, k):
         cx, cy, cb, cs, off, pp, tt, vv = (c[:k] for c in cols)
-        grp = np.flatnonzero((cx[1:] != cx[:-1]) | (cy[1:] != cy[:-1]) |
-                             (cb[1:] != cb[:-1]) | (cs[1:] != cs[:-1])) + 1
-        starts = np.concatenate(([0], grp))
-        stops = np.concatenate((grp, [k]))
-        per_chunk = max(1, B.PACK_BYTES // (n2 * 24))              # three 8-byte planes per tile
+        new = np.ones(k, bool)
+        new[1:] = (cx[1:] != cx[:-1]) | (cy[1:] != cy[:-1]) | (cb[1:] != cb[:-1]) | (cs[1:] != cs[:-1])
+        # rows are sorted by (group, off, p, t, v): the last row of each (group, off) run wins
+        last = np.append(new[1:] | (off[1:] != off[:-1]), True)
+        starts = np.flatnonzero(new)
+        recs = np.empty(int(last.sum()), LAYER)
+        for name, vals in zip(LAYER.names, (off, pp, tt, vv)):
+            recs[name] = vals[last]
+        cuts = np.append((np.cumsum(last) - last)[starts], len(recs))
+        per_chunk = max(1, len(starts) * B.PACK_BYTES // max(1, recs.nbytes))
         for c0 in range(0, len(starts), per_chunk):
-            st, sp = starts[c0:c0 + per_chunk], stops[c0:c0 + per_chunk]
-            r0, r1 = st[0], sp[-1]
-            gid = np.repeat(np.arange(len(st)), sp - st)
-            o, p_, t_, v_ = off[r0:r1], pp[r0:r1], tt[r0:r1], vv[r0:r1]
-            # rows are sorted by (group, off, p, t, v): the last row of each (group, off) run wins
-            last = np.concatenate(((gid[1:] != gid[:-1]) | (o[1:] != o[:-1]), [True]))
-            g = gid[last]
-            P = np.full((len(st), n2), _EMPTY, dtype=np.int64)
-            Tt = np.full((len(st), n2), _EMPTY, dtype=np.int64)
-            V = np.full((len(st), n2), np.nan)
-            P[g, o[last]], Tt[g, o[last]], V[g, o[last]] = p_[last], t_[last], v_[last]
+            st, at = starts[c0:c0 + per_chunk], cuts[c0:c0 + per_chunk + 1]
             m = len(st)
+            part = recs[at[0]:at[-1]]
+            px = pa.Array.from_buffers(pa.binary(), m, [None, pa.py_buffer(((at - at[0]) * LAYER.itemsize).astype(np.int32).tobytes()),
+                                                        pa.py_buffer(part.tobytes())])
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.full(m, z), pa.int32()), pa.array(cx[st], pa.int32()), pa.array(cy[st], pa.int32()),
-                pa.array(cb[st], pa.int32()), pa.array(cs[st], pa.int64()), pa.array(np.full(m, size), pa.int32()),
-                pa.array([P[i].tobytes() for i in range(m)], pa.binary()),
-                pa.array([Tt[i].tobytes() for i in range(m)], pa.binary()),
-                pa.array([V[i].tobytes() for i in range(m)], pa.binary())], schema=arrow)
+                pa.array(cb[st], pa.int32()), pa.array(cs[st], pa.int64()), px], schema=arrow)
 
     for rb in batches:
         if rb.num_rows == 0:
             continue
-        cols = [rb.column(k).to_numpy(zero_copy_only=False) for k in names]
-        cols[7] = cols[7].astype(np.float64)
+        cols = [*[_integers(rb, k) for k in names], rb.column("v").to_numpy(zero_copy_only=False).astype(np.float64)]
         if carry is not None:
             cols = [np.concatenate((a, b)) for a, b in zip(carry, cols)]
         cx, cy, cb, cs = cols[:4]
@@ -94,39 +97,52 @@ def _paint_sorted(batches, size: int, z: int):
         yield from emit(carry, len(carry[0]))
 
 
+def _winners(tile: np.ndarray, recs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(tile, record) of the greatest (priority, tie, value) of every pixel, by tile and pixel."""
+    key = tile.astype(np.int64) << 32 | recs["off"]
+    if not (key[1:] > key[:-1]).all():                # several layers in a tile: otherwise all are winners already
+        order = np.lexsort((recs["v"], recs["t"], recs["p"], key))
+        last = order[np.append(key[order][1:] != key[order][:-1], True)]
+        tile, recs = tile[last], recs[last]
+    return tile, recs
+
+
 def _merge_sorted(batches, size: int, nodata):
     """Partial layers sorted by tile -> one painted block per tile (lexicographic max per pixel)."""
-    cur, acc, out = None, None, []
+    held: tuple | None = None                         # (keys z, x, y, band; tile of each record; records)
 
-    def flush():
-        P, Tt, V, z = acc
-        V = np.where(P == _EMPTY, np.nan, V).reshape(size, size)
-        arr, valid = B.from_float(V, "f8", nodata)
-        if valid:
-            out.append(B.block_record(z, cur[0], cur[1], cur[2], size, "f8", nodata, arr, valid))
+    def emit(keys, tile, recs):
+        ok = (recs["p"] != _EMPTY) & ~np.isnan(recs["v"])
+        tile, recs = tile[ok], recs[ok]
+        if not len(tile):
+            return
+        starts = np.concatenate(([0], np.flatnonzero(tile[1:] != tile[:-1]) + 1))
+        yield from B.tile_batches([k[tile[starts]] for k in keys], starts, recs["off"], recs["v"], size, "f8", nodata, True)
 
     for rb in batches:
-        c = rb.to_pydict()
-        for i in range(rb.num_rows):
-            key = (c["x"][i], c["y"][i], c["band"][i])
-            p2 = np.frombuffer(c["p"][i], dtype=np.int64)
-            t2 = np.frombuffer(c["t"][i], dtype=np.int64)
-            v2 = np.frombuffer(c["v"][i], dtype=np.float64)
-            if key != cur:
-                if cur is not None:
-                    flush()
-                cur, acc = key, (p2.copy(), t2.copy(), v2.copy(), c["z"][i])
-                continue
-            P, Tt, V, z = acc
-            better = (p2 != _EMPTY) & ((P == _EMPTY) | (p2 > P) | ((p2 == P) & ((t2 > Tt) | ((t2 == Tt) & (v2 > V)))))
-            acc = (np.where(better, p2, P), np.where(better, t2, Tt), np.where(better, v2, V), z)
-        if out:
-            yield from B.records_to_table(out).to_batches()
-            out.clear()
-    if cur is not None:
-        flush()
-    if out:
-        yield from B.records_to_table(out).to_batches()
+        at, names = 0, ("z", "x", "y", "band")
+        planes = rb.column("px").to_pylist()
+        cols = [rb.column(c).to_numpy() for c in names]
+        sizes = np.cumsum([len(p) // LAYER.itemsize for p in planes]) if planes else np.zeros(0, np.int64)
+        while at < len(planes):
+            to = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + LAYER_ROWS, side="right")))
+            keys = [c[at:to] for c in cols]
+            row = np.repeat(np.arange(to - at), [len(p) // LAYER.itemsize for p in planes[at:to]])
+            recs = np.frombuffer(b"".join(planes[at:to]), LAYER)
+            if held is not None:
+                row = np.concatenate((np.zeros(len(held[1]), np.int64), row + 1))
+                keys, recs = [np.concatenate((a, b)) for a, b in zip(held[0], keys)], np.concatenate((held[1], recs))
+            new = np.ones(len(keys[0]), bool)
+            new[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+            keys, tile = [k[new] for k in keys], (np.cumsum(new) - 1)[row]
+            tile, recs = _winners(tile, recs)
+            done = tile < len(keys[0]) - 1            # the last tile may go on
+            if done.any():
+                yield from emit(keys, tile[done], recs[done])
+            held = [k[-1:] for k in keys], recs[~done]
+            at = to
+    if held is not None:
+        yield from emit(held[0], np.zeros(len(held[1]), np.int64), held[1])
 
 
 def paint_rows(cells: DataFrame, size: int, order=("priority", "tie"), share: int | None = None) -> DataFrame:
