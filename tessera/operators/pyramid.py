@@ -109,6 +109,62 @@ def _pass_kernel(levels: int, method: str, min_zoom: int, pick=(1, 1)):
     return kernel
 
 
+def _fold_sparse(tbl, levels: int, min_zoom: int):
+    """The average of whole groups of sparse blocks, pixel by pixel: block batches, or None if the blocks are not all
+    sparse floats of one layout, a tile comes twice, or a mean is the nodata value."""
+    cols = {c: tbl.column(c).to_pylist() for c in ("z", "size", "dtype", "nodata", "data", "weight")}
+    if any(len(set(cols[c])) != 1 for c in ("z", "size", "dtype", "nodata")):
+        return None
+    z, size, dtype, nodata = (cols[c][0] for c in ("z", "size", "dtype", "nodata"))
+    if nodata is None or dtype not in ("f4", "f8") or size % 2 or not all(B.is_sparse(d, dtype, size) for d in cols["data"]):
+        return None
+    sums = cols["weight"][0] is not None
+    if not all((w is not None) == sums and (not sums or B.is_sparse_sums(w, size)) for w in cols["weight"]):
+        return None
+    x, y, band = (tbl.column(c).to_numpy().astype(np.int64) for c in ("x", "y", "band"))
+    if len(np.unique(np.stack((x, y, band)), axis=1)[0]) != len(x):
+        return None
+    of, recs = B.pixel_records(cols["weight" if sums else "data"], B.SPARSE_SUMS if sums else B.sparse_record(dtype))
+    ok = recs["c"] > 0 if sums else B.valid_mask(recs["v"], nodata) & ~np.isnan(recs["v"])
+    of, recs = of[ok], recs[ok]
+    off = recs["off"].astype(np.int64)
+    gx, gy, gb = x[of] * size + off % size, y[of] * size + off // size, band[of]
+    total = recs["s"] if sums else recs["v"].astype(np.float64)
+    count = recs["c"] if sums else np.ones(len(of), np.int64)
+    out = []
+    for _ in range(levels):
+        if z <= min_zoom or not len(gx):
+            break
+        z, gx, gy = z - 1, gx >> 1, gy >> 1
+        off = (gy % size) * size + gx % size
+        order = np.lexsort((off, gx // size, gy // size, gb))
+        gx, gy, gb, off, total, count = (a[order] for a in (gx, gy, gb, off, total, count))
+        first = np.flatnonzero(np.append(True, (gx[1:] != gx[:-1]) | (gy[1:] != gy[:-1]) | (gb[1:] != gb[:-1])))
+        gx, gy, gb, off, total, count = gx[first], gy[first], gb[first], off[first], np.add.reduceat(total, first), np.add.reduceat(count, first)
+        mean = (total / count).astype("<" + dtype)
+        if not B.valid_mask(mean, nodata).all() or np.isnan(mean).any():
+            return None
+        tx, ty = gx // size, gy // size
+        starts = np.flatnonzero(np.append(True, (tx[1:] != tx[:-1]) | (ty[1:] != ty[:-1]) | (gb[1:] != gb[:-1])))
+        n = np.diff(np.append(starts, len(gx)))
+        few = (n + 1) * B.sparse_record(dtype).itemsize < size * size * int(dtype[1:])
+        if few.any():
+            held, at = np.repeat(few, n), np.cumsum(n[few]) - n[few]
+            data = B.sparse_arrays(B.sparse_record(dtype), at, {"off": off[held], "v": mean[held]}, fill=nodata)
+            weight = B.sparse_arrays(B.SPARSE_SUMS, at, {"off": off[held], "s": total[held], "c": count[held]})
+            s = starts[few]
+            out.append(B.block_batch([np.full(len(s), z), tx[s], ty[s], gb[s]], size, dtype, nodata, n[few], data, weight))
+        dense = []
+        for s, k in zip(starts[~few].tolist(), n[~few].tolist()):
+            arr, planes = np.full(size * size, nodata, dtype="<" + dtype), (np.zeros(size * size), np.zeros(size * size, np.int64))
+            for plane, vals in zip((arr, *planes), (mean, total, count)):
+                plane[off[s:s + k]] = vals[s:s + k]
+            dense.append(B.block_record(z, tx[s], ty[s], gb[s], size, dtype, nodata, arr, k, weight=B.encode_sums(*planes)))
+        if dense:
+            out += B.records_to_table(dense).to_batches()
+    return out
+
+
 def levels_for_budget(size: int, dtype: str, method: str, budget_bytes: int = 256 << 20,
                       max_levels: int = 3) -> int:
     """Levels per pass so that 4**levels input blocks fit the per-group budget
@@ -150,7 +206,8 @@ def pyramid_pass(blocks: DataFrame, levels: int, method: str = "nearest", min_zo
     keys = [F.col("z") - levels, F.col("band"),
             F.call_function("shiftright", F.col("x"), F.lit(levels)),
             F.call_function("shiftright", F.col("y"), F.lit(levels))]
-    return B.fold_blocks(blocks, keys, _pass_kernel(levels, method, min_zoom, pick))
+    quick = (lambda tbl: _fold_sparse(tbl, levels, min_zoom)) if method == "average" else None
+    return B.fold_blocks_sorted(blocks, keys, _pass_kernel(levels, method, min_zoom, pick), quick)
 
 
 TILE_KEY = ["z", "x", "y", "band"]
