@@ -111,7 +111,7 @@ def chunk_blocks(sources: DataFrame, factor: int, zoom: int, size: int, tiles: D
         sources = (sources.select("*", F.floor(F.col("gx") / span).alias("_x"), F.floor(F.col("gy") / span).alias("_y"))
                           .join(wanted, ["_x", "_y"], "left_semi"))
     avg = C.paint_and_average(sources, factor, order=order, extra_keys=bands)
-    return (B.pack_blocks(avg, size, zoom, dtype=dtype, nodata=nodata, band="band" if bands else 1)
+    return (B.pack_blocks(avg, size, zoom, dtype=dtype, nodata=nodata, band="band" if bands else 1, sparse=True)
              .where(F.col("valid_count") > 0))
 
 
