@@ -80,7 +80,9 @@ def _add_points(df: DataFrame, src: str, dst: str, points: list[tuple]) -> DataF
 def warp_crs(df: DataFrame, src: Grid, dst: Grid, method: str = "bilinear", extra_keys=(),
              margin: int = 1) -> DataFrame:
     """Resample cells ``(gx, gy, v)`` on ``src`` onto ``dst``; returns ``(extra_keys.., gx, gy, v)``
-    on ``dst``.  Grid parameters given as column names are read per row."""
+    on ``dst``.  Grid parameters given as column names are read per row.
+
+    ``margin``: target pixels proposed beyond the corners' box on each side (it must cover the bend of a pixel's edge)."""
     if method not in METHODS:
         raise ValueError(method)
     lo, hi = (-1.0, 1.0) if method == "bilinear" else (-0.5, 0.5)
@@ -104,10 +106,10 @@ def warp_crs(df: DataFrame, src: Grid, dst: Grid, method: str = "bilinear", extr
     txs = [(F.col(f"_tx{k}") - dx0) / ddx - 0.5 for k in range(4)]
     tys = [(dy0 - F.col(f"_ty{k}")) / ddy - 0.5 for k in range(4)]
     ranged = fwd.select(*extra_keys, *carry, "gx", "gy", "v", *direct,
-                        F.greatest(F.floor(F.least(*txs)) - margin, F.lit(0)).alias("_ti0"),
-                        (F.ceil(F.greatest(*txs)) + margin).alias("_ti1"),
-                        F.greatest(F.floor(F.least(*tys)) - margin, F.lit(0)).alias("_tj0"),
-                        (F.ceil(F.greatest(*tys)) + margin).alias("_tj1"))
+                        F.greatest(F.ceil(F.least(*txs) - margin), F.lit(0)).alias("_ti0"),
+                        F.floor(F.greatest(*txs) + margin).alias("_ti1"),
+                        F.greatest(F.ceil(F.least(*tys) - margin), F.lit(0)).alias("_tj0"),
+                        F.floor(F.greatest(*tys) + margin).alias("_tj1"))
     # explode_outer + null filter: no inferred filter copies the projection into the scan
     cand = (ranged.select("*", F.explode_outer(F.sequence("_ti0", F.greatest("_ti0", "_ti1"))).alias("ti"))
                   .where(F.col("ti").isNotNull())

@@ -215,9 +215,9 @@ def convert_missing(spark: SparkSession, listing: DataFrame, targets: DataFrame,
     meta = rasters.join(todo.select("source"), "source", "left_semi")
     grids = default_4326_grid(footprints(meta, src_crs)).join(meta.select("source", "source_id", "a", "c", "e", "f"),
                                                               "source_id")
-    # grids exist only for sources still to do, so the join also drops the finished ones;
+    # grids exist only for sources still to do: the finished ones' pixels go before any is counted, dealt or moved;
     # salted because one source may hold a large share of all pixels
-    px = salted_join(source_cells, grids.select("source", "a", "c", "e", "f", "dst_x0", "dst_y0", "dst_res"),
+    px = salted_join(source_cells.join(grids.select("source").distinct(), "source", "left_semi"), grids.select("source", "a", "c", "e", "f", "dst_x0", "dst_y0", "dst_res"),
                      ["source"])
     px = px.withColumn("neg_e", -F.col("e"))
     conv = RP.warp_crs(px, RP.Grid(src_crs, "c", "f", "a", "neg_e"),
