@@ -61,27 +61,30 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS,
 
     Each step is a grouped sum and an equi-join on one dimension; every pass is written, which keeps
     the plan short, and one number comes back from it.  A value without a target keeps its weight.
+    The targets join the cells once, before the passes: a pass has one join a dimension.
     """
     total = cells.agg(F.sum("n").alias("t")).first()["t"] or 0
-    now = cells.withColumn("fitted", F.col("n").cast("double")).withColumn("off", F.lit(0.0))
-    written, error = None, 0.0
+    now = cells.withColumn("fitted", F.col("n").cast("double"))
+    for dim, goal in targets.items():
+        goal = goal.select(F.col("value").alias("__w"), F.col("share").alias(f"__goal_{dim}"))
+        now = now.join(goal, F.col(dim).eqNullSafe(F.col("__w")), "left").drop("__w")
+    now = written = materialise(now, "rake")
+    error = 0.0
     for _ in range(rounds):
         now = now.withColumn("off", F.lit(0.0))
-        for dim, goal in targets.items():
-            sums = now.groupBy(F.col(dim).alias("__v")).agg(F.sum("fitted").alias("__s"))
-            goal = goal.select(F.col("value").alias("__w"), F.col("share").alias("__g"))
-            factor = sums.join(goal, F.col("__v").eqNullSafe(F.col("__w")), "left").select(
+        for dim in targets:
+            sums = now.groupBy(F.col(dim).alias("__v")).agg(F.sum("fitted").alias("__s"), F.max(f"__goal_{dim}").alias("__g"))
+            factor = sums.select(
                 "__v", F.coalesce(F.col("__g") * F.lit(float(total)) / F.col("__s"), F.lit(1.0)).alias("__f"))
             now = now.join(factor, F.col(dim).eqNullSafe(F.col("__v"))).withColumn(
                 "fitted", F.col("fitted") * F.col("__f")).withColumn("off", F.greatest("off", F.abs(F.col("__f") - 1))).drop("__v", "__f")
         now = materialise(now, "rake")
-        if written is not None:
-            discard(written)
+        discard(written)
         written = now
         error = now.agg(F.max("off").alias("e")).first()["e"] or 0.0
         if error <= tolerance:
             break
-    return now.drop("off"), float(error)
+    return now.drop("off", *[f"__goal_{d}" for d in targets]), float(error)
 
 
 def _placed(docs: DataFrame, targets: dict[str, DataFrame] | None, temper: dict[str, float] | None, id_col: str,
