@@ -381,8 +381,57 @@ def _unpack_sparse(rb, cols, i: int, j: int, valid_only: bool, weighted: bool, k
         yield _cells_batch(*at, v[ok], extra, False)
 
 
+def _marked(rb) -> np.ndarray:
+    """Which blocks of a batch are sparse (:func:`is_sparse`), from the buffer of ``data``."""
+    raw, at = binary_buffer(rb.column("data"))
+    size, kind = rb.column("size").to_numpy(zero_copy_only=False).astype(np.int64), rb.column("dtype").dictionary_encode()
+    width = np.array([int(t[1:]) for t in kind.dictionary.to_pylist()], np.int64)[kind.indices.to_numpy(zero_copy_only=False)]
+    length = at[1:] - at[:-1]
+    out = (length >= 4) & (length != size * size * width)
+    first = at[:-1][out]
+    out[out] = np.all([raw[first + i] == b for i, b in enumerate(np.int32(SPARSE).tobytes())], axis=0)
+    return out
+
+
+def binary_buffer(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, offsets from 0) of a binary column without nulls."""
+    bufs = col.buffers()
+    wide = pa.types.is_large_binary(col.type)
+    at = np.frombuffer(bufs[1], np.int64 if wide else np.int32)[col.offset:col.offset + len(col) + 1].astype(np.int64)
+    raw = np.frombuffer(bufs[2], np.uint8)[at[0]:at[-1]] if bufs[2] is not None else np.zeros(0, np.uint8)
+    return raw, at - at[0]
+
+
+def _unpack_marked(rb, keep):
+    """Cells of the sparse blocks of a batch, all at once, if they share size, dtype and nodata; else None."""
+    for c in ("size", "dtype", "nodata"):
+        if len(rb.column(c).unique()) > 1:
+            return None
+    size, dtype, nodata = (rb.column(c)[0].as_py() for c in ("size", "dtype", "nodata"))
+    kind = sparse_record(dtype)
+    raw, at = binary_buffer(rb.column("data"))
+    recs = np.frombuffer(raw.tobytes(), kind)
+    of = np.repeat(np.arange(rb.num_rows), (at[1:] - at[:-1]) // kind.itemsize)
+    ok = (recs["off"] != SPARSE) & valid_mask(recs["v"], nodata)
+    v = recs["v"].astype(np.float64)
+    ok &= ~np.isnan(v)
+    of, off = of[ok], recs["off"][ok].astype(np.int64)
+    z, band, x, y = (rb.column(c).to_numpy(zero_copy_only=False).astype(np.int64)[of] for c in ("z", "band", "x", "y"))
+    extra = {kk: rb.column(kk).take(pa.array(of)) for kk in keep}
+    return _cells_batch(z, band, x * size + off % size, y * size + off // size, v[ok], extra, False)
+
+
 def _unpack_batches(batches: Iterator[pa.RecordBatch], valid_only: bool, weighted: bool, keep=()):
     for rb in batches:
+        if valid_only and not weighted and rb.num_rows and not any(rb.column(c).null_count for c in ("data", "size", "dtype", "nodata")):
+            marked = _marked(rb)
+            cells = _unpack_marked(rb.filter(pa.array(marked)), keep) if marked.any() else None
+            if cells is not None:
+                if cells.num_rows:
+                    yield cells
+                rb = rb.filter(pa.array(~marked))
+        if not rb.num_rows:
+            continue
         cols = rb.to_pydict()
         n = rb.num_rows
         thin = [valid_only and nd is not None and is_sparse(d, t, s) and (not weighted or w is None or is_sparse_sums(w, s))

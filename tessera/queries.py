@@ -475,7 +475,7 @@ def chunk_bands(spark, d):
 
 def mosaic_bands(spark, d):
     """A8/R5 in block form: every band painted on its own."""
-    painted = MO.paint_blocks(FX.scenes_bands(spark, d), S, FX.SCENE_ZOOM)
+    painted = MO.paint_blocks(FX.scenes_wide(spark, d), S, FX.SCENE_ZOOM, bands=FX.SCENE_BANDS)
     return B.unpack_blocks(painted).select(_i("band").alias("band"), "gx", "gy", _i("v").alias("v"))
 
 

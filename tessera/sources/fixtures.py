@@ -86,6 +86,9 @@ def scenes_wide(spark: SparkSession, d: str) -> DataFrame:
         F.round(F.col("l_discount") * 100).cast("bigint").alias("v3"))
 
 
+SCENE_BANDS = {1: "v1", 2: "v2", 3: "v3"}
+
+
 def scenes_bands(spark: SparkSession, d: str) -> DataFrame:
     bands = F.array(*[F.struct(F.lit(b).alias("band"), F.col(f"v{b}").alias("v")) for b in (1, 2, 3)])
     return scenes_wide(spark, d).select("gx", "gy", "priority", "tie", F.inline(bands))
