@@ -142,11 +142,15 @@ def quadkey(x, y, z) -> Column:
     The digits are the base-4 form of the Morton code of (x, y), left-padded to
     z digits -- bit arithmetic only, so it is code-generated.
     """
-    morton = _spread_bits(col(x)).bitwiseOR(shiftleft(_spread_bits(col(y)), F.lit(1)))
-    digits = F.lpad(F.conv(morton.cast("string"), 10, 4), col(z).cast("int"), "0")
+    digits = F.lpad(F.conv(morton(x, y).cast("string"), 10, 4), col(z).cast("int"), "0")
     return F.when(col(z) > 1, digits).otherwise(F.lit(""))
 
 
+def morton(x, y) -> Column:
+    """Morton code of (x, y): tiles of one zoom in its order are in quadkey order, without a string."""
+    return _spread_bits(col(x)).bitwiseOR(shiftleft(_spread_bits(col(y)), F.lit(1)))
+
+
 # --------------------------------------------------------------------------- P11
 def tiles_for_bbox(west, south, east, north, z) -> Column:
     """array<struct<z,x,y>> of every tile meeting the box (explode it)."""

@@ -118,16 +118,26 @@ def paint_and_average_bands(df: DataFrame, bands: dict[int, str], factor: int =
     A cell's bands stay in one row through both aggregates, each band with a winner of its own; they part into
     rows only after the average, so no shuffle carries a row per band.
     """
-    names = {b: f"_b{b}" for b in bands}
-    win = [F.max(F.when(F.col(c).isNotNull(), F.struct(*[F.col(o) for o in order], F.col(c).alias("_v")))).alias(names[b]) for b, c in bands.items()]
-    painted = df.groupBy("gx", "gy").agg(*win)
-    sums = [a for n in names.values() for a in (F.sum(F.col(n)["_v"]).alias(f"{n}s"), F.count(F.col(n)["_v"]).alias(f"{n}c"))]
-    wide = painted.groupBy(F.floor(F.col("gx") / factor).cast("bigint").alias("gx"), F.floor(F.col("gy") / factor).cast("bigint").alias("gy")).agg(*sums)
-    each = F.inline(F.array(*[F.struct(F.lit(b).alias("band"), F.col(f"{n}s").alias("vsum"), F.col(f"{n}c").alias("vcount")) for b, n in names.items()]))
+    wide = _paint_and_sum(df, bands, factor, order)
+    each = F.inline(F.array(*[F.struct(F.lit(b).alias("band"), F.col(f"_b{b}s").alias("vsum"), F.col(f"_b{b}c").alias("vcount")) for b in bands]))
     return (wide.select("gx", "gy", each).where(F.col("vcount") > 0)
                 .withColumn("v", F.col("vsum").cast("double") / F.col("vcount")))
 
 
+def paint_and_average_wide(df: DataFrame, bands: dict[int, str], factor: int = 2, order=("priority", "tie")) -> DataFrame:
+    """:func:`paint_and_average_bands` whose bands stay in one row: (gx, gy, v<band> ...), null where a band has nothing."""
+    wide = _paint_and_sum(df, bands, factor, order)
+    return wide.select("gx", "gy", *[F.when(F.col(f"_b{b}c") > 0, F.col(f"_b{b}s").cast("double") / F.col(f"_b{b}c")).alias(f"v{b}") for b in bands])
+
+
+def _paint_and_sum(df: DataFrame, bands: dict[int, str], factor: int, order) -> DataFrame:
+    """(gx, gy, and for every band _b<band>s, _b<band>c): sum and count of the painted cells of a target cell."""
+    win = [F.max(F.when(F.col(c).isNotNull(), F.struct(*[F.col(o) for o in order], F.col(c).alias("_v")))).alias(f"_b{b}") for b, c in bands.items()]
+    painted = df.groupBy("gx", "gy").agg(*win)
+    sums = [a for b in bands for a in (F.sum(F.col(f"_b{b}")["_v"]).alias(f"_b{b}s"), F.count(F.col(f"_b{b}")["_v"]).alias(f"_b{b}c"))]
+    return painted.groupBy(F.floor(F.col("gx") / factor).cast("bigint").alias("gx"), F.floor(F.col("gy") / factor).cast("bigint").alias("gy")).agg(*sums)
+
+
 # ------------------------------------------------------------------ J4 / R4 / R2 warps
 def _explode_range(df: DataFrame, lo: Column, hi: Column, name: str) -> DataFrame:
     """Add ``name`` = each integer in [lo, hi] (one row each).  explode_outer + a null filter:

@@ -241,7 +241,7 @@ def write_level_store(df: DataFrame, store: str, levels: tuple | None = None, gr
         new = new.unionByName(_through_scratch(kept, "tiles-kept"))
     if not grouped:
         new = new.hint("rebalance", "z", "bucket")
-    (new.sortWithinPartitions("z", "bucket", grid.quadkey("x", "y", "z"), "band")
+    (new.sortWithinPartitions("z", "bucket", grid.morton("x", "y"), "band")
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("z", "bucket").parquet(store))
 
 

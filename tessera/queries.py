@@ -464,12 +464,12 @@ def chunk_tiles(spark, d):
 
 def chunk_bands(spark, d):
     """Three bands chunked into one store, those z9 tiles of the list with odd x + y."""
-    sc = FX.scenes_bands(spark, d)
+    sc = FX.scenes_wide(spark, d)
     tiles = (sc.select(F.lit(9).alias("z"), F.floor(F.col("gx") / (2 * S)).alias("x"),
                        F.floor(F.col("gy") / (2 * S)).alias("y"))
                .where((F.col("x") + F.col("y")) % 2 == 1).distinct())
     out = J.chunk(spark, sc, FX.SCENE_ZOOM, FX.SCENE_ZOOM - 1, S, scratch_path(spark, "chunk-bands"),
-                  tiles=tiles, dtype="f8", nodata=FX.NODATA)
+                  tiles=tiles, dtype="f8", nodata=FX.NODATA, bands=FX.SCENE_BANDS)
     return B.unpack_blocks(out).select(_i("band").alias("band"), "gx", "gy", F.round("v", 6).alias("v"))
 
 
