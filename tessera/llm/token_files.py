@@ -261,6 +261,7 @@ _PIECE = re.compile(r"[\s\S](?:[^ ]+|(?<=\s) )*")
 _WIDE = re.compile("[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000] ")
 # characters on whose classes all Unicode versions agree, so that pre-tokens can be cut here
 _PLAIN = re.compile("[\t\n\r -~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*")
+_LETTERS = "".join(chr(c) for c in [*range(65, 91), *range(97, 123), *range(0xc0, 0xd7), *range(0xd8, 0xf7), *range(0xf8, 0x100)])
 SPECIAL = "<|"               # begins every special token of the vocabulary
 
 
@@ -293,58 +294,53 @@ def piece_encoder(path: str, special_as_text: bool):
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = special_as_text
     symbols, merge = byte_symbols(), tokenizer.model.tokenize
-    merged: dict[str, bytes] = {}                                          # ids of a pre-token
-    young: dict[str, bytes] = {}                                           # ids of a space and the piece
-    old: dict[str, bytes] = {}
+    small = len(cut_tokens(" " + _LETTERS)) == 1                            # letters after a space are one pre-token
 
     def whole(pieces: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
-    def after_space(pieces: list[str]) -> dict[str, bytes]:
-        """Ids of each piece with a space before it; pre-tokens of plain characters go straight to the model."""
-        found, others = {}, []
-        for p in pieces:
-            if _PLAIN.fullmatch(p) is None or SPECIAL in p:
-                others.append(p)
-                continue
-            ids = []
-            for token in cut_tokens(" " + p):
-                got = merged.get(token)
-                if got is None:
-                    got = array("I", [t.id for t in merge(token.encode().decode("latin-1").translate(symbols))]).tobytes()
-                    if len(token) <= 64:
-                        merged[token] = got
-                ids.append(got)
-            found[p] = b"".join(ids)
-        if len(merged) > CACHE:
-            merged.clear()
-        for lo in range(0, len(others), 4096):
-            part = others[lo:lo + 4096]
-            found.update(zip(part, whole([" " + p for p in part])))
-        return found
+    class Tokens(dict):
+        """Ids of pre-tokens, found by the model as they are asked for."""
+
+        def __missing__(self, token: str) -> bytes:
+            got = array("I", [t.id for t in merge(token.translate(symbols) if token.isascii() else
+                                                  token.encode().decode("latin-1").translate(symbols))]).tobytes()
+            if len(token) <= 64:
+                self[token] = got
+            return got
+
+    class Pieces(dict):
+        """Ids of a space and the piece, found as they are asked for; pre-tokens of plain characters go straight to
+        the model.  What the dictionary before this one knows is taken over."""
+
+        before: dict[str, bytes] = {}
+
+        def __missing__(self, piece: str) -> bytes:
+            got = self.before.get(piece)
+            if got is None:
+                if _PLAIN.fullmatch(piece) is None or SPECIAL in piece:
+                    got = whole([" " + piece])[0]
+                elif small and piece.isalpha():
+                    got = tokens[" " + piece]
+                else:
+                    got = b"".join([tokens[t] for t in cut_tokens(" " + piece)])
+            if len(piece) <= 64:                                           # longer ones are rare and large
+                self[piece] = got
+            return got
+
+    tokens, young = Tokens(), Pieces()
 
     def encode(texts: list[str]) -> list[bytes]:
-        nonlocal young, old
-        heads, cut, miss, get = [], [], set(), young.get
-        for t in texts:
-            pieces = pieces_of(t)
-            heads.append(pieces[0])
-            got = list(map(get, pieces))
-            got[0] = b""
-            if None in got:
-                miss.update([p for p, g in zip(pieces, got) if g is None])
-            cut.append((pieces, got))
-        found = {p: old[p] for p in miss if p in old}
-        found.update(after_space([p for p in miss if p not in found]))
-        out = []
-        for head, (pieces, got) in zip(whole(heads), cut):
-            if None in got:
-                got = [found[p] if g is None else g for p, g in zip(pieces, got)]
-            got[0] = head
-            out.append(b"".join(got))
-        young.update((p, g) for p, g in found.items() if len(p) <= 64)     # longer ones are rare and large
+        nonlocal young
+        cut = [pieces_of(t) for t in texts]
+        heads, ids = whole([p[0] for p in cut]), young.__getitem__
+        out = [head + b"".join(map(ids, p[1:])) for head, p in zip(heads, cut)]
+        if len(tokens) > CACHE:
+            tokens.clear()
         if len(young) > CACHE:
-            old, young = young, {}
+            young.before = {}
+            known, young = young, Pieces()
+            young.before = known
         return out
 
     return encode
