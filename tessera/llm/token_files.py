@@ -17,8 +17,10 @@ as they stream by, and rolls files at `FILE_IDS`; what comes back from the tasks
 that is repeated writes under a new name, and only names in the manifest (which Spark commits) are ever read.
 `read` opens the files of a manifest and decodes group after group of blocks.
 
-Text is encoded by the tokenizers library.  No pre-token runs across a space that follows a character other than white
-space, so texts are cut there, and the library sees every distinct cut once per worker (a bounded cache).
+Text is encoded by the tokenizers library.  Pre-tokens of plain characters are found in the bytes by shifted comparisons;
+the library's model merges every distinct one once per worker (a bounded cache), hundreds in one call.  No pre-token runs
+across a space that follows a character other than white space, so texts are cut there, and pieces with any
+other character, or with a special token, go through the whole library.
 
 Defined cases: null text is empty (the end id alone); null ids come first; equal ids are ordered by a hash of their text,
 then by the text; no rows: no files and no rows.  Very long texts are one document over many blocks.
@@ -38,14 +40,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialise, remembered, text_slices, tidy
+from tessera.llm.common import materialise, remembered, text_buffer, text_slices, tidy
 from tessera.session import scratch_path
 
 MAGIC = b"TESS-S8B"
 BLOCK = 1024                 # ids of a block
 GROUP = 256                  # blocks coded or decoded together
 FILE_IDS = 8 << 20           # ids after which a file is closed (at the end of a document)
-CACHE = 500_000              # distinct pieces of text that a worker remembers
+SLICE = 4 << 20              # bytes of text encoded at once
+CACHE = 500_000              # distinct pre-tokens of a generation; a worker remembers two
+LINES = 256                  # pre-tokens that the library's model sees at once
 _COUNT = np.array([1, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1, 0], np.int64)
 _BITS = np.array([60, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60, 0], np.int64)
 _TRAILER = "<QQQQQ8s"       # offset of the footer, blocks, documents, ids, ids of a block, magic
@@ -74,8 +78,13 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
     rows = np.zeros((len(first), BLOCK), np.uint64)                         # padded by zeros, which fit everywhere
     rows.ravel()[:m] = ids
     how = np.zeros(rows.shape, np.uint8)                                   # the escape takes any id
+    top = int(ids.max())
+    narrow = rows.astype(np.uint16 if top < 1 << 16 else np.uint32 if top < 1 << 32 else np.uint64)
     for s in range(14, 0, -1):                                             # from wide to narrow: the later fit holds more
-        fits = _windows(rows < np.uint64(1 << int(_BITS[s])), int(_COUNT[s]))
+        if top < 1 << int(_BITS[s]):
+            how[:] = s
+            continue
+        fits = _windows(narrow < narrow.dtype.type(1 << int(_BITS[s])), int(_COUNT[s]))
         if not fits[:, :BLOCK - int(_COUNT[s])].any():                      # so no narrower one fits before a block's last ids
             break
         np.copyto(how, s, where=fits)
@@ -256,21 +265,81 @@ def read_file(folder: str, name: str) -> Iterator[tuple[int | None, int, np.ndar
 
 # ---- the tokenizer -------------------------------------------------------------------------------------------
 
-# a piece starts with any character and goes on up to a space that follows something other than white space
-_PIECE = re.compile(r"[\s\S](?:[^ ]+|(?<=\s) )*")
-_WIDE = re.compile("[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000] ")
-# characters on whose classes all Unicode versions agree, so that pre-tokens can be cut here
-_PLAIN = re.compile("[\t\n\r -~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*")
-_LETTERS = "".join(chr(c) for c in [*range(65, 91), *range(97, 123), *range(0xc0, 0xd7), *range(0xd8, 0xf7), *range(0xf8, 0x100)])
-SPECIAL = "<|"               # begins every special token of the vocabulary
-
-
-def pieces_of(text: str) -> list[str]:
-    """The text cut before each space that follows a character other than white space; this space is left out."""
-    if text[:1] != " " and _WIDE.search(text) is None:
-        return text.split(" ")
-    cut = _PIECE.findall(text)
-    return [cut[0], *[p[1:] for p in cut[1:]]] if cut else [""]
+# kinds of bytes; characters on whose classes all Unicode versions agree are plain: \t, \n, \r, those from the space to ~, and
+# the letters from U+00C0 to U+00FF (two bytes: C3, then 80 to BF but 97 and B7)
+_SPACE, _WHITE, _OTHER, _LETTER, _DIGIT, _NONE = range(6)
+_KIND = np.full(256, _OTHER, np.uint8)
+_KIND[[*range(65, 91), *range(97, 123), *range(128, 256)]] = _LETTER
+_KIND[48:58], _KIND[[9, 10, 13]], _KIND[32] = _DIGIT, _WHITE, _SPACE
+_CONTROL = np.isin(np.arange(256), [*range(9), 11, 12, *range(14, 32), 127])
+_SPECIAL = b"<|"             # begins every special token of the vocabulary
+# the last two bytes of white space beyond U+007F
+_WIDE = np.array([0xC285, 0xC2A0, 0x9A80, *range(0x8080, 0x808B), 0x80A8, 0x80A9, 0x80AF, 0x819F])
+
+
+def odd_bytes(data: np.ndarray) -> np.ndarray:
+    """Where bytes of characters stand that are not plain, and where special tokens may begin."""
+    odd = [np.flatnonzero(_CONTROL[data]) if data.min(initial=32) < 32 or (data == 127).any() else np.zeros(0, np.int64)]
+    high = np.flatnonzero(data >= 128)
+    if len(high):
+        byte, follows = data[high], np.diff(high, prepend=-2) == 1
+        second = np.zeros(len(high), bool)
+        second[1:] = follows[1:] & (byte[:-1] == 0xC3) & (byte[1:] < 0xC0) & (byte[1:] != 0x97) & (byte[1:] != 0xB7)
+        odd.append(high[~(second | np.append(second[1:], False))])
+    mark = np.flatnonzero(data[:-1] == _SPECIAL[0])
+    odd.append(mark[data[mark + 1] == _SPECIAL[1]])
+    return np.sort(np.concatenate(odd))
+
+
+def token_starts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(where pre-tokens start, is it one whole piece for the library) in the texts of a UTF-8 buffer.
+
+    A piece starts with its text and at each space that follows a character other than white space: no pre-token runs
+    across one.  Pieces with characters that are not plain, or with a special token, are not cut further.
+    """
+    n = len(data)
+    full = offsets[1:] > offsets[:-1]
+    begin, end = offsets[:-1][full], offsets[1:][full]
+    if n == 0:
+        return np.zeros(0, np.int64), np.zeros(0, bool)
+    kind = _KIND[data]
+    before, after = np.empty_like(kind), np.empty_like(kind)
+    before[1:], after[:-1] = kind[:-1], kind[1:]
+    before[begin], after[end - 1] = _NONE, _WHITE
+    # white space: its run's first, and its last before anything else; the rest: another kind starts, or the space before it did
+    white = kind <= _WHITE
+    start = (before > _WHITE) | (after > _WHITE)
+    start &= white
+    start |= (kind != before) & (before != _SPACE) & ~white
+    quote = np.flatnonzero(data == ord("'"))
+    quote = quote[start[quote]]
+    if len(quote):                                                         # 's 't 'm 'd 're 've 'll
+        stop = end[np.searchsorted(end, quote, side="right")]
+        one = np.where(quote + 1 < stop, data[np.minimum(quote + 1, n - 1)], 0)
+        two = np.where(quote + 2 < stop, data[np.minimum(quote + 2, n - 1)], 0)
+        size = np.where(np.isin(one, list(b"stmd")), 2, 0)
+        size[((one == ord("r")) | (one == ord("v"))) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))] = 3
+        quote, size, stop = quote[size > 0], size[size > 0], stop[size > 0]
+        start[quote + 1] = False
+        start[(quote + size)[quote + size < stop]] = True
+    odd = odd_bytes(data)
+    if not len(odd):
+        at = np.flatnonzero(start)
+        return at, np.zeros(len(at), bool)
+    piece = (kind == _SPACE) & (before > _WHITE)
+    at = odd[odd + 1 < n] + 1                                             # white space that is not plain
+    at = at[piece[at]]
+    pair = data[np.maximum(at - 2, 0)].astype(np.int64) << 8 | data[at - 1]
+    piece[at[(data[at - 1] < 128) | np.isin(pair, _WIDE)]] = False
+    piece[begin] = True
+    start |= piece
+    at, pieces = np.flatnonzero(start), np.flatnonzero(piece)
+    whole = np.zeros(len(pieces), bool)
+    whole[np.searchsorted(pieces, odd, side="right") - 1] = True
+    first = piece[at]
+    whole = whole[np.cumsum(first) - 1]
+    held = first | ~whole
+    return at[held], whole[held]
 
 
 def byte_symbols() -> dict[int, str]:
@@ -281,71 +350,96 @@ def byte_symbols() -> dict[int, str]:
 
 
 @remembered(2)
-def piece_encoder(path: str, special_as_text: bool):
-    """A function: list of texts -> list of ids (little-endian uint32 bytes), through a bounded cache of pieces."""
+def buffer_encoder(path: str, special_as_text: bool):
+    """A function: UTF-8 buffer and offsets of texts -> (all ids, ids per text), through a bounded cache of pre-tokens.
+    Each distinct pre-token of the buffer is looked up once; those not known go to the library's model together."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"                         # one thread a task
     from array import array
 
-    import public_tokenizers
-    import regex
     from tokenizers import Tokenizer
+    from tokenizers.pre_tokenizers import CharDelimiterSplit
 
-    cut_tokens = regex.compile(public_tokenizers.PATTERN).findall
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = special_as_text
-    symbols, merge = byte_symbols(), tokenizer.model.tokenize
-    small = len(cut_tokens(" " + _LETTERS)) == 1                            # letters after a space are one pre-token
-
-    def whole(pieces: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-
-    class Tokens(dict):
-        """Ids of pre-tokens, found by the model as they are asked for."""
-
-        def __missing__(self, token: str) -> bytes:
-            got = array("I", [t.id for t in merge(token.translate(symbols) if token.isascii() else
-                                                  token.encode().decode("latin-1").translate(symbols))]).tobytes()
-            if len(token) <= 64:
-                self[token] = got
-            return got
-
-    class Pieces(dict):
-        """Ids of a space and the piece, found as they are asked for; pre-tokens of plain characters go straight to
-        the model.  What the dictionary before this one knows is taken over."""
-
-        before: dict[str, bytes] = {}
-
-        def __missing__(self, piece: str) -> bytes:
-            got = self.before.get(piece)
-            if got is None:
-                if _PLAIN.fullmatch(piece) is None or SPECIAL in piece:
-                    got = whole([" " + piece])[0]
-                elif small and piece.isalpha():
-                    got = tokens[" " + piece]
-                else:
-                    got = b"".join([tokens[t] for t in cut_tokens(" " + piece)])
-            if len(piece) <= 64:                                           # longer ones are rare and large
-                self[piece] = got
-            return got
-
-    tokens, young = Tokens(), Pieces()
-
-    def encode(texts: list[str]) -> list[bytes]:
-        nonlocal young
-        cut = [pieces_of(t) for t in texts]
-        heads, ids = whole([p[0] for p in cut]), young.__getitem__
-        out = [head + b"".join(map(ids, p[1:])) for head, p in zip(heads, cut)]
-        if len(tokens) > CACHE:
-            tokens.clear()
-        if len(young) > CACHE:
-            young.before = {}
-            known, young = young, Pieces()
-            young.before = known
+    model = Tokenizer(tokenizer.model)                                     # takes pre-tokens, line by line
+    model.pre_tokenizer = CharDelimiterSplit("\n")
+    symbols = np.array([ord(c) for _, c in sorted(byte_symbols().items())], "<u2")
+    symbols[0xFF] = ord("\n")                                              # no byte of UTF-8, no symbol of another byte
+    vocab = tokenizer.get_vocab(with_added_tokens=False)
+    lengths = np.zeros(max(vocab.values(), default=-1) + 1, np.int64)
+    for token, i in vocab.items():
+        lengths[i] = len(token)
+    young: dict[bytes, bytes] = {}
+    old: dict[bytes, bytes] = {}
+
+    def merged(tokens: list[bytes]) -> list[bytes]:
+        """Ids of pre-tokens, by the library's merges: ids belong to a pre-token up to its number of symbols."""
+        out = []
+        for lo in range(0, len(tokens), LINES):
+            part = tokens[lo:lo + LINES]
+            lines = symbols[np.frombuffer(b"\xff".join(part), np.uint8)].tobytes().decode("utf-16-le")
+            ids = np.array(model.encode_batch_fast([lines], add_special_tokens=False)[0].ids, "<u4")
+            held = np.append(0, np.cumsum(lengths[ids]))
+            ends = np.append(0, np.cumsum(np.fromiter(map(len, part), np.int64, len(part))))
+            cut = np.minimum(np.searchsorted(held, ends), len(ids))
+            if held[-1] != ends[-1] or (held[cut] != ends).any():
+                raise ValueError(f"{path} does not write every byte as a symbol of its own")
+            flat, cut = ids.tobytes(), (4 * cut).tolist()
+            out += [flat[a:b] for a, b in zip(cut, cut[1:])]
         return out
 
+    def whole(pieces: list[bytes]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)]
+
+    def ids_of(tokens: list[bytes], is_whole: np.ndarray) -> list[bytes]:
+        got = list(map(young.get, tokens))
+        asked = [i for i, g in enumerate(got) if g is None]
+        for i in asked:
+            got[i] = old.get(tokens[i])
+        unknown = [i for i in asked if got[i] is None]
+        for way, which in ((merged, [i for i in unknown if not is_whole[i]]), (whole, [i for i in unknown if is_whole[i]])):
+            for i, ids in zip(which, way([tokens[i] for i in which])):
+                got[i] = ids
+        for i in asked:
+            if len(tokens[i]) <= 64:                                       # longer ones are rare and large
+                young[tokens[i]] = got[i]
+        return got
+
+    def encode(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        nonlocal young, old
+        starts, is_whole = token_starts(data, offsets)
+        bounds = np.append(starts, len(data)).astype(np.int32)
+        tokens = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(data)]).dictionary_encode()
+        which = tokens.indices.to_numpy()
+        keys, key_offsets = text_buffer(tokens.dictionary)
+        keys, cut = keys.tobytes(), key_offsets.tolist()
+        odd = np.zeros(len(tokens.dictionary), bool)
+        odd[which[is_whole]] = True
+        got = ids_of([keys[a:b] for a, b in zip(cut, cut[1:])], odd)
+        pool, held = np.frombuffer(b"".join(got), "<u4"), np.fromiter(map(len, got), np.int64, len(got)) // 4
+        count = held[which]
+        ends = np.cumsum(count)
+        ids = pool[np.repeat((np.cumsum(held) - held)[which] - (ends - count), count) + np.arange(count.sum())]
+        if len(young) > CACHE:
+            young, old = {}, young
+        return ids, np.diff(np.append(0, ends)[np.searchsorted(starts, offsets)])
+
     return encode
 
 
+@remembered(2)
+def piece_encoder(path: str, special_as_text: bool):
+    """A function: list of texts -> list of ids (little-endian uint32 bytes)."""
+    encode = buffer_encoder(path, special_as_text)
+
+    def listed(texts: list[str]) -> list[bytes]:
+        ids, counts = encode(*text_buffer(pa.array(texts, pa.large_string())))
+        cut = np.append(0, np.cumsum(counts)).tolist()
+        return [ids[a:b].tobytes() for a, b in zip(cut, cut[1:])]
+
+    return listed
+
+
 # ---- on Spark ------------------------------------------------------------------------------------------------
 
 _MANIFEST = "name string, pid int, seq int, local_start long, n_docs long, n_ids long, n_bytes long"
@@ -354,8 +448,7 @@ _MANIFEST = "name string, pid int, seq int, local_start long, n_docs long, n_ids
 def _writer(folder: str, path: str, end_id: int, file_ids: int, special_as_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pid, attempt = TaskContext.get().partitionId(), uuid.uuid4().hex[:8]
-        encode, end = None, np.array([end_id], "<u4").tobytes()
-        file, seq, before = None, 0, 0
+        encode, file, seq, before = None, None, 0, 0
 
         def closed():
             size = file.close()
@@ -363,12 +456,14 @@ def _writer(folder: str, path: str, end_id: int, file_ids: int, special_as_text:
                                                 "n_ids": file.n_ids, "n_bytes": size}], schema=_SCHEMA)
 
         for batch in batches:
-            for rows, _, _ in text_slices(batch, "text"):
-                encode = encode or piece_encoder(path, special_as_text)
-                texts = [t or "" for t in rows.column(1).to_pylist()]
-                for doc, ids in zip(rows.column(0).to_pylist(), encode(texts)):
+            for rows, data, offsets in text_slices(batch, "text", SLICE):
+                encode = encode or buffer_encoder(path, special_as_text)
+                ids, counts = encode(data, offsets)
+                cut = np.append(0, np.cumsum(counts))
+                ids, cut = np.insert(ids, cut[1:], end_id), (cut + np.arange(len(cut))).tolist()
+                for doc, lo, hi in zip(rows.column(0).to_pylist(), cut, cut[1:]):
                     file = file or TokenFile(folder, f"part-{pid:05d}-{seq:05d}-{attempt}.s8b")
-                    file.add(doc, np.frombuffer(ids + end, "<u4"))
+                    file.add(doc, ids[lo:hi])
                     if file.n_ids >= file_ids:
                         yield closed()
                         before, seq, file = before + file.n_ids, seq + 1, None
@@ -427,4 +522,4 @@ def read(manifest: DataFrame, folder: str, id_col: str = "doc_id") -> DataFrame:
     return names.mapInArrow(tidy(_reader(folder, base, id_col)), f"`{id_col}` long, start long, ids binary")
 
 
-__all__ = ["TokenFile", "pack", "piece_encoder", "pieces_of", "read", "read_file", "unpack", "write"]
+__all__ = ["TokenFile", "buffer_encoder", "pack", "piece_encoder", "read", "read_file", "token_starts", "unpack", "write"]

@@ -1,10 +1,12 @@
 """Work left out of two kernels: equal runs in op3's suffix array, pieces of letters in op12's encoder."""
 
 import random
+import sys
 
 import numpy as np
 import public_tokenizers
 import regex
+import tokenizers
 from tokenizers import Tokenizer
 
 from tessera.llm import suffix_dedup, token_files
@@ -73,3 +75,76 @@ def test_op12_pieces_of_letters_go_to_the_model_uncut(monkeypatch):
             got = [np.frombuffer(b, "<u4").tolist() for b in encode(texts[lo:lo + 20])]
             assert got == [e.ids for e in library.encode_batch(texts[lo:lo + 20], add_special_tokens=False)]
     assert not {t[1:] for t in cuts} & set(words)
+
+
+def _library_calls(monkeypatch):
+    """What the tokenizers library is called with from here on: lists of texts, and single pre-tokens."""
+    calls, real = [], tokenizers.Tokenizer
+
+    class Model:
+        def __init__(self, model):
+            self.real = model
+
+        def tokenize(self, text):
+            calls.append(text)
+            return self.real.tokenize(text)
+
+    class Counted:
+        def __init__(self, model=None, held=None):
+            self.__dict__["held"] = held if held is not None else real(model.real)
+
+        @staticmethod
+        def from_file(path):
+            return Counted(held=real.from_file(path))
+
+        @property
+        def model(self):
+            return Model(self.held.model)
+
+        def encode_batch_fast(self, texts, **more):
+            calls.append(texts)
+            return self.held.encode_batch_fast(texts, **more)
+
+        def __getattr__(self, name):
+            return getattr(self.held, name)
+
+        def __setattr__(self, name, value):
+            setattr(self.held, name, value)
+
+    monkeypatch.setattr(tokenizers, "Tokenizer", Counted)
+    return calls
+
+
+def test_op12_distinct_pre_tokens_meet_the_model_together(monkeypatch):
+    monkeypatch.setattr(sys, "_tessera_remembered", {}, raising=False)
+    calls, path = _library_calls(monkeypatch), public_tokenizers.path("byte_bpe_50k.json")
+    rng = random.Random(4)
+    words = ["".join(rng.choice("aeinrstéÀÿ") for _ in range(12)) for _ in range(5000)]
+    texts = [" ".join(words[i:i + 50]) + "." for i in range(0, 5000, 50)] * 2
+    got = token_files.piece_encoder(path, False)(texts)
+    assert [np.frombuffer(b, "<u4").tolist() for b in got] == [
+        e.ids for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+    assert len(calls) < len(words) / 50
+
+
+def test_op12_pre_tokens_of_plain_characters_start_where_the_pattern_does():
+    rng, cut = random.Random(5), regex.compile(public_tokenizers.PATTERN)
+    letters = [*"ab19 .,'\n\r\té", "ÿ", "  ", "'s", "'ll", "'re", "'ve", "'t", "'l", " '", "''"]
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 30))) for _ in range(4000)]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.append(0, np.cumsum([len(t.encode()) for t in texts]))
+    starts, whole = token_files.token_starts(data, offsets)
+    want = [lo + len(t[:m.start()].encode()) for lo, t in zip(offsets.tolist(), texts) for m in cut.finditer(t)]
+    assert starts.tolist() == want and not whole.any()
+
+
+def test_op12_odd_characters_and_spaces_meet_the_library_whole():
+    path, rng = public_tokenizers.path("byte_bpe_50k.json"), random.Random(6)
+    odd = ["×", "÷", "À", "漢", "　", " ", "\u0085", " ", " ", " ", " ", "\x0b", "\x0c", "\x1c", "\x7f", "\x00",
+           "ß", "ñ", "̀", "😀", "²", "ª", "٣", "<|endoftext|>", "<|", "<", "|", "'s", "'ll", " ", " ", "  ", "\n", "ab", "9", "."]
+    texts = ["".join(rng.choice(odd) for _ in range(rng.randint(0, 12))) for _ in range(6000)]
+    for special in (False, True):
+        library = Tokenizer.from_file(path)
+        library.encode_special_tokens = special
+        got = token_files.piece_encoder(path, special)(texts)
+        assert [np.frombuffer(b, "<u4").tolist() for b in got] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
